@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .jaccard_join import jaccard_components
 from .license_scan import license_scan
+from .rans import token_file_round_trip
 from .secret_scan import BASE, KINDS, secret_scan, spans_text
 
 
@@ -32,5 +34,13 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license, op3_secrets, op6_bpe)}
+def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_round_trip(table(spark, sf_dir, "documents"), word_bpe())
+
+
+def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license, op3_secrets, op6_bpe, op8_rans, op9_jaccard)}
 ORACLES: dict[str, str] = {}
