@@ -11,6 +11,7 @@ from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .rans import token_file_round_trip
 from .secret_scan import BASE, KINDS, secret_scan, spans_text
+from .warc import archive_round_trip
 
 
 def word_bpe() -> str:
@@ -42,5 +43,9 @@ def op9_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license, op3_secrets, op6_bpe, op8_rans, op9_jaccard)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license, op3_secrets, op6_bpe, op8_rans, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
