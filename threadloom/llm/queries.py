@@ -11,6 +11,7 @@ from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .rans import token_file_round_trip
 from .secret_scan import BASE, KINDS, secret_scan, spans_text
+from .topk import top_k
 from .warc import archive_round_trip
 
 
@@ -24,6 +25,10 @@ def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 100 == 0)
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("spans", lambda x: x["k"] == [*KINDS].index(kind))).cast("bigint").alias(f"n_{kind}")
@@ -47,5 +52,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license, op3_secrets, op6_bpe, op8_rans, op9_jaccard, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op6_bpe, op8_rans, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
