@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from threadloom.llm.jaccard_join import jaccard_components, shingle_sets, signatures
+from threadloom.llm.jaccard_join import difference_at_least, jaccard_components, shingle_sets, signatures, sketch
 
 
 def shingles(text):
@@ -84,8 +84,20 @@ def test_each_similar_pair_shares_a_signature():
         a = np.array(sorted({*common, *(rnd.getrandbits(64) for _ in range(cut))}), np.uint64)
         b = np.array(sorted({*common, *(rnd.getrandbits(64) for _ in range(extra - cut))}), np.uint64)
         if 100 * n >= 75 * (len(a) + len(b) - n):
-            sig, owner = signatures([a, b], 0.75)
-            assert {*sig[owner == 0].tolist()} & {*sig[owner == 1].tolist()}, (n, len(a), len(b))
+            sig, owner, group, least = signatures([a, b], 0.75)
+            shared = {*sig[owner == 0].tolist()} & {*sig[owner == 1].tolist()}
+            assert shared, (n, len(a), len(b))
+            for i in (0, 1):  # in the groups that the two have in common, each shares as many as it asks for
+                asked = [int(least[i, g]) for g in range(3) if shared & {*sig[(owner == i) & (group == g)].tolist()}]
+                assert asked and all(len(shared & {*sig[(owner == i) & (group == g)].tolist()}) >= least[i, g] for g in range(3) if shared & {*sig[(owner == i) & (group == g)].tolist()})
+
+
+def test_sketches_bound_the_difference():
+    rnd = np.random.default_rng(2)
+    for _ in range(200):
+        common = rnd.integers(0, 2**63, rnd.integers(1, 300)).astype(np.uint64)
+        a, b = (np.unique(np.concatenate([common, rnd.integers(0, 2**63, rnd.integers(0, 200)).astype(np.uint64)])) for _ in range(2))
+        assert difference_at_least(sketch(a), sketch(b)) <= len(np.setxor1d(a, b))
 
 
 def test_short_sequences_differ_from_longer_ones():

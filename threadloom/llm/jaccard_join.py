@@ -3,17 +3,26 @@
 A document's set has its distinct word shingles, hashed to 64 bits. Sizes fall in
 bands of ratio 1/threshold; sets of one band, or of two that follow each other,
 share a tag. Within a tag the hash domain is cut into equal partitions, and a
-signature is the content of one partition. Two sets that are similar differ in at
-most k elements, k following from their sizes, so each emits its first k + 1
-partitions that aren't empty: before the first on which both agree there are at
-most k others, all spoiled by a difference, so both emit that one. Small sets
-emit a prefix of single elements instead. A pair could only be lost if both
-sets' hashes filled k partitions or fewer, which is as unlikely as equal 64-bit hashes.
-
-Signatures carried by two or more documents are candidates. First each is linked
-with the smallest carrier (a star); candidates are verified exactly; then pairs
-of one signature that still lie in different components are verified too: by
-stars around other centres, at last each such pair. Nothing is capped.
+signature is the content of one partition that isn't empty. Two sets that are
+similar differ in at most k elements, k following from their sizes, each of which
+spoils one partition at most: of a set's e signatures at least t = e - k are shared
+with any similar set. For small sets each element is a partition of its own, and t
+is what the threshold asks of their intersection. (t could only be below 1, so that
+a pair could be lost, if both sets' hashes filled k partitions or fewer, which is
+as unlikely as equal 64-bit hashes.)
+
+Signatures carried by a single document are dropped. A document with fewer than t
+left has no partner. The others keep, of the c that are left, the c - t + 1 carried
+by the fewest documents: similar documents share one of these, while what is
+common to very many texts comes last.
+
+Documents of one signature are candidates. First each is linked with the smallest
+carrier (a star). Each document keeps a parity sketch: an element flips one of
+about 2n bits, so the bits in which two sketches differ are a lower bound of the
+sets' difference, and most false candidates end there. The rest is verified exactly
+on the sets; then pairs of one signature that still lie in different components
+are verified too: by stars around other centres, at last each such pair. Nothing
+is capped.
 
 Skew: a document equal to an earlier one of its task emits no signatures; a
 signature carried by many documents of one slice of text is sent on once from
@@ -31,12 +40,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, materialize, mix64, release_shuffles, slices, split_words
 from .graph import components
 
+WORDS = 16  # of 64 bits in the shortest sketch, to which all can be folded
 SMALL = 30  # up to so many elements, a band uses single elements
 LOCAL_HOT = 16  # a signature of so many documents in one slice is forwarded once
 WEIGHTS = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)  # with no sums in common
@@ -80,50 +90,47 @@ def bands(threshold: float, to: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, place of the set) of all sets."""
+def signatures(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(signature, place of the set, group) of all sets, and each set's least shared number by group.
+
+    Groups: 0 for single elements, 1 for the set's own tag, 2 for the next.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
+    least = np.zeros((len(sets), 3), np.int64)
     if not sizes.sum():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), least
     table = bands(threshold, int(sizes.max()))
     table += [(table[-1][1] + 1, int((table[-1][1] + 1) / threshold + 1e-9))]
     highs = np.array([h for _, h in table], np.int64)
     band = np.searchsorted(highs, sizes)
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), sizes)
-    first = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     mixed = mix64(flat + np.uint64(0x51ED270B))
     spoil = (1 - threshold) / (1 + threshold)
     partner = np.floor(sizes / threshold + 1e-9)
-    out_sig, out_owner = [], []
-    small = sizes <= SMALL
-    partly_small = np.ceil(sizes * threshold - 1e-9) <= SMALL  # may be similar to a small one
-    if partly_small.any():
-        keep = sizes - np.ceil(sizes * threshold - 1e-9).astype(np.int64) + 1  # prefix filter in hash order
-        take = partly_small[owner] & (np.arange(len(flat)) - first[owner] < keep[owner])
-        out_sig.append(mix64(flat[take] ^ np.uint64(0xA5A5A5A5)))
-        out_owner.append(owner[take])
+    out = []
+    alike = np.ceil(sizes * threshold - 1e-9).astype(np.int64)
+    single = (alike <= SMALL)[owner]  # small, or may be similar to a small one
+    if single.any():
+        out.append((mixed[single], owner[single], np.zeros(int(single.sum()), np.int64)))
+        least[:, 0] = alike
     for up in (0, 1):
         tag = band + up
         high = highs[tag]
         parts = np.maximum(2, np.ceil(high * np.where(high >= 300, 0.4, np.where(high >= 100, 0.5, 1.0)))).astype(np.uint64)
-        most = np.minimum(partner, high)
-        k = np.floor((sizes + most) * spoil + 1e-9).astype(np.int64)
-        live = ~small[owner]
+        live = (sizes > SMALL)[owner]
         f, o, x = flat[live], owner[live], mixed[live]
         if not len(f):
             continue
         part = ((f >> np.uint64(32)) * parts[o]) >> np.uint64(32)  # ascends within a set
-        new = np.concatenate([[True], (o[1:] != o[:-1]) | (part[1:] != part[:-1])])
-        starts = np.flatnonzero(new)
+        starts = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (part[1:] != part[:-1])]))
         whose = o[starts]
-        nth = np.arange(len(starts)) - np.searchsorted(whose, whose)
-        content = np.add.reduceat(x, starts)
-        kept = nth <= k[whose]
+        k = np.floor((sizes + np.minimum(partner, high)) * spoil + 1e-9).astype(np.int64)
+        least[:, up + 1] = np.maximum(1, np.bincount(whose, minlength=len(sets)) - k)
         salt = mix64(part[starts] * np.uint64(0x9E3779B97F4A7C15) + tag[whose].astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-        out_sig.append(mix64(content ^ salt)[kept])
-        out_owner.append(whose[kept])
-    return np.concatenate(out_sig), np.concatenate(out_owner)
+        out.append((mix64(np.add.reduceat(x, starts) ^ salt), whose, np.full(len(starts), up + 1)))
+    sig, place, group = (np.concatenate([r[i] for r in out]) for i in range(3))
+    return sig, place, group, least
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -132,160 +139,238 @@ def set_key(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def packed(ids: np.ndarray) -> bytes:
-    """The smallest id, then four bytes an id where the range allows it."""
+def packed(ids: np.ndarray, groups: np.ndarray) -> bytes:
+    """The smallest id, then four bytes an id and group where the range allows it."""
     low = ids.min()
-    return low.tobytes() + ((ids - low).astype(np.uint32) if int(ids.max()) - int(low) < 2**32 else ids).tobytes()
+    if int(ids.max()) - int(low) < 2**30:
+        return low.tobytes() + ((ids - low) << 2 | groups).astype(np.uint32).tobytes()
+    return low.tobytes() + ids.tobytes() + groups.astype(np.uint8).tobytes()
 
 
-def unpacked(data, n: int) -> np.ndarray:
+def unpacked(data, n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(data) == 8 + 4 * n:
-        return np.frombuffer(data, np.uint32, offset=8).astype(np.int64) + np.frombuffer(data, np.int64, 1)[0]
-    return np.frombuffer(data, np.int64, offset=8)
+        both = np.frombuffer(data, np.uint32, offset=8).astype(np.int64)
+        return (both >> 2) + np.frombuffer(data, np.int64, 1)[0], both & 3
+    return np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.uint8, offset=8 + 8 * n).astype(np.int64)
+
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the elements that fall on each of 2 ** j >= 2n bits, 64 * WORDS at least."""
+    bits = max(64 * WORDS, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64 * WORDS
+    places = (mix64(s ^ np.uint64(0x2545F491)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
-def _sets(docs: DataFrame, n: int, with_set: bool) -> DataFrame:
-    """(row's id, n_shingles, key[, set]) of each row."""
+
+def difference_at_least(a, b) -> int:
+    """A lower bound of the sets' symmetric difference; the longer sketch is folded, as its places agree modulo the shorter's."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    if len(x) > len(y):
+        x = np.bitwise_xor.reduce(x.reshape(-1, len(y)), 0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _sets(docs: DataFrame, n: int) -> DataFrame:
+    """(id, n, key, the set itself) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             sets = shingle_sets(batch.column(1), n)
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) if len(s) else None for s in sets], pa.binary())]
-            if with_set:
-                columns.append(pa.array([s.tobytes() for s in sets], pa.binary()))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "key", "set"][: len(columns)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "key", "data"])
+
+    return docs.mapInArrow(run, "id bigint, n bigint, key binary, data binary")
+
+
+def _folded(sketches: DataFrame) -> DataFrame:
+    """(id, n, w0, w1, ...): each sketch folded to WORDS 64-bit words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = np.stack([np.bitwise_xor.reduce(np.frombuffer(x.as_buffer(), np.int64).reshape(-1, WORDS), 0) for x in batch.column(2)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(words[:, i]) for i in range(WORDS))], names=["id", "n", *(f"w{i}" for i in range(WORDS))])
+
+    return sketches.mapInArrow(run, "id bigint, n bigint, " + ", ".join(f"w{i} bigint" for i in range(WORDS)))
+
 
-    return docs.mapInArrow(run, "id bigint, n bigint, key binary" + ", set binary" * with_set)
+def _one_each(sets: DataFrame) -> DataFrame:
+    """Of rows with one id, that of the smallest key."""
+    return sets.groupBy("id").agg(F.min(F.struct("key", "n", "data")).alias("x")).select("id", "x.n", "x.data")
 
 
-def _carried(docs: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(sig, id) of signatures that two or more documents carry."""
+ROW = {"bucket": ("int", pa.int32()), "sig": ("bigint", pa.int64()), "id": ("bigint", pa.int64()), "g": ("int", pa.int32()), "sigs": ("binary", pa.binary()), "ids": ("binary", pa.binary()), "n": ("bigint", pa.int64()), "key": ("binary", pa.binary()), "data": ("binary", pa.binary()), "least": ("array<int>", pa.list_(pa.int32()))}
+
+
+def _rows(names: list[str], **columns) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], ROW[c][1]) if c in columns else pa.nulls(size, ROW[c][1]) for c in names], names=names)
+
+
+def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Two kinds of rows: (sig, id, g) of signatures that two or more documents carry, and (id, n, key, data, least) of each document."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 8 * partitions  # several to a partition, so that hashing deals them out evenly
+    result = ["sig", "id", "g", "n", "key", "data", "least"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in slices(batches, "text", 4_000_000):
             sets = shingle_sets(batch.column(1), n)
-            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            for i, s in enumerate(sets):
-                if len(s):
-                    key = set_key(s)
-                    if key in seen:
-                        sets[i] = s[:0]
+            keys = [set_key(s) if len(s) else None for s in sets]
+            sizes, sketches = [len(s) for s in sets], [sketch(s) for s in sets]
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            known = batch.column(0).is_valid().to_pylist()
+            for i, key in enumerate(keys):
+                if key is not None:
+                    if key in seen or not known[i]:
+                        sets[i] = sets[i][:0]
                     elif len(seen) < 500_000:
                         seen.add(key)
-            sig, owner = signatures(sets, threshold)
+            sig, owner, group, least = signatures(sets, threshold)
+            yield _rows([*ROW], id=batch.column(0), n=sizes, key=keys, data=sketches, least=pa.array(least.tolist(), ROW["least"][1]))
             if not len(sig):
                 continue
             order = np.argsort(sig, kind="stable")
-            sig, owner = sig[order], owner[order]
+            sig, owner, group = sig[order], owner[order], group[order]
             starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             counts = np.diff(np.concatenate([starts, [len(sig)]]))
             hot = np.repeat(counts >= LOCAL_HOT, counts)
-            if hot.any():  # known to be carried by several: straight to the candidates, and one goes on to meet other slices
-                yield pa.RecordBatch.from_arrays([pa.nulls(int(hot.sum()), pa.int32()), pa.array(sig[hot].view(np.int64)), pa.array(ids[owner[hot]]), pa.nulls(int(hot.sum()), pa.binary()), pa.nulls(int(hot.sum()), pa.binary())], names=["bucket", "sig", "id", "sigs", "ids"])
+            if hot.any():  # known to be carried by several: straight to the result, and one goes on to meet other slices
+                yield _rows([*ROW], sig=sig[hot].view(np.int64), id=ids[owner[hot]], g=group[hot].astype(np.int32))
                 kept = ~hot
                 kept[starts[counts >= LOCAL_HOT]] = True
-                sig, owner = sig[kept], owner[kept]
+                sig, owner, group = sig[kept], owner[kept], group[kept]
             bucket = (((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)  # ascends with the signature
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
-            rows = [(b, sig[i:j].tobytes(), packed(ids[owner[i:j]])) for b, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if j > i]
-            none = len(rows)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "sig", "id", "sigs", "ids"])
+            spans = [(b, i, j) for b, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if j > i]
+            yield _rows([*ROW], bucket=[b for b, _, _ in spans], sigs=[sig[i:j].tobytes() for _, i, j in spans], ids=[packed(ids[owner[i:j]], group[i:j]) for _, i, j in spans])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, ids = [], []
+        sigs, ids, groups = [], [], []
         for batch in batches:
-            if batch.column(0).null_count:
-                direct = batch.filter(batch.column(0).is_null())
-                yield pa.RecordBatch.from_arrays([direct.column(1), direct.column(2)], names=["sig", "id"])
-            for a, b in zip(batch.column(3), batch.column(4), strict=True):
+            if batch.column("bucket").null_count:
+                direct = batch.filter(batch.column("bucket").is_null())
+                yield pa.RecordBatch.from_arrays([direct.column(c) for c in result], names=result)
+            for a, b in zip(batch.column("sigs"), batch.column("ids"), strict=True):
                 if a.is_valid:
                     sigs.append(np.frombuffer(a.as_buffer(), np.uint64))
-                    ids.append(unpacked(b.as_buffer(), len(sigs[-1])))
+                    who, group = unpacked(b.as_buffer(), len(sigs[-1]))
+                    ids.append(who)
+                    groups.append(group.astype(np.int32))
         if not sigs:
             return
-        sig, who = np.concatenate(sigs), np.concatenate(ids)
-        sigs.clear(), ids.clear()
+        sig, who, group = np.concatenate(sigs), np.concatenate(ids), np.concatenate(groups)
+        sigs.clear(), ids.clear(), groups.clear()
         order = np.argsort(sig)
-        sig, who = sig[order], who[order]
+        sig, who, group = sig[order], who[order], group[order]
         same = sig[1:] == sig[:-1]
         many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        sig, who = sig[many].view(np.int64), who[many]
+        sig, who, group = sig[many].view(np.int64), who[many], group[many]
         for i in range(0, len(sig), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(sig[i : i + 100_000]), pa.array(who[i : i + 100_000])], names=["sig", "id"])
+            yield _rows(result, sig=sig[i : i + 100_000], id=who[i : i + 100_000], g=group[i : i + 100_000])
 
-    sent = docs.where("id IS NOT NULL").mapInArrow(emit, "bucket int, sig bigint, id bigint, sigs binary, ids binary")
-    # Rows of hot signatures have no bucket and are dealt out evenly.
+    sent = docs.mapInArrow(emit, ", ".join(f"{c} {t}" for c, (t, _) in ROW.items()))
+    # Rows without a bucket go anywhere.
     dealt = sent.repartition(partitions, F.coalesce(F.col("bucket").cast("bigint"), -1 - F.pmod(F.xxhash64("sig", "id"), F.lit(4096))))
-    return dealt.mapInArrow(meet, "sig bigint, id bigint").distinct()
+    return dealt.mapInArrow(meet, ", ".join(f"{c} {ROW[c][0]}" for c in result))
 
 
-def _links(docs: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(u, v, linked) of candidate pairs, by exact intersection of their sets."""
-    needed = pairs.select(F.explode(F.array("u", "v")).alias("id")).distinct()
-    sets = materialize(_sets(docs.join(needed, "id", "left_semi").select("id", "text"), n, True).dropDuplicates(["id"]).select("id", "set"), "sets")
-    release_shuffles(docs.sparkSession)
+def _members(carried: DataFrame, least: DataFrame) -> DataFrame:
+    """(sig, id): of each document the signatures that it needs, the least common first."""
+    own = Window.partitionBy("id", "g")
+    asked = least.select("id", F.posexplode("least").alias("g", "t")).where("t > 0").groupBy("id", "g").agg(F.min("t").alias("t"))
+    # A hot signature's first carrier may come twice.
+    counted = carried.groupBy("id", "g", "sig").agg(F.lit(1).alias("one")).select("id", "g", "sig", F.count("*").over(own).alias("c"))
+    enough = counted.join(asked, ["id", "g"]).where("c >= t").select("id", "g", "sig", "t")
+    spread = enough.groupBy("sig").agg(F.count("*").alias("df")).where("df > 1")
+    ranked = enough.join(spread, "sig").select("id", "sig", "t", F.count("*").over(own).alias("c"), F.row_number().over(own.orderBy("df", "sig")).alias("nth"))
+    return ranked.where("nth <= c - t + 1").select("sig", "id")
+
+
+def _both(pairs: DataFrame, data: DataFrame) -> DataFrame:
+    return pairs.join(data.select(F.col("id").alias("u"), F.col("n").alias("nu"), F.col("data").alias("a")), "u").join(data.select(F.col("id").alias("v"), F.col("n").alias("nv"), F.col("data").alias("b")), "v").select("u", "v", "nu", "nv", "a", "b")
+
+
+def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(u, v) of candidate pairs that are linked: by sketches, then by exact intersection."""
     num, den = round(threshold * 100), 100
-    joined = pairs.join(sets.select(F.col("id").alias("u"), F.col("set").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("set").alias("b")), "v").select("u", "v", "a", "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nu, nv = (batch.column(i).to_numpy() for i in (2, 3))
+            # inter = (nu + nv - d) / 2 and union = (nu + nv + d) / 2 with the symmetric difference d
+            most = (nu + nv) * (den - num) // (den + num)
+            keep = np.abs(nu - nv) <= most
+            for i in np.flatnonzero(keep):
+                keep[i] = difference_at_least(batch.column(4)[i].as_buffer(), batch.column(5)[i].as_buffer()) <= most[i]
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["u", "v"])
+
+    left = materialize(_both(pairs, sketches).mapInArrow(may, "u bigint, v bigint"), "likely")
+    # Written, so that the planner knows its size: ids of few documents are broadcast, and the texts stay where they are.
+    needed = materialize(left.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "needed")
+    sets = materialize(_one_each(_sets(docs.join(needed, "id", "left_semi").select("id", "text"), n)), "sets")
+    release_shuffles(docs.sparkSession)
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for a, b in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
+            for a, b in zip(batch.column(4), batch.column(5), strict=True):
+                both = np.concatenate([np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)])
                 both.sort()
                 common = int((both[1:] == both[:-1]).sum())
-                linked.append(common > 0 and den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["u", "v", "linked"])
+                linked.append(common > 0 and den * common >= num * (len(both) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(linked, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
-    return materialize(joined.mapInArrow(run, "u bigint, v bigint, linked boolean"), "verified")
+    return materialize(_both(left, sets).mapInArrow(exact, "u bigint, v bigint"), "linked")
 
 
-def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text", stars: int = 3) -> DataFrame:
+def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text", stars: int = 2) -> DataFrame:
     """(id, n_shingles, component_id) of each row; linked if intersection / union >= threshold (in hundredths).
 
     ``stars``: how many rounds join only star candidates before all pairs of a
     signature that lie in different components are verified.
     """
+    spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    info = materialize(_sets(docs, n, False), "sets-info")
-    # Equal sets are one class, named by its smallest id.
-    classes = info.where("id IS NOT NULL AND key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("key", "rep")
-    same = materialize(info.where("id IS NOT NULL").join(classes, "key").where("id <> rep").select(F.col("id").alias("v"), F.col("rep").alias("u")), "same")
-    carried = _carried(docs, n, threshold)
-    # Candidates between classes only.
+    gathered = materialize(_gathered(docs, n, threshold), "gathered")
+    release_shuffles(spark)
+    info = gathered.where("sig IS NULL").select("id", "n", "key", "data", "least")
+    named = info.where("id IS NOT NULL AND key IS NOT NULL")
+    needed = materialize(_members(gathered.where("sig IS NOT NULL").select("sig", "id", "g"), named), "needed")
+    release_shuffles(spark)
+    # Equal sets are one class, named by its smallest id; candidates are sought between classes only.
+    classes = named.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("key", "rep")
+    same = materialize(named.join(classes, "key").where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")), "same")
     of_class = same.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("rep"))
-    carried = materialize(carried, "carried")
-    release_shuffles(docs.sparkSession)
-    members = materialize(carried.join(of_class, "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct(), "members")
-    links, checked, found = same.select("u", "v"), None, None
-    round_ = 0
-    while True:
-        placed = members.withColumn("c", F.col("id")) if found is None else members.join(found.select(F.col("v").alias("id"), "root"), "id", "left").select("sig", "id", F.coalesce("root", "id").alias("c"))
-        spread = placed.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("id", "c") if round_ == 0 else F.struct(F.xxhash64(F.lit(round_), "id").alias("o"), "id", "c")).alias("centre")).where("low < high")
-        if round_ < stars:
-            pairs = placed.join(spread.select("sig", F.col("centre.id").alias("x"), F.col("centre.c").alias("cx")), "sig").where("c <> cx").select(F.least("id", "x").alias("u"), F.greatest("id", "x").alias("v")).distinct()
+    members = materialize(needed.join(of_class, "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct(), "members")
+    sketches = _one_each(named)
+    links, checked, found = same, None, components(same)
+    for turn in range(stars + 1):
+        placed = members.join(found.select(F.col("v").alias("id"), "root"), "id", "left").select("sig", "id", F.coalesce("root", "id").alias("c"))
+        centre = F.struct(F.xxhash64(F.lit(turn), "id").alias("o"), "id", "c") if turn else F.struct("id", "c")
+        spread = placed.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(centre).alias("x")).where("low < high")
+        if turn < stars:
+            pairs = placed.join(spread.select("sig", F.col("x.id").alias("x"), F.col("x.c").alias("cx")), "sig").where("c <> cx")
         else:
-            open_ = placed.join(spread.select("sig"), "sig")
-            pairs = open_.join(open_.select("sig", F.col("id").alias("x"), F.col("c").alias("cx")), "sig").where("c < cx").select(F.least("id", "x").alias("u"), F.greatest("id", "x").alias("v")).distinct()
+            # The sketches are compared in the join's condition, so that of a group only likely pairs leave the join.
+            open_ = materialize(placed.join(spread.select("sig"), "sig"), "open")
+            shown = materialize(_folded(sketches.join(open_.select("id").distinct(), "id", "left_semi")), "folded")
+            open_ = open_.join(shown, "id")
+            other = open_.select("sig", *(F.col(c).alias(f"{c}x") for c in open_.columns if c != "sig")).withColumnRenamed("idx", "x")
+            num = round(threshold * 100)
+            differ = sum((F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"w{i}x"))) for i in range(1, WORDS)), F.bit_count(F.col("w0").bitwiseXOR(F.col("w0x"))))
+            near = (F.greatest(F.abs(F.col("n") - F.col("nx")), differ) * (100 + num) <= (F.col("n") + F.col("nx")) * (100 - num))
+            pairs = open_.join(other, (open_["sig"] == other["sig"]) & (F.col("c") < F.col("cx")) & near)
+        pairs = pairs.select(F.least("id", "x").alias("u"), F.greatest("id", "x").alias("v")).distinct()
         if checked is not None:
-            pairs = pairs.join(checked.select("u", "v"), ["u", "v"], "left_anti")
+            pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        if pairs.isEmpty():
-            if round_ >= stars or found is None and carried.isEmpty():
-                break
-        else:
-            verified = _links(docs, pairs, n, threshold)
-            release_shuffles(docs.sparkSession)
-            checked = verified if checked is None else checked.unionByName(verified)
-            links = links.unionByName(verified.where("linked").select("u", "v"))
-            found = components(links)
-        if round_ >= stars:
-            break
-        round_ += 1
-    if found is None:
-        found = components(links)
+        release_shuffles(spark)
+        if not pairs.isEmpty():
+            fresh = _links(docs, sketches, pairs, n, threshold)
+            checked = pairs if checked is None else checked.unionByName(pairs)
+            if not fresh.isEmpty():
+                links = links.unionByName(fresh)
+                found = components(links)
+            release_shuffles(spark)
     return info.join(found.select(F.col("v").alias("id"), "root"), "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
