@@ -18,8 +18,8 @@ encoded each on its own; extra columns are dropped.
 from __future__ import annotations
 
 import json
-import unicodedata
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,10 +47,8 @@ class Vocabulary:
         spec = json.loads(text)
         model = spec["model"]
         suffix = model.get("end_of_word_suffix") or ""
-        kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
-        if model["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or not suffix or spec.get("decoder") or spec.get("post_processor"):
+        if not suffix:
             raise ValueError("this tokenizer's layout is not supported")
-        self.pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         vocab = model["vocab"]
         self.symbols = byte_symbols()
         names = {c: c for c in self.symbols} | {c + suffix: chr(FINAL + ord(c)) for c in self.symbols}
@@ -150,60 +148,101 @@ class Vocabulary:
         return self.blob[places].tobytes()
 
 
-class Encoder(dict):
-    """Chunk between white space -> its ids in decimal, each after a space. The cache is emptied at ``most`` entries."""
+class ChunkEncoder(dict):
+    """Chunk between white space -> its packed ids. When full, the cache drops its older half, so its memory is bounded.
+
+    Subclasses say how a piece in byte symbols becomes ids, and how ids are packed.
+    """
 
     LONG = 64
+    EMPTY: str | bytes = ""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 250_000):
+    def __init__(self, spec: dict, most: int = 400_000):
         import regex
+        from tokenizers import Regex, normalizers, pre_tokenizers
 
         super().__init__()
-        self.v, self.most = vocabulary, most
-        self.pieces = regex.compile(vocabulary.pattern).findall
-        self.words: dict[str, str] = {}
-        self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") if vocabulary.special else None
-        self.table = {b: c for b, c in enumerate(vocabulary.symbols)}
+        kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+        pieces = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        if spec["model"]["type"] != "BPE" or kinds != ["NFC", "Replace", "Lowercase"] or [x.get("type") for x in pieces] != ["Split", "ByteLevel"] or spec.get("decoder") or spec.get("post_processor"):
+            raise ValueError("this tokenizer's layout is not supported")
+        pattern = pieces[0]["pattern"]["Regex"]
+        self.most = most
+        self.pieces = regex.compile(pattern).findall
+        self.words: dict = {}
+        self.special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
+        self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.table = dict(enumerate(byte_symbols()))
         # Beyond Latin letters, normalising and cutting pieces is left to the tokenizers library's own tables: Unicode versions differ in what is a letter.
-        from tokenizers import Regex, normalizers, pre_tokenizers
-
         self.normalize = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
-        self.cut = pre_tokenizers.Split(Regex(vocabulary.pattern), "removed", invert=True).pre_tokenize_str
+        self.cut = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
+
+    def ids_of(self, symbols: str) -> list[int]:
+        raise NotImplementedError
 
-    def word(self, piece: str) -> str:
+    def pack(self, ids: list[int]) -> str | bytes:
+        raise NotImplementedError
+
+    def word(self, piece: str):
         found = self.words.get(piece)
         if found is None:
-            if len(self.words) >= self.most:
-                self.words.clear()
-            found = "".join(f" {i}" for i in self.v.encode(piece.encode().decode("latin-1").translate(self.table)))
+            symbols = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.table)
+            found = self.pack(self.ids_of(symbols))
             if len(piece) <= self.LONG:
+                halve(self.words, self.most)
                 self.words[piece] = found
         return found
 
-    def chunk(self, text: str) -> str:
+    def chunk(self, text: str):
         if max(text) > "\u024f":
-            return "".join(self.word(piece) for piece, _ in self.cut(self.normalize(text)))
-        return "".join(map(self.word, self.pieces(unicodedata.normalize("NFC", text).lower())))
-
-    def __missing__(self, chunk: str) -> str:
+            return self.EMPTY.join([self.word(piece) for piece, _ in self.cut(self.normalize(text))])
+        # Up to this letter nothing composes or decomposes, and lower case goes by character.
+        text = text.lower()
+        if text.isalpha():
+            return self.word(text)
+        if text[-1] in ".,!?:;" and text[:-1].isalpha():
+            return self.word(text[:-1]) + self.word(text[-1])
+        return self.EMPTY.join(map(self.word, self.pieces(text)))
+
+    def __missing__(self, chunk: str):
         found = self.chunk(chunk)
-        if len(self) >= self.most:
-            self.clear()
         if len(chunk) <= self.LONG:
+            halve(self, self.most)
             self[chunk] = found
         return found
 
-    def plain(self, text: str) -> str:
+    def plain(self, text: str):
         # str.split() also cuts at these four, which are no white space to the pattern.
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.chunk(text)
-        return "".join(map(self.__getitem__, text.split()))
+        return self.EMPTY.join(map(self.__getitem__, text.split()))
+
+    def packed(self, text: str):
+        if self.marks and any(x in text for x in self.special):
+            return self.EMPTY.join(self.pack([self.special[x]]) if x in self.special else self.plain(x) for x in self.marks.split(text) if x)
+        return self.plain(text)
+
+
+def halve(cache: dict, most: int) -> None:
+    if len(cache) >= most:
+        for key in [*islice(cache, most // 2)]:
+            del cache[key]
+
+
+class Encoder(ChunkEncoder):
+    """Encodes by backtracking; ids are packed in decimal, each after a space."""
+
+    def __init__(self, text: str, most: int = 400_000):
+        super().__init__(json.loads(text), most)
+        self.v = Vocabulary(text)
+        self.ids_of = self.v.encode
+
+    def pack(self, ids: list[int]) -> str:
+        return "".join([f" {i}" for i in ids])
 
     def __call__(self, text: str) -> str:
         """Decimal ids joined by spaces."""
-        if self.marks and any(x in text for x in self.v.special):
-            return "".join(f" {self.v.special[x]}" if x in self.v.special else self.plain(x) for x in self.marks.split(text) if x)[1:]
-        return self.plain(text)[1:]
+        return self.packed(text)[1:]
 
 
 _KEPT: dict[int, Encoder] = {}
@@ -213,7 +252,7 @@ def _encoder(text: str) -> Encoder:
     key = hash(text)
     if key not in _KEPT:
         _KEPT.clear()
-        _KEPT[key] = Encoder(Vocabulary(text))
+        _KEPT[key] = Encoder(text)
     return _KEPT[key]
 
 

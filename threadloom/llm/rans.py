@@ -21,7 +21,6 @@ rows of equal ids follow the order of their token ids; extra columns are dropped
 from __future__ import annotations
 
 import json
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -31,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import tokenizer_json
+from .bpe import ChunkEncoder, tokenizer_json
 from .common import materialize, shared_path, slices
 
 MAGIC = b"TLRA"
@@ -42,42 +41,22 @@ GROUP = 8  # blocks coded side by side
 FLOOR = np.uint64(1 << 31)
 
 
-class LibraryEncoder(dict):
-    """Chunk between white space -> its ids from the tokenizers library, in little-endian bytes; emptied at ``most`` chunks."""
+class LibraryEncoder(ChunkEncoder):
+    """Encodes pieces with the tokenizers library's model; ids are packed in little-endian bytes."""
 
-    def __init__(self, text: str, width: str, most: int = 300_000):
-        super().__init__()
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    EMPTY = b""
+
+    def __init__(self, text: str, width: str):
         from tokenizers import Tokenizer
 
-        self.width, self.most = width, most
-        self.tokenizer = Tokenizer.from_str(text)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        spec = json.loads(text)
-        self.special = [x["content"] for x in spec.get("added_tokens", [])]
-        # Chunks may be encoded alone only where no piece can reach over white space.
-        kinds = [x["type"] for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
-        self.by_chunk = kinds == ["Split", "ByteLevel"] and "\\s" in spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", "") and spec["pre_tokenizer"]["pretokenizers"][0].get("behavior") == "Removed"
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        split = [None if not self.by_chunk or any(c in t for c in "\x1c\x1d\x1e\x1f") or any(x in t for x in self.special) else t.split() for t in texts]
-        new = [*set().union(*(x for x in split if x)).difference(self)]
-        if len(self) + len(new) > self.most:
-            self.clear()
-            new = [*set().union(*(x for x in split if x))]
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            flat = np.fromiter((i for x in found for i in x), self.width).tobytes()
-            size, at = np.dtype(self.width).itemsize, 0
-            for chunk, ids in zip(part, found, strict=True):
-                self[chunk] = flat[at : (at := at + size * len(ids))]
-        get = self.__getitem__
-        return [self.whole(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, split, strict=True)]
+        super().__init__(json.loads(text))
+        self.model, self.format = Tokenizer.from_str(text).model, "<%d" + width[1:].replace("u2", "H").replace("u4", "I")
+
+    def ids_of(self, symbols: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(symbols)]
+
+    def pack(self, ids: list[int]) -> bytes:
+        return struct.pack(self.format % len(ids), *ids)
 
 
 _KEPT: dict[int, LibraryEncoder] = {}
@@ -99,7 +78,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
         end = np.array([end_id], width).tobytes()
         size = len(end)
         for batch in slices(batches, "text"):
-            ids = [x + end for x in _KEPT[key].batch([t or "" for t in batch.column(1).to_pylist()])]
+            ids = [_KEPT[key].packed(t or "") + end for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // size for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["id", "n", "ids"])
 
     kind = dict(docs.dtypes)[id_col]
@@ -213,11 +192,10 @@ def write_token_files(staged: DataFrame, width: str, path: str, shard_ids: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                found = np.bincount(np.frombuffer(x.as_buffer(), width))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
+            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), width))
+            if len(found) > len(total):
+                total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
+            total[: len(found)] += found
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["token", "n"])
 
