@@ -9,6 +9,8 @@ from .bpe import bpe_round_trip
 from .common import table
 from .jaccard_join import jaccard_components
 from .license_scan import license_scan
+from .line_dedup import repeated_spans
+from .quality import held_out, score, train
 from .rans import token_file_round_trip
 from .secret_scan import BASE, KINDS, secret_scan, spans_text
 from .topk import top_k
@@ -35,11 +37,23 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, BASE), F.sha2(spans_text(F.col("spans"), BASE), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"), "n_live", "n_shared", "most_owners")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"), learnable=~held_out(F.col("id")))
+    scored = score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = bpe_round_trip(table(spark, sf_dir, "documents"), word_bpe(), outputs=("ids_text", "decoded"))
     return made.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", "n_units", "n_words", F.col("kept_id").alias("kept_doc_id"), "kept_start")
+
+
 def op8_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_round_trip(table(spark, sf_dir, "documents"), word_bpe())
 
@@ -52,5 +66,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op6_bpe, op8_rans, op9_jaccard, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op4_quality, op6_bpe, op7_repeats, op8_rans, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
