@@ -12,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -33,10 +34,18 @@ def shared_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cuts the lineage: writes ``df`` to the shared folder and reads it back, so that a lost executor costs no recomputation."""
+    """Cuts the lineage: writes ``df`` to the shared folder and reads it back, so that a lost executor costs no recomputation.
+
+    The shuffle files behind it, of no use any more, go as soon as it is written.
+    """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -46,14 +55,6 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Lets the context cleaner delete shuffle files of plans that nothing refers to any more."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def ascii_lower(column):
     return F.translate(column, UPPER, UPPER.lower())
 

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialize, mix64, release_shuffles, slices, split_words
+from .common import WordHashes, materialize, mix64, slices, split_words
 from .graph import components
 
 WORDS = 16  # of 64 bits in the shortest sketch, to which all can be folded
@@ -154,6 +154,24 @@ def unpacked(data, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.uint8, offset=8 + 8 * n).astype(np.int64)
 
 
+def short(sigs: np.ndarray) -> bytes:
+    """The lower six bytes of each; the bucket tells most of the rest."""
+    return sigs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def long(data, bucket: int) -> np.ndarray:
+    """A bucket's signatures again, as numbers of six bytes and the bucket above."""
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<i8").reshape(-1) | (np.int64(bucket) << np.int64(48))
+
+
+def number(sigs: np.ndarray, buckets: int) -> np.ndarray:
+    """What long() makes of the signatures."""
+    bucket = ((sigs >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)
+    return ((sigs & np.uint64(2**48 - 1)) | (bucket << np.uint64(48))).view(np.int64)
+
+
 def sketch(s: np.ndarray) -> bytes:
     """Parities of the elements that fall on each of 2 ** j >= 2n bits, 64 * WORDS at least."""
     bits = max(64 * WORDS, 1 << (2 * len(s) - 1).bit_length()) if len(s) else 64 * WORDS
@@ -209,7 +227,7 @@ def _rows(names: list[str], **columns) -> pa.RecordBatch:
 def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
     """Two kinds of rows: (sig, id, g) of signatures that two or more documents carry, and (id, n, key, data, least) of each document."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 8 * partitions  # several to a partition, so that hashing deals them out evenly
+    buckets = min(8 * partitions, 32_768)  # several to a partition, so that hashing deals them out evenly
     result = ["sig", "id", "g", "n", "key", "data", "least"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,14 +254,14 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
             counts = np.diff(np.concatenate([starts, [len(sig)]]))
             hot = np.repeat(counts >= LOCAL_HOT, counts)
             if hot.any():  # known to be carried by several: straight to the result, and one goes on to meet other slices
-                yield _rows([*ROW], sig=sig[hot].view(np.int64), id=ids[owner[hot]], g=group[hot].astype(np.int32))
+                yield _rows([*ROW], sig=number(sig[hot], buckets), id=ids[owner[hot]], g=group[hot].astype(np.int32))
                 kept = ~hot
                 kept[starts[counts >= LOCAL_HOT]] = True
                 sig, owner, group = sig[kept], owner[kept], group[kept]
-            bucket = (((sig >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)  # ascends with the signature
+            bucket = (((sig >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)  # ascends with the signature
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             spans = [(b, i, j) for b, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if j > i]
-            yield _rows([*ROW], bucket=[b for b, _, _ in spans], sigs=[sig[i:j].tobytes() for _, i, j in spans], ids=[packed(ids[owner[i:j]], group[i:j]) for _, i, j in spans])
+            yield _rows([*ROW], bucket=[b for b, _, _ in spans], sigs=[short(sig[i:j]) for _, i, j in spans], ids=[packed(ids[owner[i:j]], group[i:j]) for _, i, j in spans])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sigs, ids, groups = [], [], []
@@ -251,9 +269,9 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
             if batch.column("bucket").null_count:
                 direct = batch.filter(batch.column("bucket").is_null())
                 yield pa.RecordBatch.from_arrays([direct.column(c) for c in result], names=result)
-            for a, b in zip(batch.column("sigs"), batch.column("ids"), strict=True):
-                if a.is_valid:
-                    sigs.append(np.frombuffer(a.as_buffer(), np.uint64))
+            for k, a, b in zip(batch.column("bucket").to_pylist(), batch.column("sigs"), batch.column("ids"), strict=True):
+                if k is not None:
+                    sigs.append(long(a.as_buffer(), k))
                     who, group = unpacked(b.as_buffer(), len(sigs[-1]))
                     ids.append(who)
                     groups.append(group.astype(np.int32))
@@ -265,7 +283,7 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
         sig, who, group = sig[order], who[order], group[order]
         same = sig[1:] == sig[:-1]
         many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        sig, who, group = sig[many].view(np.int64), who[many], group[many]
+        sig, who, group = sig[many], who[many], group[many]
         for i in range(0, len(sig), 100_000):
             yield _rows(result, sig=sig[i : i + 100_000], id=who[i : i + 100_000], g=group[i : i + 100_000])
 
@@ -309,7 +327,6 @@ def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, n: int, thres
     # Written, so that the planner knows its size: ids of few documents are broadcast, and the texts stay where they are.
     needed = materialize(left.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "needed")
     sets = materialize(_one_each(_sets(docs.join(needed, "id", "left_semi").select("id", "text"), n)), "sets")
-    release_shuffles(docs.sparkSession)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,11 +350,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     gathered = materialize(_gathered(docs, n, threshold), "gathered")
-    release_shuffles(spark)
     info = gathered.where("sig IS NULL").select("id", "n", "key", "data", "least")
     named = info.where("id IS NOT NULL AND key IS NOT NULL")
     needed = materialize(_members(gathered.where("sig IS NOT NULL").select("sig", "id", "g"), named), "needed")
-    release_shuffles(spark)
     # Equal sets are one class, named by its smallest id; candidates are sought between classes only.
     classes = named.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("key", "rep")
     same = materialize(named.join(classes, "key").where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")), "same")
@@ -365,12 +380,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
-        release_shuffles(spark)
         if not pairs.isEmpty():
             fresh = _links(docs, sketches, pairs, n, threshold)
             checked = pairs if checked is None else checked.unionByName(pairs)
             if not fresh.isEmpty():
                 links = links.unionByName(fresh)
                 found = components(links)
-            release_shuffles(spark)
     return info.join(found.select(F.col("v").alias("id"), "root"), "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
