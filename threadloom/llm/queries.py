@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import table
+from .decontaminate import contaminated
 from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .line_dedup import repeated_spans
@@ -44,6 +45,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = bpe_round_trip(table(spark, sf_dir, "documents"), word_bpe(), outputs=("ids_text", "decoded"))
     return made.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -66,5 +71,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op4_quality, op6_bpe, op7_repeats, op8_rans, op9_jaccard, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op4_quality, op5_decontaminate, op6_bpe, op7_repeats, op8_rans, op9_jaccard, op10_warc)}
 ORACLES: dict[str, str] = {}
