@@ -49,7 +49,7 @@ class LibraryEncoder(ChunkEncoder):
     def __init__(self, text: str, width: str):
         from tokenizers import Tokenizer
 
-        super().__init__(json.loads(text))
+        super().__init__(json.loads(text), 600_000)
         self.model, self.format = Tokenizer.from_str(text).model, "<%d" + width[1:].replace("u2", "H").replace("u4", "I")
 
     def ids_of(self, symbols: str) -> list[int]:
@@ -78,7 +78,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
         end = np.array([end_id], width).tobytes()
         size = len(end)
         for batch in slices(batches, "text"):
-            ids = [_KEPT[key].packed(t or "") + end for t in batch.column(1).to_pylist()]
+            ids = [x + end for x in _KEPT[key].batch(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // size for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["id", "n", "ids"])
 
     kind = dict(docs.dtypes)[id_col]
