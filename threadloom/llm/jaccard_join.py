@@ -354,7 +354,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
     named = info.where("id IS NOT NULL AND key IS NOT NULL")
     needed = materialize(_members(gathered.where("sig IS NOT NULL").select("sig", "id", "g"), named), "needed")
     # Equal sets are one class, named by its smallest id; candidates are sought between classes only.
-    classes = named.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("key", "rep")
+    classes = materialize(named.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("key", "rep"), "classes")
     same = materialize(named.join(classes, "key").where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")), "same")
     of_class = same.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("rep"))
     members = materialize(needed.join(of_class, "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct(), "members")
