@@ -1 +1 @@
-
+"""A PySpark-native engine for conversation and document corpora."""

@@ -1,7 +1,697 @@
-"""All queries of the engine's own operators, with their oracles."""
+"""All queries of the engine's own operators over the test tables, each with its oracle."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from threadloom.functions import predicates as P
+from threadloom.functions import text as T
+from threadloom.operators import evaluation, extraction, messages, resolver, reuse, store
+from threadloom.plans import oracles as O
+from threadloom.plans.oracles import q, rx
+from threadloom.sources import views
+
 FLAGSHIP = "reuse_hits_strict"
-QUERIES: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLES[f.__name__] = oracle
+        return f
+
+    return add
+
+
+def docs(spark, sf):
+    return views.read(spark, sf, "documents")
+
+
+def joined(column: str) -> F.Column:
+    """Arrays as text, so that both engines' values compare plainly."""
+    return F.array_join(column, "|").alias(column)
+
+
+# --- scalar functions -------------------------------------------------------------------------
+
+
+@query(f"SELECT doc_id, len(w) AS n_words, md5(array_to_string(w, ' ')) AS words_md5 FROM (SELECT doc_id, {O.words('text')} AS w FROM documents)")
+def normalize_words(spark, sf):
+    w = docs(spark, sf).select("doc_id", T.normalize_words(F.col("text")).alias("w"))
+    return w.select("doc_id", F.size("w").cast("bigint").alias("n_words"), F.md5(F.array_join("w", " ").cast("binary")).alias("words_md5"))
+
+
+@query(f"SELECT page_id, {O.key('url')} AS url_key FROM pages")
+def normalized_key(spark, sf):
+    return views.read(spark, sf, "pages").select("page_id", T.normalized_key(F.col("url")).alias("url_key"))
+
+
+def _shingles(k):
+    def run(spark, sf):
+        w = docs(spark, sf).select("doc_id", T.normalize_words(F.col("text")).alias("w"))
+        s = w.select("doc_id", T.shingles(F.col("w"), k).alias("s"))
+        return s.select("doc_id", F.size("s").cast("bigint").alias("n"), F.size(F.array_distinct("s")).cast("bigint").alias("n_distinct"), F.get("s", F.lit(0)).alias("first"))
+
+    run.__name__ = f"shingles_k{k}"
+    return run
+
+
+for _k in (12, 8):
+    query(f"SELECT doc_id, len(s) AS n, len(list_distinct(s)) AS n_distinct, s[1] AS first FROM (SELECT doc_id, {O.shingles('w', _k)} AS s FROM (SELECT doc_id, {O.words('text')} AS w FROM documents))")(_shingles(_k))
+
+
+@query(f"{O._PASS} SELECT canonical_id, passage_id, len(words) AS n_words FROM passages")
+def passages(spark, sf):
+    return reuse.passage_words(views.reuse_records(spark, sf)).select("canonical_id", "passage_id", F.size("words").cast("bigint").alias("n_words"))
+
+
+@query(f"{O.MSG} SELECT canonical_id, {O.summary('text')} AS summary, {O.title('text')} AS title FROM messages")
+def summary_title(spark, sf):
+    return views.messages(spark, sf).select("canonical_id", T.summary(F.col("text")).alias("summary"), T.safe_title(F.col("text")).alias("title"))
+
+
+@query(f"{O.MSG} SELECT {O.thought_type('text')} AS type, count(*) AS n FROM messages GROUP BY 1")
+def thought_type(spark, sf):
+    return views.messages(spark, sf).groupBy(T.thought_type(F.col("text")).alias("type")).agg(F.count("*").alias("n"))
+
+
+@query(f"{O.MSG} SELECT canonical_id, {O.role_class()} AS evidence_class, CASE role WHEN 'user' THEN 'principal' WHEN 'assistant' THEN 'assistant' ELSE 'unknown' END AS originator FROM messages")
+def role_evidence(spark, sf):
+    return views.messages(spark, sf).select("canonical_id", T.role_class(F.col("role")).alias("evidence_class"), T.originator(F.col("role")).alias("originator"))
+
+
+@query(f"SELECT doc_id, {O.numbered('T', 'seed')} AS thought_id, 'R' || substr(sha256(seed), 1, 12) AS relation_id, 'MBC-' || upper(substr(sha256(seed), 1, 16)) AS candidate_id FROM (SELECT doc_id, 'thought' || chr(31) || CAST(doc_id AS VARCHAR) || chr(31) || coalesce(source, 'None') AS seed FROM documents)")
+def stable_ids(spark, sf):
+    s = docs(spark, sf).select("doc_id", T.seed("thought", F.col("doc_id"), F.col("source")).alias("seed"))
+    return s.select("doc_id", T.numbered_id("T", F.col("seed")).alias("thought_id"), T.hashed_id("R", F.col("seed")).alias("relation_id"), T.hashed_id("MBC-", F.col("seed"), 16, upper=True).alias("candidate_id"))
+
+
+@query("SELECT event_id, strftime(make_timestamp(us), '%Y-%m-%dT%H:%M:%S') || CASE WHEN us % 1000000 <> 0 THEN strftime(make_timestamp(us), '.%f') ELSE '' END || '+00:00' AS iso FROM (SELECT event_id, CAST(1700000000000000 + event_id * 1500000 AS BIGINT) AS us FROM events)")
+def iso_timestamps(spark, sf):
+    return views.read(spark, sf, "events").select("event_id", T.iso_from_seconds((F.lit(1_700_000_000) + F.col("event_id") * 1.5).cast("double")).alias("iso"))
+
+
+_FLAGS = [k for k in P.PATTERNS if k not in ("mixed_lead",)]
+
+
+@query(f"{O.MSG} SELECT canonical_id, " + ", ".join(f"{rx(k)} AS {k}" for k in _FLAGS) + " FROM messages")
+def flags_matrix(spark, sf):
+    return views.messages(spark, sf).select("canonical_id", *(P.holds(k, F.col("text")).alias(k) for k in _FLAGS))
+
+
+_SECRET = r"(sk|pk)-[a-z0-9]{4,}|[0-9]{3}-[0-9]{4}"
+
+
+@query(f"SELECT doc_id, len(regexp_extract_all(t, {q(_SECRET)})) AS n_secrets, md5(regexp_replace(t, {q(_SECRET)}, '[REDACTED]', 'g')) AS redacted_md5 FROM (SELECT doc_id, text || ' sk-' || CAST(doc_id + 1000 AS VARCHAR) AS t FROM documents)")
+def secret_redaction(spark, sf):
+    t = docs(spark, sf).select("doc_id", F.concat("text", F.lit(" sk-"), (F.col("doc_id") + 1000).cast("string")).alias("t"))
+    n, clean = T.redact(F.col("t"), _SECRET)
+    return t.select("doc_id", n.cast("bigint").alias("n_secrets"), F.md5(clean.cast("binary")).alias("redacted_md5"))
+
+
+@query("""SELECT page_id, count(*) AS n_spans, max(length(span)) AS longest FROM (SELECT page_id, unnest(regexp_extract_all(html, '["“]([^"”]{5,})["”]', 1)) AS span FROM pages) GROUP BY page_id""")
+def quoted_spans(spark, sf):
+    spans = views.read(spark, sf, "pages").select("page_id", F.explode(T.quoted_spans(F.col("html"))).alias("span"))
+    return spans.groupBy("page_id").agg(F.count("*").alias("n_spans"), F.max(F.char_length("span")).cast("bigint").alias("longest"))
+
+
+@query("SELECT doc_id, substr(split_part(text, chr(10), 1), 1, 60) AS line, CASE WHEN length(text) > 40 THEN substr(text, 1, 40) || ' …[' || CAST(length(text) - 40 AS VARCHAR) || ' more chars]' ELSE text END AS excerpt, CASE WHEN instr(text, chr(10)) BETWEEN 6 AND 301 THEN instr(text, chr(10)) - 1 END AS boundary FROM documents")
+def block_text(spark, sf):
+    at = F.instr("text", "\n")
+    return docs(spark, sf).select("doc_id", F.substring(T.first_line(F.col("text")), 1, 60).alias("line"), T.excerpt(F.col("text"), 40).alias("excerpt"), F.when(at.between(6, 301), at.cast("bigint") - 1).alias("boundary"))
+
+
+@query("SELECT doc_id, CASE WHEN n = 0 THEN 'NONE' WHEN n = 1 THEN 'LOW' WHEN n <= 3 THEN 'MEDIUM' WHEN n <= 10 THEN 'HIGH' ELSE 'VERY_HIGH' END AS strength, 'AD' || CAST(greatest(0, least(4, CAST(n > 0 AS INT) + CAST(n > 2 AS INT) + CAST(doc_id % 2 = 0 AS INT) + CAST(doc_id % 3 = 0 AS INT) + CAST(doc_id % 5 = 0 AS INT) - CAST(doc_id % 7 = 0 AS INT))) AS VARCHAR) AS level FROM (SELECT doc_id, len(regexp_extract_all(text, ',')) AS n FROM documents)")
+def adoption_strength(spark, sf):
+    d = docs(spark, sf).select("doc_id", F.regexp_count("text", F.lit(",")).alias("n"))
+    evidence = [F.col("n") > 0, F.col("n") > 2, F.col("doc_id") % 2 == 0, F.col("doc_id") % 3 == 0, F.col("doc_id") % 5 == 0]
+    return d.select("doc_id", T.integration_strength(F.col("n")).alias("strength"), T.adoption_level(evidence, F.col("doc_id") % 7 == 0).alias("level"))
+
+
+@query(r"SELECT page_id, CASE WHEN s <> '' THEN s ELSE 'untitled' END AS slug FROM (SELECT page_id, regexp_replace(substr(regexp_replace(regexp_replace(regexp_replace(trim(lower(url)), '[^a-z0-9_\s-]', '', 'g'), '[\s_]+', '-', 'g'), '-+', '-', 'g'), 1, 80), '^-+|-+$', '', 'g') AS s FROM pages)")
+def slugs(spark, sf):
+    return views.read(spark, sf, "pages").select("page_id", T.slugify(F.col("url")).alias("slug"))
+
+
+# --- messages -----------------------------------------------------------------------------------
+
+
+@query(f"{O.MSG} SELECT canonical_id, conversation_id, message_id, parent_message_id, source_file, role, ts, turn, md5(text) AS text_md5 FROM messages")
+def messages_view(spark, sf):
+    return views.messages(spark, sf).select("canonical_id", "conversation_id", "message_id", "parent_message_id", "source_file", "role", "ts", "turn", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
+_TREE = "SELECT conv_id AS conversation_id, turn AS node_id, CASE WHEN turn = 0 THEN NULL WHEN turn % 3 = 2 THEN turn - 2 ELSE turn - 1 END AS parent FROM {c}"
+
+
+def _tree(spark, sf):
+    nodes = spark.sql(_TREE, c=views.read(spark, sf, "conversations"))
+    return nodes, nodes.groupBy("conversation_id").agg(F.max("node_id").alias("current_node"))
+
+
+@query(f"""WITH RECURSIVE nodes AS ({_TREE.format(c="conversations")}), path(conversation_id, node_id, steps) AS (SELECT conversation_id, max(node_id), 0 FROM nodes GROUP BY 1 UNION ALL SELECT p.conversation_id, n.parent, p.steps + 1 FROM path p JOIN nodes n USING (conversation_id, node_id) WHERE n.parent IS NOT NULL),
+placed AS (SELECT conversation_id, node_id, max(steps) OVER (PARTITION BY conversation_id) - steps AS sequence_index FROM path)
+SELECT n.conversation_id, n.node_id, sequence_index, CASE WHEN sequence_index IS NULL THEN 'alternate' ELSE 'main' END AS branch FROM nodes n LEFT JOIN placed USING (conversation_id, node_id)""")
+def main_path(spark, sf):
+    return messages.main_path(*_tree(spark, sf))
+
+
+@query(f"WITH nodes AS ({_TREE.format(c='conversations')}) SELECT conversation_id, parent AS node_id, array_to_string(list_sort(list(node_id)), '|') AS children FROM nodes WHERE parent IS NOT NULL GROUP BY 1, 2")
+def child_lists(spark, sf):
+    return messages.child_lists(_tree(spark, sf)[0]).withColumn("children", F.array_join(F.transform("children", lambda x: x.cast("string")), "|"))
+
+
+_INDEX = "count(*) AS n_messages, count_if(role = 'user') AS n_user, count_if(role = 'assistant') AS n_assistant, min(ts) AS first_ts, max(ts) AS last_ts, CAST(sum(length(text)) AS BIGINT) AS n_chars"
+
+
+@query(f"{O.MSG} SELECT source_file, conversation_id, {_INDEX} FROM messages GROUP BY 1, 2")
+def conv_index(spark, sf):
+    return messages.conversation_index(views.messages(spark, sf))
+
+
+@query(f"{O.MSG} SELECT source_file, count(DISTINCT conversation_id) AS n_conversations, count(*) AS n_messages, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM messages GROUP BY ROLLUP (source_file)")
+def manifest_rollup(spark, sf):
+    return messages.manifest(views.messages(spark, sf))
+
+
+@query("SELECT text_md5, n, first FROM (SELECT md5(text) AS text_md5, count(DISTINCT source) AS n, min(source) AS first FROM documents GROUP BY 1) WHERE n > 1")
+def duplicate_conversations(spark, sf):
+    return messages.duplicates(docs(spark, sf).select("source", F.md5(F.col("text").cast("binary")).alias("text_md5")), "text_md5", "source")
+
+
+@query("SELECT conv_id, turn, role, NULL AS model FROM conversations WHERE conv_id % 2 = 0 UNION ALL SELECT conv_id, turn, role, 'm' AS model FROM conversations WHERE conv_id % 3 = 0 AND conv_id NOT IN (SELECT conv_id FROM conversations WHERE conv_id % 2 = 0)")
+def delta_merge(spark, sf):
+    c = views.read(spark, sf, "conversations").select("conv_id", "turn", "role")
+    return messages.merge_delta(c.where("conv_id % 2 = 0"), c.where("conv_id % 3 = 0").withColumn("model", F.lit("m")), "conv_id")
+
+
+_FLAT = "SELECT conv_id AS conversation_id, turn AS row_number, role, CASE WHEN conv_id % 2 = 0 THEN 100 - turn ELSE CAST(turn / 2 AS BIGINT) END AS ts FROM {c}"
+
+
+@query(f"WITH f AS ({_FLAT.format(c='conversations').replace('CAST(turn / 2 AS BIGINT)', 'turn // 2')}), p AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY ts, CASE WHEN role = 'user' THEN 0 ELSE 1 END, row_number) - 1 AS sequence_index, row_number() OVER (PARTITION BY conversation_id ORDER BY row_number) - 1 AS was FROM f) SELECT conversation_id, row_number, role, ts, sequence_index, max(CAST(was <> sequence_index AS INT)) OVER (PARTITION BY conversation_id) AS reordered FROM p")
+def csv_chronology(spark, sf):
+    flat = spark.sql(_FLAT.replace("CAST(turn / 2 AS BIGINT)", "CAST(floor(turn / 2) AS BIGINT)"), c=views.read(spark, sf, "conversations"))
+    return messages.chronology(flat, "row_number").withColumn("sequence_index", F.col("sequence_index").cast("bigint"))
+
+
+@query(f"{O.MSG} SELECT canonical_id, CASE WHEN lag(turn) OVER w = turn - 1 THEN lag(role) OVER w END AS prev_role, CASE WHEN lag(turn) OVER w = turn - 1 THEN lag(canonical_id) OVER w END AS prev_id, CASE WHEN lead(turn) OVER w = turn + 1 THEN lead(canonical_id) OVER w END AS next_id FROM messages WINDOW w AS (PARTITION BY conversation_id ORDER BY turn)")
+def prev_next_context(spark, sf):
+    return messages.neighbours(views.messages(spark, sf)).select("canonical_id", "prev_role", "prev_id", "next_id")
+
+
+@query(f"{O.MSG}, p AS (SELECT canonical_id, conversation_id, turn, row_number() OVER (PARTITION BY conversation_id ORDER BY turn) AS place FROM messages) SELECT t.canonical_id AS target_id, p.canonical_id, p.place - t.place AS offset FROM p JOIN p t USING (conversation_id) WHERE t.turn = 3 AND abs(p.place - t.place) <= 2")
+def context_window(spark, sf):
+    m = views.messages(spark, sf)
+    return messages.context(m, m.where("turn = 3"), 2).withColumn("offset", F.col("offset").cast("bigint"))
+
+
+@query("SELECT user_id, event_type, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts, arg_min(event_id, (ts, event_id)) AS first_event, arg_max(event_id, (ts, event_id)) AS last_event FROM events GROUP BY 1, 2")
+def first_last_seen(spark, sf):
+    at = F.struct("ts", "event_id")
+    return views.read(spark, sf, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.min_by("event_id", at).alias("first_event"), F.max_by("event_id", at).alias("last_event"))
+
+
+@query(f"{O.MSG} SELECT canonical_id, conversation_id, parent_message_id FROM messages m WHERE parent_message_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM messages p WHERE p.conversation_id = m.conversation_id AND p.message_id = m.parent_message_id)")
+def graph_link_check(spark, sf):
+    return messages.graph_breaks(views.messages(spark, sf))
+
+
+# --- extraction ---------------------------------------------------------------------------------
+
+
+@query(f"{O.THOUGHTS} SELECT thought_id, display_id, name, type, originator, evidence_class, confidence, created_at, summary, md5(detail) AS detail_md5, canonical_id FROM thoughts")
+def thoughts(spark, sf):
+    t = extraction.thoughts(views.messages(spark, sf))
+    return t.select("thought_id", "display_id", "name", "type", "originator", "evidence_class", "confidence", "created_at", "summary", F.md5(F.col("detail").cast("binary")).alias("detail_md5"), "canonical_id")
+
+
+@query(f"{O.ENTITIES} SELECT * REPLACE (array_to_string(provenance_refs, '|') AS provenance_refs) FROM entities")
+def entities(spark, sf):
+    return extraction.entities(views.messages(spark, sf)).withColumn("provenance_refs", joined("provenance_refs"))
+
+
+_REL = rf"""{O.ENTITIES}, rl AS (SELECT canonical_id, role, trim(unnest(regexp_extract_all(text, {q(P.RELATION_LINE)}, 1))) AS line FROM messages),
+rp AS (SELECT *, string_split(line, '|') AS parts FROM rl), rels AS (SELECT canonical_id, role, trim(parts[1]) AS a, lower(trim(parts[2])) AS type, trim(parts[3]) AS b FROM rp WHERE len(parts) = 3),
+names AS (SELECT {O.key('summary')} AS norm, thought_id AS id, 0 AS rank FROM thoughts WHERE {O.key('summary')} <> '' UNION ALL SELECT norm, entity_id, 1 FROM entities), lookup AS (SELECT norm, arg_min(id, (rank, id)) AS id FROM names GROUP BY norm)
+SELECT DISTINCT 'R' || substr(sha256(s.id || chr(31) || type || chr(31) || t.id || chr(31) || canonical_id), 1, 12) AS relationship_id, s.id AS source_id, type, t.id AS target_id, {O.role_class()} AS evidence_class, canonical_id
+FROM rels JOIN lookup s ON s.norm = {O.key('a')} JOIN lookup t ON t.norm = {O.key('b')} WHERE type IN ({", ".join(map(q, extraction.RELATION_TYPES))})"""
+
+
+@query(_REL)
+def relationships(spark, sf):
+    m = views.messages(spark, sf)
+    return extraction.relationships(m, extraction.thoughts(m), extraction.entities(m))
+
+
+@query(rf"""{O.THOUGHTS}, l AS (SELECT canonical_id, unnest(regexp_extract_all(text, {q(P.TIMELINE_LINE)})) AS line FROM messages),
+e AS (SELECT canonical_id, trim(regexp_extract(line, {q(P.TIMELINE_LINE)}, 1)) AS date, lower(trim(regexp_extract(line, {q(P.TIMELINE_LINE)}, 2))) AS event, trim(regexp_extract(line, {q(P.TIMELINE_LINE)}, 3)) AS description FROM l)
+SELECT 'TL' || substr(sha256('originated' || chr(31) || thought_id || chr(31) || substr(created_at, 1, 10)), 1, 12) AS timeline_id, thought_id AS subject_id, substr(created_at, 1, 10) AS date, 'originated' AS event, summary AS description FROM thoughts
+UNION SELECT 'TL' || substr(sha256('explicit' || chr(31) || canonical_id || chr(31) || date || chr(31) || event || chr(31) || description), 1, 12), thought_id, date, event, description FROM e JOIN thoughts USING (canonical_id) WHERE event IN ({", ".join(map(q, extraction.TIMELINE_EVENTS))})""")
+def timelines(spark, sf):
+    m = views.messages(spark, sf)
+    return extraction.timelines(m, extraction.thoughts(m))
+
+
+@query(rf"""{O.THOUGHTS}, g AS (SELECT {O.key('summary')} AS k, list({{'source_file': source_file, 'conversation_id': conversation_id, 'ts': coalesce(ts, ''), 'thought_id': thought_id, 'message_id': message_id, 'summary': summary, 'detail': detail}} ORDER BY source_file, conversation_id, coalesce(ts, ''), thought_id) AS items FROM thoughts WHERE {O.key('summary')} <> '' GROUP BY 1)
+SELECT 'MBK-EXTRACT-' || upper(substr(sha256(k), 1, 12)) AS knowledge_id, {O.title('items[1].summary')} AS title, items[1].summary AS summary,
+  md5(CASE WHEN len(items) > 1 THEN items[1].detail || chr(10) || chr(10) || 'Additional provenance-backed occurrences:' || chr(10) || array_to_string(list_transform(items[2:], lambda x: '- ' || x.summary || ' (' || x.thought_id || ')'), chr(10)) ELSE items[1].detail END) AS content_md5,
+  array_to_string(list_sort(list_distinct(list_concat(list_transform(items, lambda x: x.thought_id), list_transform(items, lambda x: x.message_id)))), '|') AS evidence_ids FROM g""")
+def canonical_records(spark, sf):
+    c = extraction.canonical_records(extraction.thoughts(views.messages(spark, sf)))
+    return c.select("knowledge_id", "title", "summary", F.md5(F.col("content").cast("binary")).alias("content_md5"), joined("evidence_ids"))
+
+
+@query(f"{O.MSG} SELECT canonical_id, conversation_id, array_to_string(a, '|') AS actors FROM (SELECT canonical_id, conversation_id, length(text) AS n, regexp_extract_all(text, {q(P.RELAY_HEADER)}, 1) AS a FROM messages) WHERE n >= 200 AND len(a) >= 1")
+def relay_events(spark, sf):
+    return extraction.relay_events(views.messages(spark, sf)).withColumn("actors", joined("actors"))
+
+
+# --- reuse --------------------------------------------------------------------------------------
+
+
+@query(f"{O._PAIRS} SELECT reuse, origin, shared FROM pairs")
+def reuse_coarse(spark, sf):
+    return reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(views.reuse_records(spark, sf)))).select("reuse", "origin", "shared")
+
+
+@query(f"{O._PAIRS} SELECT reuse, origin, shared FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id WHERE r.role = 'user' AND o.role = 'assistant'")
+def reuse_directional(spark, sf):
+    r = views.reuse_records(spark, sf)
+    role = r.select(F.col("canonical_id").alias("id"), "role")
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(r)))
+    return pairs.join(role.where("role = 'user'").select(F.col("id").alias("reuse_id")), "reuse_id", "left_semi").join(role.where("role = 'assistant'").select(F.col("id").alias("origin_id")), "origin_id", "left_semi").select("reuse", "origin", "shared")
+
+
+_FIRST = f"""WITH records AS ({views.REUSE_SQL}), every AS (SELECT canonical_id, unnest({O.shingles('w', 10)}) AS sh FROM (SELECT canonical_id, {O.words('text')} AS w FROM records)), f AS (SELECT sh, min(canonical_id) AS origin_id FROM every GROUP BY sh),
+c AS (SELECT canonical_id, origin_id, count(*) AS matched FROM every JOIN f USING (sh) WHERE origin_id <> canonical_id GROUP BY 1, 2), best AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY matched DESC, origin_id) AS nth FROM c)"""
+
+
+@query(f"{_FIRST} SELECT canonical_id, origin_id, matched FROM best WHERE nth = 1 AND matched >= 3")
+def first_seen_reuse(spark, sf):
+    return reuse.first_seen_reuse(views.reuse_records(spark, sf))
+
+
+@query(f"{_FIRST} SELECT canonical_id, origin_id, matched, nth FROM best WHERE nth <= 3")
+def top3_origins(spark, sf):
+    from pyspark.sql import Window
+
+    words = views.reuse_records(spark, sf).select("canonical_id", T.normalize_words(F.col("text")).alias("words"))
+    every = words.select("canonical_id", F.explode(reuse.hashed(F.col("words"), 10)).alias("sh"))
+    counts = every.join(reuse.first_seen(every), "sh").where("origin_id <> canonical_id").groupBy("canonical_id", "origin_id").agg(F.count("*").alias("matched"))
+    order = Window.partitionBy("canonical_id").orderBy(F.desc("matched"), "origin_id")
+    return counts.withColumn("nth", F.row_number().over(order).cast("bigint")).where("nth <= 3")
+
+
+@query(f"{_FIRST} SELECT canonical_id, origin_id, matched FROM best WHERE nth = 1 AND matched >= 15 AND origin_id < canonical_id")
+def near_duplicates(spark, sf):
+    return reuse.first_seen_reuse(views.reuse_records(spark, sf), least=15).where("origin_id < canonical_id")
+
+
+@query(f"""WITH records AS ({views.REUSE_SQL}), s AS (SELECT item_id, list_sort(list_distinct({O.shingles('w', 8)})) AS s FROM (SELECT item_id, {O.words('text')} AS w FROM benchmark)), ix AS (SELECT item_id, unnest(list_filter(s, lambda x, i: (i - 1) % greatest(1, CAST(ceil(len(s) / 400) AS INT)) = 0)) AS sh FROM s),
+probe AS (SELECT canonical_id, unnest({O.shingles('w', 8)}) AS sh FROM (SELECT canonical_id, {O.words('text')} AS w FROM records)) SELECT canonical_id, item_id, count(*) AS matched FROM probe JOIN ix USING (sh) GROUP BY 1, 2 HAVING count(*) >= 3""")
+def benchmark_overlap(spark, sf):
+    return reuse.small_index_overlap(views.reuse_records(spark, sf), views.read(spark, sf, "benchmark"))
+
+
+@query(f"{O._PAIRS} SELECT reuse_id AS target, count_if(coalesce(o.ts < r.ts, false)) AS n_prior, count_if(NOT coalesce(o.ts < r.ts, false)) AS n_later, CAST(sum(CASE WHEN o.ts < r.ts THEN shared ELSE 0 END) AS BIGINT) AS prior_shared FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id WHERE reuse_id % 4 = 0 GROUP BY 1")
+def prior_later_split(spark, sf):
+    r = views.reuse_records(spark, sf)
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(r))).where("reuse_id % 4 = 0")
+    ts = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
+    both = pairs.join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id").withColumn("prior", F.coalesce(F.col("origin_ts") < F.col("reuse_ts"), F.lit(False)))
+    return both.groupBy(F.col("reuse_id").alias("target")).agg(F.count_if("prior").alias("n_prior"), F.count_if(~F.col("prior")).alias("n_later"), F.sum(F.when(F.col("prior"), F.col("shared")).otherwise(0)).alias("prior_shared"))
+
+
+@query(f"{O.HITS} SELECT * FROM hits")
+def reuse_hits_strict(spark, sf):
+    h = reuse.hits(views.reuse_records(spark, sf))
+    return h.select(*(F.col(c).cast("bigint").alias(c) if t == "int" else c for c, t in h.dtypes))
+
+
+@query()
+def reuse_hits_udf(spark, sf):
+    p = reuse.passage_words(views.reuse_records(spark, sf))
+    return reuse.drifting_spans(reuse.coarse_pairs(reuse.shingle_index(p)), reuse.positions(p))
+
+
+@query(f"{O._PAIRS} SELECT reuse_id, count(DISTINCT origin_id) AS n_origins, min(origin_id) AS earliest FROM pairs GROUP BY 1 HAVING count(DISTINCT origin_id) >= 2")
+def multi_origin(spark, sf):
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(views.reuse_records(spark, sf))))
+    return pairs.groupBy("reuse_id").agg(F.count_distinct("origin_id").alias("n_origins"), F.min("origin_id").alias("earliest")).where("n_origins >= 2")
+
+
+@query("SELECT md5(text) AS text_md5, count(*) AS n, min(doc_id) AS earliest, arg_min(source, doc_id) AS earliest_source FROM documents GROUP BY 1 HAVING count(*) > 1")
+def earliest_occurrence(spark, sf):
+    return docs(spark, sf).groupBy(F.md5(F.col("text").cast("binary")).alias("text_md5")).agg(F.count("*").alias("n"), F.min("doc_id").alias("earliest"), F.min_by("source", "doc_id").alias("earliest_source")).where("n > 1")
+
+
+@query(f"WITH records AS ({views.REUSE_SQL}) SELECT source, count(*) AS n, count_if(role = 'user') AS n_user, count_if(role = 'assistant') AS n_assistant FROM records GROUP BY 1")
+def reuse_registry(spark, sf):
+    return views.reuse_records(spark, sf).groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("role") == "user").alias("n_user"), F.count_if(F.col("role") == "assistant").alias("n_assistant"))
+
+
+@query(f"{O.HITS} SELECT r.role || '->' || o.role AS pair, edge, count(*) AS n, count_if(cross_source) AS n_cross FROM hits h JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id GROUP BY 1, 2")
+def actor_pairs(spark, sf):
+    r = views.reuse_records(spark, sf)
+    role = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("role").alias(f"{n}_role"))
+    h = reuse.hits(r).join(role("reuse"), "reuse_id").join(role("origin"), "origin_id")
+    return h.groupBy(F.concat("reuse_role", F.lit("->"), "origin_role").alias("pair"), "edge").agg(F.count("*").alias("n"), F.count_if("cross_source").alias("n_cross"))
+
+
+@query(f"{O._ROOTS} SELECT v, root FROM roots")
+def reuse_components(spark, sf):
+    return reuse.components(reuse.derivation_edges(reuse.hits(views.reuse_records(spark, sf))))
+
+
+@query(f"""{O._ROOTS}, linked AS (SELECT origin_id, reuse_id, span, root FROM hits JOIN roots ON v = origin_id WHERE edge = 'DERIVATION'), ends AS (SELECT root, origin_id AS x FROM linked UNION SELECT root, reuse_id FROM linked)
+SELECT l.root AS chain_root, l.n_edges, l.weakest_span, e.n AS n_members FROM (SELECT root, count(*) AS n_edges, min(span) AS weakest_span FROM linked GROUP BY root HAVING count(*) >= 2) l JOIN (SELECT root, count(*) AS n FROM ends GROUP BY root) e USING (root)""")
+def reuse_chains(spark, sf):
+    return reuse.chains(reuse.hits(views.reuse_records(spark, sf))).select("chain_root", "n_edges", "weakest_span", F.col("n_members").cast("bigint").alias("n_members"))
+
+
+@query(f"""{O._EDGES}, nx AS (SELECT u AS node, min(v) AS succ FROM edges GROUP BY u), wk(start, node, n, path) AS (SELECT node, node, 1, [node] FROM nx WHERE node NOT IN (SELECT succ FROM nx) UNION ALL SELECT start, succ, n + 1, list_append(path, succ) FROM wk JOIN nx USING (node) WHERE n <= 10 AND NOT list_contains(path, succ))
+SELECT start, max(n) AS n_nodes, arg_max(node, n) AS last FROM wk GROUP BY start HAVING max(n) >= 3""")
+def forward_chains(spark, sf):
+    return reuse.forward_chains(reuse.hits(views.reuse_records(spark, sf))).select("start", F.col("n_nodes").cast("bigint").alias("n_nodes"), "last")
+
+
+# --- resolvers ----------------------------------------------------------------------------------
+
+_CASES_SQL = """SELECT canonical_id, conversation_id, text, role, prev_role, turn <= 1 AS opening,
+  CASE WHEN k IN (8, 9, 13, 15) AND prev_role = 'assistant' THEN CAST(20 + conv_id % 40 AS INT) WHEN k = 11 AND conv_id % 2 = 0 THEN 4 END AS matched, CAST(40 AS INT) AS total,
+  CASE WHEN k IN (8, 9, 13, 15, 11) THEN conv_id % 2 = 0 END AS same_conversation, CASE WHEN k IN (8, 9, 13, 15, 11) THEN conv_id % 3 <> 0 END AS prior
+FROM (SELECT m.*, (conv_id * 7 + turn) % 19 AS k, lag(role) OVER (PARTITION BY conversation_id ORDER BY turn) AS prev_role FROM {m} m) x"""
+
+
+def _cases(spark, sf):
+    return spark.sql(_CASES_SQL, m=views.messages(spark, sf))
+
+
+def _resolved(version):
+    def run(spark, sf):
+        r = resolver.resolve(_cases(spark, sf))
+        return r.select("canonical_id", F.col(f"{version}.cls").alias("evidence_class"), F.col(f"{version}.certainty").alias("certainty"), F.col(f"{version}.adoption").alias("adoption"), F.col(f"{version}.review").alias("review"))
+
+    return run
+
+
+B = O.strip("text")
+LEAD = f"split_part({B}, chr(10), 1)"
+FP_T = f"trim(regexp_replace(regexp_replace(text, {q('[​‌‍﻿]')}, '', 'g'), '\\*\\*', '', 'g'))"
+FP = f"(({rx('pros', FP_T)} AND {rx('cons', FP_T)}) OR {rx('listicle', FP_T)} OR ({rx('numbered_start', FP_T)} AND length({FP_T}) > 300 AND {rx('numbered_more', FP_T)}) OR ({rx('narrative', FP_T)} AND length({FP_T}) > 300))"
+AFTER = "coalesce(prev_role = 'assistant', false)"
+
+
+def _case(rules: list[tuple[str, str]], default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rules) + f" ELSE {default} END"
+
+
+def _v(cls, certainty, adoption, review) -> str:
+    lit = lambda x: x if x.startswith(("(", "b.", "p.", "CASE", "NOT")) else q(x)
+    return f"{{'cls': {lit(cls)}, 'certainty': {lit(certainty)}, 'adoption': {lit(adoption)}, 'review': {review}}}"
+
+
+A1 = "(" + _case([(rx("modification"), "'AD4'"), (rx("approval"), "'AD3'"), (rx("rejection"), "'AD0'"), (rx("submission"), "'AD1'"), (f"length({B}) > 50 AND length(text) >= 60", "'AD1'")], "'AD0'") + ")"
+A2 = "(" + _case([(rx("modification"), "'AD4'"), (rx("approval", B), "'AD3'"), (rx("rejection"), "'AD0'"), (rx("submission"), "'AD1'"), (f"length({B}) > 50", "'AD1'")], "'AD0'") + ")"
+A3 = "(" + _case([(f"{AFTER} AND {rx('yes_but_100', B)}", "'AD4'"), (f"{AFTER} AND {rx('yes_3', B)}", "'AD3'")], "'AD0'") + ")"
+
+
+def _a4(x: str) -> str:
+    s = O.strip(x)
+    return "(" + _case([(f"NOT {AFTER}", "'AD0'"), (rx("yes_but_180", s), "'AD4'"), (rx("yes_4", s), "'AD3'"), (rx("ask_4", s), "'AD1'")], "'AD0'") + ")"
+
+
+def _ag(x: str, extra: str = "false") -> str:
+    s = O.strip(x)
+    return "(" + _case([(rx("gate_reject", s), "'AD0'"), (f"{AFTER} AND length({s}) <= 180 AND {rx('yes_but_100', s)}", "'AD4'"), (f"({AFTER} OR {extra}) AND {rx('gate_transform', s)} AND length({s}) <= 400", "'AD4'"), (f"{AFTER} AND {rx('gate_adopt', s)}", "'AD3'"), (f"{AFTER} AND {rx('gate_continue', s)}", "'AD1'")], "'AD0'") + ")"
+
+
+SAME, SUB = "coalesce(same_conversation, false)", "(matched IS NOT NULL AND matched * 100 >= greatest(total, 1) * 15)"
+_STRONG1 = "(matched IS NOT NULL AND (matched >= 15 OR (matched >= 8 AND matched * 100 >= greatest(total, 1) * 35)))"
+_CARRIER = f"({LEAD} <> '' AND ({rx('submission', LEAD)} OR {rx('carrier_leadin', LEAD)}))"
+_PS = f"({rx('paste_markers')} OR {rx('submission')})"
+V1 = _case(
+    [
+        ("role = 'assistant'", _v("A0", "PC4", "AD0", "false")), (f"{rx('rejection', B)} AND length({B}) < 250", _v("X0", "PC4", "AD0", "false")), (f"{FP} AND NOT opening", _v("P0", "PC2", A1, "true")),
+        (f"{_STRONG1} AND length(text) > 200 AND length({LEAD}) < 120 AND NOT {_CARRIER}", _v("MIXED", "PC4", A1, "true")), (f"{_STRONG1} AND NOT {SAME}", _v("P0", "PC4", A1, "false")), (f"matched IS NOT NULL AND {SAME}", _v("P0", "PC4", A1, "false")),
+        (f"{_PS} AND length(text) > 300 AND NOT {_CARRIER}", _v("MIXED", "PC3", A1, "true")), (f"matched IS NULL AND length(text) >= 300 AND {rx('roleplay')} AND {rx('sales')}", _v("UNRESOLVED", "PC1", A1, "true")),
+        (f"opening AND length(text) < 200 AND NOT {rx('structured')}", _v("D0", "PC4", "AD0", "false")), (f"length(text) < 200 AND NOT {rx('structured')} AND NOT {rx('paste_markers')}", _v("D0", "PC3", A1, "false")),
+        (f"{rx('structured')} AND matched IS NULL", _v("D0", "PC1", A1, "true")), (f"{rx('weak')} OR (length(text) > 300 AND NOT opening AND matched IS NULL)", _v("UNRESOLVED", "PC1", A1, "true")),
+    ],
+    _v("D0", "PC2", A1, "false"),
+)
+_NUM = f"(({rx('pros', B)} AND {rx('cons', B)}) OR {rx('listicle', B)})"
+_STRONG2 = f"(matched IS NOT NULL AND CASE WHEN {SAME} THEN matched >= 2 AND matched * 100 >= greatest(total, 1) * 15 ELSE matched >= 3 AND matched * 100 >= greatest(total, 1) * 20 END)"
+V2 = _case(
+    [
+        ("role = 'assistant'", _v("A0", "PC4", "AD0", "false")), (f"{rx('short_correction', B)} AND length({B}) < 200", _v("X0", "PC4", "AD0", "false")), (f"({_NUM} OR {rx('narrative', B)}) AND NOT opening", _v("P0", "PC2", "AD1", "true")),
+        (f"{_STRONG2} AND length(text) > 200 AND length({LEAD}) BETWEEN 10 AND 150", _v("MIXED", "PC4", A2, "true")), (_STRONG2, _v("P0", "PC4", "AD1", "false")), (f"{_PS} AND length(text) > 300", _v("MIXED", "PC3", A2, "true")),
+        (f"opening AND length({B}) < 200 AND NOT {rx('structured')}", _v("D0", "PC4", A2, "false")), (f"length({B}) < 200 AND NOT {rx('structured')} AND NOT {rx('paste_markers')} AND NOT {_NUM}", _v("D0", "PC3", A2, "false")),
+        (f"({rx('structured')} OR {_NUM} OR length(text) > 200) AND matched IS NOT NULL AND {SAME}", _v("P0", "PC3", "AD1", "true")),
+    ],
+    _v("UNRESOLVED", "PC1", A2, "true"),
+)
+
+
+def _v3(mixed: bool) -> str:
+    control = f"role = 'user' AND {AFTER} AND length({B}) <= 180 AND {rx('control_act', B)} AND NOT contains({B}, chr(10) || chr(10))"
+    flag = [(f"{SUB} AND length(text) > 80 AND {rx('mixed_lead')}", _v("MIXED", "PC3", "AD0", "true"))] if mixed else []
+    return _case([("role = 'assistant'", _v("A0", "PC4", "AD0", "false")), *flag, (SUB, _v("P0", "PC4", A3, "false")), (FP, _v("P0", "PC4", "AD0", "false")), (control, _v("D0", "PC3", A3, "false"))], _v("UNRESOLVED", "PC0", "AD0", "true"))
+
+
+NN, NL = "instr(text, chr(10) || chr(10))", "instr(text, chr(10))"
+CUT = f"(coalesce(nullif({NN}, 0), nullif({NL}, 0)) - 1)"
+FIRST = f"least(CASE WHEN {NN} >= 6 THEN {NN} - 1 END, CASE WHEN instr(text, '  ') >= 6 THEN instr(text, '  ') - 1 END, CASE WHEN instr(text, ':') >= 6 THEN instr(text, ':') - 1 END)"
+PRIOR = f"({SUB} AND coalesce(prior, false))"
+BASE = _v("b.cls", "b.certainty", "b.adoption", "b.review")
+_WRAP4 = f"({rx('transcript_below')} AND length(text) - instr(lower(text), 'the entire transcript is given below') > 60 AND contains(lower(text), 'is given below.' || chr(10)))"
+_BEFORE = f"substr(text, 1, {CUT})"
+V4 = _case(
+    [
+        ("b.cls IN ('D0', 'A0')", BASE), (f"{_WRAP4} OR ({rx('carrier_prefix')} AND {CUT} BETWEEN 5 AND 300 AND length(text) - {CUT} > 40)", _v("MIXED", "b.certainty", f"(CASE WHEN {_WRAP4} THEN {_a4('text')} ELSE {_a4(_BEFORE)} END)", "true")),
+        (f"{PRIOR} AND {rx('carrier_prefix')} AND {FIRST} <= 300 AND length(text) - {FIRST} > 30", _v("MIXED", "b.certainty", "b.adoption", "true")), (PRIOR, _v("P0", "b.certainty", _a4("text"), "false")), (rx("import_markers"), _v("UNRESOLVED", "b.certainty", "b.adoption", "true")),
+    ],
+    BASE,
+)
+_WRAP = rx("transcript_below", B)
+_TR = f"(matched IS NOT NULL AND matched * 10 >= greatest(total, 1) * 8 AND length({LEAD}) <= 160 AND {rx('transform_lead', LEAD)} AND length({B}) > 250)"
+_LT = f"(CASE WHEN {_WRAP} THEN substr(text, 1, instr(lower(text), 'the entire transcript is given below') - 1) ELSE {LEAD} END)"
+_U = lambda f: f"(CASE WHEN b.cls = 'MIXED' THEN p.{f} ELSE b.{f} END)"
+G5 = _case([("b.cls IN ('D0', 'A0')", BASE), (f"{_WRAP} OR {_TR}", _v("MIXED", "PC3", _ag(_LT, rx("gate_transform", O.strip(_LT))), "true")), (f"{_U('cls')} IN ('P0', 'UNRESOLVED')", _v(_U("cls"), _U("certainty"), _ag("text"), _U("review")))], _v(_U("cls"), _U("certainty"), _U("adoption"), _U("review")))
+V5 = _case([("b.cls IN ('D0', 'A0')", BASE), (rx("correction_of_supplied"), _v("UNRESOLVED", "b.certainty", "b.adoption", "true")), (f"{PRIOR} AND {rx('traceable_carrier')} AND {FIRST} <= 300 AND length(text) - {FIRST} > 30", _v("MIXED", "b.certainty", f"(CASE WHEN {rx('material_transformation')} THEN 'AD4' ELSE b.adoption END)", "true")), (rx("material_transformation"), _v("b.cls", "b.certainty", "AD4", "b.review"))], BASE)
+_L6 = f"(CASE WHEN {CUT} BETWEEN 5 AND 300 THEN {_BEFORE} ELSE '' END)"
+_DEM = "(" + _case([(rx("transcript_template"), "'AD3'"), (rx("transform_hint"), "'AD4'"), (rx("style_carrier"), "'AD2'")], "b.adoption") + ")"
+_CARRIED = f"({rx('transcript_template')} OR {rx('style_carrier', _L6)} OR {rx('paste_markers')} OR {rx('submission')} OR {rx('structured')})"
+V6 = _case(
+    [
+        (f"b.cls = 'MIXED' AND {rx('own_artifact')}", _v("UNRESOLVED", "b.certainty", "b.adoption", "true")), (f"b.cls = 'MIXED' AND ({rx('substantive', _L6)} OR {rx('thread')})", BASE),
+        (f"b.cls = 'MIXED' AND (({CUT} BETWEEN 5 AND 300 AND length(text) - {CUT} > 40 AND {_CARRIED}) OR {rx('external_markers')} OR {FP})", _v("P0", "b.certainty", _DEM, f"NOT {PRIOR}")), ("b.cls = 'MIXED'", _v("UNRESOLVED", "b.certainty", "b.adoption", "true")),
+        (f"b.cls = 'P0' AND length({B}) <= 400 AND NOT contains({B}, chr(10) || chr(10)) AND NOT {rx('external_markers')} AND {rx('directive', B)}", _v("UNRESOLVED", "b.certainty", "b.adoption", "true")),
+    ],
+    BASE,
+)
+_C = f"{O.MSG}, cases AS ({_CASES_SQL.format(m='messages')})"
+_LAYERS = f"{_C}, r3 AS (SELECT *, {_v3(True)} AS b, {_v3(False)} AS p FROM cases), r4 AS (SELECT * REPLACE ({V4} AS b) FROM r3), r5 AS (SELECT * REPLACE ({V5} AS b) FROM r4), r6 AS (SELECT * REPLACE ({V6} AS b) FROM r5)"
+_OUT = "canonical_id, b.cls AS evidence_class, b.certainty AS certainty, b.adoption AS adoption, b.review AS review"
+for _name, _version, _sql in (
+    ("resolver_v1", "v1", f"{_C} SELECT {_OUT} FROM (SELECT *, {V1} AS b FROM cases)"), ("resolver_v2", "v2", f"{_C} SELECT {_OUT} FROM (SELECT *, {V2} AS b FROM cases)"), ("resolver_v3", "v3", f"{_LAYERS} SELECT {_OUT} FROM r3"),
+    ("resolver_v4", "v4", f"{_LAYERS} SELECT {_OUT} FROM r4"), ("resolver_gate5", "gate5", f"{_LAYERS} SELECT {_OUT} FROM (SELECT * REPLACE ({G5} AS b) FROM r3)"), ("resolver_v5", "v5", f"{_LAYERS} SELECT {_OUT} FROM r5"), ("resolver_v6", "v6", f"{_LAYERS} SELECT {_OUT} FROM r6"),
+):
+    QUERIES[_name], ORACLES[_name] = _resolved(_version), _sql
+
+
+@query(f"{_C} SELECT canonical_id, {A1} AS v1, {A2} AS v2, {A3} AS v3, {_a4('text')} AS v4, {_ag('text')} AS gate5 FROM cases")
+def adoption_status(spark, sf):
+    return _cases(spark, sf).select("canonical_id", resolver.adoption_v1().alias("v1"), resolver.adoption_v2("D0").alias("v2"), resolver.adoption_v3().alias("v3"), resolver.adoption_v4().alias("v4"), resolver.adoption_gate5().alias("gate5"))
+
+
+@query(f"{_C} SELECT canonical_id, length(text) AS char_length, opening, {rx('structured')} AS structured, {rx('paste_markers')} AS paste_markers, {rx('submission')} AS submission_phrases, {FP} AS fingerprint, matched, prev_role FROM cases")
+def evidence_package(spark, sf):
+    t = F.col("text")
+    return _cases(spark, sf).select("canonical_id", F.char_length("text").cast("bigint").alias("char_length"), "opening", P.holds("structured", t).alias("structured"), P.holds("paste_markers", t).alias("paste_markers"), P.holds("submission", t).alias("submission_phrases"), P.external_fingerprint(t).isNotNull().alias("fingerprint"), "matched", "prev_role")
+
+
+@query(f"{_FIRST.replace('FROM documents', 'FROM documents')} SELECT canonical_id, CASE WHEN m >= 20 AND canonical_id % 3 = 0 THEN 'REUSE' WHEN m >= 20 THEN 'A0_CANDIDATE' WHEN m >= 3 THEN 'WEAK' ELSE 'NO_ORIGIN' END AS page_class FROM (SELECT r.canonical_id, coalesce(matched, 0) AS m FROM records r LEFT JOIN (SELECT * FROM best WHERE nth = 1) b USING (canonical_id))")
+def page_classification(spark, sf):
+    r = views.reuse_records(spark, sf)
+    best = reuse.first_seen_reuse(r, least=1).select("canonical_id", "matched")
+    return r.join(best, "canonical_id", "left").select("canonical_id", resolver.page_class(F.coalesce("matched", F.lit(0)), F.col("canonical_id") % 3 == 0).alias("page_class"))
+
+
+# --- store --------------------------------------------------------------------------------------
+
+
+def _store(spark, sf):
+    inner = O.STORE[len("WITH store AS (") : -1].replace("FROM documents", "FROM {d}")
+    return spark.sql(inner, d=docs(spark, sf)).withColumn("evidence_ids", F.array(F.col("doc_id").cast("string")))
+
+
+_NOTES = """SELECT concat('note-', CAST(doc_id AS STRING), '.md') AS source_path, sha2(text, 256) AS source_hash, CASE doc_id % 5 WHEN 0 THEN 'CREATE' WHEN 1 THEN 'SUPERSEDE' WHEN 2 THEN 'RETIRE' ELSE 'UPDATE' END AS proposed_operation,
+  CASE WHEN doc_id % 11 = 0 THEN NULL ELSE concat('MBK-', CAST(doc_id % 60 AS STRING)) END AS proposed_knowledge_id, CAST(CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 1000 END AS INT) AS base_canonical_revision, doc_id FROM {d} WHERE doc_id % 3 = 0"""
+_NOTES_DUCK = _NOTES.replace("sha2(text, 256)", "sha256(text)").replace("{d}", "documents")
+
+
+def _queue(spark, sf):
+    notes = spark.sql(_NOTES, d=docs(spark, sf))
+    old = notes.where("doc_id % 2 = 0").select("source_path", F.when(F.col("doc_id") % 4 == 0, F.col("source_hash")).otherwise(F.lit("old")).alias("source_hash"), F.lit(1).alias("candidate_revision"))
+    return notes, old
+
+
+def _candidates(spark, sf):
+    """Candidates whose content is the current record's (whole, in part, or with words added) or another text."""
+    s = store.current(_store(spark, sf)).select(F.col("knowledge_id").alias("proposed_knowledge_id"), F.col("content").alias("now"))
+    n = spark.sql(_NOTES, d=docs(spark, sf)).join(s, "proposed_knowledge_id", "left")
+    content = T.cases([(F.col("doc_id") % 7 < 2, F.substring("now", 1, 300)), (F.col("doc_id") % 7 < 4, F.concat(F.lit("also "), F.substring("now", 1, 400)))], F.lit("entirely other words here"))
+    evidence = F.array((F.col("doc_id") % 10).cast("string"), (F.col("doc_id") % 6).cast("string"))
+    return n.select(F.concat(F.lit("C"), F.col("doc_id").cast("string")).alias("candidate_id"), F.lit(1).alias("candidate_revision"), "proposed_operation", "proposed_knowledge_id", "base_canonical_revision", content.alias("content"), evidence.alias("evidence_ids"))
+
+
+@query(f"{O.STORE} SELECT knowledge_id, revision, title FROM store WHERE canonical_status = 'CURRENT'")
+def store_current(spark, sf):
+    return store.current(_store(spark, sf)).select("knowledge_id", "revision", "title")
+
+
+@query(f"{O.STORE} SELECT knowledge_id, revision, canonical_status, title FROM store WHERE knowledge_id = 'MBK-7' AND revision = 2")
+def store_revision(spark, sf):
+    return store.get(_store(spark, sf), "MBK-7", 2).select("knowledge_id", "revision", "canonical_status", "title")
+
+
+_SEARCH = "lower(title || ' ' || summary || ' ' || content)"
+_TOKENS = f"list_distinct(regexp_extract_all({_SEARCH}, '[a-z0-9]+'))"
+
+
+@query(f"{O.STORE} SELECT knowledge_id, revision, score FROM (SELECT knowledge_id, revision, len(list_intersect(['the', 'and', 'thonti'], {_TOKENS})) + CASE WHEN contains({_SEARCH}, 'the and thonti') THEN 3 ELSE 0 END AS score FROM store) WHERE score > 0 ORDER BY score DESC, revision DESC, knowledge_id LIMIT 25")
+def store_search(spark, sf):
+    return store.search(_store(spark, sf), "the and thonti", include_history=True, limit=25).select("knowledge_id", "revision", F.col("score").cast("bigint").alias("score"))
+
+
+@query(f"{O.STORE}, bad AS (SELECT knowledge_id, CAST(revision / 2 AS INT) AS revision, canonical_status FROM store) SELECT 'duplicate_revision' AS rule, knowledge_id FROM (SELECT knowledge_id, revision // 2 AS r FROM store GROUP BY 1, 2 HAVING count(*) > 1)")
+def store_integrity(spark, sf):
+    return store.violations(_store(spark, sf).withColumn("revision", F.floor(F.col("revision") / 2).cast("int")))
+
+
+@query(f"""{O.STORE}, notes AS ({_NOTES_DUCK}), old AS (SELECT source_path, CASE WHEN doc_id % 4 = 0 THEN source_hash ELSE 'old' END AS source_hash, 1 AS candidate_revision FROM notes WHERE doc_id % 2 = 0), cur AS (SELECT knowledge_id, revision FROM store WHERE canonical_status = 'CURRENT')
+SELECT 'MBC-' || upper(substr(sha256(n.source_path), 1, 16)) AS candidate_id, coalesce(o.candidate_revision, 0) + 1 AS candidate_revision, n.source_path, CASE WHEN c.revision IS NULL THEN 'SUBMITTED' WHEN base_canonical_revision < c.revision THEN 'CONFLICT_OPEN' ELSE 'REVIEW_READY' END AS status
+FROM notes n LEFT JOIN old o ON o.source_path = n.source_path LEFT JOIN cur c ON c.knowledge_id = n.proposed_knowledge_id WHERE o.source_hash IS DISTINCT FROM n.source_hash""")
+def intake_status(spark, sf):
+    notes, old = _queue(spark, sf)
+    rows = notes.withColumn("content", F.lit("")).withColumn("evidence_ids", F.array().cast("array<string>"))
+    return store.intake(rows, old, _store(spark, sf)).select("candidate_id", "candidate_revision", "source_path", "status")
+
+
+_REVIEW = rf"""{O.STORE}, cur AS (SELECT knowledge_id, revision AS now, lower(trim(summary)) AS ns, lower(trim(content)) AS nc, content AS raw, [CAST(doc_id AS VARCHAR)] AS ne FROM store WHERE canonical_status = 'CURRENT'), n AS ({_NOTES_DUCK}),
+c AS (SELECT n.*, now, ns, nc, ne, lower(trim(CASE WHEN doc_id % 7 < 2 THEN substr(raw, 1, 300) WHEN doc_id % 7 < 4 THEN 'also ' || substr(raw, 1, 400) ELSE 'entirely other words here' END)) AS own, list_sort(list_distinct([CAST(doc_id % 10 AS VARCHAR), CAST(doc_id % 6 AS VARCHAR)])) AS ev FROM n LEFT JOIN cur ON knowledge_id = proposed_knowledge_id),
+w AS (SELECT *, list_distinct(regexp_extract_all(own, '\w+')) AS ow, list_distinct(regexp_extract_all(ns || ' ' || nc, '\w+')) AS nw, len(list_filter(ev, lambda x: NOT list_contains(coalesce(ne, []), x))) AS n_new FROM c),
+k AS (SELECT *, CASE WHEN proposed_knowledge_id IS NULL THEN CASE WHEN proposed_operation = 'CREATE' THEN 'NEW_KNOWLEDGE' ELSE 'INSUFFICIENT_EVIDENCE' END WHEN now IS NULL THEN CASE WHEN proposed_operation IN ('UPDATE', 'SUPERSEDE', 'RETIRE') THEN 'INSUFFICIENT_EVIDENCE' ELSE 'NEW_KNOWLEDGE' END
+  WHEN proposed_operation = 'RETIRE' THEN 'RETIREMENT' WHEN proposed_operation = 'SUPERSEDE' THEN 'SUPERSESSION' WHEN proposed_operation = 'UPDATE' AND base_canonical_revision < now THEN 'CONFLICT' WHEN proposed_operation = 'UPDATE' AND own <> '' AND nc <> '' AND contains(nc, own) THEN 'DUPLICATE'
+  WHEN proposed_operation = 'UPDATE' AND own <> '' AND (own = ns OR len(list_intersect(ow, nw)) * 10 > len(ow) * 8) THEN 'REAFFIRMATION' WHEN proposed_operation = 'UPDATE' THEN 'UPDATE' ELSE 'INSUFFICIENT_EVIDENCE' END AS classification FROM w)"""
+
+
+@query(f"{_REVIEW} SELECT 'C' || CAST(doc_id AS VARCHAR) AS candidate_id, classification FROM k")
+def review_classification(spark, sf):
+    return store.review(_candidates(spark, sf), _store(spark, sf)).select("candidate_id", "classification")
+
+
+@query(f"""{_REVIEW} SELECT 'C' || CAST(doc_id AS VARCHAR) AS candidate_id, classification, n_new, now AS current_revision, CASE WHEN proposed_knowledge_id IS NULL THEN CASE WHEN classification = 'NEW_KNOWLEDGE' THEN 60 ELSE 50 END WHEN now IS NULL THEN 30 WHEN classification = 'DUPLICATE' THEN 95 WHEN classification = 'REAFFIRMATION' THEN 85 WHEN classification = 'CONFLICT' THEN 60 WHEN n_new > 0 THEN least(90, 50 + 10 * n_new) ELSE 70 END AS confidence_pct FROM k""")
+def review_proposals(spark, sf):
+    r = store.review(_candidates(spark, sf), _store(spark, sf))
+    return r.select("candidate_id", "classification", F.col("n_new").cast("bigint").alias("n_new"), "current_revision", F.col("confidence_pct").cast("bigint").alias("confidence_pct"))
+
+
+@query(f"{O.STORE} SELECT knowledge_id, revision FROM store WHERE canonical_status = 'CURRENT' AND approval_status = 'ACCEPTED' AND projection_policy = 'PUBLISH'")
+def publishable(spark, sf):
+    return store.publishable(_store(spark, sf)).select("knowledge_id", "revision")
+
+
+# --- evaluation ---------------------------------------------------------------------------------
+
+_LAB = "SELECT doc_id, CAST(quality AS STRING) AS truth, CAST(CASE WHEN doc_id % 5 = 0 THEN 1 - quality ELSE quality END AS STRING) AS predicted FROM labels"
+
+
+def _labelled(spark, sf):
+    return spark.sql(_LAB.replace("FROM labels", "FROM {l}"), l=views.read(spark, sf, "labels"))
+
+
+@query(f"SELECT truth, predicted, count(*) AS n FROM ({_LAB}) GROUP BY 1, 2")
+def confusion(spark, sf):
+    return evaluation.confusion(_labelled(spark, sf), "truth", "predicted")
+
+
+@query(f"WITH r AS ({_LAB}), c AS (SELECT DISTINCT unnest([truth, predicted]) AS class FROM r) SELECT class, count_if(truth = class AND predicted = class) AS tp, count_if(truth <> class AND predicted = class) AS fp, count_if(truth = class AND predicted <> class) AS fn, count_if(truth = class AND predicted = class) / nullif(count_if(predicted = class), 0) AS precision, count_if(truth = class AND predicted = class) / nullif(count_if(truth = class), 0) AS recall FROM c CROSS JOIN r GROUP BY class")
+def precision_recall(spark, sf):
+    return evaluation.precision_recall(_labelled(spark, sf), "truth", "predicted")
+
+
+@query(f"""{_LAYERS}, t AS (SELECT a.b.cls AS before, z.b.cls AS after, CASE WHEN a.role = 'assistant' THEN 'A0' WHEN a.matched IS NOT NULL THEN 'P0' ELSE 'D0' END AS truth FROM r5 a JOIN r6 z USING (canonical_id))
+SELECT unnest(['own_set_kept', 'no_false_own', 'outside_found']) AS gate, unnest([count_if(before = 'D0' AND after <> 'D0') = 0 AND count_if(before <> 'D0' AND after = 'D0') = 0, count_if(truth = 'A0' AND after = 'D0') = 0, count_if(after = 'P0' AND truth = 'P0') >= count_if(before = 'P0' AND truth = 'P0')]) AS passed FROM t""")
+def gate_report(spark, sf):
+    r = resolver.resolve(_cases(spark, sf))
+    truth = T.cases([(F.col("role") == "assistant", F.lit("A0")), (F.col("matched").isNotNull(), F.lit("P0"))], "D0")
+    return evaluation.gates(r.select("canonical_id", F.col("v5.cls").alias("cls")), r.select("canonical_id", truth.alias("truth"), F.col("v6.cls").alias("cls")), "canonical_id", "truth", "cls")
+
+
+@query(f"SELECT CASE WHEN truth = predicted THEN 'NONE' WHEN truth = '1' THEN 'MISSED' ELSE 'FALSE_ALARM' END AS family, count(*) AS n FROM ({_LAB}) GROUP BY 1")
+def error_families(spark, sf):
+    family = F.when(F.col("truth") == F.col("predicted"), "NONE").when(F.col("truth") == "1", "MISSED").otherwise("FALSE_ALARM")
+    return _labelled(spark, sf).groupBy(family.alias("family")).agg(F.count("*").alias("n"))
+
+
+_CATS = [("long", "length(text) > 2000"), ("short", "length(text) < 200"), ("structured", rx("structured")), ("url", rx("url")), ("quoted", "contains(text, '\"')")]
+
+
+@query(f"SELECT category, count(*) AS n FROM (SELECT unnest(list_filter([{', '.join(f'CASE WHEN {c} THEN {q(n)} END' for n, c in _CATS)}], lambda x: x IS NOT NULL)) AS category FROM documents) GROUP BY 1")
+def category_totals(spark, sf):
+    t = F.col("text")
+    conditions = [F.char_length("text") > 2000, F.char_length("text") < 200, P.holds("structured", t), P.holds("url", t), F.contains("text", F.lit('"'))]
+    flags = F.array_compact(F.array(*(F.when(c, F.lit(n)) for c, (n, _) in zip(conditions, _CATS, strict=True))))
+    return docs(spark, sf).select(F.explode(flags).alias("category")).groupBy("category").agg(F.count("*").alias("n"))
+
+
+@query("SELECT source, lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS n_chars FROM documents GROUP BY 1, 2")
+def source_histogram(spark, sf):
+    return docs(spark, sf).groupBy("source", "lang").agg(F.count("*").alias("n"), F.sum("n_chars").alias("n_chars"))
+
+
+@query("SELECT strftime(ts, '%Y-%m') AS month, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def month_histogram(spark, sf):
+    return views.read(spark, sf, "events").groupBy(F.date_format("ts", "yyyy-MM").alias("month"), "event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count_if(l AND r) AS both, count_if(l AND NOT r) AS only_left, count_if(r AND NOT l) AS only_right FROM (SELECT doc_id % 2 = 0 AS l, doc_id % 3 = 0 AS r FROM documents) WHERE l OR r")
+def set_compare(spark, sf):
+    d = docs(spark, sf).select("doc_id")
+    return evaluation.compare_sets(d.where("doc_id % 2 = 0"), d.where("doc_id % 3 = 0"), "doc_id")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 1 - quality ELSE quality END AS quality FROM labels")
+def label_override(spark, sf):
+    labels = views.read(spark, sf, "labels").select("doc_id", "quality")
+    return evaluation.override(labels, labels.where("doc_id % 4 = 0").withColumn("quality", 1 - F.col("quality")), "doc_id", "quality")
+
+
+@query(f"{O.MSG} SELECT 'duplicate_id' AS rule, canonical_id AS id FROM messages GROUP BY canonical_id HAVING count(*) > 1 UNION ALL SELECT 'bad_id', canonical_id FROM messages WHERE NOT regexp_full_match(canonical_id, 'srcmsg_[a-f0-9]{{32}}')")
+def identity_invariants(spark, sf):
+    m = views.messages(spark, sf)
+    twice = m.groupBy("canonical_id").count().where("count > 1").select(F.lit("duplicate_id").alias("rule"), F.col("canonical_id").alias("id"))
+    return twice.unionByName(m.where(~F.col("canonical_id").rlike(r"^srcmsg_[a-f0-9]{32}\z")).select(F.lit("bad_id").alias("rule"), F.col("canonical_id").alias("id")))
+
+
+@query("SELECT doc_id, lang, nth FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256('seed-1' || CAST(doc_id AS VARCHAR)), doc_id) AS nth FROM documents) WHERE nth <= 20")
+def stratified_sample(spark, sf):
+    return evaluation.stratified_sample(docs(spark, sf), "lang", "doc_id", 20, "seed-1").select("doc_id", "lang", F.col("nth").cast("bigint").alias("nth"))
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 15 AS batch FROM documents")
+def batches(spark, sf):
+    return evaluation.batches(docs(spark, sf), "doc_id")
+
+
+@query("SELECT source, sha256(array_to_string(list_sort(list(sha256(text))), '')) AS release_hash, count(*) AS n FROM documents GROUP BY 1")
+def content_hashes(spark, sf):
+    return docs(spark, sf).groupBy("source").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("text", 256))), ""), 256).alias("release_hash"), F.count("*").alias("n"))
