@@ -159,7 +159,7 @@ class ChunkEncoder(dict):
     LONG = 64
     EMPTY: str | bytes = ""
 
-    def __init__(self, spec: dict, most: int = 400_000):
+    def __init__(self, spec: dict, most: int = 800_000):
         import regex
         from tokenizers import Regex, normalizers, pre_tokenizers
 
@@ -186,17 +186,17 @@ class ChunkEncoder(dict):
         raise NotImplementedError
 
     def word(self, piece: str):
+        # Long words rarely come in two chunks, so only short pieces (marks, digits, endings) are kept by themselves.
+        if len(piece) > 2:
+            return self.pack(self.ids_of(piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.table)))
         found = self.words.get(piece)
         if found is None:
-            symbols = piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.table)
-            found = self.pack(self.ids_of(symbols))
-            if len(piece) <= self.LONG:
-                halve(self.words, self.most)
-                self.words[piece] = found
+            halve(self.words, self.most)
+            found = self.words[piece] = self.pack(self.ids_of(piece.encode().decode("latin-1").translate(self.table)))
         return found
 
     def chunk(self, text: str):
-        if max(text) > "\u024f":
+        if not text.isascii() and max(text) > "\u024f":
             return self.EMPTY.join([self.word(piece) for piece, _ in self.cut(self.normalize(text))])
         # Up to this letter nothing composes or decomposes, and lower case goes by character.
         text = text.lower()
@@ -209,7 +209,8 @@ class ChunkEncoder(dict):
     def __missing__(self, chunk: str):
         found = self.chunk(chunk)
         if len(chunk) <= self.LONG:
-            halve(self, self.most)
+            if len(self) >= self.most:
+                halve(self, self.most)
             self[chunk] = found
         return found
 
@@ -241,7 +242,7 @@ def halve(cache: dict, most: int) -> None:
 class Encoder(ChunkEncoder):
     """Encodes by backtracking; ids are packed in decimal, each after a space."""
 
-    def __init__(self, text: str, most: int = 400_000):
+    def __init__(self, text: str, most: int = 800_000):
         super().__init__(json.loads(text), most)
         self.v = Vocabulary(text)
         self.ids_of = self.v.encode

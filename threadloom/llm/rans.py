@@ -37,7 +37,7 @@ MAGIC = b"TLRA"
 SCALE = 20  # bits of the frequencies' sum
 LANES = 256
 BLOCK = 65_536
-GROUP = 8  # blocks coded side by side
+GROUP = 16  # blocks coded side by side
 FLOOR = np.uint64(1 << 31)
 
 
@@ -49,14 +49,16 @@ class LibraryEncoder(ChunkEncoder):
     def __init__(self, text: str, width: str):
         from tokenizers import Tokenizer
 
-        super().__init__(json.loads(text), 600_000)
-        self.model, self.format = Tokenizer.from_str(text).model, "<%d" + width[1:].replace("u2", "H").replace("u4", "I")
+        super().__init__(json.loads(text), 1_000_000)
+        self.tokenize, self.format = Tokenizer.from_str(text).model.tokenize, "<%d" + width[1:].replace("u2", "H").replace("u4", "I")
+        self.packers = [struct.Struct(self.format % n).pack for n in range(16)]
 
     def ids_of(self, symbols: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(symbols)]
+        return [t.id for t in self.tokenize(symbols)]
 
     def pack(self, ids: list[int]) -> bytes:
-        return struct.pack(self.format % len(ids), *ids)
+        n = len(ids)
+        return self.packers[n](*ids) if n < 16 else struct.pack(self.format % n, *ids)
 
 
 _KEPT: dict[int, LibraryEncoder] = {}
@@ -144,9 +146,9 @@ class Coder:
             out[:, t] = s
             x = self.f[s] * (x >> np.uint64(SCALE)) + slot - self.low[s]
             short = x < FLOOR
-            place = at[:, None] + np.cumsum(short, 1) - 1
-            at = at + short.sum(1)
-            x = np.where(short, (x << np.uint64(32)) | flat[np.where(short, place, 0)], x)
+            ends = np.cumsum(short, 1)
+            x[short] = (x[short] << np.uint64(32)) | flat[(at[:, None] + ends - 1)[short]]
+            at = at + ends[:, -1]
         return out
 
 
