@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import resident, slices
 
 MAX_FILE_MB = 64  # what may be broadcast: tokenizer files are a few MB and don't grow with the data
 FINAL = 0xE000  # a word's last symbol stands in this private range
@@ -159,7 +159,7 @@ class ChunkEncoder(dict):
     LONG = 64
     EMPTY: str | bytes = ""
 
-    def __init__(self, spec: dict, most: int = 800_000):
+    def __init__(self, spec: dict, most: int = 400_000):
         import regex
         from tokenizers import Regex, normalizers, pre_tokenizers
 
@@ -242,7 +242,7 @@ def halve(cache: dict, most: int) -> None:
 class Encoder(ChunkEncoder):
     """Encodes by backtracking; ids are packed in decimal, each after a space."""
 
-    def __init__(self, text: str, most: int = 800_000):
+    def __init__(self, text: str, most: int = 400_000):
         super().__init__(json.loads(text), most)
         self.v = Vocabulary(text)
         self.ids_of = self.v.encode
@@ -255,17 +255,6 @@ class Encoder(ChunkEncoder):
         return self.packed(text)[1:]
 
 
-_KEPT: dict[int, Encoder] = {}
-
-
-def _encoder(text: str) -> Encoder:
-    key = hash(text)
-    if key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[key] = Encoder(text)
-    return _KEPT[key]
-
-
 def decode_text(vocabulary: Vocabulary, decimal: str, step: int = 400_000) -> str:
     """Decodes ids given in decimal, a bounded piece at a time."""
     out, at = [], 0
@@ -296,7 +285,7 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(shared.value)
+        encode = resident(("bpe", shared.value), lambda: Encoder(shared.value))
         for batch in slices(batches, "text"):
             texts = [t[1:] for t in encode.batch(batch.column(1))]
             made = {"id": batch.column(0), "n_tokens": pa.array([t.count(" ") + 1 if t else 0 for t in texts], pa.int64())}

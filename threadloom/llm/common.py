@@ -59,6 +59,30 @@ def ascii_lower(column):
     return F.translate(column, UPPER, UPPER.lower())
 
 
+_RESIDENT: dict = {}
+
+
+def resident(key: tuple, make):
+    """What ``make`` gives, kept for later tasks of this Python worker. A worker keeps one such object only: another operator's cache goes first."""
+    if key not in _RESIDENT:
+        _RESIDENT.clear()
+        release_memory()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def release_memory() -> None:
+    """Gives freed memory back to the system, since workers outlive tasks and stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that each holds about ``most`` bytes of text at most (a longer single text stands alone)."""
     for batch in batches:
@@ -72,6 +96,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000)
             to = max(at + 1, int(np.searchsorted(ends, base + most, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    release_memory()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

@@ -43,24 +43,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialize, mix64, slices, split_words
+from .common import WordHashes, materialize, mix64, resident, slices, split_words
 from .graph import components
 
 WORDS = 16  # of 64 bits in the shortest sketch, to which all can be folded
 SMALL = 30  # up to so many elements, a band uses single elements
 LOCAL_HOT = 16  # a signature of so many documents in one slice is forwarded once
 WEIGHTS = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)  # with no sums in common
-_HASHES: list[WordHashes] = []
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text (A-Z lower-cased)."""
     import pyarrow.compute as pc
 
-    if not _HASHES:
-        _HASHES.append(WordHashes())
+    hashes = resident(("word hashes",), WordHashes)
     words, bounds = split_words(pc.ascii_lower(pc.fill_null(texts, "")))
-    h = _HASHES[0].of(words)
+    h = hashes.of(words)
     total = max(0, len(h) - n + 1)
     rolled = np.zeros(total, np.uint64)
     for j in range(n):

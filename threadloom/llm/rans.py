@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import ChunkEncoder, tokenizer_json
-from .common import materialize, shared_path, slices
+from .common import materialize, resident, shared_path, slices
 
 MAGIC = b"TLRA"
 SCALE = 20  # bits of the frequencies' sum
@@ -61,9 +61,6 @@ class LibraryEncoder(ChunkEncoder):
         return self.packers[n](*ids) if n < 16 else struct.pack(self.format % n, *ids)
 
 
-_KEPT: dict[int, LibraryEncoder] = {}
-
-
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """(id, n, ids in little-endian bytes) of each row with ``end_id`` after it, and the ids' width."""
     text = tokenizer_json(tokenizer)
@@ -73,14 +70,11 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
     shared = docs.sparkSession.sparkContext.broadcast(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash((shared.value, width))
-        if key not in _KEPT:
-            _KEPT.clear()
-            _KEPT[key] = LibraryEncoder(shared.value, width)
+        encode = resident(("library", width, shared.value), lambda: LibraryEncoder(shared.value, width))
         end = np.array([end_id], width).tobytes()
         size = len(end)
         for batch in slices(batches, "text"):
-            ids = [x + end for x in _KEPT[key].batch(batch.column(1))]
+            ids = [x + end for x in encode.batch(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // size for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["id", "n", "ids"])
 
     kind = dict(docs.dtypes)[id_col]
