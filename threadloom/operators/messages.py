@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-CONVERSATION = Window.partitionBy("conversation_id")
+
+def in_conversation():
+    return Window.partitionBy("conversation_id")
 
 
 def main_path(nodes: DataFrame, heads: DataFrame, rounds: int = 20) -> DataFrame:
@@ -29,7 +31,7 @@ def main_path(nodes: DataFrame, heads: DataFrame, rounds: int = 20) -> DataFrame
             reached = grown
             break
         reached = grown
-    depth = F.max("steps").over(CONVERSATION)
+    depth = F.max("steps").over(in_conversation())
     path = reached.select(*keys, (depth - F.col("steps")).alias("sequence_index"))
     return nodes.join(path, keys, "left").select(*keys, "sequence_index", F.when(F.col("sequence_index").isNotNull(), "main").otherwise("alternate").alias("branch"))
 
@@ -67,21 +69,21 @@ def merge_delta(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def chronology(rows: DataFrame, row_number: str, first_role: str = "user") -> DataFrame:
     """Rows of a flat export in order of time, the person first on ties, and whether a conversation had to be reordered."""
-    order = CONVERSATION.orderBy("ts", F.when(F.col("role") == first_role, 0).otherwise(1), row_number)
-    placed = rows.withColumn("sequence_index", F.row_number().over(order) - 1).withColumn("was", F.row_number().over(CONVERSATION.orderBy(row_number)) - 1)
-    return placed.withColumn("reordered", F.max((F.col("was") != F.col("sequence_index")).cast("int")).over(CONVERSATION)).drop("was")
+    order = in_conversation().orderBy("ts", F.when(F.col("role") == first_role, 0).otherwise(1), row_number)
+    placed = rows.withColumn("sequence_index", F.row_number().over(order) - 1).withColumn("was", F.row_number().over(in_conversation().orderBy(row_number)) - 1)
+    return placed.withColumn("reordered", F.max((F.col("was") != F.col("sequence_index")).cast("int")).over(in_conversation())).drop("was")
 
 
 def neighbours(messages: DataFrame) -> DataFrame:
     """Each message with its neighbours on the main branch: role of the turn just before, id of that just after."""
-    order = CONVERSATION.orderBy("turn")
+    order = in_conversation().orderBy("turn")
     adjacent = lambda f, c, d: F.when(f("turn").over(order) == F.col("turn") + d, f(c).over(order))
     return messages.withColumns({"prev_role": adjacent(F.lag, "role", -1), "prev_id": adjacent(F.lag, "canonical_id", -1), "next_id": adjacent(F.lead, "canonical_id", 1)})
 
 
 def context(messages: DataFrame, targets: DataFrame, radius: int = 8) -> DataFrame:
     """Messages within ``radius`` places of each target (canonical_id) of their conversation."""
-    placed = messages.select("canonical_id", "conversation_id", F.row_number().over(CONVERSATION.orderBy("turn")).alias("place"))
+    placed = messages.select("canonical_id", "conversation_id", F.row_number().over(in_conversation().orderBy("turn")).alias("place"))
     aim = placed.join(targets.select("canonical_id"), "canonical_id", "left_semi").select("conversation_id", F.col("canonical_id").alias("target_id"), F.col("place").alias("at"))
     return placed.join(aim, "conversation_id").where(F.abs(F.col("place") - F.col("at")) <= radius).select("target_id", "canonical_id", (F.col("place") - F.col("at")).alias("offset"))
 

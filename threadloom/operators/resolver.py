@@ -28,41 +28,55 @@ def _verdict(rules: list[Rule], default: tuple) -> Column:
     return cases([(c, made(v)) for c, v in rules], made(default))
 
 
-TEXT, BARE = F.col("text"), _strip(F.col("text"))
-SIZE, BARE_SIZE = F.char_length("text"), F.char_length(_strip(F.col("text")))
-HAS_ORIGIN = F.col("matched").isNotNull()
-AFTER_ASSISTANT = F.coalesce(F.col("prev_role") == "assistant", F.lit(False))
+class _Case:
+    """The case's columns, made when they are asked for: without a session there are none."""
 
+    text = property(lambda _: F.col("text"))
+    bare = property(lambda _: _strip(F.col("text")))
+    size = property(lambda _: F.char_length("text"))
+    bare_size = property(lambda _: F.char_length(_strip(F.col("text"))))
+    has_origin = property(lambda _: F.col("matched").isNotNull())
+    after_assistant = property(lambda _: F.coalesce(F.col("prev_role") == "assistant", F.lit(False)))
+    substantial = property(lambda c: c.has_origin & (F.col("matched") * 100 >= F.greatest(F.col("total"), F.lit(1)) * 15))
 
-def adoption_v1(text: Column = TEXT) -> Column:
+
+C = _Case()
+
+
+def adoption_v1(text: Column | None = None) -> Column:
+    text = C.text if text is None else text
     bare = F.char_length(_strip(text))
     return cases([(P.holds("modification", text), F.lit("AD4")), (P.holds("approval", text), F.lit("AD3")), (P.holds("rejection", text), F.lit("AD0")), (P.holds("submission", text), F.lit("AD1")), ((bare > 50) & (F.char_length(text) >= 60), F.lit("AD1"))], "AD0")
 
 
-def adoption_v2(cls: str, text: Column = TEXT) -> Column:
+def adoption_v2(cls: str, text: Column | None = None) -> Column:
+    text = C.text if text is None else text
     if cls in ("A0", "P0"):
         return F.lit({"A0": "AD0", "P0": "AD1"}[cls])
     bare = _strip(text)
     return cases([(P.holds("modification", text), F.lit("AD4")), (P.holds("approval", bare), F.lit("AD3")), (P.holds("rejection", text), F.lit("AD0")), (P.holds("submission", text), F.lit("AD1")), (F.char_length(bare) > 50, F.lit("AD1"))], "AD0")
 
 
-def adoption_v3(text: Column = TEXT) -> Column:
+def adoption_v3(text: Column | None = None) -> Column:
+    text = C.text if text is None else text
     bare = _strip(text)
-    return cases([(AFTER_ASSISTANT & P.holds("yes_but_100", bare), F.lit("AD4")), (AFTER_ASSISTANT & P.holds("yes_3", bare), F.lit("AD3"))], "AD0")
+    return cases([(C.after_assistant & P.holds("yes_but_100", bare), F.lit("AD4")), (C.after_assistant & P.holds("yes_3", bare), F.lit("AD3"))], "AD0")
 
 
-def adoption_v4(text: Column = TEXT) -> Column:
+def adoption_v4(text: Column | None = None) -> Column:
+    text = C.text if text is None else text
     bare = _strip(text)
-    return cases([(~AFTER_ASSISTANT, F.lit("AD0")), (P.holds("yes_but_180", bare), F.lit("AD4")), (P.holds("yes_4", bare), F.lit("AD3")), (P.holds("ask_4", bare), F.lit("AD1"))], "AD0")
+    return cases([(~C.after_assistant, F.lit("AD0")), (P.holds("yes_but_180", bare), F.lit("AD4")), (P.holds("yes_4", bare), F.lit("AD3")), (P.holds("ask_4", bare), F.lit("AD1"))], "AD0")
 
 
-def adoption_gate5(text: Column = TEXT, transformation: Column | None = None) -> Column:
+def adoption_gate5(text: Column | None = None, transformation: Column | None = None) -> Column:
+    text = C.text if text is None else text
     bare = _strip(text)
-    n, carried = F.char_length(bare), AFTER_ASSISTANT if transformation is None else AFTER_ASSISTANT | transformation
+    n, carried = F.char_length(bare), C.after_assistant if transformation is None else C.after_assistant | transformation
     return cases(
         [
-            (P.holds("gate_reject", bare), F.lit("AD0")), (AFTER_ASSISTANT & (n <= 180) & P.holds("yes_but_100", bare), F.lit("AD4")), (carried & P.holds("gate_transform", bare) & (n <= 400), F.lit("AD4")),
-            (AFTER_ASSISTANT & P.holds("gate_adopt", bare), F.lit("AD3")), (AFTER_ASSISTANT & P.holds("gate_continue", bare), F.lit("AD1")),
+            (P.holds("gate_reject", bare), F.lit("AD0")), (C.after_assistant & (n <= 180) & P.holds("yes_but_100", bare), F.lit("AD4")), (carried & P.holds("gate_transform", bare) & (n <= 400), F.lit("AD4")),
+            (C.after_assistant & P.holds("gate_adopt", bare), F.lit("AD3")), (C.after_assistant & P.holds("gate_continue", bare), F.lit("AD1")),
         ],
         "AD0",
     )
@@ -70,23 +84,23 @@ def adoption_gate5(text: Column = TEXT, transformation: Column | None = None) ->
 
 def resolver_v1() -> Column:
     a, same = adoption_v1(), F.coalesce(F.col("same_conversation"), F.lit(False))
-    strong = HAS_ORIGIN & ((F.col("matched") >= 15) | ((F.col("matched") >= 8) & (F.col("matched") * 100 >= F.greatest(F.col("total"), F.lit(1)) * 35)))
-    lead = first_line(BARE)
+    strong = C.has_origin & ((F.col("matched") >= 15) | ((F.col("matched") >= 8) & (F.col("matched") * 100 >= F.greatest(F.col("total"), F.lit(1)) * 35)))
+    lead = first_line(C.bare)
     carrier = (lead != "") & (P.holds("submission", lead) | P.holds("carrier_leadin", lead))
     return _verdict(
         [
             (F.col("role") == "assistant", ("A0", "PC4", "AD0", False)),
-            (P.holds("rejection", BARE) & (BARE_SIZE < 250), ("X0", "PC4", "AD0", False)),
-            (P.external_fingerprint(TEXT).isNotNull() & ~F.col("opening"), ("P0", "PC2", a, True)),
-            (strong & (SIZE > 200) & (F.char_length(lead) < 120) & ~carrier, ("MIXED", "PC4", a, True)),
+            (P.holds("rejection", C.bare) & (C.bare_size < 250), ("X0", "PC4", "AD0", False)),
+            (P.external_fingerprint(C.text).isNotNull() & ~F.col("opening"), ("P0", "PC2", a, True)),
+            (strong & (C.size > 200) & (F.char_length(lead) < 120) & ~carrier, ("MIXED", "PC4", a, True)),
             (strong & ~same, ("P0", "PC4", a, False)),
-            (HAS_ORIGIN & same, ("P0", "PC4", a, False)),
-            ((P.holds("paste_markers", TEXT) | P.holds("submission", TEXT)) & (SIZE > 300) & ~carrier, ("MIXED", "PC3", a, True)),
-            (~HAS_ORIGIN & P.roleplay_marketing(TEXT), ("UNRESOLVED", "PC1", a, True)),
-            (F.col("opening") & (SIZE < 200) & ~P.holds("structured", TEXT), ("D0", "PC4", "AD0", False)),
-            ((SIZE < 200) & ~P.holds("structured", TEXT) & ~P.holds("paste_markers", TEXT), ("D0", "PC3", a, False)),
-            (P.holds("structured", TEXT) & ~HAS_ORIGIN, ("D0", "PC1", a, True)),
-            (P.holds("weak", TEXT) | ((SIZE > 300) & ~F.col("opening") & ~HAS_ORIGIN), ("UNRESOLVED", "PC1", a, True)),
+            (C.has_origin & same, ("P0", "PC4", a, False)),
+            ((P.holds("paste_markers", C.text) | P.holds("submission", C.text)) & (C.size > 300) & ~carrier, ("MIXED", "PC3", a, True)),
+            (~C.has_origin & P.roleplay_marketing(C.text), ("UNRESOLVED", "PC1", a, True)),
+            (F.col("opening") & (C.size < 200) & ~P.holds("structured", C.text), ("D0", "PC4", "AD0", False)),
+            ((C.size < 200) & ~P.holds("structured", C.text) & ~P.holds("paste_markers", C.text), ("D0", "PC3", a, False)),
+            (P.holds("structured", C.text) & ~C.has_origin, ("D0", "PC1", a, True)),
+            (P.holds("weak", C.text) | ((C.size > 300) & ~F.col("opening") & ~C.has_origin), ("UNRESOLVED", "PC1", a, True)),
         ],
         ("D0", "PC2", a, False),
     )
@@ -95,47 +109,45 @@ def resolver_v1() -> Column:
 def resolver_v2() -> Column:
     same = F.coalesce(F.col("same_conversation"), F.lit(False))
     total = F.greatest(F.col("total"), F.lit(1))
-    strong = HAS_ORIGIN & F.when(same, (F.col("matched") >= 2) & (F.col("matched") * 100 >= total * 15)).otherwise((F.col("matched") >= 3) & (F.col("matched") * 100 >= total * 20))
-    lead = F.char_length(first_line(BARE))
-    structured = P.holds("structured", TEXT)
-    numbered = (P.holds("pros", BARE) & P.holds("cons", BARE)) | P.holds("listicle", BARE)
-    fingerprint = numbered | P.holds("narrative", BARE)
+    strong = C.has_origin & F.when(same, (F.col("matched") >= 2) & (F.col("matched") * 100 >= total * 15)).otherwise((F.col("matched") >= 3) & (F.col("matched") * 100 >= total * 20))
+    lead = F.char_length(first_line(C.bare))
+    structured = P.holds("structured", C.text)
+    numbered = (P.holds("pros", C.bare) & P.holds("cons", C.bare)) | P.holds("listicle", C.bare)
+    fingerprint = numbered | P.holds("narrative", C.bare)
     return _verdict(
         [
             (F.col("role") == "assistant", ("A0", "PC4", "AD0", False)),
-            (P.holds("short_correction", BARE) & (BARE_SIZE < 200), ("X0", "PC4", "AD0", False)),
+            (P.holds("short_correction", C.bare) & (C.bare_size < 200), ("X0", "PC4", "AD0", False)),
             (fingerprint & ~F.col("opening"), ("P0", "PC2", "AD1", True)),
-            (strong & (SIZE > 200) & lead.between(10, 150), ("MIXED", "PC4", adoption_v2("MIXED"), True)),
+            (strong & (C.size > 200) & lead.between(10, 150), ("MIXED", "PC4", adoption_v2("MIXED"), True)),
             (strong, ("P0", "PC4", "AD1", False)),
-            ((P.holds("paste_markers", TEXT) | P.holds("submission", TEXT)) & (SIZE > 300), ("MIXED", "PC3", adoption_v2("MIXED"), True)),
-            (F.col("opening") & (BARE_SIZE < 200) & ~structured, ("D0", "PC4", adoption_v2("D0"), False)),
-            ((BARE_SIZE < 200) & ~structured & ~P.holds("paste_markers", TEXT) & ~numbered, ("D0", "PC3", adoption_v2("D0"), False)),
-            ((structured | numbered | (SIZE > 200)) & HAS_ORIGIN & same, ("P0", "PC3", "AD1", True)),
+            ((P.holds("paste_markers", C.text) | P.holds("submission", C.text)) & (C.size > 300), ("MIXED", "PC3", adoption_v2("MIXED"), True)),
+            (F.col("opening") & (C.bare_size < 200) & ~structured, ("D0", "PC4", adoption_v2("D0"), False)),
+            ((C.bare_size < 200) & ~structured & ~P.holds("paste_markers", C.text) & ~numbered, ("D0", "PC3", adoption_v2("D0"), False)),
+            ((structured | numbered | (C.size > 200)) & C.has_origin & same, ("P0", "PC3", "AD1", True)),
         ],
         ("UNRESOLVED", "PC1", adoption_v2("UNRESOLVED"), True),
     )
 
 
-SUBSTANTIAL = HAS_ORIGIN & (F.col("matched") * 100 >= F.greatest(F.col("total"), F.lit(1)) * 15)
-
 
 def resolver_v3(mixed: bool = True) -> Column:
     """``mixed=False`` gives the class below the mixed flag."""
-    external = P.external_fingerprint(TEXT).isNotNull()
-    control = (F.col("role") == "user") & AFTER_ASSISTANT & (BARE_SIZE <= 180) & P.holds("control_act", BARE) & ~F.contains(BARE, F.lit("\n\n"))
-    flag = SUBSTANTIAL & (SIZE > 80) & P.holds("mixed_lead", TEXT)
+    external = P.external_fingerprint(C.text).isNotNull()
+    control = (F.col("role") == "user") & C.after_assistant & (C.bare_size <= 180) & P.holds("control_act", C.bare) & ~F.contains(C.bare, F.lit("\n\n"))
+    flag = C.substantial & (C.size > 80) & P.holds("mixed_lead", C.text)
     rules = [(F.col("role") == "assistant", ("A0", "PC4", "AD0", False))] + ([(flag, ("MIXED", "PC3", "AD0", True))] if mixed else [])
-    return _verdict(rules + [(SUBSTANTIAL, ("P0", "PC4", adoption_v3(), False)), (external, ("P0", "PC4", "AD0", False)), (control, ("D0", "PC3", adoption_v3(), False))], ("UNRESOLVED", "PC0", "AD0", True))
+    return _verdict(rules + [(C.substantial, ("P0", "PC4", adoption_v3(), False)), (external, ("P0", "PC4", "AD0", False)), (control, ("D0", "PC3", adoption_v3(), False))], ("UNRESOLVED", "PC0", "AD0", True))
 
 
 def _boundary() -> Column:
     """Places before the first blank line, else the first line feed (null: none)."""
-    at = lambda x: F.nullif(F.instr(TEXT, x), F.lit(0)) - 1
+    at = lambda x: F.nullif(F.instr(C.text, x), F.lit(0)) - 1
     return F.coalesce(at("\n\n"), at("\n"))
 
 
 def _first_cut() -> Column:
-    at = lambda x: F.when(F.instr(TEXT, x) - 1 >= 5, F.instr(TEXT, x) - 1)
+    at = lambda x: F.when(F.instr(C.text, x) - 1 >= 5, F.instr(C.text, x) - 1)
     return F.least(at("\n\n"), at("  "), at(":"))
 
 
@@ -143,18 +155,18 @@ def resolver_v4(base: str = "v3") -> Column:
     """On a column with v3's verdict."""
     b = F.col(base)
     cut, first = _boundary(), _first_cut()
-    wrapped = P.holds("transcript_below", TEXT) & ((SIZE - F.instr(F.lower("text"), "the entire transcript is given below")) > 60) & F.contains(F.lower("text"), F.lit("is given below.\n"))
-    carrier = P.holds("carrier_prefix", TEXT)
-    split = wrapped | (carrier & cut.between(5, 300) & (SIZE - cut > 40))
-    prior = SUBSTANTIAL & F.coalesce(F.col("prior"), F.lit(False))
+    wrapped = P.holds("transcript_below", C.text) & ((C.size - F.instr(F.lower("text"), "the entire transcript is given below")) > 60) & F.contains(F.lower("text"), F.lit("is given below.\n"))
+    carrier = P.holds("carrier_prefix", C.text)
+    split = wrapped | (carrier & cut.between(5, 300) & (C.size - cut > 40))
+    prior = C.substantial & F.coalesce(F.col("prior"), F.lit(False))
     lead_adoption = F.when(wrapped, adoption_v4()).otherwise(adoption_v4(F.expr("substring(text, 1, coalesce(nullif(instr(text, '\n\n'), 0), nullif(instr(text, '\n'), 0)) - 1)")))
     return _verdict(
         [
             (b["cls"].isin("D0", "A0"), (b["cls"], b["certainty"], b["adoption"], b["review"])),
             (split, ("MIXED", b["certainty"], lead_adoption, True)),
-            (prior & carrier & (first <= 300) & (SIZE - first > 30), ("MIXED", b["certainty"], b["adoption"], True)),
+            (prior & carrier & (first <= 300) & (C.size - first > 30), ("MIXED", b["certainty"], b["adoption"], True)),
             (prior, ("P0", b["certainty"], adoption_v4(), False)),
-            (P.holds("import_markers", TEXT), ("UNRESOLVED", b["certainty"], b["adoption"], True)),
+            (P.holds("import_markers", C.text), ("UNRESOLVED", b["certainty"], b["adoption"], True)),
         ],
         (b["cls"], b["certainty"], b["adoption"], b["review"]),
     )
@@ -163,9 +175,9 @@ def resolver_v4(base: str = "v3") -> Column:
 def resolver_gate5(base: str = "v3", plain: str = "v3_plain") -> Column:
     """On columns with v3's verdict, with the mixed flag and without."""
     b, p = F.col(base), F.col(plain)
-    lead = first_line(BARE)
-    wrap = P.holds("transcript_below", BARE)
-    transform = HAS_ORIGIN & (F.col("matched") * 10 >= F.greatest(F.col("total"), F.lit(1)) * 8) & (F.char_length(lead) <= 160) & P.holds("transform_lead", lead) & (BARE_SIZE > 250)
+    lead = first_line(C.bare)
+    wrap = P.holds("transcript_below", C.bare)
+    transform = C.has_origin & (F.col("matched") * 10 >= F.greatest(F.col("total"), F.lit(1)) * 8) & (F.char_length(lead) <= 160) & P.holds("transform_lead", lead) & (C.bare_size > 250)
     before = F.expr("substring(text, 1, instr(lower(text), 'the entire transcript is given below') - 1)")
     lead_text = F.when(wrap, before).otherwise(lead)
     under = F.when(b["cls"] == "MIXED", p).otherwise(b)
@@ -182,13 +194,13 @@ def resolver_gate5(base: str = "v3", plain: str = "v3_plain") -> Column:
 def resolver_v5(base: str = "v4") -> Column:
     b = F.col(base)
     first = _first_cut()
-    prior = SUBSTANTIAL & F.coalesce(F.col("prior"), F.lit(False))
-    material = P.holds("material_transformation", TEXT)
+    prior = C.substantial & F.coalesce(F.col("prior"), F.lit(False))
+    material = P.holds("material_transformation", C.text)
     return _verdict(
         [
             (b["cls"].isin("D0", "A0"), (b["cls"], b["certainty"], b["adoption"], b["review"])),
-            (P.holds("correction_of_supplied", TEXT), ("UNRESOLVED", b["certainty"], b["adoption"], True)),
-            (prior & P.holds("traceable_carrier", TEXT) & (first <= 300) & (SIZE - first > 30), ("MIXED", b["certainty"], F.when(material, "AD4").otherwise(b["adoption"]), True)),
+            (P.holds("correction_of_supplied", C.text), ("UNRESOLVED", b["certainty"], b["adoption"], True)),
+            (prior & P.holds("traceable_carrier", C.text) & (first <= 300) & (C.size - first > 30), ("MIXED", b["certainty"], F.when(material, "AD4").otherwise(b["adoption"]), True)),
             (material, (b["cls"], b["certainty"], "AD4", b["review"])),
         ],
         (b["cls"], b["certainty"], b["adoption"], b["review"]),
@@ -198,19 +210,19 @@ def resolver_v5(base: str = "v4") -> Column:
 def resolver_v6(base: str = "v5") -> Column:
     b = F.col(base)
     cut = _boundary()
-    body = cut.between(5, 300) & (SIZE - cut > 40)
+    body = cut.between(5, 300) & (C.size - cut > 40)
     lead = F.when(cut.between(5, 300), F.expr("substring(text, 1, coalesce(nullif(instr(text, '\n\n'), 0), nullif(instr(text, '\n'), 0)) - 1)")).otherwise("")
-    prior = SUBSTANTIAL & F.coalesce(F.col("prior"), F.lit(False))
-    marked = P.holds("external_markers", TEXT)
-    demoted = cases([(P.holds("transcript_template", TEXT), F.lit("AD3")), (P.holds("transform_hint", TEXT), F.lit("AD4")), (P.holds("style_carrier", TEXT), F.lit("AD2"))], b["adoption"])
-    carried = P.holds("transcript_template", TEXT) | P.holds("style_carrier", lead) | P.holds("paste_markers", TEXT) | P.holds("submission", TEXT) | P.holds("structured", TEXT)
-    directive = (BARE_SIZE <= 400) & ~F.contains(BARE, F.lit("\n\n")) & ~marked & P.holds("directive", BARE)
+    prior = C.substantial & F.coalesce(F.col("prior"), F.lit(False))
+    marked = P.holds("external_markers", C.text)
+    demoted = cases([(P.holds("transcript_template", C.text), F.lit("AD3")), (P.holds("transform_hint", C.text), F.lit("AD4")), (P.holds("style_carrier", C.text), F.lit("AD2"))], b["adoption"])
+    carried = P.holds("transcript_template", C.text) | P.holds("style_carrier", lead) | P.holds("paste_markers", C.text) | P.holds("submission", C.text) | P.holds("structured", C.text)
+    directive = (C.bare_size <= 400) & ~F.contains(C.bare, F.lit("\n\n")) & ~marked & P.holds("directive", C.bare)
     mixed = b["cls"] == "MIXED"
     return _verdict(
         [
-            (mixed & P.holds("own_artifact", TEXT), ("UNRESOLVED", b["certainty"], b["adoption"], True)),
-            (mixed & (P.holds("substantive", lead) | P.holds("thread", TEXT)), (b["cls"], b["certainty"], b["adoption"], b["review"])),
-            (mixed & ((body & carried) | marked | P.external_fingerprint(TEXT).isNotNull()), ("P0", b["certainty"], demoted, ~prior)),
+            (mixed & P.holds("own_artifact", C.text), ("UNRESOLVED", b["certainty"], b["adoption"], True)),
+            (mixed & (P.holds("substantive", lead) | P.holds("thread", C.text)), (b["cls"], b["certainty"], b["adoption"], b["review"])),
+            (mixed & ((body & carried) | marked | P.external_fingerprint(C.text).isNotNull()), ("P0", b["certainty"], demoted, ~prior)),
             (mixed, ("UNRESOLVED", b["certainty"], b["adoption"], True)),
             ((b["cls"] == "P0") & directive, ("UNRESOLVED", b["certainty"], b["adoption"], True)),
         ],
