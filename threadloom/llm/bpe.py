@@ -186,8 +186,11 @@ class ChunkEncoder(dict):
         raise NotImplementedError
 
     def word(self, piece: str):
-        # Long words rarely come in two chunks, so only short pieces (marks, digits, endings) are kept by themselves.
+        # A word that stood alone is known as a chunk; besides chunks only short pieces (marks, digits, endings) are kept.
         if len(piece) > 2:
+            found = self.get(piece)
+            if found is not None:
+                return found
             return self.pack(self.ids_of(piece if piece.isascii() and piece.isalnum() else piece.encode().decode("latin-1").translate(self.table)))
         found = self.words.get(piece)
         if found is None:
