@@ -92,3 +92,23 @@ def graph_breaks(messages: DataFrame) -> DataFrame:
     """Messages whose parent isn't in their conversation: none in a sound table."""
     ids = messages.select("conversation_id", F.col("message_id").alias("parent_message_id"))
     return messages.where("parent_message_id IS NOT NULL").join(ids, ["conversation_id", "parent_message_id"], "left_anti").select("canonical_id", "conversation_id", "parent_message_id")
+
+
+def ancestors(messages: DataFrame, hops: int = 3) -> DataFrame:
+    """(canonical_id, hop, ancestor): each message's parents, up to ``hops`` above."""
+    up = messages.select("conversation_id", F.col("message_id").alias("at"), "canonical_id", F.col("parent_message_id").alias("next"))
+    walk, out = up.select("canonical_id", "conversation_id", "next"), None
+    for hop in range(1, hops + 1):
+        step = walk.join(up.select("conversation_id", F.col("at").alias("next"), F.col("canonical_id").alias("ancestor"), F.col("next").alias("above")), ["conversation_id", "next"])
+        made = step.select("canonical_id", F.lit(hop).alias("hop"), "ancestor")
+        out = made if out is None else out.unionByName(made)
+        walk = step.select("canonical_id", "conversation_id", F.col("above").alias("next"))
+    return out
+
+
+def compare_exports(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(conversation_id, same, changed, extra, missing): messages of two exports by id and text."""
+    a = old.select("conversation_id", "message_id", F.md5(F.col("text").cast("binary")).alias("a"))
+    b = new.select("conversation_id", "message_id", F.md5(F.col("text").cast("binary")).alias("b"))
+    both = a.join(b, ["conversation_id", "message_id"], "full")
+    return both.groupBy("conversation_id").agg(F.count_if(F.col("a") == F.col("b")).alias("same"), F.count_if(F.col("a") != F.col("b")).alias("changed"), F.count_if(F.col("a").isNull()).alias("extra"), F.count_if(F.col("b").isNull()).alias("missing"))

@@ -146,6 +146,12 @@ def _boundary() -> Column:
     return F.coalesce(at("\n\n"), at("\n"))
 
 
+def _imported_lead() -> Column:
+    """What stands before imported text, with the line that announces it; empty without."""
+    heads = [F.regexp_extract("text", p, 1) for p in P.IMPORT_BOUNDARIES]
+    return cases([(F.char_length(h).between(5, C.size - 21), h) for h in heads], "")
+
+
 def _first_cut() -> Column:
     at = lambda x: F.when(F.instr(C.text, x) - 1 >= 5, F.instr(C.text, x) - 1)
     return F.least(at("\n\n"), at("  "), at(":"))
@@ -155,11 +161,12 @@ def resolver_v4(base: str = "v3") -> Column:
     """On a column with v3's verdict."""
     b = F.col(base)
     cut, first = _boundary(), _first_cut()
-    wrapped = P.holds("transcript_below", C.text) & ((C.size - F.instr(F.lower("text"), "the entire transcript is given below")) > 60) & F.contains(F.lower("text"), F.lit("is given below.\n"))
+    lead = _imported_lead()
+    wrapped = lead != ""
     carrier = P.holds("carrier_prefix", C.text)
     split = wrapped | (carrier & cut.between(5, 300) & (C.size - cut > 40))
     prior = C.substantial & F.coalesce(F.col("prior"), F.lit(False))
-    lead_adoption = F.when(wrapped, adoption_v4()).otherwise(adoption_v4(F.expr("substring(text, 1, coalesce(nullif(instr(text, '\n\n'), 0), nullif(instr(text, '\n'), 0)) - 1)")))
+    lead_adoption = F.when(wrapped, adoption_v4(lead)).otherwise(adoption_v4(F.expr("substring(text, 1, coalesce(nullif(instr(text, '\n\n'), 0), nullif(instr(text, '\n'), 0)) - 1)")))
     return _verdict(
         [
             (b["cls"].isin("D0", "A0"), (b["cls"], b["certainty"], b["adoption"], b["review"])),

@@ -181,3 +181,25 @@ def forward_chains(hit_rows: DataFrame, hops: int = 10, least_nodes: int = 3) ->
         moved = walk.withColumn("tail", F.element_at("path", -1)).join(step, "tail", "left")
         walk = moved.select("start", F.when(F.col("to").isNotNull() & ~F.array_contains("path", F.coalesce("to", F.lit(-1))), F.array_append("path", F.col("to"))).otherwise(F.col("path")).alias("path"))
     return walk.where(F.size("path") >= least_nodes).select("start", F.size("path").alias("n_nodes"), F.element_at("path", -1).alias("last"))
+
+
+def longest_blocks(pairs: DataFrame, least: int = 5, share_pct: int = 15) -> DataFrame:
+    """(id, a_start, b_start, size): longest common token block of ``a`` and ``b`` (arrays), earliest in a, then in b; of enough tokens and share of a."""
+    a = pairs.select("id", F.size("a").alias("n"), F.posexplode("a").alias("i", "t"))
+    b = pairs.select("id", F.posexplode("b").alias("j", "t"))
+    points = a.join(b, ["id", "t"]).select("id", "n", "i", "j", (F.col("j") - F.col("i")).alias("d"))
+    run = F.col("i") - F.row_number().over(Window.partitionBy("id", "d").orderBy("i"))
+    blocks = points.withColumn("run", run).groupBy("id", "n", "d", "run").agg(F.min("i").alias("a_start"), F.min("j").alias("b_start"), F.count("*").alias("size"))
+    best = Window.partitionBy("id").orderBy(F.desc("size"), "a_start", "b_start")
+    return blocks.withColumn("nth", F.row_number().over(best)).where((F.col("nth") == 1) & (F.col("size") >= least) & (F.col("size") * 100 >= F.col("n") * share_pct)).select("id", "a_start", "b_start", "size")
+
+
+def phrase_hits(records: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(phrase_id, canonical_id, role, nth): records that contain each phrase, the assistant's before the person's, then by time. A substring has no key: the phrases, a small table, are compared with every record."""
+    found = records.join(phrases, F.contains(F.lower("text"), F.lower("phrase")))
+    order = Window.partitionBy("phrase_id").orderBy(F.when(F.col("role") == "assistant", 0).otherwise(1), F.asc_nulls_last("ts"), "canonical_id")
+    return found.select("phrase_id", "canonical_id", "role", F.row_number().over(order).alias("nth"))
+
+
+def temporal_direction(origin_ts, reuse_ts):
+    return T.cases([(origin_ts.isNull() | reuse_ts.isNull(), F.lit("UNKNOWN")), (origin_ts < reuse_ts, F.lit("FORWARD")), (origin_ts > reuse_ts, F.lit("REVERSE"))], "SAME_TIME")

@@ -470,11 +470,13 @@ CUT = f"(coalesce(nullif({NN}, 0), nullif({NL}, 0)) - 1)"
 FIRST = f"least(CASE WHEN {NN} >= 6 THEN {NN} - 1 END, CASE WHEN instr(text, '  ') >= 6 THEN instr(text, '  ') - 1 END, CASE WHEN instr(text, ':') >= 6 THEN instr(text, ':') - 1 END)"
 PRIOR = f"({SUB} AND coalesce(prior, false))"
 BASE = _v("b.cls", "b.certainty", "b.adoption", "b.review")
-_WRAP4 = f"({rx('transcript_below')} AND length(text) - instr(lower(text), 'the entire transcript is given below') > 60 AND contains(lower(text), 'is given below.' || chr(10)))"
+_HEADS = [f"regexp_extract(text, {q(p)}, 1)" for p in P.IMPORT_BOUNDARIES]
+_LEAD4 = "(" + _case([(f"length({h}) BETWEEN 5 AND length(text) - 21", h) for h in _HEADS], "''") + ")"
+_WRAP4 = f"({_LEAD4} <> '')"
 _BEFORE = f"substr(text, 1, {CUT})"
 V4 = _case(
     [
-        ("b.cls IN ('D0', 'A0')", BASE), (f"{_WRAP4} OR ({rx('carrier_prefix')} AND {CUT} BETWEEN 5 AND 300 AND length(text) - {CUT} > 40)", _v("MIXED", "b.certainty", f"(CASE WHEN {_WRAP4} THEN {_a4('text')} ELSE {_a4(_BEFORE)} END)", "true")),
+        ("b.cls IN ('D0', 'A0')", BASE), (f"{_WRAP4} OR ({rx('carrier_prefix')} AND {CUT} BETWEEN 5 AND 300 AND length(text) - {CUT} > 40)", _v("MIXED", "b.certainty", f"(CASE WHEN {_WRAP4} THEN {_a4(_LEAD4)} ELSE {_a4(_BEFORE)} END)", "true")),
         (f"{PRIOR} AND {rx('carrier_prefix')} AND {FIRST} <= 300 AND length(text) - {FIRST} > 30", _v("MIXED", "b.certainty", "b.adoption", "true")), (PRIOR, _v("P0", "b.certainty", _a4("text"), "false")), (rx("import_markers"), _v("UNRESOLVED", "b.certainty", "b.adoption", "true")),
     ],
     BASE,
@@ -695,3 +697,50 @@ def batches(spark, sf):
 @query("SELECT source, sha256(array_to_string(list_sort(list(sha256(text))), '')) AS release_hash, count(*) AS n FROM documents GROUP BY 1")
 def content_hashes(spark, sf):
     return docs(spark, sf).groupBy("source").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("text", 256))), ""), 256).alias("release_hash"), F.count("*").alias("n"))
+
+
+# --- further operators --------------------------------------------------------------------------
+
+
+@query(f"""WITH p AS (SELECT a.conv_id AS id, list_slice({O.words('a.text')}, 1, 60) AS a, list_concat(['x', 'y'], list_slice({O.words('a.text')}, 4, 40)) AS b FROM conversations a WHERE a.turn = 1), ta AS (SELECT id, len(a) AS n, unnest(a) AS t, generate_subscripts(a, 1) - 1 AS i FROM p), tb AS (SELECT id, unnest(b) AS t, generate_subscripts(b, 1) - 1 AS j FROM p),
+pts AS (SELECT id, n, i, j, j - i AS d, i - row_number() OVER (PARTITION BY id, j - i ORDER BY i) AS run FROM ta JOIN tb USING (id, t)), bl AS (SELECT id, n, d, run, min(i) AS a_start, min(j) AS b_start, count(*) AS size FROM pts GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY size DESC, a_start, b_start) AS nth FROM bl)
+SELECT id, a_start, b_start, size FROM r WHERE nth = 1 AND size >= 5 AND size * 100 >= n * 15""")
+def longest_blocks(spark, sf):
+    w = views.read(spark, sf, "conversations").where("turn = 1").select(F.col("conv_id").alias("id"), T.normalize_words(F.col("text")).alias("w"))
+    pairs = w.select("id", F.slice("w", 1, 60).alias("a"), F.concat(F.array(F.lit("x"), F.lit("y")), F.slice("w", 4, 37)).alias("b"))
+    found = reuse.longest_blocks(pairs)
+    return found.select("id", F.col("a_start").cast("bigint").alias("a_start"), F.col("b_start").cast("bigint").alias("b_start"), "size")
+
+
+@query(f"WITH records AS ({views.REUSE_SQL}), ph AS (SELECT item_id AS phrase_id, substr(text, 1, 60) AS phrase FROM benchmark), f AS (SELECT phrase_id, canonical_id, role, row_number() OVER (PARTITION BY phrase_id ORDER BY CASE WHEN role = 'assistant' THEN 0 ELSE 1 END, ts ASC NULLS LAST, canonical_id) AS nth FROM records JOIN ph ON contains(lower(text), lower(phrase))) SELECT * FROM f")
+def phrase_hits(spark, sf):
+    phrases = views.read(spark, sf, "benchmark").select(F.col("item_id").alias("phrase_id"), F.substring("text", 1, 60).alias("phrase"))
+    return reuse.phrase_hits(views.reuse_records(spark, sf), phrases).withColumn("nth", F.col("nth").cast("bigint"))
+
+
+@query(f"{O._PAIRS} SELECT CASE WHEN o.ts IS NULL OR r.ts IS NULL THEN 'UNKNOWN' WHEN o.ts < r.ts THEN 'FORWARD' WHEN o.ts > r.ts THEN 'REVERSE' ELSE 'SAME_TIME' END AS direction, count(*) AS n FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id GROUP BY 1")
+def temporal_directions(spark, sf):
+    r = views.reuse_records(spark, sf)
+    ts = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(r))).join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id")
+    return pairs.groupBy(reuse.temporal_direction(F.col("origin_ts"), F.col("reuse_ts")).alias("direction")).agg(F.count("*").alias("n"))
+
+
+@query(f"{O.MSG} SELECT a.canonical_id, CAST(a.turn - b.turn AS INTEGER) AS hop, b.canonical_id AS ancestor FROM messages a JOIN messages b USING (conversation_id) WHERE a.turn - b.turn BETWEEN 1 AND 3")
+def parent_chain(spark, sf):
+    return messages.ancestors(views.messages(spark, sf))
+
+
+@query(f"{O.MSG}, o AS (SELECT conversation_id, message_id, text FROM messages WHERE conv_id % 4 <> 0 AND turn < 5), n AS (SELECT conversation_id, message_id, CASE WHEN turn % 3 = 0 THEN text || '!' ELSE text END AS text FROM messages WHERE conv_id % 3 <> 0) SELECT conversation_id, coalesce(count_if(o.text = n.text), 0) AS same, coalesce(count_if(o.text <> n.text), 0) AS changed, count_if(o.text IS NULL) AS extra, count_if(n.text IS NULL) AS missing FROM o FULL JOIN n USING (conversation_id, message_id) GROUP BY 1")
+def export_comparison(spark, sf):
+    m = views.messages(spark, sf)
+    new = m.where("conv_id % 3 <> 0").withColumn("text", F.when(F.col("turn") % 3 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    return messages.compare_exports(m.where("conv_id % 4 <> 0 AND turn < 5"), new)
+
+
+@query(f"""{O.HITS}, c AS (SELECT edge = 'DERIVATION' AS predicted, CASE WHEN reuse_id % 5 = 0 THEN 'UNRESOLVED' WHEN exact_copy OR span > 20 THEN 'YES' ELSE 'NO' END AS truth, valid FROM hits)
+SELECT count_if(predicted AND truth = 'YES') AS right, count_if(predicted) AS claimed, count_if(predicted AND truth <> 'UNRESOLVED') AS claimed_resolved, count_if(truth = 'YES') AS true, count_if(predicted AND truth = 'NO') AS false_origins, count_if(predicted AND NOT coalesce(valid, false)) AS chronology_violations, count(*) AS cases FROM c""")
+def derivation_metrics(spark, sf):
+    h = reuse.hits(views.reuse_records(spark, sf))
+    truth = F.when(F.col("reuse_id") % 5 == 0, "UNRESOLVED").when(F.col("exact_copy") | (F.col("span") > 20), "YES").otherwise("NO")
+    return evaluation.derivation_metrics(h.select((F.col("edge") == "DERIVATION").alias("predicted"), truth.alias("truth"), "valid"))
