@@ -37,7 +37,7 @@ def main_path(nodes: DataFrame, heads: DataFrame, rounds: int = 20) -> DataFrame
 
 
 def _can_checkpoint(df: DataFrame) -> bool:
-    return bool(df.sparkSession.sparkContext.getCheckpointDir() or df.sparkSession.conf.get("spark.checkpoint.dir", None))
+    return bool(df.sparkSession.sparkContext.getCheckpointDir())
 
 
 def child_lists(nodes: DataFrame) -> DataFrame:

@@ -147,8 +147,7 @@ def derivation_edges(hit_rows: DataFrame) -> DataFrame:
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(v, root): smallest label of each component, by hooking to the smallest neighbour and jumping; lineage is cut each round where a checkpoint folder is set."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    spark = edges.sparkSession
-    cut = (lambda df: df.checkpoint()) if spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) else (lambda df: df.cache())
+    cut = (lambda df: df.checkpoint()) if edges.sparkSession.sparkContext.getCheckpointDir() else (lambda df: df.cache())
     both = cut(both)
     labels = both.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")).select("v", F.least("v", "m").alias("root"))
     for _ in range(rounds):
