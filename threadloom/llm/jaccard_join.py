@@ -252,7 +252,7 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
             counts = np.diff(np.concatenate([starts, [len(sig)]]))
             hot = np.repeat(counts >= LOCAL_HOT, counts)
             if hot.any():  # known to be carried by several: straight to the result, and one goes on to meet other slices
-                yield _rows([*ROW], sig=number(sig[hot], buckets), id=ids[owner[hot]], g=group[hot].astype(np.int32))
+                yield _rows([*ROW], sigs=[number(sig[hot], buckets).tobytes()], ids=[packed(ids[owner[hot]], group[hot])])
                 kept = ~hot
                 kept[starts[counts >= LOCAL_HOT]] = True
                 sig, owner, group = sig[kept], owner[kept], group[kept]
@@ -266,7 +266,13 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
         for batch in batches:
             if batch.column("bucket").null_count:
                 direct = batch.filter(batch.column("bucket").is_null())
-                yield pa.RecordBatch.from_arrays([direct.column(c) for c in result], names=result)
+                documents = direct.filter(direct.column("sigs").is_null())
+                yield pa.RecordBatch.from_arrays([documents.column(c) for c in result], names=result)
+                for a, b in zip(direct.column("sigs"), direct.column("ids"), strict=True):
+                    if a.is_valid:
+                        sig = np.frombuffer(a.as_buffer(), np.int64)
+                        who, group = unpacked(b.as_buffer(), len(sig))
+                        yield _rows(result, sig=sig, id=who, g=group.astype(np.int32))
             for k, a, b in zip(batch.column("bucket").to_pylist(), batch.column("sigs"), batch.column("ids"), strict=True):
                 if k is not None:
                     sigs.append(long(a.as_buffer(), k))
@@ -287,7 +293,7 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
 
     sent = docs.mapInArrow(emit, ", ".join(f"{c} {t}" for c, (t, _) in ROW.items()))
     # Rows without a bucket go anywhere.
-    dealt = sent.repartition(partitions, F.coalesce(F.col("bucket").cast("bigint"), -1 - F.pmod(F.xxhash64("sig", "id"), F.lit(4096))))
+    dealt = sent.repartition(partitions, F.coalesce(F.col("bucket").cast("bigint"), -1 - F.pmod(F.xxhash64("sigs", "id"), F.lit(4096))))
     return dealt.mapInArrow(meet, ", ".join(f"{c} {ROW[c][0]}" for c in result))
 
 
