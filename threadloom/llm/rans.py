@@ -81,6 +81,12 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
     return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, n bigint, ids binary"), width
 
 
+def flat_ids(column: pa.Array, width: str) -> np.ndarray:
+    """The ids of all rows in one array, without a copy."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(width) if len(column) and offsets[-1] > offsets[0] else np.zeros(0, width)
+
+
 def frequencies(counts: np.ndarray) -> np.ndarray:
     """Counts scaled to a sum of 2 ** SCALE, none that occurs below 1."""
     whole = 1 << SCALE
@@ -188,7 +194,7 @@ def write_token_files(staged: DataFrame, width: str, path: str, shard_ids: int =
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            found = np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), width))
+            found = np.bincount(flat_ids(batch.column(0), width))
             if len(found) > len(total):
                 total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
             total[: len(found)] += found
