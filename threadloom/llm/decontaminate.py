@@ -104,7 +104,7 @@ def corpus_sketch(docs: DataFrame, vocabulary: list[str], omega: np.ndarray) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, probe = pa.array(shared.value[0], pa.string()), shared.value[1]
         n, df, s = 0, np.zeros(v), np.zeros((v, r))
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 1_000_000):
             t, bounds = terms_of(batch.column(0), words)
             sizes = np.diff(bounds)
             counts = -(-sizes // PASSAGE)
@@ -256,7 +256,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         shared = spark.sparkContext.broadcast(Searcher(items, latent, cosine, share, answer, verbatim, least_words))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, "text"):
+            for batch in slices(batches, "text", 1_000_000):
                 rows = shared.value.search(batch.column(1))
                 if rows:
                     doc, item, *rest = zip(*rows, strict=True)
