@@ -238,8 +238,13 @@ class ChunkEncoder(dict):
 
 def separators(texts: pa.Array) -> bool:
     """Whether one of the bytes 1C to 1F may stand in the texts."""
-    data = texts.buffers()[2]
-    raw = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    # A slice shares its batch's buffers; only its own bytes are looked at.
+    _, places, data = texts.buffers()
+    if not len(texts) or data is None:
+        return False
+    wide = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    ends = np.frombuffer(places, wide)[[texts.offset, texts.offset + len(texts)]]
+    raw = np.frombuffer(data, np.uint8)[ends[0] : ends[1]]
     return bool(((raw - np.uint8(0x1C)) < 4).any())
 
 

@@ -49,7 +49,7 @@ class LibraryEncoder(ChunkEncoder):
     def __init__(self, text: str, width: str):
         from tokenizers import Tokenizer
 
-        super().__init__(json.loads(text), 1_000_000)
+        super().__init__(json.loads(text), 800_000)
         self.tokenize, self.format = Tokenizer.from_str(text).model.tokenize, "<%d" + width[1:].replace("u2", "H").replace("u4", "I")
         self.packers = [struct.Struct(self.format % n).pack for n in range(16)]
 
