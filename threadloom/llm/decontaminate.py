@@ -22,6 +22,7 @@ reported with a null id; extra columns are dropped.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -70,16 +71,19 @@ class Items:
 
 
 def add_up(rows: DataFrame, size: int) -> np.ndarray:
-    """The sum of rows' vectors of doubles, by tasks in two steps."""
+    """The sum of rows' vectors of doubles, in two steps: as many adders as the root of the tasks, then one."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        total = None
         for batch in batches:
             for x in batch.column(0):
+                total = np.zeros(size) if total is None else total
                 total += np.frombuffer(x.as_buffer())
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["x"])
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["x"])
 
-    found = rows.repartition(8).mapInArrow(add, "x binary").coalesce(1).mapInArrow(add, "x binary").first()
+    adders = max(2, math.isqrt(rows.rdd.getNumPartitions()))
+    found = rows.repartition(adders).mapInArrow(add, "x binary").repartition(1).mapInArrow(add, "x binary").first()
     return np.frombuffer(found.x) if found else np.zeros(size)
 
 
