@@ -46,3 +46,15 @@ def test_test_table(spark):
 def test_repeats_and_empty_table(spark):
     df = spark.createDataFrame([(None, "cc by"), (1, "cc by"), (1, "cc by")], "doc_id bigint, text string")
     assert license_scan(df).count() == 3 and license_scan(df.limit(0)).collect() == []
+
+
+NOTICE = "This work is licensed under the GNU General Public License, version 3."
+
+
+def test_notices_whatever_their_words_frequency(spark):
+    everything = " ".join(x.replace("[", "").replace("]", "") + " and" for v in NOTICES.values() for x in v)
+    in_a_third = [NOTICE if i % 3 == 0 else f"other text {i}" for i in range(60)]
+    for rows in ([NOTICE], ["Released under the MIT License."] * 5, in_a_third, [everything], [everything, *in_a_third]):
+        want = {i: brute(t) for i, t in enumerate(rows)}
+        assert got(spark, rows) == want
+        assert want[0][5] in {"gpl,gpl-family", "mit"} or set(NOTICES) <= set(want[0][5].split(","))

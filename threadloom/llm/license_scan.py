@@ -1,10 +1,10 @@
 """Licence scan over a positional index of rare words.
 
-Templates' words are posted as (word, template, position). The corpus gives each
-licence word's document frequency. A file looks up its highest-IDF licence words;
-each occurrence and posting name a template and the place where it would start,
-and the places on which postings agree are checked: all mandatory words must
-stand there, and a given share of the template's words.
+The corpus gives each mandatory word's document frequency. Each template's mandatory
+word of highest IDF is posted as (word, template, position) and always looked up,
+however common it is; each occurrence and posting name a place where the template
+would start, and there all mandatory words must stand, and a given share of the
+template's words.
 
 All of it is DataFrame functions: one pass for the frequencies (as many rows come
 back as templates have words), one for the scan; no shuffle of texts.
@@ -63,16 +63,15 @@ def words_of(text: Column) -> Column:
     return F.when(joined == "", F.array().cast("array<string>")).otherwise(F.split(joined, " "))
 
 
-def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: dict[str, list[str]] = NOTICES, phrases: dict[str, str] = PHRASES, rarest: int = 24, least_share: float = 0.8, common: float = 0.05) -> DataFrame:
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", notices: dict[str, list[str]] = NOTICES, phrases: dict[str, str] = PHRASES, least_share: float = 0.8) -> DataFrame:
     """One row a document: n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    ``rarest``: how many of its highest-IDF licence words a file looks up (each
-    phrase's rarest word is always looked up, so no phrase is missed).
-    ``common``: licence words in more than this share of documents are no anchors of notices.
+    Each template is anchored at the mandatory word that fewest documents have. A match
+    has all mandatory words, so none is missed, however common the anchor is.
     ``score``: the largest share of a matched template's words, 0 without a match.
     """
     templates = _templates(notices, phrases)
-    vocabulary = sorted({w for t in templates for w in t["words"]})
+    vocabulary = sorted({w for t in templates for w, m in zip(t["words"], t["must"], strict=True) if m})
     listed = F.array(*map(F.lit, vocabulary))
     words = docs.select(F.col(id_col).alias("id"), words_of(F.col(text_col)).alias("w"))
     # Bounded by the templates: one row a licence word and one for the total.
@@ -80,15 +79,14 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     frequency = {r["word"]: r["count"] for r in counted.collect()}
     n = max(1, frequency.get("", 0))
     idf = {w: math.log(n / max(1, frequency.get(w, 0))) for w in vocabulary}
-    anchors = sorted({max(t["words"], key=lambda w: (idf[w], w)) for t in templates if t["base"]})
-    rare = sorted((w for w in vocabulary if idf[w] >= math.log(1 / common)), key=lambda w: (-idf[w], w))
-    ranked = ", ".join(map(_text, rare)) or "''"
-    first = ", ".join(map(_text, anchors)) or "''"
-    postings = ", ".join(f"named_struct('word', {_text(w)}, 't', {i}, 'p', {p})" for i, t in enumerate(templates) for p, w in enumerate(t["words"]) if (w in anchors if t["base"] else w in set(rare)))
+    places_of = [max((p for p, m in enumerate(t["must"]) if m), key=lambda p, t=t: (idf[t["words"][p]], t["words"][p])) for t in templates]
+    anchors = sorted({t["words"][p] for t, p in zip(templates, places_of, strict=True)}, key=lambda w: (-idf[w], w))
+    ranked = ", ".join(map(_text, anchors)) or "''"
+    postings = ", ".join(f"named_struct('word', {_text(t['words'][p])}, 't', {i}, 'p', {p})" for i, (t, p) in enumerate(zip(templates, places_of, strict=True)))
     shapes = ", ".join("named_struct('label', {}, 'base', {}, 'words', array({}), 'must', array({}))".format(_text(t["label"]), str(t["base"]).lower(), ", ".join(map(_text, t["words"])), ", ".join(f"named_struct('p', {p}, 'word', {_text(w)})" for p, w in enumerate(t["words"]) if t["must"][p])) for t in templates)
 
-    # array_intersect keeps the first array's order, so a slice of it holds the highest-IDF words.
-    looked = words.selectExpr("id", "w", f"array_union(slice(array_intersect(array({ranked}), w), 1, {rarest}), array_intersect(array({first}), w)) AS top")
+    # array_intersect keeps the first array's order: the highest IDF first.
+    looked = words.selectExpr("id", "w", f"array_intersect(array({ranked}), w) AS top")
     places = looked.selectExpr("id", "w", "IF(size(top) = 0, array(), filter(sequence(0, size(w)), i -> array_contains(top, get(w, i)))) AS places")
     starts = places.selectExpr("id", "w", f"array_distinct(flatten(transform(places, i -> transform(filter(array({postings}), q -> q.word = get(w, i)), q -> named_struct('t', q.t, 's', i - q.p))))) AS starts")
     shaped = starts.selectExpr("id", "w", "starts", f"IF(size(starts) = 0, array(), array({shapes})) AS shape")
