@@ -60,3 +60,15 @@ def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, text), (1, text)], "doc_id bigint, text string").coalesce(1)
     assert [(r.start, r.end) for r in repeated_spans(df, least_words=20).collect()] == [(0, len(text))]
     assert repeated_spans(df.limit(0)).collect() == []
+
+
+def test_short_lines_and_edited_passages_are_found(spark):
+    line, passage = "Share this page with all of your friends today", [f"Sentence {i} of a passage that was copied." for i in range(5)]
+    edited = [*passage[:2], "This one is new.", *passage[3:]]
+    rows = [(i, f"Text number {i} is its own.\n{line}\nAnd it ends as {i}.") for i in range(30)] + [(40, " ".join(passage)), (41, " ".join(edited))]
+    rows += [(42, "Yes."), (43, "yes.")]
+    found = repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).drop("row").collect()
+    assert sorted(map(tuple, found), key=str) == brute(rows, "sentence", 1)
+    texts = dict(rows)
+    assert [r.doc_id for r in sorted(found) if texts[r.doc_id][r.start : r.end] == line] == [*range(1, 30)]
+    assert [r.n_words for r in sorted(found) if r.doc_id == 41] == [16, 16] and (43, 0, 4, 1, 1, 42, 0) in set(map(tuple, found))

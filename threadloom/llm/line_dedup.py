@@ -2,8 +2,8 @@
 
 Units are normalised (lower case, single spaces) and grouped by a 128-bit digest over
 the whole corpus. The earliest occurrence in the order of id, row and place is
-kept. Of the others, runs of neighbouring units with enough words together are
-removed, with their offsets in the original text.
+kept. All others are removed, neighbouring units as one run, with their offsets in the
+original text; ``least_words`` is for callers who want to keep short runs.
 
 Digests are counted with partial sums before the shuffle; occurrences meet the
 table of repeated digests in a join with one row a digest on one side, so that
@@ -58,7 +58,7 @@ def units(docs: DataFrame, unit: str = "sentence") -> DataFrame:
     return docs.select("id", "row", "text").mapInArrow(run, "id bigint, row bigint, idx bigint, start bigint, end bigint, words bigint, h bigint, g bigint")
 
 
-def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row, start, end, n_units, n_words, kept_id, kept_start): spans to remove, code points with the end exclusive, and where the earliest occurrence of the first unit stands."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
     every = units(rows, unit)
@@ -72,7 +72,7 @@ def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = 2
     return spans.where(F.col("n_words") >= least_words).select(F.col("id").alias(id_col), "row", "start", "end", "n_units", "n_words", F.col("head.first.id").alias("kept_id"), F.col("head.first.start").alias("kept_start"))
 
 
-def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, unit: str = "sentence", least_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, removed): each row's text without its repeated spans, and the spans with their original offsets."""
     rows = docs.select(F.col(id_col).alias(id_col), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias(text_col))
     cut = repeated_spans(docs, unit, least_words, id_col, text_col).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed"))
