@@ -62,3 +62,29 @@ def test_test_table_and_clashing_columns(spark):
 
 def test_empty_table(spark):
     assert warc.archive_round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).collect() == []
+
+
+def test_one_page_with_several_payloads(spark, tmp_path):
+    a, b, c = "a" * 150, "b" * 150, "c" * 150
+    made = [(3, "u", a), (5, "u", a), (5, "u", b), (5, "u", "short"), (5, "u", None), (9, "u", b), (2, "u", c), (3, "u", c), (None, "u", a), (5, "u", a)]
+    path = str(tmp_path / "w")
+    read = warc.archive_round_trip(spark.createDataFrame(made, "page_id bigint, url string, html string").repartition(3), path=path)
+    assert sorted(map(tuple, read.collect()), key=str) == brute(made)
+    data = b"".join(p.read_bytes() for p in (tmp_path / "w").glob("part-*"))
+    fields = [f for _, _, f, _ in warc.candidates(data)]
+    first = {f["warc-record-id"]: f for f in fields if f["warc-type"] == "response"}
+    again = [f for f in fields if f["warc-type"] == "revisit"]
+    assert len(again) == 4 and all(first[f["warc-refers-to"]]["warc-payload-digest"] == f["warc-payload-digest"] for f in again)
+
+
+def test_long_urls_and_broken_files(spark, tmp_path):
+    made = [(i, "http://a/" + (" WARC/1.1" * 40_000 if i == 5 else "x"), f"page {i}") for i in range(20)]
+    df = spark.createDataFrame(made, "page_id bigint, url string, html string").coalesce(1)
+    assert sorted(map(tuple, warc.archive_round_trip(df, path=str(tmp_path / "w")).collect()), key=str) == brute(made)
+    data = next((tmp_path / "w").glob("part-*")).read_bytes()
+    cut = data.rindex(b"WARC/1.1\r\n")
+    for i, bad in enumerate((data[:-1], data + b"x", data[:cut] + b"X" + data[cut + 1 :], data[1:], b"nothing")):
+        (tmp_path / f"{i}").mkdir()
+        (tmp_path / f"{i}" / "part-0").write_bytes(bad)
+        with pytest.raises(ValueError, match="end"):
+            warc.read_archives(spark, str(tmp_path / f"{i}"), chunk_bytes=1000)

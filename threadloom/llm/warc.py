@@ -13,7 +13,8 @@ reaches are records, so version lines inside payloads are never taken for one.
 
 Defined results: a null payload counts as empty; a null page id always writes a
 response; of rows with the group's smallest id each is a response; a null url
-leaves out the target; extra columns are dropped.
+leaves out the target; an id with several payloads is decided for each; extra columns
+are dropped.
 """
 
 from __future__ import annotations
@@ -32,13 +33,12 @@ from pyspark.sql import functions as F
 
 from .common import materialize, shared_path, slices
 
-VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+VERSION = re.compile(rb"(?<![^\n])WARC/1\.[01]\r\n")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
-MOST_HEADERS = 65_536
 
 
-def record_id(page: object) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, json.dumps(page))}>"
+def record_id(page: object, digest: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, json.dumps([page, digest]))}>"
 
 
 def clean(url: str) -> str:
@@ -51,12 +51,12 @@ def record(page: object, url: str | None, payload: bytes, digest: str, size: int
     kind = b"response" if refers is None else b"revisit"
     if refers is None:
         block += payload
-    head = [b"WARC/1.1", b"WARC-Type: " + kind, f"WARC-Record-ID: {record_id(page)}".encode(), f"WARC-Date: {date}".encode()]
+    head = [b"WARC/1.1", b"WARC-Type: " + kind, f"WARC-Record-ID: {record_id(page, digest)}".encode(), f"WARC-Date: {date}".encode()]
     if url is not None:
         head.append(b"WARC-Target-URI: " + clean(url).encode())
     head += [f"WARC-Payload-Digest: sha256:{digest}".encode(), f"X-Page-Id: {json.dumps(page)}".encode(), f"X-Payload-Bytes: {size}".encode()]
     if refers is not None:
-        head += [f"WARC-Refers-To: {record_id(refers)}".encode(), f"X-Refers-To-Page: {json.dumps(refers)}".encode(), b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
+        head += [f"WARC-Refers-To: {record_id(refers, digest)}".encode(), f"X-Refers-To-Page: {json.dumps(refers)}".encode(), b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"]
     head += [b"Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}".encode()]
     return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n"
 
@@ -65,11 +65,13 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     """Writes ``pages`` as archives of at most ``file_records`` records each."""
     kind = dict(pages.dtypes)[id_col]
     pages = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
-    slim = pages.where((F.octet_length("payload") >= least) & F.col("id").isNotNull()).select("id", "url", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("bigint").alias("size"))
+    pages = pages.withColumn("digest", F.when((F.octet_length("payload") >= least) & F.col("id").isNotNull(), F.sha2("payload", 256)))
+    slim = pages.where(F.col("digest").isNotNull()).select("id", "url", "digest", F.octet_length("payload").cast("bigint").alias("size"))
     groups = slim.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
     # Written, so that its size is known: a small table of revisits is broadcast by the planner, a large one is joined by shuffling.
     revisits = materialize(slim.join(groups, "digest").where("id <> first").select("id", "url", "digest", "size", F.col("first").alias("refers")), "revisits")
-    responses = pages.join(revisits.select("id").distinct(), "id", "left_anti").select("id", "url", "payload", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("bigint").alias("size"), F.lit(None).cast(kind).alias("refers"))
+    # An id may have several payloads, so id and digest together say which rows are revisits; rows without digest never are.
+    responses = pages.join(revisits.select("id", "digest").distinct(), ["id", "digest"], "left_anti").select("id", "url", "payload", "digest", F.lit(None).cast("bigint").alias("size"), F.lit(None).cast(kind).alias("refers"))
     again = revisits.select("id", "url", F.lit("").alias("payload"), "digest", "size", "refers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,8 +86,8 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     rows.select(F.col("record").cast("string")).write.option("lineSep", "\r\n").option("maxRecordsPerFile", file_records).text(path)
 
 
-def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
-    end = data.find(b"\r\n\r\n", at, at + MOST_HEADERS)
+def _header(data: bytes, at: int, to: int) -> tuple[dict[str, str], int] | None:
+    end = data.find(b"\r\n\r\n", at, to)
     if end < 0:
         return None
     fields = {}
@@ -98,13 +100,15 @@ def _header(data: bytes, at: int) -> tuple[dict[str, str], int] | None:
 
 def candidates(data: bytes) -> Iterator[tuple[int, int, dict[str, str], int]]:
     """(offset, where the record's successor would be, fields, the block's start) of each version line with a whole record after it."""
-    for m in VERSION.finditer(data):
-        found = _header(data, m.start())
+    places = [m.start() for m in VERSION.finditer(data)]
+    # A header has no second version line, so it ends before the next one: headers may be long, and the search stays linear.
+    for at, to in zip(places, [*places[1:], len(data)], strict=False):
+        found = _header(data, at, to)
         size = found[0].get("content-length", "") if found else ""
         if size.isdigit():
             end = found[1] + int(size)
             if data[end : end + 4] == b"\r\n\r\n":
-                yield m.start(), end + 4, found[0], found[1]
+                yield at, end + 4, found[0], found[1]
 
 
 def jumps(offsets: np.ndarray, successors: np.ndarray, chunk: int) -> np.ndarray:
@@ -130,7 +134,8 @@ def _emit(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             data = content.as_py()
-            found = [*candidates(data)]
+            # The file's end counts as a place, which a sound file's chain reaches.
+            found = [*candidates(data), (len(data), -1, {}, len(data))]
             offsets, successors = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
             exits = jumps(offsets, successors, chunk)
             rows = []
@@ -159,7 +164,7 @@ def _walk(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def read_archives(spark: SparkSession, path: str, chunk_bytes: int = 8_388_608, pattern: str = "part-*") -> DataFrame:
-    """(page, bytes, digest, kind, refers, sound) of each reachable record; page ids as JSON."""
+    """(page, bytes, digest, kind, refers, sound) of each reachable record; page ids as JSON. A file whose records don't lead from its start to its end raises an error."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "content")
     found = materialize(files.mapInArrow(lambda batches: _emit(batches, chunk_bytes), FIELDS), "candidates")
     # Places where a chain can enter a chunk; of most files' chunks there is one.
@@ -172,7 +177,11 @@ def read_archives(spark: SparkSession, path: str, chunk_bytes: int = 8_388_608,
         reached = materialize(reached.unionByName(reached.join(hop, ["path", "off"]).select("path", F.col("to").alias("off"))).distinct(), "reached")
         hop = materialize(hop.join(hop.select("path", F.col("off").alias("to"), F.col("to").alias("beyond")), ["path", "to"]).select("path", "off", F.col("beyond").alias("to")), "hops")
     entries = gates.join(reached, ["path", "off"], "left_semi").select("path", "chunk", F.col("off").alias("entry"))
-    return found.join(entries, ["path", "chunk"]).groupBy("path", "chunk").applyInPandas(_walk, FIELDS).select("page", "bytes", "digest", "kind", "refers", "sound")
+    walked = materialize(found.join(entries, ["path", "chunk"]).groupBy("path", "chunk").applyInPandas(_walk, FIELDS), "records")
+    broken = found.where("off = size").join(walked.where("off = size").select("path"), "path", "left_anti").select("path").first()
+    if broken:
+        raise ValueError(f"the records of {broken.path} don't lead to the file's end")
+    return walked.where("off < size").select("page", "bytes", "digest", "kind", "refers", "sound")
 
 
 def archive_round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 100, path: str | None = None) -> DataFrame:
