@@ -82,3 +82,33 @@ def test_whole_test_table(spark):
 def test_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string"), spark.createDataFrame([(1, "c d")], "item_id bigint, text string")
     assert dc.contaminated(docs, items.limit(0)).collect() == [] and dc.contaminated(docs.limit(0), items).collect() == [] and dc.contaminated(docs, items).collect() == []
+
+
+def test_no_accepted_window_is_missed(spark):
+    rnd = random.Random(5)
+    vocabulary = ["w%d" % i for i in range(3000)]
+    pick = lambda n: [rnd.choice(vocabulary[: rnd.choice([40, 3000])]) for _ in range(n)]
+    items = [(i, " ".join(pick(rnd.randrange(9, 60)))) for i in range(40)] + [(40, "short item here"), (41, "the the the the the the the the the")]
+    docs, planted = [], {}
+    for rate in (0.0, 0.1, 0.2, 0.3, 0.35):
+        for kind in ("dropped", "replaced"):
+            for _ in range(30):
+                d, (i, text) = len(docs), items[rnd.randrange(40)]
+                kept = [w if rnd.random() >= rate else rnd.choice(vocabulary) if kind == "replaced" else None for w in text.split()]
+                docs.append((d, " ".join([*pick(rnd.randrange(100)), *filter(None, kept), *pick(rnd.randrange(100))])))
+                planted[d] = i, rate, kind
+    docs += [(900, "a the b the " * 9), (901, " ".join(pick(15000) + items[3][1].split())), (902, "x short item here")]
+    got = {(r.doc_id, r.item_id) for r in dc.contaminated(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+
+    def accepted(text, item):
+        t, q = words(text), words(item)
+        for at in range(len(t)):
+            part = t[at : at + len(q) + len(q) // 2]
+            s = longest(q, part) / len(q) if t[at] in q else 0
+            if s >= 0.8 or s >= 0.6 and longest(q[-dc.ANSWER :], part) >= 0.5 * min(len(q), dc.ANSWER):
+                return True
+        return False
+
+    want = {(d, i) for d, (i, _, _) in planted.items() if accepted(docs[d][1], items[i][1])}
+    rates = {(r, k): [len(s & {(d, i) for d, (i, *x) in planted.items() if x == [r, k]}) for s in (want & got, want)] for _, r, k in planted.values()}
+    assert want <= got and {(901, 3), (902, 40)} <= got, rates

@@ -9,7 +9,9 @@ randomised SVD in Nystrom's form, which needs no second pass).
 A second pass slides windows of about each item's length over every text. Windows and
 items whose latent vectors have a high cosine are candidates; the longest common
 subsequence of words, around the window, and that of the item's answer (its last
-words) decide.
+words) decide. The grid and the cosine miss some of what these accept, so windows at
+every word that share enough of an item's rarest words, as any accepted one does, are
+candidates too: no window of 1.5 times an item's length that is accepted is missed.
 
 The benchmark is broadcast in blocks of ``block_items`` items, each with its own
 pass, so what is broadcast doesn't grow with it.
@@ -174,7 +176,7 @@ def common_subsequence(masks: dict[int, int], n: int, terms: list[int]) -> int:
 
 
 class Searcher:
-    def __init__(self, items: Items, latent: np.ndarray, cosine: float, share: float, answer: float, verbatim: float, least_words: int):
+    def __init__(self, items: Items, latent: np.ndarray, df: np.ndarray, cosine: float, share: float, answer: float, verbatim: float, least_words: int):
         self.items, self.latent = items, latent
         self.cosine, self.share, self.answer, self.verbatim, self.least = cosine, share, answer, verbatim, least_words
         self.words = pa.array(items.vocabulary, pa.string())
@@ -190,6 +192,79 @@ class Searcher:
         for width, members in self.groups.items():
             m = np.stack([latent[items.terms[i]].sum(0) for i in members])
             self.vectors[width] = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+        self.post(df)
+
+    def post(self, df: np.ndarray) -> None:
+        """Posts each item's rarest words. Of n words at least k must be common; then of any n - k + c words c are, here of the rarest."""
+        count = len(self.items.terms)
+        self.hits, self.reach = np.ones(count, np.int64), np.ones(count, np.int64)
+        pairs: list[tuple[int, int]] = []
+        for i, terms in enumerate(self.items.terms):
+            n = len(terms)
+            if n:
+                k = n if n < self.least else next((k for k in range(1, n) if k / n >= self.share), n)
+                self.hits[i], self.reach[i] = min(k, max(1, -(-n // 4))), n + n // 2
+                pairs += [(t, i) for t in {*sorted(terms.tolist(), key=lambda t: (df[t], t))[: n - k + int(self.hits[i])]}]
+        posted = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+        self.posted = posted[:, 1]
+        # The last row, -1, is for other words.
+        self.sizes = np.bincount(posted[:, 0], minlength=len(self.items.vocabulary) + 1)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def shared_words(self, t: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(text's place, item, first and last word where a window may start) of all windows of 1.5 times an item's length that have enough of its rarest words."""
+        at = np.flatnonzero(self.sizes[t])
+        sizes = self.sizes[t[at]]
+        total = int(sizes.sum())
+        if not total:
+            return
+        item = self.posted[np.arange(total) + np.repeat(self.starts[t[at]] - np.cumsum(sizes) + sizes, sizes)]
+        order = by_radix(item, len(self.items.terms))
+        item, place = item[order], np.repeat(at, sizes)[order]
+        doc = np.searchsorted(bounds, place, side="right") - 1
+        last = np.arange(total) + self.hits[item] - 1
+        to = np.minimum(last, total - 1)
+        found = np.flatnonzero((last < total) & (item[to] == item) & (doc[to] == doc) & (place[to] - place < self.reach[item]))
+        if not len(found):
+            return
+        item, doc, stop = item[found], doc[found], place[found]
+        begin = np.maximum(bounds[doc], place[to[found]] - self.reach[item] + 1)
+        heads = np.flatnonzero(np.concatenate([[True], (item[1:] != item[:-1]) | (doc[1:] != doc[:-1]) | (begin[1:] > stop[:-1] + 1)]))
+        ends = np.concatenate([heads[1:], [len(found)]]) - 1
+        yield from zip(doc[heads].tolist(), item[heads].tolist(), begin[heads].tolist(), stop[ends].tolist(), strict=True)
+
+    def shared_by_part(self, t: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """``shared_words`` of some texts at a time, to hold little in memory; a longer text stands alone."""
+        lo = 0
+        while lo < len(bounds) - 1:
+            base = int(bounds[lo])
+            hi = max(lo + 1, int(np.searchsorted(bounds, base + 16_384, side="right")) - 1)
+            for doc, item, begin, stop in self.shared_words(t[base : int(bounds[hi])], bounds[lo : hi + 1] - base):
+                yield doc + lo, item, begin + base, stop + base
+            lo = hi
+
+    def by_words(self, t: np.ndarray, bounds: np.ndarray, best: dict) -> None:
+        """Adds all texts and items, of those that aren't found yet, that have a window on which ``judge`` agrees."""
+        known = set(best)
+        for doc, item, begin, stop in self.shared_by_part(t, bounds):
+            if (doc, item) in known:
+                continue
+            reach, masks, n = int(self.reach[item]), self.masks[item], len(self.items.terms[item])
+            least = 1 if n < self.least else self.share
+            for piece in range(begin, stop + 1, reach):
+                words = t[piece : min(int(bounds[doc + 1]), piece + 2 * reach)].tolist()
+                if common_subsequence(masks, n, words) / n < least:
+                    continue
+                # A window may as well start at its first common word.
+                for i in range(min(reach, stop + 1 - piece)):
+                    if words[i] in masks and (found := self.judge(item, words[i : i + reach])):
+                        before = best.get((doc, item))
+                        if not before or found > before[:2]:
+                            window, own = (self.padded[x].sum(0) for x in (words[i : i + reach], self.items.terms[item]))
+                            near = float(window @ own / max(1e-12, float(np.linalg.norm(window) * np.linalg.norm(own))))
+                            best[doc, item] = (*found, near, piece + i - int(bounds[doc]))
+                        if found[0] >= 0.95:
+                            break
 
     def judge(self, item: int, terms: list[int]) -> tuple[float, float] | None:
         n = len(self.items.terms[item])
@@ -239,6 +314,7 @@ class Searcher:
                     found = self.judge(item, region)
                     if found and (not known or found > known[:2]):
                         best[doc, item] = (*found, float(near[h, m]), begin - int(bounds[doc]))
+        self.by_words(t, bounds, best)
         return [(d, i, *x) for (d, i), x in sorted(best.items())]
 
 
@@ -256,8 +332,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         if not items.vocabulary:
             return spark.createDataFrame([], schema)
         omega = np.random.default_rng(7).normal(size=(len(items.vocabulary), probes))
-        latent = latent_terms(*corpus_sketch(docs, items.vocabulary, omega), omega, rank)
-        shared = spark.sparkContext.broadcast(Searcher(items, latent, cosine, share, answer, verbatim, least_words))
+        n, df, sketch = corpus_sketch(docs, items.vocabulary, omega)
+        latent = latent_terms(n, df, sketch, omega, rank)
+        shared = spark.sparkContext.broadcast(Searcher(items, latent, df, cosine, share, answer, verbatim, least_words))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, "text", 1_000_000):
