@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from threadloom.llm.bpe import Encoder, bpe_round_trip, decode_text, tokenizer_json
+from threadloom.llm.bpe import Encoder, bpe_round_trip, decode_text, spelled_out, tokenizer_json
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ALPHABET = "aaabcdethinsr  '’sS tTréÉßΣσİ 中文字１２3٣\t\n\x1c\x85\xa0é́😀.,!?-_ﬁǅ"
@@ -34,6 +35,34 @@ def test_equals_the_library(both):
         assert decode_text(encode.v, made, step=50) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_batches_equal_the_library(both):
+    encode, library = both
+    rnd = random.Random(3)
+    marks = "abT .,!?:;'’０１aéÉ×÷ªµºÀſƿǅȺɏɐİıß́  \xa0\x1c.,"
+    many = [*texts(), "", None, " ", "x" * 5000, *("".join(rnd.choice(marks) for _ in range(rnd.randrange(30))) for _ in range(20_000))]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in many]
+    for step in (1_000, 30_000):
+        got, decimal, decoded = [], [], []
+        for at in range(0, len(many), step):
+            ids, bounds = encode.batch(pa.array(many[at : at + step]))
+            got += [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+            decimal += spelled_out(*encode.v.decimal, ids, bounds).to_pylist()
+            decoded += spelled_out(encode.v.blob, encode.v.offsets, ids, bounds).to_pylist()
+        assert got == want
+        assert decimal == [" ".join(map(str, x)) for x in want]
+        assert decoded == [library.decode(x, skip_special_tokens=False) for x in want]
+
+
+def test_a_full_cache_forgets_and_learns_again(both):
+    words = [f"w{'abcdefghij'[i % 10] * (1 + i // 10)}" for i in range(200)]
+    small = Encoder(tokenizer_json(PATH), most=30)
+    for at in range(0, 200, 10):
+        texts = pa.array([" ".join(words[at : at + 10]), "one two"])
+        ids, bounds = small.batch(texts)
+        assert " ".join(map(str, ids[: bounds[1]])) == both[0](texts[0].as_py())
+    assert len(small.known) < 60
+
+
 def test_each_token_encodes_to_itself(both):
     encode, _ = both
     v = encode.v

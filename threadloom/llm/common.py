@@ -125,6 +125,35 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def raw(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The strings' bytes, and where each begins (with the end)."""
+    _, places, data = strings.buffers()
+    wide = np.int64 if pa.types.is_large_string(strings.type) or pa.types.is_large_binary(strings.type) else np.int32
+    at = np.frombuffer(places, wide)[strings.offset : strings.offset + len(strings) + 1] if len(strings) else np.zeros(1, np.int32)
+    return (np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8))[at[0] : at[-1]], at - at[0]
+
+
+LONG_WORD = 65_536  # bytes; longer words are hashed one by one
+BYTE_WEIGHTS = mix64(np.arange(1, LONG_WORD + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word (none empty): a sum of bytes weighted by place, mixed with the length."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    coded = words.dictionary_encode()
+    data, at = raw(coded.dictionary)
+    sizes = np.diff(at)
+    place = np.arange(len(data), dtype=np.int64) - np.repeat(at[:-1], sizes)
+    sums = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * BYTE_WEIGHTS[np.minimum(place, LONG_WORD - 1)], at[:-1])
+    hashed = mix64(sums ^ (sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+        import xxhash
+
+        hashed[i] = xxhash.xxh3_64_intdigest(data[at[i] : at[i + 1]].tobytes())
+    return hashed[coded.indices.to_numpy(zero_copy_only=False)]
+
+
 class WordHashes(dict):
     """word -> 64-bit hash; emptied when it holds ``most`` words, so its memory is bounded."""
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import ChunkEncoder, tokenizer_json
+from .bpe import ChunkEncoder, id_width, strings, tokenizer_json
 from .common import materialize, resident, shared_path, slices
 
 MAGIC = b"TLRA"
@@ -42,40 +42,33 @@ FLOOR = np.uint64(1 << 31)
 
 
 class LibraryEncoder(ChunkEncoder):
-    """Encodes pieces with the tokenizers library's model; ids are packed in little-endian bytes."""
+    """Encodes pieces with the tokenizers library's model."""
 
-    EMPTY = b""
-
-    def __init__(self, text: str, width: str):
+    def __init__(self, text: str):
         from tokenizers import Tokenizer
 
-        super().__init__(json.loads(text), 800_000)
-        self.tokenize, self.format = Tokenizer.from_str(text).model.tokenize, "<%d" + width[1:].replace("u2", "H").replace("u4", "I")
-        self.packers = [struct.Struct(self.format % n).pack for n in range(16)]
+        super().__init__(json.loads(text), 500_000)
+        self.tokenize = Tokenizer.from_str(text).model.tokenize
 
     def ids_of(self, symbols: str) -> list[int]:
         return [t.id for t in self.tokenize(symbols)]
 
-    def pack(self, ids: list[int]) -> bytes:
-        n = len(ids)
-        return self.packers[n](*ids) if n < 16 else struct.pack(self.format % n, *ids)
-
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, str]:
     """(id, n, ids in little-endian bytes) of each row with ``end_id`` after it, and the ids' width."""
     text = tokenizer_json(tokenizer)
-    spec = json.loads(text)
-    top = max([end_id, *spec["model"]["vocab"].values(), *(x["id"] for x in spec.get("added_tokens", []))])
-    width = "<u2" if top < 65_536 else "<u4"
+    width = id_width(json.loads(text), end_id)
     shared = docs.sparkSession.sparkContext.broadcast(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = resident(("library", width, shared.value), lambda: LibraryEncoder(shared.value, width))
-        end = np.array([end_id], width).tobytes()
-        size = len(end)
-        for batch in slices(batches, "text"):
-            ids = [x + end for x in encode.batch(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // size for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=["id", "n", "ids"])
+        encode = resident(("library", shared.value), lambda: LibraryEncoder(shared.value))
+        for batch in slices(batches, "text", 8_000_000):
+            ids, bounds = encode.batch(batch.column(1))
+            n = np.diff(bounds) + 1
+            ends = bounds + np.arange(len(bounds))
+            out = np.full(int(ends[-1]), end_id, width)
+            out[np.arange(len(ids)) + np.repeat(np.arange(len(n)), n - 1)] = ids
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), strings(out.view(np.uint8), ends * out.itemsize, pa.binary())], names=["id", "n", "ids"])
 
     kind = dict(docs.dtypes)[id_col]
     return docs.selectExpr(f"`{id_col}` AS id", f"`{text_col}` AS text").mapInArrow(run, f"id {kind}, n bigint, ids binary"), width
