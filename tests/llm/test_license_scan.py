@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import time
 
 from threadloom.llm.license_scan import NOTICES, PHRASES, license_scan
 
@@ -58,3 +59,10 @@ def test_notices_whatever_their_words_frequency(spark):
         want = {i: brute(t) for i, t in enumerate(rows)}
         assert got(spark, rows) == want
         assert want[0][5] in {"gpl,gpl-family", "mit"} or set(NOTICES) <= set(want[0][5].split(","))
+
+
+def test_long_texts_in_linear_time(spark):
+    began = time.time()
+    many = "cc by " * 32_000
+    got_ = got(spark, [many])
+    assert got_[0][:6] == (64_000, 32_000, 0, 63_998, "cc-by", "cc-by") and time.time() - began < 20

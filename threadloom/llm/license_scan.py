@@ -85,10 +85,10 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     postings = ", ".join(f"named_struct('word', {_text(t['words'][p])}, 't', {i}, 'p', {p})" for i, (t, p) in enumerate(zip(templates, places_of, strict=True)))
     shapes = ", ".join("named_struct('label', {}, 'base', {}, 'words', array({}), 'must', array({}))".format(_text(t["label"]), str(t["base"]).lower(), ", ".join(map(_text, t["words"])), ", ".join(f"named_struct('p', {p}, 'word', {_text(w)})" for p, w in enumerate(t["words"]) if t["must"][p])) for t in templates)
 
-    # array_intersect keeps the first array's order: the highest IDF first.
+    # array_intersect keeps the first array's order: the highest IDF first. A template has one posting, so no start comes twice.
     looked = words.selectExpr("id", "w", f"array_intersect(array({ranked}), w) AS top")
     places = looked.selectExpr("id", "w", "IF(size(top) = 0, array(), filter(sequence(0, size(w)), i -> array_contains(top, get(w, i)))) AS places")
-    starts = places.selectExpr("id", "w", f"array_distinct(flatten(transform(places, i -> transform(filter(array({postings}), q -> q.word = get(w, i)), q -> named_struct('t', q.t, 's', i - q.p))))) AS starts")
+    starts = places.selectExpr("id", "w", f"flatten(transform(places, i -> transform(filter(array({postings}), q -> q.word = get(w, i)), q -> named_struct('t', q.t, 's', i - q.p)))) AS starts")
     shaped = starts.selectExpr("id", "w", "starts", f"IF(size(starts) = 0, array(), array({shapes})) AS shape")
     checked = shaped.selectExpr(
         "id", "size(w) AS n",
