@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -72,3 +73,11 @@ def test_redaction(spark):
 
 def test_empty_table(spark):
     assert secret_scan(spark.createDataFrame([], "doc_id bigint, text string, source string, lang string")).collect() == []
+
+
+def test_many_matches_in_one_text(spark):
+    text = "".join(f"token=abcdef{i:06d} é " for i in range(32_000))
+    began = time.time()
+    df = spark.createDataFrame([(1, text, "s", "en")], "doc_id bigint, text string, source string, lang string")
+    got = secret_scan(df).select(spans_text(F.col("spans")).alias("spans")).first().spans
+    assert got == spelled(brute(text)) and time.time() - began < 20
