@@ -55,3 +55,31 @@ def test_nulls_repeats_and_empty_tables(spark):
     assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
     empty = quality.train(docs, labels.limit(0))
     assert quality.score(docs.limit(0), empty).collect() == [] and len(quality.score(docs, empty).collect()) == 4
+
+
+def test_repeated_ids_long_texts_and_a_column_of_the_scores_name(spark):
+    docs = spark.createDataFrame([(1, "good clean words " * 50, 9.0), (2, "BAD $$$ | " * 50, 9.0), *[(1, "good clean words " * 50, 9.0)] * 50, (1, "word " * 100_000, None), (None, None, None)], "doc_id bigint, text string, score double")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (2, None)], "doc_id bigint, quality int")
+    model = quality.train(docs, labels)
+    rows = quality.score(docs, model).collect()
+    assert len(rows) == 54 and rows[0].__fields__ == ["doc_id", "text", "score"] and all(0 <= r.score <= 1 for r in rows)
+    kept = quality.score(docs, model, score_col="other").collect()
+    assert [r.other for r in kept] == [r.score for r in rows] and kept[0].score == 9.0
+
+
+def test_scores_equal_plain_loops():
+    """The query's score of a text, word by word and passage by passage."""
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=(7, quality.FEATURES))
+    model = quality.fit(x, np.array([0, 3, 4, 7]), np.array([1.0, 0.0, 1.0]), steps=5)
+    w = model.w
+    for lo, hi in ((0, 3), (3, 4), (4, 7)):
+        weights, hidden = [], []
+        for row in x[lo:hi]:
+            h = [np.tanh(sum((row[f] - model.mean[f]) / model.scale[f] * w["W"][f, j] for f in range(quality.FEATURES)) + w["b"][j]) for j in range(len(w["b"]))]
+            gate = [np.tanh(sum(h[j] * w["V"][j, a] for j in range(len(h)))) / (1 + np.exp(-sum(h[j] * w["U"][j, a] for j in range(len(h))))) for a in range(len(w["w"]))]
+            weights.append(np.exp(sum(g * c for g, c in zip(gate, w["w"], strict=True))))
+            hidden.append(h)
+        z = [sum(a * h[j] for a, h in zip(weights, hidden, strict=True)) / sum(weights) for j in range(len(w["b"]))]
+        p = 1 / (1 + np.exp(-(sum(c * v for c, v in zip(w["c"], z, strict=True)) + w["d"][0])))
+        assert np.isclose(model.forward(x[lo:hi], np.array([0, hi - lo]))["p"][0], p)

@@ -10,7 +10,8 @@ by the hash of their ids; every row is scored, in bounded slices of text.
 
 Defined results: a null or empty text is one passage without words and gets a score
 too; each input row gives one row; rows without label or without id aren't learned
-from; of contradicting labels of one id each counts; extra columns are dropped.
+from; of contradicting labels of one id each counts; of rows that repeat a labelled
+id one is learned from; extra columns stay beside the score, but for one of its name.
 """
 
 from __future__ import annotations
@@ -120,36 +121,46 @@ def fit(x: np.ndarray, firsts: np.ndarray, y: np.ndarray, hidden: int = 16, step
     return model
 
 
-def train(docs: DataFrame, labels: DataFrame, train_rows: int = 6_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", learnable: Column | None = None) -> Attention:
-    """Fits on at most ``train_rows`` labelled rows for which ``learnable`` (a condition on the column id) holds."""
+def train(docs: DataFrame, labels: DataFrame, train_rows: int = 6_000, train_passages: int = 512, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", learnable: Column | None = None) -> Attention:
+    """Fits on at most ``train_rows`` labelled rows for which ``learnable`` (a condition on the column id) holds.
+
+    Of rows that repeat an id and label, one is learned from; of a text of more than
+    ``train_passages`` passages, so many at even distances: both bound what the driver gets.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).where("y IS NOT NULL AND id IS NOT NULL")
     if learnable is not None:
         known = known.where(learnable)
-    chosen = known.orderBy(F.xxhash64("id"), "id", "y").limit(train_rows)
+    chosen = known.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(train_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")  # bounded by train_rows
 
+    def bag(x: np.ndarray) -> bytes:
+        return (x if len(x) <= train_passages else x[np.linspace(0, len(x) - 1, train_passages).astype(np.int64)]).tobytes()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             x, firsts = passages(batch.column(2))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array([x[a:b].tobytes() for a, b in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary())], names=["id", "y", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array([bag(x[a:b]) for a, b in zip(firsts[:-1], firsts[1:], strict=True)], pa.binary())], names=["id", "y", "x"])
 
-    rows = sorted(texts.select("id", "y", "text").mapInArrow(run, "id string, y double, x binary").collect(), key=lambda r: (r.id, r.y, r.x))
+    # Of an id's rows a task sends one on, so a repeated id is no load.
+    once = texts.select("id", "y", "text").mapInArrow(run, "id string, y double, x binary").groupBy("id", "y").agg(F.min("x").alias("x"))
+    rows = sorted(once.collect(), key=lambda r: (r.id, r.y, r.x))
     parts = [np.frombuffer(r.x, np.float32).reshape(-1, FEATURES) for r in rows]
     x = np.concatenate(parts).astype(np.float64) if parts else np.zeros((0, FEATURES))
     return fit(x, np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64), np.array([r.y for r in rows]))
 
 
-def score(docs: DataFrame, model: Attention, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column score (0 to 1, higher: label 1 likelier)."""
+def score(docs: DataFrame, model: Attention, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with a column ``score_col`` (0 to 1, higher: label 1 likelier), in place of one of that name."""
+    docs = docs.drop(score_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text_col):
             x, firsts = passages(batch.column(at))
             p = shared.value.forward(x.astype(np.float64), firsts)["p"]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, score_col])
 
     return docs.mapInArrow(run, schema)
 
