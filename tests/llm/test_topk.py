@@ -53,3 +53,15 @@ def test_test_table(spark):
 
 def test_empty_table(spark):
     assert got(spark, []) == []
+
+
+def test_vectors_whose_scores_may_not_fit_take_no_part(spark):
+    rows = [(i, [float(i), 1.0, -2.0]) for i in range(30)]
+    large = [(30, [1e10, 0.0, 0.0]), (31, [1e308, 0.0, 0.0]), (40, [0.0, -1e300, 1.0])]
+    assert got(spark, rows + large, k=3, every=10) == brute(rows, 3, 10)
+
+
+def test_blocks_of_many_lengths(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, [float(c) for c in rnd.normal(size=4) * 10.0 ** (i % 5 - 2)]) for i in range(400)]
+    assert got(spark, rows, every=7, block_rows=16, lead=2) == brute(rows, 10, 7)

@@ -12,7 +12,8 @@ Queries and rows meet in blocks of bounded size that are joined on the block's
 number; each gives k rows a query at most.
 
 Defined results: vectors that are null or hold null or non-finite components take
-no part, nor do rows without id; a shorter vector counts as padded with zeros; a
+no part, nor do rows without id or those whose integers' squares add up to about
+2 ** 63, as their scores may not fit in 64 bits; a shorter vector counts as padded with zeros; a
 query never meets rows of its own id; each repeated query row is a query of its
 own; other repeated rows are candidates each; extra columns are dropped.
 """
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+FITS = 2.0**63 * (1 - 1e-9)  # no inner product of vectors whose squares add up to less leaves 64 bits
 EXACT = 2.0**52  # products of lengths below this are exact in doubles
 
 
@@ -118,6 +120,9 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: float = 1024.0, id_col:
     spark = rows.sparkSession
     sound = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))
     vectors = rows.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("x")).where(F.col("id").isNotNull() & F.col("x").isNotNull() & F.forall("x", sound))
+    # A bound of the integers' squares, as a double: blocks need the order of lengths only roughly.
+    squares = F.aggregate("x", F.lit(0.0), lambda a, x: a + F.pow(F.abs(x * scale) + 1, F.lit(2.0)))
+    vectors = vectors.withColumn("l", squares).where(F.col("l") < FITS)
     shape = vectors.agg(F.max(F.size("x")).alias("d"), F.count("*").alias("n")).first()
     schema = "query_id bigint, rank int, vec_id bigint, score bigint"
     if not shape.n:
@@ -151,21 +156,15 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: float = 1024.0, id_col:
             yield out()
 
     packed = "longest double, ids binary, m binary"
-    # The length is known to the planner's sort as a double; equal lengths may fall in either block.
-    length = F.aggregate("x", F.lit(0.0), lambda a, x: a + F.floor(x * scale).cast("double") * F.floor(x * scale).cast("double"))
-    sorted_ = vectors.select("id", "x", length.alias("l")).repartitionByRange(blocks, F.desc("l")).sortWithinPartitions(F.desc("l")).select("id", "x")
-    data = materialize(sorted_.mapInArrow(pack, packed).withColumn("key", F.monotonically_increasing_id()), "blocks")
-    # A number and a length a block of thousands of rows.
-    order = data.select("key", "longest").orderBy(F.desc("longest"), "key").collect()
-    number = {r.key: i for i, r in enumerate(order)}
-    lengths = np.array([r.longest for r in order])
+    sorted_ = vectors.repartitionByRange(blocks, F.desc("l")).sortWithinPartitions(F.desc("l")).select("id", "x")
+    data = materialize(sorted_.mapInArrow(pack, packed).withColumn("block", F.monotonically_increasing_id()), "blocks")
     # One block of bounded size: the longest vectors.
-    head = data.where(F.col("key") == order[0].key).first()
+    head = data.orderBy(F.desc("longest"), "block").limit(1).first()
     queries = materialize(vectors.where(is_query(F.col("id"))).select("id", "x").repartition(blocks, F.xxhash64("id")).mapInArrow(pack, packed).withColumn("q", F.monotonically_increasing_id()), "queries")
-    shared = spark.sparkContext.broadcast((rotation, np.frombuffer(head.ids, np.int64), np.frombuffer(head.m).reshape(-1, dims), lengths))
+    shared = spark.sparkContext.broadcast((rotation, np.frombuffer(head.ids, np.int64), np.frombuffer(head.m).reshape(-1, dims)))
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rotation, vi, v, lengths = shared.value
+        rotation, vi, v = shared.value
         for batch in batches:
             for q, ids, m in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 qi, qm = np.frombuffer(ids, np.int64), np.frombuffer(m).reshape(-1, dims)
@@ -177,14 +176,15 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: float = 1024.0, id_col:
                     if len(scores) == k:
                         least[place] = scores[-1]
                 norms = np.sqrt((qm * qm).sum(1))
-                need = np.where(least > 0, least / np.maximum(norms, 1e-300), -np.inf).min(initial=np.inf)
-                last = int((lengths * (1 + 1e-9) + 1 >= need).sum())
-                yield pa.RecordBatch.from_arrays([pa.array([q]), pa.array([ids], pa.binary()), pa.array([m], pa.binary()), pa.array([least.tobytes()], pa.binary()), pa.array([last], pa.int32())], names=["q", "qids", "qm", "least", "last"])
-
-    seeded = queries.select("q", "ids", "m").mapInArrow(seed, "q bigint, qids binary, qm binary, least binary, last int")
-    wanted = seeded.where("last > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("last") - 1)).alias("block"))
-    numbered = data.join(F.broadcast(spark.createDataFrame([(a, b) for a, b in number.items()], "key bigint, block int")), "key").select("block", "ids", "m")
-    pairs = wanted.join(numbered, "block").select("q", "qids", "qm", "least", "ids", "m")
+                # The least length of a block that could still matter to a query of this one.
+                need = float(np.where(least > 0, least / np.maximum(norms, 1e-300), -np.inf).min(initial=np.inf))
+                yield pa.RecordBatch.from_arrays([pa.array([q]), pa.array([least.tobytes()], pa.binary()), pa.array([need])], names=["q", "least", "need"])
+
+    seeded = materialize(queries.select("q", "ids", "m").mapInArrow(seed, "q bigint, least binary, need double"), "seeds")
+    # Numbers of blocks only; their vectors join last.
+    wanted = seeded.select("q", "need").join(data.select("block", "longest"), F.col("longest") * (1 + 1e-9) + 1 >= F.col("need")).select("q", "block")
+    asked = wanted.join(seeded.select("q", "least"), "q").join(queries.select("q", F.col("ids").alias("qids"), F.col("m").alias("qm")), "q")
+    pairs = asked.join(data.select("block", "ids", "m"), "block").select("q", "qids", "qm", "least", "ids", "m")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rotation = shared.value[0]
