@@ -84,12 +84,38 @@ def test_each_similar_pair_shares_a_signature():
         a = np.array(sorted({*common, *(rnd.getrandbits(64) for _ in range(cut))}), np.uint64)
         b = np.array(sorted({*common, *(rnd.getrandbits(64) for _ in range(extra - cut))}), np.uint64)
         if 100 * n >= 75 * (len(a) + len(b) - n):
-            sig, owner, group, least = signatures([a, b], 0.75)
-            shared = {*sig[owner == 0].tolist()} & {*sig[owner == 1].tolist()}
-            assert shared, (n, len(a), len(b))
-            for i in (0, 1):  # in the groups that the two have in common, each shares as many as it asks for
-                asked = [int(least[i, g]) for g in range(3) if shared & {*sig[(owner == i) & (group == g)].tolist()}]
-                assert asked and all(len(shared & {*sig[(owner == i) & (group == g)].tolist()}) >= least[i, g] for g in range(3) if shared & {*sig[(owner == i) & (group == g)].tolist()})
+            sig, owner = signatures([a, b], 0.75)
+            assert {*sig[owner == 0].tolist()} & {*sig[owner == 1].tolist()}, (n, len(a), len(b))
+
+
+def test_all_similar_pairs_of_small_sets_share_a_signature():
+    """All pairs of many sets over few elements, with as many differences as there may be."""
+    rnd = random.Random(6)
+    for size in (*range(1, 16), 22, 31, 40):
+        pool = [rnd.getrandbits(64) for _ in range(size + size // 3 + 2)]
+        sets = [np.array(sorted(rnd.sample(pool, rnd.randrange(max(1, size - size // 5), size + 1))), np.uint64) for _ in range(60)]
+        sig, owner = signatures(sets, 0.75)
+        own = [{*sig[owner == i].tolist()} for i in range(len(sets))]
+        for i, a in enumerate(sets):
+            for j in range(i):
+                common = len(np.intersect1d(a, sets[j]))
+                if 100 * common >= 75 * (len(a) + len(sets[j]) - common):
+                    assert own[i] & own[j], (size, i, j)
+
+
+def test_repeated_ids_with_different_texts(spark):
+    base, other = [f"w{i}" for i in range(40)], [f"v{i}" for i in range(40)]
+    rows = [(7, " ".join(base)), (7, " ".join(other)), (9, " ".join([*base, "x"])), (11, " ".join([*other, "x"])), (3, " ".join(f"u{i}" for i in range(40)))]
+    got = sorted(map(tuple, jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()))
+    assert got == [(3, 36, 3), (7, 36, 7), (7, 36, 7), (9, 37, 7), (11, 37, 7)]
+
+
+def test_groups_that_slices_send_by_themselves(spark):
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join([*base[: rnd.randrange(54, 60)], f"x{i}"])) for i in range(60)] + [(100 + i, " ".join(rnd.choice(base) for _ in range(30))) for i in range(40)]
+    got = {r[0]: (r[1], r[2]) for r in jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert got == brute(rows)
 
 
 def test_sketches_bound_the_difference():

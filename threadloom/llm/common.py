@@ -152,24 +152,3 @@ def word_hashes(words: pa.Array) -> np.ndarray:
 
         hashed[i] = xxhash.xxh3_64_intdigest(data[at[i] : at[i + 1]].tobytes())
     return hashed[coded.indices.to_numpy(zero_copy_only=False)]
-
-
-class WordHashes(dict):
-    """word -> 64-bit hash; emptied when it holds ``most`` words, so its memory is bounded."""
-
-    def __init__(self, most: int = 150_000):
-        super().__init__()
-        self.most = most
-
-    def __missing__(self, word: str) -> int:
-        import xxhash
-
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, words: pa.Array) -> np.ndarray:
-        coded = words.dictionary_encode()
-        unique = np.fromiter(map(self.__getitem__, coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-        return unique[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.uint64)

@@ -1,41 +1,40 @@
 """N-gram Jaccard self-join with PartEnum signatures, down to connected components.
 
 A document's set has its distinct word shingles, hashed to 64 bits. Sizes fall in
-bands of ratio 1/threshold; sets of one band, or of two that follow each other,
-share a tag. Within a tag the hash domain is cut into equal partitions, and a
-signature is the content of one partition that isn't empty. Two sets that are
-similar differ in at most k elements, k following from their sizes, each of which
-spoils one partition at most: of a set's e signatures at least t = e - k are shared
-with any similar set. For small sets each element is a partition of its own, and t
-is what the threshold asks of their intersection. (t could only be below 1, so that
-a pair could be lost, if both sets' hashes filled k partitions or fewer, which is
-as unlikely as equal 64-bit hashes.)
-
-Signatures carried by a single document are dropped. A document with fewer than t
-left has no partner. The others keep, of the c that are left, the c - t + 1 carried
-by the fewest documents: similar documents share one of these, while what is
-common to very many texts comes last.
-
-Documents of one signature are candidates. First each is linked with the smallest
-carrier (a star). Each document keeps a parity sketch: an element flips one of
-about 2n bits, so the bits in which two sketches differ are a lower bound of the
-sets' difference, and most false candidates end there. The rest is verified exactly
-on the sets; then pairs of one signature that still lie in different components
-are verified too: by stars around other centres, at last each such pair. Nothing
-is capped.
-
-Skew: a document equal to an earlier one of its task emits no signatures; a
+bands of ratio 1/threshold; a set has the tags of its own band and of the next, so
+that similar sets have one in common. Similar sets of a tag differ in at most k
+elements, k following from the tag's largest size.
+
+Signatures: a tag cuts the hash domain into first partitions, each into three second
+ones, and enumerates the subsets of two of these three. A signature is what a set has
+in such a subset, unless that is empty. A difference spoils one second partition, so
+two are needed to spoil all signatures of a first partition with elements in two or
+three of its parts, one where they are in one part. Where these needs add up to more
+than k for a set, it shares a signature with each similar set. Sets for which they
+don't (few) have their elements of smallest hash as signatures besides, as many as
+the prefix filter asks for, so that two such sets share one of these.
+
+The carriers of one signature are candidates. Signatures with the same carriers
+are one group. First each carrier is linked with the smallest one (a star). Each document
+keeps a parity sketch: an element flips one of about 2n bits, so the bits in which
+two sketches differ are a lower bound of the sets' difference, and most false
+candidates end there. The rest is verified exactly on the sets; then pairs of one
+group that still lie in different components are verified too: by stars around other
+centres, at last each such pair. Nothing is capped.
+
+Skew: equal sets are one class, of which a task's first alone has signatures; a
 signature carried by many documents of one slice of text is sent on once from
-there; joins on signatures have one row a signature on one side.
+there; joins on groups have one row a group on one side, but for the last round's.
 
 Defined results: null or empty texts, and texts of white space, have an empty set
 and are linked with nothing; a null id takes no part in links and is its own
-component (null); rows with an id that occurs more than once: one row each, linked
-as one vertex; extra columns are dropped.
+component (null); rows with an id that occurs more than once: one row each, each
+compared by its own text, linked as one vertex; extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,11 +42,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, materialize, mix64, resident, slices, split_words
+from .common import materialize, mix64, slices, split_words, word_hashes
 from .graph import components
 
 WORDS = 16  # of 64 bits in the shortest sketch, to which all can be folded
-SMALL = 30  # up to so many elements, a band uses single elements
 LOCAL_HOT = 16  # a signature of so many documents in one slice is forwarded once
 WEIGHTS = mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)  # with no sums in common
 
@@ -56,9 +54,8 @@ def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text (A-Z lower-cased)."""
     import pyarrow.compute as pc
 
-    hashes = resident(("word hashes",), WordHashes)
     words, bounds = split_words(pc.ascii_lower(pc.fill_null(texts, "")))
-    h = hashes.of(words)
+    h = word_hashes(words)
     total = max(0, len(h) - n + 1)
     rolled = np.zeros(total, np.uint64)
     for j in range(n):
@@ -88,15 +85,16 @@ def bands(threshold: float, to: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(signature, place of the set, group) of all sets, and each set's least shared number by group.
+def first_partitions(k: np.ndarray) -> np.ndarray:
+    """So many that what spoils a set's signatures is seldom within ``k`` differences: nearly two a partition, and some for partitions with few elements."""
+    return np.ceil(0.5 * (k + 1) + 0.2 * np.sqrt(k)).astype(np.int64)
 
-    Groups: 0 for single elements, 1 for the set's own tag, 2 for the next.
-    """
+
+def signatures(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, place of the set) of all sets: similar sets share one."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    least = np.zeros((len(sets), 3), np.int64)
     if not sizes.sum():
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), least
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     table = bands(threshold, int(sizes.max()))
     table += [(table[-1][1] + 1, int((table[-1][1] + 1) / threshold + 1e-9))]
     highs = np.array([h for _, h in table], np.int64)
@@ -105,30 +103,35 @@ def signatures(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np
     owner = np.repeat(np.arange(len(sets)), sizes)
     mixed = mix64(flat + np.uint64(0x51ED270B))
     spoil = (1 - threshold) / (1 + threshold)
-    partner = np.floor(sizes / threshold + 1e-9)
-    out = []
-    alike = np.ceil(sizes * threshold - 1e-9).astype(np.int64)
-    single = (alike <= SMALL)[owner]  # small, or may be similar to a small one
-    if single.any():
-        out.append((mixed[single], owner[single], np.zeros(int(single.sum()), np.int64)))
-        least[:, 0] = alike
+    partner = np.floor(sizes / threshold + 1e-9).astype(np.int64)
+    out, wanting = [], np.zeros(len(sets), bool)
     for up in (0, 1):
         tag = band + up
         high = highs[tag]
-        parts = np.maximum(2, np.ceil(high * np.where(high >= 300, 0.4, np.where(high >= 100, 0.5, 1.0)))).astype(np.uint64)
-        live = (sizes > SMALL)[owner]
-        f, o, x = flat[live], owner[live], mixed[live]
-        if not len(f):
-            continue
-        part = ((f >> np.uint64(32)) * parts[o]) >> np.uint64(32)  # ascends within a set
-        starts = np.flatnonzero(np.concatenate([[True], (o[1:] != o[:-1]) | (part[1:] != part[:-1])]))
-        whose = o[starts]
-        k = np.floor((sizes + np.minimum(partner, high)) * spoil + 1e-9).astype(np.int64)
-        least[:, up + 1] = np.maximum(1, np.bincount(whose, minlength=len(sets)) - k)
-        salt = mix64(part[starts] * np.uint64(0x9E3779B97F4A7C15) + tag[whose].astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-        out.append((mix64(np.add.reduceat(x, starts) ^ salt), whose, np.full(len(starts), up + 1)))
-    sig, place, group = (np.concatenate([r[i] for r in out]) for i in range(3))
-    return sig, place, group, least
+        firsts = first_partitions(np.floor(2 * high * spoil + 1e-9))
+        part = (((flat >> np.uint64(32)) * (3 * firsts).astype(np.uint64)[owner]) >> np.uint64(32)).astype(np.int64)  # ascends within a set
+        starts = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1])]))
+        whose, part = owner[starts], part[starts]
+        first = part // 3
+        heads = np.concatenate([[True], (whose[1:] != whose[:-1]) | (first[1:] != first[:-1])])
+        row = np.cumsum(heads) - 1
+        content = np.zeros((int(row[-1]) + 1, 3), np.uint64)
+        content[row, part - 3 * first] = np.add.reduceat(mixed, starts)
+        parts = np.bincount(row)
+        whose, first = whose[heads], first[heads]
+        # What one part's absence leaves; nothing, where all elements are in that part.
+        left = content.sum(1, keepdims=True) - content
+        some = (parts[:, None] > 1) | (content == 0)
+        salt = mix64(first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + tag[whose].astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        out.append((mix64(left + salt[:, None] + np.arange(3, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7))[some], np.repeat(whose, 3).reshape(-1, 3)[some]))
+        k = np.floor((sizes + np.minimum(partner, high)) * spoil + 1e-9)
+        wanting |= (sizes > 0) & (np.bincount(whose, np.minimum(parts, 2), len(sets)) <= k)
+    ends = np.cumsum(sizes)
+    for i in np.flatnonzero(wanting).tolist():
+        own = np.sort(mixed[ends[i] - sizes[i] : ends[i]])
+        prefix = own[: len(own) - math.ceil(len(own) * threshold - 1e-9) + 1]
+        out.append((mix64(prefix), np.full(len(prefix), i)))
+    return np.concatenate([x for x, _ in out]), np.concatenate([x for _, x in out])
 
 
 def set_key(s: np.ndarray) -> bytes:
@@ -137,19 +140,19 @@ def set_key(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def packed(ids: np.ndarray, groups: np.ndarray) -> bytes:
-    """The smallest id, then four bytes an id and group where the range allows it."""
-    low = ids.min()
-    if int(ids.max()) - int(low) < 2**30:
-        return low.tobytes() + ((ids - low) << 2 | groups).astype(np.uint32).tobytes()
-    return low.tobytes() + ids.tobytes() + groups.astype(np.uint8).tobytes()
+def packed(rows: np.ndarray, hot: np.ndarray) -> bytes:
+    """The smallest row, then four bytes a row and mark where the range allows it."""
+    low = rows.min()
+    if int(rows.max()) - int(low) < 2**31:
+        return low.tobytes() + ((rows - low) << 1 | hot).astype(np.uint32).tobytes()
+    return low.tobytes() + rows.tobytes() + hot.astype(np.uint8).tobytes()
 
 
 def unpacked(data, n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(data) == 8 + 4 * n:
         both = np.frombuffer(data, np.uint32, offset=8).astype(np.int64)
-        return (both >> 2) + np.frombuffer(data, np.int64, 1)[0], both & 3
-    return np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.uint8, offset=8 + 8 * n).astype(np.int64)
+        return (both >> 1) + np.frombuffer(data, np.int64, 1)[0], (both & 1).astype(bool)
+    return np.frombuffer(data, np.int64, n, 8), np.frombuffer(data, np.uint8, offset=8 + 8 * n).astype(bool)
 
 
 def short(sigs: np.ndarray) -> bytes:
@@ -188,33 +191,28 @@ def difference_at_least(a, b) -> int:
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """(id, n, key, the set itself) of each row."""
+    """(key, the set itself) of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column(1), n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "n", "key", "data"])
+            sets = shingle_sets(batch.column(0), n)
+            yield pa.RecordBatch.from_arrays([pa.array([set_key(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["key", "data"])
 
-    return docs.mapInArrow(run, "id bigint, n bigint, key binary, data binary")
+    return docs.select("text").mapInArrow(run, "key binary, data binary")
 
 
 def _folded(sketches: DataFrame) -> DataFrame:
-    """(id, n, w0, w1, ...): each sketch folded to WORDS 64-bit words."""
+    """(row, n, w0, w1, ...): each sketch folded to WORDS 64-bit words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = np.stack([np.bitwise_xor.reduce(np.frombuffer(x.as_buffer(), np.int64).reshape(-1, WORDS), 0) for x in batch.column(2)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(words[:, i]) for i in range(WORDS))], names=["id", "n", *(f"w{i}" for i in range(WORDS))])
-
-    return sketches.mapInArrow(run, "id bigint, n bigint, " + ", ".join(f"w{i} bigint" for i in range(WORDS)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(words[:, i]) for i in range(WORDS))], names=["row", "n", *(f"w{i}" for i in range(WORDS))])
 
+    return sketches.mapInArrow(run, "row bigint, n bigint, " + ", ".join(f"w{i} bigint" for i in range(WORDS)))
 
-def _one_each(sets: DataFrame) -> DataFrame:
-    """Of rows with one id, that of the smallest key."""
-    return sets.groupBy("id").agg(F.min(F.struct("key", "n", "data")).alias("x")).select("id", "x.n", "x.data")
 
-
-ROW = {"bucket": ("int", pa.int32()), "sig": ("bigint", pa.int64()), "id": ("bigint", pa.int64()), "g": ("int", pa.int32()), "sigs": ("binary", pa.binary()), "ids": ("binary", pa.binary()), "n": ("bigint", pa.int64()), "key": ("binary", pa.binary()), "data": ("binary", pa.binary()), "least": ("array<int>", pa.list_(pa.int32()))}
+ROW = {"bucket": ("int", pa.int32()), "gid": ("bigint", pa.int64()), "row": ("bigint", pa.int64()), "id": ("bigint", pa.int64()), "sigs": ("binary", pa.binary()), "rows": ("binary", pa.binary()), "n": ("bigint", pa.int64()), "key": ("binary", pa.binary()), "data": ("binary", pa.binary())}
 
 
 def _rows(names: list[str], **columns) -> pa.RecordBatch:
@@ -222,101 +220,99 @@ def _rows(names: list[str], **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns[c], ROW[c][1]) if c in columns else pa.nulls(size, ROW[c][1]) for c in names], names=names)
 
 
+def _groups(sig: np.ndarray, row: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(group, row) of signatures that several rows carry; those with the same carriers are one group. A signature that slices have sent to the result by itself is its own group."""
+    order = np.argsort(sig)
+    sig, row, hot = sig[order], row[order], hot[order]
+    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [len(sig)]]))
+    direct = np.logical_or.reduceat(hot, starts)
+    carriers = mix64(np.add.reduceat(mix64(row.view(np.uint64) + np.uint64(0x2545F491)), starts) + sizes.astype(np.uint64)).view(np.int64)
+    gid = np.where(direct, sig[starts], carriers)
+    kept = np.flatnonzero((sizes > 1) | direct)
+    kept = kept[np.unique(gid[kept], return_index=True)[1]]
+    ends = np.cumsum(sizes[kept])
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(gid[kept], sizes[kept]), row[np.arange(total) + np.repeat(starts[kept] - ends + sizes[kept], sizes[kept])]
+
+
 def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
-    """Two kinds of rows: (sig, id, g) of signatures that two or more documents carry, and (id, n, key, data, least) of each document."""
+    """Two kinds of rows: (gid, row) of groups of rows that carry one signature, and (row, id, n, key, data) of each row."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = min(8 * partitions, 32_768)  # several to a partition, so that hashing deals them out evenly
-    result = ["sig", "id", "g", "n", "key", "data", "least"]
+    result = ["gid", "row", "id", "n", "key", "data"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in slices(batches, "text"):
-            sets = shingle_sets(batch.column(1), n)
+        for batch in slices(batches, "text", 4_000_000):
+            sets = shingle_sets(batch.column(2), n)
             keys = [set_key(s) if len(s) else None for s in sets]
-            sizes, sketches = [len(s) for s in sets], [sketch(s) for s in sets]
-            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            known = batch.column(0).is_valid().to_pylist()
+            yield _rows([*ROW], row=batch.column(0), id=batch.column(1), n=[len(s) for s in sets], key=keys, data=[sketch(s) for s in sets])
+            rows = batch.column(0).to_numpy()
+            known = batch.column(1).is_valid().to_pylist()
             for i, key in enumerate(keys):
                 if key is not None:
                     if key in seen or not known[i]:
                         sets[i] = sets[i][:0]
                     elif len(seen) < 500_000:
                         seen.add(key)
-            sig, owner, group, least = signatures(sets, threshold)
-            yield _rows([*ROW], id=batch.column(0), n=sizes, key=keys, data=sketches, least=pa.array(least.tolist(), ROW["least"][1]))
+            sig, owner = signatures(sets, threshold)
             if not len(sig):
                 continue
-            order = np.argsort(sig, kind="stable")
-            sig, owner, group = sig[order], owner[order], group[order]
+            order = np.argsort(sig)
+            sig, owner = sig[order], owner[order]
             starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
             counts = np.diff(np.concatenate([starts, [len(sig)]]))
             hot = np.repeat(counts >= LOCAL_HOT, counts)
             if hot.any():  # known to be carried by several: straight to the result, and one goes on to meet other slices
-                yield _rows([*ROW], sigs=[number(sig[hot], buckets).tobytes()], ids=[packed(ids[owner[hot]], group[hot])])
+                yield _rows([*ROW], sigs=[number(sig[hot], buckets).tobytes()], rows=[packed(rows[owner[hot]], hot[hot])])
                 kept = ~hot
                 kept[starts[counts >= LOCAL_HOT]] = True
-                sig, owner, group = sig[kept], owner[kept], group[kept]
+                sig, owner, hot = sig[kept], owner[kept], hot[kept]
             bucket = (((sig >> np.uint64(48)) * np.uint64(buckets)) >> np.uint64(16)).astype(np.int64)  # ascends with the signature
             cut = np.searchsorted(bucket, np.arange(buckets + 1))
             spans = [(b, i, j) for b, (i, j) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)) if j > i]
-            yield _rows([*ROW], bucket=[b for b, _, _ in spans], sigs=[short(sig[i:j]) for _, i, j in spans], ids=[packed(ids[owner[i:j]], group[i:j]) for _, i, j in spans])
+            yield _rows([*ROW], bucket=[b for b, _, _ in spans], sigs=[short(sig[i:j]) for _, i, j in spans], rows=[packed(rows[owner[i:j]], hot[i:j]) for _, i, j in spans])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sigs, ids, groups = [], [], []
+        sigs, rows, marks = [], [], []
         for batch in batches:
             if batch.column("bucket").null_count:
                 direct = batch.filter(batch.column("bucket").is_null())
                 documents = direct.filter(direct.column("sigs").is_null())
                 yield pa.RecordBatch.from_arrays([documents.column(c) for c in result], names=result)
-                for a, b in zip(direct.column("sigs"), direct.column("ids"), strict=True):
+                for a, b in zip(direct.column("sigs"), direct.column("rows"), strict=True):
                     if a.is_valid:
                         sig = np.frombuffer(a.as_buffer(), np.int64)
-                        who, group = unpacked(b.as_buffer(), len(sig))
-                        yield _rows(result, sig=sig, id=who, g=group.astype(np.int32))
-            for k, a, b in zip(batch.column("bucket").to_pylist(), batch.column("sigs"), batch.column("ids"), strict=True):
+                        yield _rows(result, gid=sig, row=unpacked(b.as_buffer(), len(sig))[0])
+            for k, a, b in zip(batch.column("bucket").to_pylist(), batch.column("sigs"), batch.column("rows"), strict=True):
                 if k is not None:
                     sigs.append(long(a.as_buffer(), k))
-                    who, group = unpacked(b.as_buffer(), len(sigs[-1]))
-                    ids.append(who)
-                    groups.append(group.astype(np.int32))
+                    who, hot = unpacked(b.as_buffer(), len(sigs[-1]))
+                    rows.append(who)
+                    marks.append(hot)
         if not sigs:
             return
-        sig, who, group = np.concatenate(sigs), np.concatenate(ids), np.concatenate(groups)
-        sigs.clear(), ids.clear(), groups.clear()
-        order = np.argsort(sig)
-        sig, who, group = sig[order], who[order], group[order]
-        same = sig[1:] == sig[:-1]
-        many = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-        sig, who, group = sig[many], who[many], group[many]
-        for i in range(0, len(sig), 100_000):
-            yield _rows(result, sig=sig[i : i + 100_000], id=who[i : i + 100_000], g=group[i : i + 100_000])
+        found = _groups(np.concatenate(sigs), np.concatenate(rows), np.concatenate(marks))
+        sigs.clear(), rows.clear(), marks.clear()
+        for i in range(0, len(found[0]), 100_000):
+            yield _rows(result, gid=found[0][i : i + 100_000], row=found[1][i : i + 100_000])
 
     sent = docs.mapInArrow(emit, ", ".join(f"{c} {t}" for c, (t, _) in ROW.items()))
     # Rows without a bucket go anywhere.
-    dealt = sent.repartition(partitions, F.coalesce(F.col("bucket").cast("bigint"), -1 - F.pmod(F.xxhash64("sigs", "id"), F.lit(4096))))
+    dealt = sent.repartition(partitions, F.coalesce(F.col("bucket").cast("bigint"), -1 - F.pmod(F.xxhash64("sigs", "row"), F.lit(4096))))
     return dealt.mapInArrow(meet, ", ".join(f"{c} {ROW[c][0]}" for c in result))
 
 
-def _members(carried: DataFrame, least: DataFrame) -> DataFrame:
-    """(sig, id): of each document the signatures that it needs, the least common first."""
-    own = Window.partitionBy("id", "g")
-    asked = least.select("id", F.posexplode("least").alias("g", "t")).where("t > 0").groupBy("id", "g").agg(F.min("t").alias("t"))
-    # A hot signature's first carrier may come twice.
-    counted = carried.groupBy("id", "g", "sig").agg(F.lit(1).alias("one")).select("id", "g", "sig", F.count("*").over(own).alias("c"))
-    enough = counted.join(asked, ["id", "g"]).where("c >= t").select("id", "g", "sig", "t")
-    spread = enough.groupBy("sig").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = enough.join(spread, "sig").select("id", "sig", "t", F.count("*").over(own).alias("c"), F.row_number().over(own.orderBy("df", "sig")).alias("nth"))
-    return ranked.where("nth <= c - t + 1").select("sig", "id")
-
-
-def _both(pairs: DataFrame, data: DataFrame) -> DataFrame:
-    return pairs.join(data.select(F.col("id").alias("u"), F.col("n").alias("nu"), F.col("data").alias("a")), "u").join(data.select(F.col("id").alias("v"), F.col("n").alias("nv"), F.col("data").alias("b")), "v").select("u", "v", "nu", "nv", "a", "b")
-
-
-def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
-    """(u, v) of candidate pairs that are linked: by sketches, then by exact intersection."""
+def _links(docs: DataFrame, named: DataFrame, pairs: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(u, v) of candidate pairs of rows that are linked: by sketches, then by exact intersection."""
     num, den = round(threshold * 100), 100
 
+    def both(pairs: DataFrame, u: str, v: str, data: DataFrame, by: str, *more: str) -> DataFrame:
+        """The pairs with what ``data`` has of both sides."""
+        sides = [data.select(F.col(by).alias(side), *(F.col(c).alias(c + end) for c in more)) for side, end in ((u, "u"), (v, "v"))]
+        return pairs.join(sides[0], u).join(sides[1], v)
+
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nu, nv = (batch.column(i).to_numpy() for i in (2, 3))
@@ -327,67 +323,74 @@ def _links(docs: DataFrame, sketches: DataFrame, pairs: DataFrame, n: int, thres
                 keep[i] = difference_at_least(batch.column(4)[i].as_buffer(), batch.column(5)[i].as_buffer()) <= most[i]
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["u", "v"])
 
-    left = materialize(_both(pairs, sketches).mapInArrow(may, "u bigint, v bigint"), "likely")
+    likely = materialize(both(pairs, "u", "v", named, "row", "n", "data").select("u", "v", "nu", "nv", "datau", "datav").mapInArrow(may, "u bigint, v bigint"), "likely")
     # Written, so that the planner knows its size: ids of few documents are broadcast, and the texts stay where they are.
-    needed = materialize(left.select(F.explode(F.array("u", "v")).alias("id")).distinct(), "needed")
-    sets = materialize(_one_each(_sets(docs.join(needed, "id", "left_semi").select("id", "text"), n)), "sets")
+    needed = materialize(named.join(likely.select(F.explode(F.array("u", "v")).alias("row")).distinct(), "row").select("row", "id", "key"), "needed")
+    texts = docs.join(needed.select("id").distinct(), "id", "left_semi")
+    sets = materialize(_sets(texts, n).join(needed.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("data").alias("data")), "sets")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
-            for a, b in zip(batch.column(4), batch.column(5), strict=True):
-                both = np.concatenate([np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                linked.append(common > 0 and den * common >= num * (len(both) - common))
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                joined = np.concatenate([np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)])
+                joined.sort()
+                common = int((joined[1:] == joined[:-1]).sum())
+                linked.append(common > 0 and den * common >= num * (len(joined) - common))
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(linked, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
-    return materialize(_both(left, sets).mapInArrow(exact, "u bigint, v bigint"), "linked")
+    keyed = both(likely, "u", "v", needed, "row", "key")
+    return materialize(both(keyed, "keyu", "keyv", sets, "key", "data").select("u", "v", "datau", "datav").mapInArrow(exact, "u bigint, v bigint"), "linked")
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text", stars: int = 2) -> DataFrame:
     """(id, n_shingles, component_id) of each row; linked if intersection / union >= threshold (in hundredths).
 
     ``stars``: how many rounds join only star candidates before all pairs of a
-    signature that lie in different components are verified.
+    group that lie in different components are verified.
     """
-    spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     gathered = materialize(_gathered(docs, n, threshold), "gathered")
-    info = gathered.where("sig IS NULL").select("id", "n", "key", "data", "least")
+    info = gathered.where("gid IS NULL").select("row", "id", "n", "key", "data")
     named = info.where("id IS NOT NULL AND key IS NOT NULL")
-    needed = materialize(_members(gathered.where("sig IS NOT NULL").select("sig", "id", "g"), named), "needed")
-    # Equal sets are one class, named by its smallest id; candidates are sought between classes only.
-    classes = materialize(named.groupBy("key").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep < last").select("key", "rep"), "classes")
-    same = materialize(named.join(classes, "key").where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")), "same")
-    of_class = same.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("rep"))
-    members = materialize(needed.join(of_class, "id", "left").select("sig", F.coalesce("rep", "id").alias("id")).distinct(), "members")
-    sketches = _one_each(named)
-    links, checked, found = same, None, components(same)
+
+    def stars_of(rows: DataFrame, by: str) -> DataFrame:
+        """Links of all rows that are alike in a column with the first of them."""
+        several = rows.groupBy(by).agg(F.min("row").alias("u"), F.max("row").alias("last")).where("u < last").select(by, "u")
+        return materialize(rows.join(several, by).where("row <> u").select("u", F.col("row").alias("v")), "alike")
+
+    # Equal sets are one class, named by its first row; candidates are sought between classes only.
+    same = stars_of(named.select("row", "key"), "key")
+    groups = gathered.where("gid IS NOT NULL").select("gid", "row").join(same.select(F.col("v").alias("row"), "u"), "row", "left")
+    members = materialize(groups.select("gid", F.coalesce("u", "row").alias("row")).distinct(), "members")
+    links = same.unionByName(stars_of(info.where("id IS NOT NULL").select("row", "id"), "id"))
+    checked, found = None, components(links)
     for turn in range(stars + 1):
-        placed = members.join(found.select(F.col("v").alias("id"), "root"), "id", "left").select("sig", "id", F.coalesce("root", "id").alias("c"))
-        centre = F.struct(F.xxhash64(F.lit(turn), "id").alias("o"), "id", "c") if turn else F.struct("id", "c")
-        spread = placed.groupBy("sig").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(centre).alias("x")).where("low < high")
+        placed = members.join(found.select(F.col("v").alias("row"), "root"), "row", "left").select("gid", "row", F.coalesce("root", "row").alias("c"))
+        centre = F.struct(F.xxhash64(F.lit(turn), "row").alias("o"), "row", "c") if turn else F.struct("row", "c")
+        spread = placed.groupBy("gid").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(centre).alias("x")).where("low < high")
         if turn < stars:
-            pairs = placed.join(spread.select("sig", F.col("x.id").alias("x"), F.col("x.c").alias("cx")), "sig").where("c <> cx")
+            pairs = placed.join(spread.select("gid", F.col("x.row").alias("rowx"), F.col("x.c").alias("cx")), "gid").where("c <> cx")
         else:
             # The sketches are compared in the join's condition, so that of a group only likely pairs leave the join.
-            open_ = materialize(placed.join(spread.select("sig"), "sig"), "open")
-            shown = materialize(_folded(sketches.join(open_.select("id").distinct(), "id", "left_semi")), "folded")
-            open_ = open_.join(shown, "id")
-            other = open_.select("sig", *(F.col(c).alias(f"{c}x") for c in open_.columns if c != "sig")).withColumnRenamed("idx", "x")
+            open_ = materialize(placed.join(spread.select("gid"), "gid"), "open")
+            shown = materialize(_folded(named.join(open_.select("row").distinct(), "row", "left_semi").select("row", "n", "data")), "folded")
+            open_ = open_.join(shown, "row")
+            other = open_.select("gid", *(F.col(c).alias(f"{c}x") for c in open_.columns if c != "gid"))
             num = round(threshold * 100)
             differ = sum((F.bit_count(F.col(f"w{i}").bitwiseXOR(F.col(f"w{i}x"))) for i in range(1, WORDS)), F.bit_count(F.col("w0").bitwiseXOR(F.col("w0x"))))
             near = (F.greatest(F.abs(F.col("n") - F.col("nx")), differ) * (100 + num) <= (F.col("n") + F.col("nx")) * (100 - num))
-            pairs = open_.join(other, (open_["sig"] == other["sig"]) & (F.col("c") < F.col("cx")) & near)
-        pairs = pairs.select(F.least("id", "x").alias("u"), F.greatest("id", "x").alias("v")).distinct()
+            pairs = open_.join(other, (open_["gid"] == other["gid"]) & (F.col("c") < F.col("cx")) & near)
+        pairs = pairs.select(F.least("row", "rowx").alias("u"), F.greatest("row", "rowx").alias("v")).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
         if not pairs.isEmpty():
-            fresh = _links(docs, sketches, pairs, n, threshold)
+            fresh = _links(docs, named, pairs, n, threshold)
             checked = pairs if checked is None else checked.unionByName(pairs)
             if not fresh.isEmpty():
                 links = links.unionByName(fresh)
                 found = components(links)
-    return info.join(found.select(F.col("v").alias("id"), "root"), "id", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
+    placed = info.select("row", "id", "n").join(found.select(F.col("v").alias("row"), "root"), "row", "left")
+    least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
+    return placed.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))
