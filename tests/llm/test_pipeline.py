@@ -71,3 +71,27 @@ def test_nulls_repeats_and_ties(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     write(spark, str(tmp_path), [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_rows_without_id_are_worked_on_too(spark, tmp_path):
+    text = "some clean words that stand here in a row and say nothing"
+    docs = [(1, text, "en", "s", 5), (None, text, None, None, None), (None, "only this one has words of its own today", None, None, None), (None, "see x y z there", None, None, None), (None, "only this one has words of its own today", "en", None, None)]
+    write(spark, str(tmp_path), docs)
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    kept = corpus_pipeline.near_duplicates(spark, df, str(tmp_path))
+    assert kept.schema == df.schema and sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("1", text), ("None", docs[2][1]), ("None", docs[3][1])])
+    kept = corpus_pipeline.decontaminate(spark, df, str(tmp_path))
+    assert kept.schema == df.schema and sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("1", text), ("None", text), ("None", docs[2][1]), ("None", docs[2][1])])
+
+
+def test_columns_of_the_stages_own_names(spark, tmp_path):
+    write(spark, str(tmp_path), [(1, "token=abcdefgh and some words", "en", "s", 5), (2, "see x y z there", "en", "s", 9), (3, "some words", None, None, None)])
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    names = ("score", "has_secret", "id", "row", "item", "spans", "n_shingles", "component_id", "key", "data", "share", "n_tokens", "ids_text", "root", "Score_")
+    for name in names:
+        df = df.selectExpr("*", f"'{name}' AS `{name}`")
+    for stage, f in corpus_pipeline.STAGES[:-1]:
+        df = corpus_pipeline.materialize(f(spark, df, str(tmp_path)), "test")
+        assert {*names} < {*df.columns}, stage
+        assert all(r[c] == c for r in df.collect() for c in names)
+    assert corpus_pipeline.tokens(spark, df, str(tmp_path)).count() == df.count()
