@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from threadloom import ConversationEngine, cli
+from threadloom.config import Config, ConfinementError, confined
 from threadloom.operators import messages
 from threadloom.sources import exports, sinks
 from threadloom.streaming import incremental
@@ -117,3 +120,100 @@ def test_end_to_end_by_command_line(spark, chats, tmp_path, capsys):
     assert cli.main(["search", str(out / "x" / "canonical"), "loom"]) == 0 and "Loom" in capsys.readouterr().out
     assert cli.main(["get", str(out / "x" / "canonical"), "K"]) == 1
     assert ConversationEngine(spark).entities(spark.read.parquet(str(out / "m"))).count() == 1
+
+
+def test_parts_that_look_like_objects_stay_text(spark, tmp_path):
+    parts = ['{"k": 1} is my config', {"asset": "x"}, "tail", "", None, '"quoted"', 5]
+    node = {"id": "n", "parent": None, "message": {"id": "m", "author": {"role": "user"}, "create_time": 1.0, "content": {"content_type": "text", "parts": parts}}}
+    other = {"id": "o", "parent": "n", "message": {"id": "p", "author": {"role": "assistant"}, "create_time": 2.0, "content": {"content_type": "code"}}}
+    (tmp_path / "conversations-000.json").write_text(json.dumps([{"id": "c", "title": "t", "current_node": "o", "mapping": {"n": node, "o": other}}]))
+    got = {r.message_id: r.text for r in exports.chat_messages(exports.chat_export(spark, str(tmp_path))).collect()}
+    assert got == {"m": '{"k": 1} is my config\ntail\n\n"quoted"', "p": ""}
+
+
+def test_front_matter_with_a_key_written_twice(spark):
+    text = "---\na: 1\nb: \"x\"\na: 2\n---\nbody"
+    got = spark.createDataFrame([(text,), ("no fields",)], "t string").select(exports.front_matter(F.col("t")).alias("f")).collect()
+    assert got[0].f == {"a": "2", "b": "x"} and got[1].f == {}
+
+
+def test_block_trees(spark):
+    rows = [("p", "a", None, 0, "heading_1", "Top"), ("p", "b", "a", 1, "quote", "second"), ("p", "c", "a", 0, "paragraph", "first"), ("p", "d", "b", 0, "code", "x"), ("p", "e", "d", 0, "paragraph", "deep"), ("p", "f", None, 1, "child_page", "Sub"), ("p", "g", "f", 0, "paragraph", "inside")]
+    blocks = spark.createDataFrame(rows, "page_id string, id string, parent_id string, ord int, type string, text string")
+    assert exports.tree_markdown(exports.block_tree(blocks, 3)).first().markdown == "# Top\n  first\n  > second\n    ```\nx\n```\nSub"
+    assert {r.id for r in exports.block_tree(blocks, 4, child_pages=True).collect()} == set("abcdefg")
+    assert [r[0] for r in spark.createDataFrame([("checkbox", "true"), ("phone_number", "call +1 (555) 123-4567"), ("multi_select", "a;b"), ("title", "t")], "k string, v string").select(exports.property_text(F.col("k"), F.col("v"))).collect()] == ["yes", "call [REDACTED]", "a, b", "t"]
+
+
+def test_paged_service():
+    pages, waits = {None: {"results": [1, 2], "has_more": True, "next_cursor": "x"}, "x": {"results": [3], "has_more": False}}, []
+    busy = iter([True, True, False, False])
+
+    def fetch(cursor):
+        if next(busy):
+            raise exports.Busy(1.5 if not waits else 0)
+        return pages[cursor]
+
+    assert [*exports.paged(fetch, wait=waits.append)] == [1, 2, 3] and waits == [1.5, 2.0]
+
+    def always(cursor):
+        raise exports.Busy()
+
+    with pytest.raises(exports.SourceError):
+        [*exports.paged(always, wait=lambda _: None)]
+
+
+def test_a_write_that_fails_leaves_what_was_there(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.staged_write(spark.range(3), path)
+    with pytest.raises(sinks.SinkError):
+        sinks.staged_write(spark.range(5), path, lambda df: df.where("id = 4"))
+    assert spark.read.parquet(path).count() == 3
+    sinks.staged_write(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["t"]
+
+
+RECORD = [("MBK-1", 1, "CURRENT", "One: a", "first", "content one", ["e1"], "ACCEPTED", "PUBLISH"), ("MBK-2", 1, "CURRENT", "Two", None, "content two", ["e2", "e3"], "ACCEPTED", "HOLD")]
+STORE = "knowledge_id string, revision int, canonical_status string, title string, summary string, content string, evidence_ids array<string>, approval_status string, projection_policy string"
+
+
+def test_notes_are_written_and_human_ones_are_not_overwritten(spark, tmp_path):
+    records, folder = spark.createDataFrame(RECORD, STORE), tmp_path / "notes"
+    made = sinks.candidate_notes(records)
+    assert sinks.write_notes(made, str(folder)) == 2 and sinks.write_notes(made, str(folder)) == 0
+    text = (folder / "MBK-2.md").read_text()
+    assert text.startswith("---\nextraction_generated: true\n") and "provenance_refs: \"e2, e3\"" in text and text.endswith("## Provenance\n\n- e2\n- e3\n")
+    (folder / "MBK-1.md").write_text("my own note")
+    with pytest.raises(sinks.SinkError):
+        sinks.write_notes(made.withColumn("text", F.concat("text", F.lit("x"))), str(folder))
+    assert (folder / "MBK-1.md").read_text() == "my own note" and (folder / "MBK-2.md").read_text() == text
+    with pytest.raises(sinks.SinkError):
+        sinks.write_notes(made.withColumn("name", F.lit("../x.md")), str(folder))
+
+
+def test_command_line_from_notes_to_reviews_and_projection(spark, tmp_path, capsys):
+    store, queue, notes, out = (str(tmp_path / x) for x in ("store", "queue", "candidates", "published"))
+    records = spark.createDataFrame(RECORD, STORE)
+    records.write.parquet(store)
+    sinks.write_notes(sinks.candidate_notes(records), notes)
+    assert cli.main(["intake", store, notes, queue, "MBK-1.md"]) == 0 and cli.main(["intake-all", store, notes, queue]) == 0 and cli.main(["intake-all", store, notes, queue]) == 0
+    said = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert [x["taken_in"] for x in said] == [1, 1, 0]
+    assert cli.main(["intake", store, notes, queue, "../else.md"]) == 1
+    assert cli.main(["review-all", store, queue]) == 0
+    rows = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert len(rows) == 2 and all(r["classification"] == "INSUFFICIENT_EVIDENCE" or r["action"] for r in rows)
+    assert cli.main(["review", store, queue, rows[0]["candidate_id"]]) == 0 and cli.main(["review", store, queue, "none"]) == 1
+    capsys.readouterr()
+    assert cli.main(["publish-all", store, out]) == 0 and cli.main(["publish", store, out, "MBK-1"]) == 0 and cli.main(["publish", store, out, "MBK-2"]) == 1
+    assert [json.loads(x)["written"] for x in capsys.readouterr().out.splitlines()] == [1, 0]
+    assert '"' not in Path(out, "MBK-1.md").read_text().split("---")[1]
+
+
+def test_configuration_and_confinement():
+    c = Config.load("/data/", {"THREADLOOM_QUEUE": "s3a://b/q"})
+    assert c.store == "/data/store" and c.queue == "s3a://b/q" and c.notes is None and c.shown()["THREADLOOM_QUEUE"] == "s3a://b/q"
+    assert confined("a/./b.md", "/root/x") == "/root/x/a/b.md" and confined("s3a://b/q/../n/a.md", "s3a://b/n") == "s3a://b/n/a.md"
+    for path in ("../y", "/root/xy/a", "a/../..", "", "hdfs:///root/x/a"):
+        with pytest.raises(ConfinementError):
+            confined(path, "/root/x")

@@ -3,35 +3,61 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from threadloom.config import ConfinementError, confined
 from threadloom.engine import ConversationEngine
+from threadloom.operators import store as S
+from threadloom.operators.store import NotFound
 from threadloom.sources import sinks
 from threadloom.sources.exports import SourceError
-from threadloom.operators.store import NotFound
 
 TABLES = ("thoughts", "entities", "relationships", "timelines", "canonical")
+QUEUE = "candidate_id string, candidate_revision int, source_path string, source_hash string, proposed_operation string, proposed_knowledge_id string, base_canonical_revision int, content string, evidence_ids array<string>, status string"
+SHOWN = 1_000  # rows that are printed; what follows is counted
 
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="threadloom")
     verbs = top.add_subparsers(dest="verb", required=True)
-    ingest = verbs.add_parser("ingest")
+    ingest = verbs.add_parser("ingest", help="messages of chat exports")
     ingest.add_argument("source"), ingest.add_argument("target")
     for name in (*TABLES, "all"):
-        extract = verbs.add_parser(f"extract-{name}")
+        extract = verbs.add_parser(f"extract-{name}", help="records of messages")
         extract.add_argument("messages"), extract.add_argument("target")
-    get = verbs.add_parser("get")
+    get = verbs.add_parser("get", help="a record")
     get.add_argument("store"), get.add_argument("knowledge_id"), get.add_argument("--revision", type=int)
-    search = verbs.add_parser("search")
+    search = verbs.add_parser("search", help="ranked records")
     search.add_argument("store"), search.add_argument("query"), search.add_argument("--history", action="store_true"), search.add_argument("--limit", type=int, default=10)
-    doctor = verbs.add_parser("doctor")
+    doctor = verbs.add_parser("doctor", help="breaches of the store's contract")
     doctor.add_argument("store")
+    publish = verbs.add_parser("publish", help="one record's managed note")
+    publish.add_argument("store"), publish.add_argument("folder"), publish.add_argument("knowledge_id")
+    every = verbs.add_parser("publish-all", help="managed notes of all publishable records")
+    every.add_argument("store"), every.add_argument("folder")
+    intake = verbs.add_parser("intake", help="one candidate note into the queue")
+    intake.add_argument("store"), intake.add_argument("folder"), intake.add_argument("queue"), intake.add_argument("note")
+    for name in ("intake-all", "review-all"):
+        verb = verbs.add_parser(name, help="all candidate notes into the queue" if name == "intake-all" else "verdicts on all candidates")
+        verb.add_argument("store"), verb.add_argument("folder") if name == "intake-all" else None, verb.add_argument("queue")
+    review = verbs.add_parser("review", help="a verdict on one candidate")
+    review.add_argument("store"), review.add_argument("queue"), review.add_argument("candidate_id")
     return top
 
 
+def show(rows: DataFrame) -> int:
+    """Prints rows as JSON, and how many more there are than are shown; gives their number."""
+    lines, n = rows.toJSON().take(SHOWN), rows.count()
+    print(*lines, sep="\n")
+    if n > len(lines):
+        print(json.dumps({"not_shown": n - len(lines)}))
+    return n
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
@@ -45,16 +71,55 @@ def main(argv: list[str] | None = None) -> int:
             for table in TABLES if name == "all" else (name,):
                 sinks.staged_write(getattr(engine, table)(rows), f"{args.target}/{table}" if name == "all" else args.target)
         else:
-            store = spark.read.parquet(args.store)
-            found = engine.get(store, args.knowledge_id, args.revision) if args.verb == "get" else engine.search(store, args.query, args.history, args.limit) if args.verb == "search" else engine.doctor(store)
-            lines = found.toJSON().take(1_000)
-            print(*lines, sep="\n")
-            return int(args.verb == "doctor" and bool(lines))
-    except (SourceError, sinks.SinkError, NotFound, ValueError) as error:
+            return on_store(engine, spark.read.parquet(args.store), args)
+    except (SourceError, sinks.SinkError, NotFound, ConfinementError, ValueError) as error:
         print(error, file=sys.stderr)
         return 1
     return 0
 
 
+def on_store(engine: ConversationEngine, records: DataFrame, args: argparse.Namespace) -> int:
+    if args.verb == "get":
+        show(engine.get(records, args.knowledge_id, args.revision))
+    elif args.verb == "search":
+        show(engine.search(records, args.query, args.history, args.limit))
+    elif args.verb == "doctor":
+        return int(show(engine.doctor(records)) > 0)
+    elif args.verb in ("publish", "publish-all"):
+        if args.verb == "publish":
+            found = engine.get(records, args.knowledge_id)
+            if S.publishable(found).isEmpty():
+                raise ValueError(f"{args.knowledge_id} is not publishable")
+            records = found
+        print(json.dumps({"operation": args.verb, "written": engine.publish_notes(records, args.folder)}))
+    elif args.verb in ("intake", "intake-all"):
+        notes = engine.candidates(args.folder)
+        if args.verb == "intake":
+            path = confined(args.note, args.folder)
+            notes = notes.where(F.col("source_path").endswith(path.partition("://")[2] or path))
+            if notes.isEmpty():
+                raise SourceError(f"no note {args.note} in {args.folder}")
+        from threadloom.sources.exports import json_lines
+
+        fresh = engine.intake(notes, json_lines(engine.spark, args.queue, QUEUE, "tolerant"), records)
+        # The queue is read for this, so it is appended to only when that is done.
+        rows = fresh.collect() if args.verb == "intake" else None
+        if rows is not None:
+            fresh = engine.spark.createDataFrame(rows, fresh.schema)
+        n = fresh.count()
+        sinks.append_rows(fresh, args.queue)
+        print(json.dumps({"operation": args.verb, "taken_in": n}))
+    else:
+        from threadloom.sources.exports import json_lines
+
+        queue = json_lines(engine.spark, args.queue, QUEUE, "tolerant")
+        if args.verb == "review":
+            queue = queue.where(F.col("candidate_id") == args.candidate_id)
+            if queue.isEmpty():
+                raise NotFound(args.candidate_id)
+        show(engine.review(queue, records))
+    return 0
+
+
 if __name__ == "__main__":
     sys.exit(main())

@@ -50,6 +50,12 @@ PATTERNS = {
     "numbered_more": r"\n\d+\.\s",
     "narrative": r"(?i)(unfair advantages i never had|odds were (pretty much )?stacked against me)",
     "roleplay": r"(?i)(act like (the|a) creator|pretend you are|walk you through the whole thing|imagine you are)",
+    "agent_label": r"(?im)^from (?:codex|claude|hermes|opencode|gemini)|^codeone:",
+    "tool_output": r"(?im)^(?:ps [a-z]:|traceback|listed directory|created \d+_|docker ps|memory updated)",
+    "third_party": r"(?im)(1st degree connection|sent the following message|view .+ profile|her reply)",
+    "web_or_transcript": r"(?im)(https?://|webinar|screen-reader|the entire transcript|\d+:\d{2} )",
+    "didnt_say": r"(?i)\Ai didn.t say",
+    "carrier_request": r"(?i)\A(can you rewrite|summarize|recreate)",
     "sales": r"(™|®|paid up to \$[0-9,]+|\$[0-9,]+\s+(to|for)\s+(be there|join|attend))",
 }
 

@@ -48,6 +48,33 @@ def normalize_for_reuse(text: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(plain, MARKDOWN, " "), r"[ \t]+", " "))
 
 
+def scan_words(text: Column) -> Column:
+    """Words for scans: what isn't a-z, 0-9 or a space in the lower-cased text parts them."""
+    return F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9 ]+", " "), " +"), lambda w: w != "")
+
+
+def shingle_key(shingle: Column) -> Column:
+    """A shingle's CRC-32, for indexes that hold keys of 32 bits."""
+    return F.crc32(shingle.cast("binary"))
+
+
+def boilerplate_penalty(shingles: Column) -> Column:
+    """How often a shingle occurs on average: 1 without repeats; null without shingles."""
+    return F.try_divide(F.size(shingles), F.size(F.array_distinct(shingles)))
+
+
+def length_ratio(a: Column, b: Column) -> Column:
+    """The shorter's share of the longer (null for two empty ones)."""
+    return F.try_divide(F.least(a, b), F.greatest(a, b))
+
+
+def yaml_value(value: Column, escaped: bool = False) -> Column:
+    """A front matter's value: quoted where it holds a special character, begins with a space or dash or is empty; ``escaped`` as JSON does."""
+    quote = F.regexp_replace(F.to_json(F.struct(value.alias("x"))), r"\A\{\"x\":|\}\z", "") if escaped else F.concat(F.lit('"'), value, F.lit('"'))
+    unsafe = value.rlike(r"[:#{}\[\],&*?|><!%@`\"']") | value.rlike(r"\A[ -]") | ((value == "") if escaped else F.lit(False))
+    return F.when(unsafe, quote).otherwise(value)
+
+
 def shingles(words: Column, k: int) -> Column:
     """Joined k-word shingles in order; none with fewer words."""
     made = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.array_join(F.slice(words, i + 1, k), " "))

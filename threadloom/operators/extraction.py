@@ -89,7 +89,7 @@ def relationships(messages: DataFrame, thought_rows: DataFrame, entity_rows: Dat
 
 
 def timelines(messages: DataFrame, thought_rows: DataFrame) -> DataFrame:
-    """An origin for each thought, and the marker lines with a known event; of one id the last in scan order."""
+    """An origin for each thought, and the marker lines with a known event. One id has one date, event and description; where messages share it, the greatest subject stands."""
     own = thought_rows.select(F.col("thought_id").alias("subject_id"), F.substring("created_at", 1, 10).alias("date"), F.lit("originated").alias("event"), F.col("summary").alias("description"))
     own = own.select(T.hashed_id("TL", T.seed("originated", F.col("subject_id"), F.col("date"))).alias("timeline_id"), "subject_id", "date", "event", "description")
     lines = messages.select("canonical_id", F.explode(F.regexp_extract_all("text", F.lit(P.TIMELINE_LINE), F.lit(0))).alias("line"))
@@ -97,19 +97,21 @@ def timelines(messages: DataFrame, thought_rows: DataFrame) -> DataFrame:
     said = lines.select("canonical_id", part(1).alias("date"), F.lower(part(2)).alias("event"), part(3).alias("description")).where(F.col("event").isin(*TIMELINE_EVENTS))
     said = said.join(thought_rows.select("canonical_id", F.col("thought_id").alias("subject_id")), "canonical_id")
     seed = T.seed("explicit", F.col("canonical_id"), F.col("date"), F.col("event"), F.col("description"))
-    return own.unionByName(said.select(T.hashed_id("TL", seed).alias("timeline_id"), "subject_id", "date", "event", "description")).dropDuplicates(["timeline_id"])
+    return own.unionByName(said.select(T.hashed_id("TL", seed).alias("timeline_id"), "subject_id", "date", "event", "description")).groupBy("timeline_id").agg(F.max(F.struct("subject_id", "date", "event", "description")).alias("x")).select("timeline_id", "x.*")
 
 
 def canonical_records(thought_rows: DataFrame) -> DataFrame:
-    """One record a normalised summary: the first thought's detail, then a line for each further one."""
-    item = F.struct(F.col("source_file"), F.col("conversation_id"), F.coalesce("ts", F.lit("")).alias("ts"), F.col("thought_id"), F.col("message_id"), F.col("summary"), F.col("detail"))
-    grouped = thought_rows.withColumn("key", T.normalized_key(F.col("summary"))).where("key <> ''").groupBy("key").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    """One record a normalised summary: the first thought's detail, then a line for each further one. Details of the others never meet: of a group only ids and summaries are gathered."""
+    place = F.struct(F.col("source_file"), F.col("conversation_id"), F.coalesce("ts", F.lit("")).alias("ts"), F.col("thought_id"))
+    item = F.struct(*(F.col("place")[c].alias(c) for c in ("source_file", "conversation_id", "ts", "thought_id")), F.col("message_id"), F.col("summary"))
+    keyed = thought_rows.withColumn("key", T.normalized_key(F.col("summary"))).where("key <> ''").withColumn("place", place)
+    grouped = keyed.groupBy("key").agg(F.min_by(F.struct("summary", "detail"), "place").alias("first"), F.sort_array(F.collect_list(item)).alias("items"))
     more = F.transform(F.slice("items", 2, F.greatest(F.size("items") - 1, F.lit(1))), lambda x: F.concat(F.lit("- "), x["summary"], F.lit(" ("), x["thought_id"], F.lit(")")))
-    content = F.when(F.size("items") > 1, F.concat(F.col("items")[0]["detail"], F.lit("\n\nAdditional provenance-backed occurrences:\n"), F.array_join(more, "\n"))).otherwise(F.col("items")[0]["detail"])
+    content = F.when(F.size("items") > 1, F.concat(F.col("first.detail"), F.lit("\n\nAdditional provenance-backed occurrences:\n"), F.array_join(more, "\n"))).otherwise(F.col("first.detail"))
     evidence = F.array_sort(F.array_distinct(F.concat(F.transform("items", lambda x: x["thought_id"]), F.transform("items", lambda x: x["message_id"]))))
     return grouped.select(
-        T.hashed_id("MBK-EXTRACT-", F.col("key"), 12, upper=True).alias("knowledge_id"), F.lit(1).alias("revision"), F.lit("CURRENT").alias("canonical_status"), T.safe_title(F.col("items")[0]["summary"]).alias("title"),
-        F.col("items")[0]["summary"].alias("summary"), content.alias("content"), evidence.alias("evidence_ids"), F.lit("ACCEPTED").alias("approval_status"), F.lit("PUBLISH").alias("projection_policy"),
+        T.hashed_id("MBK-EXTRACT-", F.col("key"), 12, upper=True).alias("knowledge_id"), F.lit(1).alias("revision"), F.lit("CURRENT").alias("canonical_status"), T.safe_title(F.col("first.summary")).alias("title"),
+        F.col("first.summary").alias("summary"), content.alias("content"), evidence.alias("evidence_ids"), F.lit("ACCEPTED").alias("approval_status"), F.lit("PUBLISH").alias("projection_policy"),
     )
 
 
@@ -117,8 +119,3 @@ def relay_events(messages: DataFrame, least_chars: int = 200) -> DataFrame:
     """Messages that relay others' turns, with the actors in order."""
     actors = F.regexp_extract_all("text", F.lit(P.RELAY_HEADER), F.lit(1))
     return messages.where(F.char_length("text") >= least_chars).select("canonical_id", "conversation_id", actors.alias("actors")).where(F.size("actors") >= 1)
-
-
-def first_in_scan(rows: DataFrame, *keys: str) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(*SCAN)
-    return rows.withColumn("n", F.row_number().over(order)).where("n = 1").drop("n")

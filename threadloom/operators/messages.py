@@ -112,3 +112,45 @@ def compare_exports(old: DataFrame, new: DataFrame) -> DataFrame:
     b = new.select("conversation_id", "message_id", F.md5(F.col("text").cast("binary")).alias("b"))
     both = a.join(b, ["conversation_id", "message_id"], "full")
     return both.groupBy("conversation_id").agg(F.count_if(F.col("a") == F.col("b")).alias("same"), F.count_if(F.col("a") != F.col("b")).alias("changed"), F.count_if(F.col("a").isNull()).alias("extra"), F.count_if(F.col("b").isNull()).alias("missing"))
+
+
+def identity_breaks(messages: DataFrame) -> DataFrame:
+    """(rule, id): ids that occur twice, and each id that isn't well formed."""
+    twice = messages.groupBy("canonical_id").count().where("count > 1").select(F.lit("duplicate_id").alias("rule"), F.col("canonical_id").alias("id"))
+    return twice.unionByName(messages.where(~F.col("canonical_id").rlike(r"^srcmsg_[a-f0-9]{32}\z")).select(F.lit("bad_id").alias("rule"), F.col("canonical_id").alias("id")))
+
+
+def first_child_path(nodes: DataFrame, root: str = "root", rounds: int = 20) -> DataFrame:
+    """(conversation_id, node_id, sequence_index) from the node ``root`` along first children.
+
+    ``nodes``: (conversation_id, node_id, children in order). First children are links to
+    one node each, so the walk is a path that is reached by doubling them; a conversation
+    without the root has none, and a cycle ends where it closes.
+    """
+    keys = ["conversation_id", "node_id"]
+    hop = nodes.select(*keys, F.get("children", F.lit(0)).alias("down"), F.lit(1).alias("d")).where("down IS NOT NULL").join(nodes.select("conversation_id", F.col("node_id").alias("down")), ["conversation_id", "down"], "left_semi").select(*keys, "down", "d")
+    reached = nodes.where(F.col("node_id") == root).select(*keys, F.lit(0).alias("sequence_index"))
+    cut = (lambda df: df.checkpoint()) if _can_checkpoint(nodes) else (lambda df: df)
+    for _ in range(rounds):
+        onward = reached.join(hop, keys).select("conversation_id", F.col("down").alias("node_id"), (F.col("sequence_index") + F.col("d")).alias("sequence_index"))
+        grown = cut(reached.unionByName(onward).groupBy(*keys).agg(F.min("sequence_index").alias("sequence_index")))
+        if grown.count() == reached.count():
+            break
+        further = hop.select("conversation_id", F.col("node_id").alias("down"), F.col("down").alias("down2"), F.col("d").alias("d2"))
+        reached, hop = grown, cut(hop.join(further, ["conversation_id", "down"]).select(*keys, F.col("down2").alias("down"), (F.col("d") + F.col("d2")).alias("d")))
+    return reached
+
+
+def preferred(messages: DataFrame, delta: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """(conversation_id, message_id, columns...) of each wanted key: from ``delta`` by conversation and message where it has both, else from ``messages`` by message alone."""
+    own = delta.select("conversation_id", "message_id", *(F.col(c).alias(f"_{c}") for c in columns), F.lit(True).alias("_own"))
+    other = messages.select("message_id", *columns)
+    joined = wanted.select("conversation_id", "message_id").join(own, ["conversation_id", "message_id"], "left").join(other, "message_id", "left")
+    return joined.select("conversation_id", "message_id", *(F.when(F.col("_own"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in columns))
+
+
+def check_columns(rows: DataFrame, required: list[str]) -> None:
+    """Raises ValueError unless the table has just these columns."""
+    missing, extra = sorted({*required} - {*rows.columns}), sorted({*rows.columns} - {*required})
+    if missing or extra:
+        raise ValueError(f"columns missing: {missing}, not asked for: {extra}")

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadloom.functions import predicates as P
+from threadloom.functions import text as T
 from threadloom.functions.text import cases, first_line
+from threadloom.operators import messages as M
 
 Rule = tuple[Column, tuple]
 
@@ -251,3 +253,72 @@ def resolve(cases_: DataFrame) -> DataFrame:
 def page_class(matches: Column, by_principal: Column) -> Column:
     """What a wiki page's overlap with earlier assistant text makes of it."""
     return cases([((matches >= 20) & by_principal, F.lit("REUSE")), (matches >= 20, F.lit("A0_CANDIDATE")), (matches >= 3, F.lit("WEAK"))], "NO_ORIGIN")
+
+
+def build_cases(messages: DataFrame, k: int = 12, least_chars: int = 100) -> DataFrame:
+    """A resolver's case for each message, from its reuse of assistants' texts and its neighbours.
+
+    A shingle belongs to the first assistant's message (in scan order) of ``least_chars`` that has
+    it. The best origin of a person's message has most of its shingles, repeats counted; ties go
+    to the smaller conversation, then id. Adds origin_id, n_origins, gap_days and what
+    ``resolve`` asks for.
+    """
+    words = messages.select("canonical_id", "role", "source_file", "conversation_id", "ts", F.char_length("text").alias("size"), T.normalize_words(F.col("text")).alias("words"))
+    every = words.select("*", F.transform(T.shingles(F.col("words"), k), lambda x: F.xxhash64(x)).alias("s")).drop("words")
+    place = F.struct("source_file", "conversation_id", F.coalesce("ts", F.lit("")).alias("at"), "canonical_id", "ts")
+    first = every.where((F.col("role") == "assistant") & (F.col("size") >= least_chars)).select(place.alias("o"), F.explode("s").alias("sh")).groupBy("sh").agg(F.min("o").alias("o"))
+    # Repeats are counted before the join: one row a message and shingle.
+    asked = every.where("role = 'user'").select("canonical_id", F.explode("s").alias("sh")).groupBy("canonical_id", "sh").agg(F.count("*").alias("times"))
+    counts = asked.join(first, "sh").groupBy("canonical_id", "o").agg(F.sum("times").alias("matched"))
+    rank = F.struct((-F.col("matched")).alias("m"), F.col("o.conversation_id").alias("c"), F.col("o.canonical_id").alias("i"), F.col("o.ts").alias("t"))
+    best = counts.groupBy("canonical_id").agg(F.min(rank).alias("best"), F.count("*").alias("n_origins"))
+    joined = M.neighbours(messages).join(best, "canonical_id", "left").join(every.select("canonical_id", F.size("s").alias("n")), "canonical_id")
+    gap = F.abs(T.gap_days(F.col("ts"), F.col("best.t")))
+    return joined.select(
+        "canonical_id", "conversation_id", "text", "role", "prev_role", (F.col("turn") <= 1).alias("opening"), (-F.col("best.m")).cast("int").alias("matched"), F.greatest("n", F.lit(1)).alias("total"),
+        F.when(F.col("best").isNotNull(), F.col("best.c") == F.col("conversation_id")).alias("same_conversation"), F.when(F.col("best").isNotNull(), F.coalesce(F.col("best.t") < F.col("ts"), F.lit(False))).alias("prior"),
+        F.col("best.i").alias("origin_id"), F.coalesce("n_origins", F.lit(0)).alias("n_origins"), gap.alias("gap_days"),
+    )
+
+
+SPAN = "array<struct<start:int, end:int, author:string, cls:string, source:string, tier:string>>"
+
+
+def spans(origin: Column | None = None) -> Column:
+    """The two parts of a text of mixed authorship, after an announced import, a carrier or a traceable one; none if it can't be cut."""
+    origin = F.lit(None).cast("string") if origin is None else origin
+
+    def cut(at: Column, author: str, tier: str) -> Column:
+        part = lambda a, b, who, cls, source, t: F.struct(a.cast("int").alias("start"), b.cast("int").alias("end"), F.lit(who).alias("author"), F.lit(cls).alias("cls"), source.alias("source"), F.lit(t).alias("tier"))
+        return F.array(part(F.lit(0), at, "principal", "D0", F.lit(None).cast("string"), "DAE-3"), part(at, C.size, author, "P0", origin, tier))
+
+    lead, boundary, first = F.char_length(_imported_lead()), _boundary(), _first_cut()
+    carrier = P.holds("carrier_prefix", C.text)
+    prior = C.substantial & F.coalesce(F.col("prior"), F.lit(False))
+    rules = [
+        (lead > 0, cut(lead, "external", "P0-PROBABLE")), (carrier & boundary.between(5, 300) & (C.size - boundary > 40), cut(boundary, "unknown", "P0-PROBABLE")),
+        (prior & carrier & (first <= 300) & (C.size - first > 30), cut(first, "assistant", "P0-CERTAIN")),
+    ]
+    return cases(rules, F.array().cast(SPAN))
+
+
+def segments() -> Column:
+    """struct(proposed, reason, commentary, pasted): whether a text with reuse or paste marks falls in the person's lead and what was pasted."""
+    reused, pasted = F.coalesce(F.col("matched") >= 3, F.lit(False)), P.holds("paste_markers", C.text)
+    at = _boundary()
+    lead, rest = _strip(F.substring(C.text, F.lit(1), at)), _strip(F.substring(C.text, at + 1, C.size))
+    made = lambda proposed, reason, a=F.lit(None), b=F.lit(None): F.struct(F.lit(proposed).alias("proposed"), F.lit(reason).alias("reason"), a.cast("string").alias("commentary"), b.cast("string").alias("pasted"))
+    return cases(
+        [
+            (~(reused | pasted), made(False, "no evidence")), (at.isNull(), made(False, "no boundary")), ((F.char_length(lead) < 10) | (F.char_length(rest) < 50), made(False, "a span is too short")),
+            (reused, made(True, "reuse", lead, rest)),
+        ],
+        made(True, "paste markers", lead, rest),
+    )
+
+
+def p0_status(version: str) -> Column:
+    """How sure it is that a verdict's text is from outside: certain with a dated earlier origin, else probable; null for the person's own."""
+    b = F.col(version)
+    prior = C.substantial & F.coalesce(F.col("prior"), F.lit(False))
+    return F.when(b["cls"].isin("P0", "MIXED"), F.when(prior, "P0-CERTAIN").otherwise("P0-PROBABLE")).when(b["cls"] == "UNRESOLVED", "P0-UNRESOLVED")

@@ -122,11 +122,21 @@ def first_seen(index: DataFrame) -> DataFrame:
     return index.groupBy("sh").agg(F.min("canonical_id").alias("origin_id"))
 
 
+def origin_counts(every: DataFrame) -> DataFrame:
+    """(canonical_id, origin_id, matched): how many of each record's shingles (canonical_id, sh; repeats count) another record has first.
+
+    Repeats are added up before the shuffle. A window over the shingle would hold all of its
+    carriers in one task, so the first carriers are joined instead, one row a shingle.
+    """
+    repeats = every.groupBy("sh", "canonical_id").agg(F.count("*").alias("n"))
+    return repeats.join(first_seen(repeats), "sh").where("origin_id <> canonical_id").groupBy("canonical_id", "origin_id").agg(F.sum("n").alias("matched"))
+
+
 def first_seen_reuse(records: DataFrame, k: int = 10, least: int = 3) -> DataFrame:
     """Each record's origin among first carriers of its shingles; repeats in the record count each."""
     words = records.select("canonical_id", T.normalize_words(F.col("text")).alias("words"))
     every = words.select("canonical_id", F.explode(hashed(F.col("words"), k)).alias("sh"))
-    counts = every.join(first_seen(every), "sh").where("origin_id <> canonical_id").groupBy("canonical_id", "origin_id").agg(F.count("*").alias("matched"))
+    counts = origin_counts(every)
     best = Window.partitionBy("canonical_id").orderBy(F.desc("matched"), "origin_id")
     return counts.withColumn("nth", F.row_number().over(best)).where((F.col("nth") == 1) & (F.col("matched") >= least)).drop("nth")
 
@@ -144,22 +154,22 @@ def derivation_edges(hit_rows: DataFrame) -> DataFrame:
     return hit_rows.where("edge = 'DERIVATION'").select(F.col("origin_id").alias("u"), F.col("reuse_id").alias("v")).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(v, root): smallest label of each component, by hooking to the smallest neighbour and jumping; lineage is cut each round where a checkpoint folder is set."""
+def components(edges: DataFrame) -> DataFrame:
+    """(v, root): smallest label of each component, by hooking to the smallest neighbour and jumping until nothing moves; lineage is cut each round where a checkpoint folder is set."""
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    cut = (lambda df: df.checkpoint()) if edges.sparkSession.sparkContext.getCheckpointDir() else (lambda df: df.cache())
+    folder = bool(edges.sparkSession.sparkContext.getCheckpointDir())
+    cut = (lambda df: df.checkpoint()) if folder else (lambda df: df.cache())
     both = cut(both)
-    labels = both.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")).select("v", F.least("v", "m").alias("root"))
-    for _ in range(rounds):
-        labels = cut(labels)
-        near = both.join(labels.select(F.col("v"), F.col("root")), "v").groupBy(F.col("u").alias("v")).agg(F.min("root").alias("near"))
-        hooked = labels.join(near, "v", "left").select("v", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("was"))
-        jumped = hooked.join(labels.select(F.col("v").alias("root"), F.col("root").alias("up")), "root", "left").select("v", F.least("root", F.coalesce("up", "root")).alias("root"), "was")
-        jumped = cut(jumped)
-        labels = jumped.select("v", "root")
+    labels = cut(both.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")).select("v", F.least("v", "m").alias("root"), F.lit(None).cast("bigint").alias("was")))
+    while True:
+        near = both.join(labels.select("v", "root"), "v").groupBy(F.col("u").alias("v")).agg(F.min("root").alias("near"))
+        hooked = labels.select("v", "root").join(near, "v", "left").select("v", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("was"))
+        up = labels.select(F.col("v").alias("root"), F.col("root").alias("up"))
+        jumped = cut(hooked.join(up, "root", "left").select("v", F.least("root", F.coalesce("up", "root")).alias("root"), "was"))
+        # A label only sinks, so this ends.
         if jumped.where("root <> was").isEmpty():
-            break
-    return labels
+            return jumped.select("v", "root")
+        labels = jumped
 
 
 def chains(hit_rows: DataFrame) -> DataFrame:
@@ -193,9 +203,22 @@ def longest_blocks(pairs: DataFrame, least: int = 5, share_pct: int = 15) -> Dat
     return blocks.withColumn("nth", F.row_number().over(best)).where((F.col("nth") == 1) & (F.col("size") >= least) & (F.col("size") * 100 >= F.col("n") * share_pct)).select("id", "a_start", "b_start", "size")
 
 
-def phrase_hits(records: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(phrase_id, canonical_id, role, nth): records that contain each phrase, the assistant's before the person's, then by time. A substring has no key: the phrases, a small table, are compared with every record."""
-    found = records.join(phrases, F.contains(F.lower("text"), F.lower("phrase")))
+def phrase_hits(records: DataFrame, phrases: DataFrame, k: int = 3) -> DataFrame:
+    """(phrase_id, canonical_id, role, nth): records that contain each phrase, the assistant's before the person's, then by time.
+
+    A phrase's words but for the first and last stand in a text as they are, so phrases of
+    ``k`` + 2 words or more are joined on the hash of their second to k + 1st word, and then
+    looked for; shorter ones are compared with every record.
+    """
+    words = lambda c: F.split(F.lower(c), r"[ \t\n\x0B\f\r]+")
+    ready = phrases.select("phrase_id", "phrase", words(F.trim("phrase", F.lit(" \t\n\x0b\f\r"))).alias("w"))
+    keyed = ready.where(F.size("w") >= k + 2).select("phrase_id", "phrase", F.xxhash64(F.array_join(F.slice("w", 2, k), " ")).alias("sh"))
+    cut = records.withColumn("w", words(F.col("text")))
+    grams = cut.select("canonical_id", F.explode(F.array_distinct(F.transform(T.shingles(F.col("w"), k), lambda x: F.xxhash64(x)))).alias("sh"))
+    maybe = grams.join(keyed, "sh").select("canonical_id", "phrase_id", "phrase")
+    holds = F.contains(F.lower("text"), F.lower("phrase"))
+    found = records.join(maybe, "canonical_id").where(holds).select("phrase_id", "canonical_id", "role", "ts")
+    found = found.unionByName(records.join(ready.where(F.size("w") < k + 2).select("phrase_id", "phrase"), holds).select("phrase_id", "canonical_id", "role", "ts"))
     order = Window.partitionBy("phrase_id").orderBy(F.when(F.col("role") == "assistant", 0).otherwise(1), F.asc_nulls_last("ts"), "canonical_id")
     return found.select("phrase_id", "canonical_id", "role", F.row_number().over(order).alias("nth"))
 

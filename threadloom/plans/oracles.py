@@ -107,5 +107,5 @@ _ROOTS = f"{_EDGES}, sym AS (SELECT u, v FROM edges UNION SELECT v, u FROM edges
 
 STORE = """WITH store AS (SELECT concat('MBK-', CAST(doc_id % 50 AS STRING)) AS knowledge_id, CAST(row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id) AS INTEGER) AS revision,
   CASE WHEN row_number() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id DESC) = 1 THEN CASE WHEN doc_id % 50 = 49 THEN 'RETIRED' ELSE 'CURRENT' END ELSE 'SUPERSEDED' END AS canonical_status,
-  substr(text, 1, 40) AS title, substr(text, 1, 120) AS summary, substr(text, 1, 600) AS content, CASE WHEN doc_id % 3 = 0 THEN 'PENDING' ELSE 'ACCEPTED' END AS approval_status, CASE WHEN doc_id % 7 = 0 THEN 'HOLD' ELSE 'PUBLISH' END AS projection_policy,
+  substr(text, 1, 40) AS title, substr(text, 1, 120) AS summary, text AS content, CASE WHEN doc_id % 3 = 0 THEN 'PENDING' ELSE 'ACCEPTED' END AS approval_status, CASE WHEN doc_id % 7 = 0 THEN 'HOLD' ELSE 'PUBLISH' END AS projection_policy,
   doc_id FROM documents)"""

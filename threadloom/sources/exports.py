@@ -5,12 +5,15 @@ Schemas are explicit. A strict reader fails on the first bad record, a lenient o
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
 
-MESSAGE = "struct<id:string, author:struct<role:string, name:string>, create_time:double, content:struct<content_type:string, parts:array<string>, content:string, thoughts:array<struct<content:string>>>>"
+MESSAGE = "struct<id:string, author:struct<role:string, name:string>, create_time:double, content:struct<content_type:string, parts:variant, content:string, thoughts:array<struct<content:string>>>>"
 CHAT = f"id string, conversation_id string, title string, create_time double, current_node string, mapping map<string, struct<id:string, parent:string, message:{MESSAGE}>>"
 FRAGMENTS = "id string, title string, inserted_at string, mapping map<string, struct<id:string, parent:string, children:array<string>, message:struct<model:string, inserted_at:string, fragments:array<struct<type:string, content:string>>>>>"
 CSV = "Conversation string, Time string, Author string, Message string"
@@ -37,9 +40,11 @@ def chat_export(spark: SparkSession, path: str) -> DataFrame:
 
 
 def joined_text(content: Column) -> Column:
-    """A message's text by its content type; parts that aren't strings arrive as JSON objects and are left out."""
+    """A message's text by its content type; of the parts only those that are strings in the export count, whatever they hold."""
     kind = content["content_type"]
-    plain = F.filter(F.coalesce(content["parts"], F.array().cast("array<string>")), lambda p: p.isNotNull() & ~p.startswith("{"))
+    # A variant keeps what a part was; strings come with their quotes, so that text that looks like an object stays text.
+    parts = F.coalesce(F.try_variant_get(content["parts"], "$", "array<variant>"), F.array().cast("array<variant>"))
+    plain = F.transform(F.filter(parts, lambda p: F.schema_of_variant(p) == "STRING"), lambda p: F.try_variant_get(p, "$", "string"))
     told = F.transform(F.coalesce(content["thoughts"], F.array().cast("array<struct<content:string>>")), lambda t: t["content"])
     return T.cases([(kind.isin("text", "multimodal_text"), F.array_join(plain, "\n")), (kind == "reasoning_recap", F.coalesce(content["content"], F.lit(""))), (kind == "thoughts", F.array_join(told, "\n\n"))], "")
 
@@ -114,11 +119,13 @@ def notes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def front_matter(text: Column) -> Column:
-    """map<string, string> of ``key: value`` lines between the first two rules, without quotes around values."""
+    """map<string, string> of ``key: value`` lines between the first two rules, without quotes around values; of a key that is written twice the last value holds."""
     block = F.regexp_extract(text, r"(?s)\A---\s*\n(.*?)\n---\s*\n", 1)
     pairs = F.filter(F.split(block, "\n"), lambda x: x.contains(":") & (F.trim(F.substring_index(x, ":", 1)) != ""))
-    entry = lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)), F.regexp_replace(F.trim(F.regexp_replace(x, r"\A[^:]*:", "")), r"\A[\"']|[\"']\z", ""))
-    return F.map_from_entries(F.transform(F.array_distinct(pairs), lambda x: entry(x)))
+    entry = lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.regexp_replace(F.trim(F.regexp_replace(x, r"\A[^:]*:", "")), r"\A[\"']|[\"']\z", "").alias("value"))
+    every = F.transform(pairs, entry)
+    later = lambda e, i: F.exists(F.slice(e, i + 2, F.size(e)), lambda y: y["key"] == F.get(e, i)["key"])
+    return F.map_from_entries(F.flatten(F.transform(F.array(every), lambda e: F.filter(e, lambda x, i: ~later(e, i)))))
 
 
 def block_text(kind: Column, text: Column) -> Column:
@@ -127,6 +134,65 @@ def block_text(kind: Column, text: Column) -> Column:
     return T.cases([(kind == k, F.concat(F.lit(p), text)) for k, p in prefix.items()] + [(kind == "code", F.concat(F.lit("```\n"), text, F.lit("\n```"))), (kind == "divider", F.lit("---"))], text)
 
 
+PHONE = r"\+?\d[\d ().-]{7,}\d"
+
+
+def property_text(kind: Column, value: Column) -> Column:
+    """A page's property as text; telephone numbers are masked."""
+    return T.cases([(kind == "checkbox", F.when(value == "true", "yes").otherwise("no")), (kind == "phone_number", F.regexp_replace(value, PHONE, "[REDACTED]")), (kind.isin("multi_select", "people", "relation"), F.regexp_replace(value, r"\s*[;,]\s*", ", "))], value)
+
+
+def block_tree(blocks: DataFrame, most_depth: int = 4, child_pages: bool = False) -> DataFrame:
+    """(page_id, id, type, text, depth, path) of the blocks that a walk from each page reaches, at most ``most_depth`` levels.
+
+    ``blocks``: (page_id, id, parent_id (null: at the page's top), ord, type, text). ``path``
+    orders them as they stand. Below child pages the walk goes on only if asked to.
+    """
+    step = F.lpad(F.col("ord").cast("string"), 8, "0")
+    level = blocks.where("parent_id IS NULL").select("page_id", "id", "type", "text", F.lit(0).alias("depth"), step.alias("path"))
+    found = level
+    for depth in range(1, most_depth):
+        open_ = level if child_pages else level.where("type <> 'child_page'")
+        above = open_.select("page_id", F.col("id").alias("parent_id"), F.col("path").alias("above"))
+        level = blocks.join(above, ["page_id", "parent_id"]).select("page_id", "id", "type", "text", F.lit(depth).alias("depth"), F.concat("above", F.lit("."), step).alias("path"))
+        found = found.unionByName(level)
+    return found
+
+
+def tree_markdown(tree: DataFrame) -> DataFrame:
+    """(page_id, markdown): each page's blocks in order, two spaces a level."""
+    line = F.concat(F.expr("repeat('  ', depth)"), block_text(F.col("type"), F.coalesce("text", F.lit(""))))
+    return tree.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))), lambda x: x["line"]), "\n").alias("markdown"))
+
+
+def paged(fetch: Callable[[str | None], dict], page_size: int = 100, attempts: int = 5, wait: Callable[[float], None] = time.sleep) -> Iterator[dict]:
+    """Results of a paged service, page by page: ``fetch(cursor)`` gives results, has_more and next_cursor, or raises Busy with the seconds to wait."""
+    cursor = None
+    while True:
+        for attempt in range(attempts):
+            try:
+                page = fetch(cursor)
+                break
+            except Busy as busy:
+                if attempt == attempts - 1:
+                    raise SourceError("the service stays busy") from busy
+                wait(busy.seconds or 2.0**attempt)
+        if len(page["results"]) > page_size:
+            raise SourceError(f"a page of more than {page_size} results")
+        yield from page["results"]
+        cursor = page.get("next_cursor")
+        if not page.get("has_more"):
+            return
+
+
+class Busy(RuntimeError):
+    """The service asks to wait."""
+
+    def __init__(self, seconds: float = 0.0):
+        super().__init__(f"busy for {seconds} s")
+        self.seconds = seconds
+
+
 def wiki_pages(spark: SparkSession, path: str, most_depth: int = 4) -> DataFrame:
     """Pages with their blocks' markdown, blocks below ``most_depth`` left out."""
     pages = spark.read.schema(BLOCKS).json(path)

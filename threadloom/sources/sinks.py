@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from threadloom.functions import text as T
+
 
 class SinkError(RuntimeError):
     """A write was refused; what was there before is unchanged."""
@@ -23,16 +25,26 @@ def staged_write(df: DataFrame, path: str, check: Callable[[DataFrame], DataFram
     spark, staging = df.sparkSession, f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     fs, target = _fs(spark, path)
     _, source = _fs(spark, staging)
+    _, old = _fs(spark, f"{staging}.old")
     try:
         df.write.parquet(staging)
         if check is not None:
             bad = check(spark.read.parquet(staging)).limit(5).collect()
             if bad:
                 raise SinkError(f"refused: {bad}")
-        if fs.exists(target):
-            fs.delete(target, True)
-        if not fs.rename(source, target):
+        # What was there steps aside until the new table stands, and comes back if it can't.
+        aside = fs.exists(target)
+        if aside and not fs.rename(target, old):
+            raise SinkError(f"{path} can't be moved aside")
+        moved = False
+        try:
+            moved = fs.rename(source, target)
+        finally:
+            if not moved and aside:
+                fs.rename(old, target)
+        if not moved:
             raise SinkError(f"{staging} can't be moved to {path}")
+        fs.delete(old, True)
     finally:
         fs.delete(source, True)
 
@@ -64,9 +76,86 @@ def freeze_release(rows: DataFrame, path: str, key: str, parent: str | None = No
     return release
 
 
+def append_rows(rows: DataFrame, path: str) -> None:
+    """Appends rows to a table of JSON lines, all of them or none; each call's files are its own, so writers need no lock. Rows without text for a key are refused."""
+    columns = sorted(rows.columns)
+    rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(path)
+
+
+MARKER = "extraction_generated: true"
+
+
+def candidate_notes(records: DataFrame, submitter: str = "threadloom.extraction") -> DataFrame:
+    """(name, text) of the note that proposes each record."""
+    fields = {
+        "extraction_generated": F.lit("true"), "candidate_type": F.lit("NEW"), "proposed_operation": F.lit("CREATE"), "proposed_knowledge_id": F.col("knowledge_id"), "base_canonical_revision": F.col("revision").cast("string"),
+        "submitter": F.lit(submitter), "provenance_refs": F.array_join("evidence_ids", ", "),
+    }
+    lines = [F.concat(F.lit(f"{k}: "), v if k in ("extraction_generated", "base_canonical_revision") else T.yaml_value(v, escaped=True)) for k, v in fields.items()]
+    proofs = F.array_join(F.transform("evidence_ids", lambda x: F.concat(F.lit("- "), x)), "\n")
+    text = F.concat_ws("\n", F.lit("---"), *lines, F.lit("---"), F.lit(""), F.concat(F.lit("# "), "title"), F.lit(""), F.coalesce("summary", F.lit("")), F.lit(""), F.lit("## Candidate Canonical Content"), F.lit(""), F.col("content"), F.lit(""), F.lit("## Provenance"), F.lit(""), proofs, F.lit(""))
+    return records.select(F.concat("knowledge_id", F.lit(".md")).alias("name"), text.alias("text"))
+
+
+def write_notes(notes: DataFrame, folder: str, owned: str = MARKER, force: bool = False) -> int:
+    """Writes each note (name, text) as a file of ``folder``; how many changed. A file that isn't ours (``owned`` isn't in its front matter) is refused before any is written.
+
+    Notes are for people, so few: they go through the driver one by one, each under
+    another name first.
+    """
+    spark = notes.sparkSession
+    jvm, written = spark._jvm, 0
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    # An instance of its own without checksum files, as people change notes by other means.
+    fs = jvm.org.apache.hadoop.fs.FileSystem.newInstance(root.toUri(), spark._jsc.hadoopConfiguration())
+    fs.setVerifyChecksum(False)
+    fs.setWriteChecksum(False)
+    fs.mkdirs(root)
+
+    def read(path) -> str | None:
+        if not fs.exists(path):
+            return None
+        stream = fs.open(path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def path_of(name: str):
+        if "/" in name or name.startswith("."):
+            raise SinkError(f"{name} leaves the folder")
+        return jvm.org.apache.hadoop.fs.Path(root, name)
+
+    for row in notes.select("name").toLocalIterator():
+        before = read(path_of(row.name))
+        if before is not None and not force and (not before.startswith("---") or owned not in before.split("---", 2)[1]):
+            raise SinkError(f"{row.name} isn't a generated note")
+    for row in notes.toLocalIterator():
+        path = path_of(row.name)
+        if read(path) == row.text:
+            continue
+        staged = jvm.org.apache.hadoop.fs.Path(root, f".{row.name}.{uuid.uuid4().hex}")
+        out = fs.create(staged, True)
+        try:
+            out.write(bytearray(row.text.encode()))
+            out.hsync()
+        finally:
+            out.close()
+        fs.delete(path, False)
+        if not fs.rename(staged, path):
+            raise SinkError(f"{row.name} can't be put in place")
+        written += 1
+    return written
+
+
 def with_numbers(rows: DataFrame, prefix: str, order: list[str], digits: int = 6) -> DataFrame:
-    """Counters such as rh_000001 in a total order, ranked in range partitions."""
+    """Counters such as rh_000001 in a total order, ranked in range partitions.
+
+    The partitions are cut off once (checkpointed where a folder is set, else cached), as their
+    counts and their rows must be of the same cut.
+    """
     parts = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    parts = parts.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else parts.cache()
     local = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    before = local.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return local.join(F.broadcast(before), "_p").withColumn("number", F.concat(F.lit(prefix), F.lpad((F.col("_off") + F.col("_i")).cast("string"), digits, "0"))).drop("_p", "_i", "_off")
+    before = parts.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    return local.join(before, "_p").withColumn("number", F.concat(F.lit(prefix), F.lpad((F.col("_off") + F.col("_i")).cast("string"), digits, "0"))).drop("_p", "_i", "_off")

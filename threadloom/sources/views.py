@@ -43,7 +43,7 @@ FROM (SELECT conv_id, turn, role, coalesce(text, '') AS own, coalesce(lag(text)
 REUSE_SQL = """
 SELECT doc_id AS canonical_id, text, source, CASE WHEN doc_id % 10 = 9 THEN NULL ELSE doc_id END AS ts,
        CASE WHEN doc_id % 3 = 0 THEN 'user' ELSE 'assistant' END AS role
-FROM documents WHERE length(text) >= 100
+FROM documents
 """
 
 
