@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from threadloom.storage import stored
+
 
 def in_conversation():
     return Window.partitionBy("conversation_id")
@@ -25,7 +27,7 @@ def main_path(nodes: DataFrame, heads: DataFrame, rounds: int = 20) -> DataFrame
         grown = reached.unionByName(onward).groupBy(*keys).agg(F.min("steps").alias("steps"))
         further = hop.select("conversation_id", F.col("node_id").alias("up"), F.col("up").alias("up2"), F.col("d").alias("d2"))
         hop = hop.join(further, ["conversation_id", "up"]).select(*keys, F.col("up2").alias("up"), (F.col("d") + F.col("d2")).alias("d"))
-        grown, hop = grown.checkpoint() if _can_checkpoint(nodes) else grown, hop.checkpoint() if _can_checkpoint(nodes) else hop
+        grown, hop = stored(grown, "path"), stored(hop, "hops")
         rounds -= 1
         if not hop.where("up IS NOT NULL").limit(1).count() or grown.count() == reached.count():
             reached = grown
@@ -36,10 +38,6 @@ def main_path(nodes: DataFrame, heads: DataFrame, rounds: int = 20) -> DataFrame
     return nodes.join(path, keys, "left").select(*keys, "sequence_index", F.when(F.col("sequence_index").isNotNull(), "main").otherwise("alternate").alias("branch"))
 
 
-def _can_checkpoint(df: DataFrame) -> bool:
-    return bool(df.sparkSession.sparkContext.getCheckpointDir())
-
-
 def child_lists(nodes: DataFrame) -> DataFrame:
     """Sorted children of each node that has some."""
     return nodes.where("parent IS NOT NULL").groupBy("conversation_id", F.col("parent").alias("node_id")).agg(F.array_sort(F.collect_list("node_id")).alias("children"))
@@ -130,14 +128,13 @@ def first_child_path(nodes: DataFrame, root: str = "root", rounds: int = 20) ->
     keys = ["conversation_id", "node_id"]
     hop = nodes.select(*keys, F.get("children", F.lit(0)).alias("down"), F.lit(1).alias("d")).where("down IS NOT NULL").join(nodes.select("conversation_id", F.col("node_id").alias("down")), ["conversation_id", "down"], "left_semi").select(*keys, "down", "d")
     reached = nodes.where(F.col("node_id") == root).select(*keys, F.lit(0).alias("sequence_index"))
-    cut = (lambda df: df.checkpoint()) if _can_checkpoint(nodes) else (lambda df: df)
     for _ in range(rounds):
         onward = reached.join(hop, keys).select("conversation_id", F.col("down").alias("node_id"), (F.col("sequence_index") + F.col("d")).alias("sequence_index"))
-        grown = cut(reached.unionByName(onward).groupBy(*keys).agg(F.min("sequence_index").alias("sequence_index")))
+        grown = stored(reached.unionByName(onward).groupBy(*keys).agg(F.min("sequence_index").alias("sequence_index")), "path")
         if grown.count() == reached.count():
             break
         further = hop.select("conversation_id", F.col("node_id").alias("down"), F.col("down").alias("down2"), F.col("d").alias("d2"))
-        reached, hop = grown, cut(hop.join(further, ["conversation_id", "down"]).select(*keys, F.col("down2").alias("down"), (F.col("d") + F.col("d2")).alias("d")))
+        reached, hop = grown, stored(hop.join(further, ["conversation_id", "down"]).select(*keys, F.col("down2").alias("down"), (F.col("d") + F.col("d2")).alias("d")), "hops")
     return reached
 
 

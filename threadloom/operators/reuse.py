@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
+from threadloom.storage import stored
 
 K = 12
 
@@ -30,9 +31,15 @@ def hashed(words, k: int):
     return F.transform(T.shingles(words, k), lambda x: F.xxhash64(x))
 
 
+def hashed_passages(records: DataFrame, k: int = K) -> DataFrame:
+    """(passage_id, canonical_id, n_words, s): each passage's shingle hashes in order, written once for all that is asked of them."""
+    made = passage_words(records).select("passage_id", "canonical_id", F.size("words").alias("n_words"), hashed(F.col("words"), k).alias("s"))
+    return stored(made, "passages")
+
+
 def shingle_index(passages: DataFrame, k: int = K, max_df: int | None = None) -> DataFrame:
     """(sh, passage_id, canonical_id): each passage's distinct shingles by hash. ``max_df`` drops shingles of more passages (off: it changes results)."""
-    made = passages.select("passage_id", "canonical_id", F.explode(F.array_distinct(hashed(F.col("words"), k))).alias("sh"))
+    made = passages.select("passage_id", "canonical_id", F.explode(F.array_distinct("s" if "s" in passages.columns else hashed(F.col("words"), k))).alias("sh"))
     if max_df is not None:
         made = made.join(made.groupBy("sh").count().where(F.col("count") <= max_df).select("sh"), "sh", "left_semi")
     return made
@@ -41,21 +48,26 @@ def shingle_index(passages: DataFrame, k: int = K, max_df: int | None = None) ->
 def coarse_pairs(index: DataFrame, least: int = 5) -> DataFrame:
     """(reuse, origin, shared): ordered pairs of passages of different records with so many common distinct shingles."""
     a, b = (index.select("sh", F.col("passage_id").alias(p), F.col("canonical_id").alias(c)) for p, c in (("reuse", "reuse_id"), ("origin", "origin_id")))
-    pairs = a.join(b, "sh").where("reuse < origin AND reuse_id <> origin_id").groupBy("reuse", "reuse_id", "origin", "origin_id").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
-    return pairs.unionByName(pairs.select(F.col("origin").alias("reuse"), F.col("origin_id").alias("reuse_id"), F.col("reuse").alias("origin"), F.col("reuse_id").alias("origin_id"), "shared"))
+    # A passage's record is looked up by few columns: the pair's names alone are shuffled, and the records' ids are the least of their equal values.
+    pairs = a.join(b, "sh").where("reuse < origin AND reuse_id <> origin_id").groupBy("reuse", "origin").agg(F.count("*").alias("shared"), F.first("reuse_id").alias("reuse_id"), F.first("origin_id").alias("origin_id")).where(F.col("shared") >= least)
+    sides = F.array(F.struct("reuse", "reuse_id", "origin", "origin_id", "shared"), F.struct(F.col("origin").alias("reuse"), F.col("origin_id").alias("reuse_id"), F.col("reuse").alias("origin"), F.col("reuse_id").alias("origin_id"), "shared"))
+    return pairs.select(F.inline(sides))
 
 
 def positions(passages: DataFrame, k: int = K) -> DataFrame:
-    return passages.select("passage_id", F.posexplode(hashed(F.col("words"), k)).alias("pos", "sh"))
+    return passages.select("passage_id", F.posexplode("s" if "s" in passages.columns else hashed(F.col("words"), k)).alias("pos", "sh"))
 
 
 def strict_spans(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """Longest run of common shingles on one exact diagonal, by gaps and islands: (reuse, origin, span)."""
+    """Longest run of common shingles on one exact diagonal, by gaps and islands: (reuse, origin, span). A diagonal is the same from either side, so each pair is looked at once."""
     r, o = places.select(F.col("passage_id").alias("reuse"), F.col("pos").alias("rp"), "sh"), places.select(F.col("passage_id").alias("origin"), F.col("pos").alias("op"), "sh")
-    points = pairs.select("reuse", "origin").join(r, "reuse").join(o, ["origin", "sh"])
+    points = pairs.where("reuse < origin").select("reuse", "origin").join(r, "reuse").join(o, ["origin", "sh"])
     diagonal = points.select("reuse", "origin", "rp", (F.col("op") - F.col("rp")).alias("diag"))
     run = F.col("rp") - F.row_number().over(Window.partitionBy("reuse", "origin", "diag").orderBy("rp"))
-    return diagonal.withColumn("run", run).groupBy("reuse", "origin", "diag", "run").agg(F.count("*").alias("n")).groupBy("reuse", "origin").agg(F.max("n").alias("span"))
+    once = diagonal.withColumn("run", run).groupBy("reuse", "origin", "diag", "run").agg(F.count("*").alias("n")).groupBy("reuse", "origin").agg(F.max("n").alias("span"))
+    # Exploded, not united: a union would compute it twice.
+    sides = F.array(F.struct("reuse", "origin", "span"), F.struct(F.col("origin").alias("reuse"), F.col("reuse").alias("origin"), "span"))
+    return once.select(F.inline(sides))
 
 
 def drifting_span(reuse: list[int], origin: list[int], tolerance: int = 4) -> tuple[int, int, int]:
@@ -97,23 +109,55 @@ def chronology_valid(origin_ts, reuse_ts):
     return F.when(origin_ts.isNull() | reuse_ts.isNull(), F.lit(None).cast("boolean")).otherwise(origin_ts < reuse_ts)
 
 
+def candidates(records: DataFrame, k: int = K, least: int = 5, drifting: bool = False) -> DataFrame:
+    """One row a passage and possible origin: shared shingles, span, coverage of both sides, chronology. ``drifting``: spans on diagonals that may drift, and their number and dispersion."""
+    passages = hashed_passages(records, k)
+    pairs = stored(coarse_pairs(shingle_index(passages, k), least), "pairs")
+    places = positions(passages, k)
+    spans = drifting_spans(pairs, places) if drifting else strict_spans(pairs, places)
+    info = records.select(F.col("canonical_id").alias("id"), "source", "role", "ts", F.char_length("text").alias("size"))
+    sized = passages.select("passage_id", F.size(F.array_distinct("s")).alias("n_sh"), F.size("s").alias("n_raw"), "n_words")
+    side = lambda df, key, name: df.select(*(F.col(c).alias(name if c == key else f"{name.removesuffix('_id')}_{c}") for c in df.columns))
+    both = pairs.join(spans, ["reuse", "origin"]).join(side(info, "id", "reuse_id"), "reuse_id").join(side(info, "id", "origin_id"), "origin_id").join(side(sized, "passage_id", "reuse"), "reuse").join(side(sized, "passage_id", "origin"), "origin")
+    return both.withColumns(
+        {
+            "valid": chronology_valid(F.col("origin_ts"), F.col("reuse_ts")), "reuse_coverage": F.col("shared") / F.greatest("reuse_n_sh", F.lit(1)), "origin_coverage": F.col("shared") / F.greatest("origin_n_sh", F.lit(1)),
+            "span_words": F.when(F.col("span") > 0, F.col("span") + k - 1).otherwise(0),
+        }
+    )
+
+
+def best_origins(both: DataFrame) -> DataFrame:
+    """Of each passage's candidates the best: earlier ones first, by span, then shared shingles; ties to the earlier, smaller id. With n_origins, n_earlier and whether none is earlier."""
+    valid = F.coalesce(F.col("valid"), F.lit(False))
+    own = Window.partitionBy("reuse")
+    best = own.orderBy(F.desc(valid), F.desc("span"), F.desc("shared"), F.asc_nulls_last("origin_ts"), "origin_id", "origin")
+    ranked = both.withColumn("nth", F.row_number().over(best)).withColumn("n_earlier", F.count_if(valid).over(own)).withColumn("n_origins", F.count("*").over(own))
+    return ranked.where("nth = 1").withColumn("reverse_match", F.col("n_earlier") == 0)
+
+
 def hits(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
-    """One row a passage that shares text: its best origin, earlier ones first, by span, then shared shingles; ties to the earlier, smaller id."""
-    passages = passage_words(records)
-    pairs = coarse_pairs(shingle_index(passages, k), least)
-    spans = strict_spans(pairs, positions(passages, k))
-    info = records.select(F.col("canonical_id").alias("id"), "source", "role", "ts")
-    sized = passages.select("passage_id", (F.size("words") - k + 1).alias("n_sh"))
-    both = pairs.join(spans, ["reuse", "origin"]).join(info.select(F.col("id").alias("reuse_id"), F.col("source").alias("reuse_source"), F.col("role").alias("reuse_role"), F.col("ts").alias("reuse_ts")), "reuse_id").join(info.select(F.col("id").alias("origin_id"), F.col("source").alias("origin_source"), F.col("role").alias("origin_role"), F.col("ts").alias("origin_ts")), "origin_id")
-    both = both.join(sized.select(F.col("passage_id").alias("reuse"), F.col("n_sh").alias("reuse_shingles")), "reuse").join(sized.select(F.col("passage_id").alias("origin"), F.col("n_sh").alias("origin_shingles")), "origin")
-    both = both.withColumn("valid", chronology_valid(F.col("origin_ts"), F.col("reuse_ts")))
-    best = Window.partitionBy("reuse").orderBy(F.desc(F.coalesce(F.col("valid"), F.lit(False))), F.desc("span"), F.desc("shared"), F.asc_nulls_last("origin_ts"), "origin_id", "origin")
-    any_valid = F.max(F.coalesce(F.col("valid"), F.lit(False))).over(Window.partitionBy("reuse"))
-    ranked = both.withColumn("nth", F.row_number().over(best)).withColumn("any_valid", any_valid).withColumn("n_origins", F.count("*").over(Window.partitionBy("reuse")))
-    return ranked.where("nth = 1").select(
-        F.col("reuse").alias("passage_id"), "reuse_id", "origin_id", F.col("origin").alias("origin_passage"), "shared", "span", (F.col("span") + k - 1).alias("span_words"), "reuse_shingles", "origin_shingles", "n_origins", "valid",
-        (~F.col("any_valid")).alias("reverse_match"), F.when(F.col("any_valid"), "DERIVATION").otherwise("SIMILARITY").alias("edge"), (F.col("reuse_source") != F.col("origin_source")).alias("cross_source"), (F.col("reuse_role") != F.col("origin_role")).alias("cross_actor"),
-        ((F.col("shared") * 100 >= F.col("reuse_shingles") * 85) & (F.col("shared") * 2 >= F.col("origin_shingles"))).alias("exact_copy"),
+    """One row a passage that shares text, with its best origin; spans on exact diagonals."""
+    return best_origins(candidates(records, k, least)).select(
+        F.col("reuse").alias("passage_id"), "reuse_id", "origin_id", F.col("origin").alias("origin_passage"), "shared", "span", "span_words", F.col("reuse_n_sh").alias("reuse_shingles"), F.col("origin_n_sh").alias("origin_shingles"), "n_origins", "valid",
+        "reverse_match", F.when(F.col("reverse_match"), "SIMILARITY").otherwise("DERIVATION").alias("edge"), (F.col("reuse_source") != F.col("origin_source")).alias("cross_source"), (F.col("reuse_role") != F.col("origin_role")).alias("cross_actor"),
+        ((F.col("shared") * 100 >= F.col("reuse_n_sh") * 85) & (F.col("shared") * 2 >= F.col("origin_n_sh"))).alias("exact_copy"),
+    )
+
+
+def full_hits(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
+    """Hits with all fields of the index: spans that may drift, their number and dispersion, coverage of both sides and its classes, lengths' ratio, repetition, counts, and fields that only a reviewer fills."""
+    open_ = {c: F.lit(None).cast("string") for c in ("intellectual_origin", "authorship", "adoption_status", "integration_strength")}
+    made = best_origins(candidates(records, k, least, drifting=True))
+    fields = {
+        "reuse_passage_id": "reuse", "reuse_record_id": "reuse_id", "reuse_source": "reuse_source", "reuse_actor": "reuse_role", "reuse_timestamp": "reuse_ts", "candidate_origin_record_id": "origin_id", "candidate_origin_passage_id": "origin", "origin_source": "origin_source", "origin_actor": "origin_role",
+        "origin_timestamp": "origin_ts", "total_similarity": "shared", "longest_contiguous_span_words": "span_words", "number_of_matching_spans": "n_spans", "chronology_valid": "valid", "multiple_earlier_candidate_count": "n_earlier", "candidate_origin_count": "n_origins", "reverse_match": "reverse_match",
+    }
+    return made.select(
+        *(F.col(c).alias(name) for name, c in fields.items()), F.when(F.col("reverse_match"), "SIMILARITY_EDGE").otherwise("DERIVATION_EDGE").alias("edge_type"), F.round("reuse_coverage", 4).alias("reuse_side_coverage"), F.round("origin_coverage", 4).alias("origin_side_coverage"),
+        F.round(F.col("dispersion") / F.greatest("reuse_n_words", F.lit(1)), 4).alias("span_dispersion"), F.round(F.col("reuse_size") / F.greatest("origin_size", F.lit(1)), 4).alias("length_ratio"), F.round(F.col("reuse_n_raw") / F.greatest("reuse_n_sh", F.lit(1)), 3).alias("boilerplate_repetition_penalty"),
+        ((F.col("reuse_coverage") >= 0.85) & (F.col("origin_coverage") >= 0.5)).alias("exact_copy_indicator"), (F.col("reuse_source") != F.col("origin_source")).alias("cross_source"), (F.col("reuse_role") != F.col("origin_role")).alias("cross_actor"),
+        T.overlap_class(F.col("reuse_coverage")).alias("overlap_class"), T.transformation_distance(F.col("reuse_coverage")).alias("transformation_distance"), *(c.alias(name) for name, c in open_.items()), F.lit("UNREVIEWED").alias("semantic_status"),
     )
 
 
@@ -155,21 +199,18 @@ def derivation_edges(hit_rows: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(v, root): smallest label of each component, by hooking to the smallest neighbour and jumping until nothing moves; lineage is cut each round where a checkpoint folder is set."""
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
-    folder = bool(edges.sparkSession.sparkContext.getCheckpointDir())
-    cut = (lambda df: df.checkpoint()) if folder else (lambda df: df.cache())
-    both = cut(both)
-    labels = cut(both.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")).select("v", F.least("v", "m").alias("root"), F.lit(None).cast("bigint").alias("was")))
+    """(v, root): smallest label of each component, by hooking to the smallest neighbour and jumping until nothing moves; each round is written to the shared folder."""
+    both = stored(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
+    labels = stored(both.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("m")).select("v", F.least("v", "m").alias("root")), "labels")
     while True:
-        near = both.join(labels.select("v", "root"), "v").groupBy(F.col("u").alias("v")).agg(F.min("root").alias("near"))
-        hooked = labels.select("v", "root").join(near, "v", "left").select("v", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("was"))
+        near = both.join(labels, "v").groupBy(F.col("u").alias("v")).agg(F.min("root").alias("near"))
+        hooked = labels.join(near, "v", "left").select("v", F.least("root", F.coalesce("near", "root")).alias("root"), F.col("root").alias("was"))
         up = labels.select(F.col("v").alias("root"), F.col("root").alias("up"))
-        jumped = cut(hooked.join(up, "root", "left").select("v", F.least("root", F.coalesce("up", "root")).alias("root"), "was"))
+        jumped = stored(hooked.join(up, "root", "left").select("v", F.least("root", F.coalesce("up", "root")).alias("root"), "was"), "labels")
+        labels = jumped.select("v", "root")
         # A label only sinks, so this ends.
         if jumped.where("root <> was").isEmpty():
-            return jumped.select("v", "root")
-        labels = jumped
+            return labels
 
 
 def chains(hit_rows: DataFrame) -> DataFrame:

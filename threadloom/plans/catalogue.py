@@ -322,14 +322,14 @@ def relay_events(spark, sf):
 
 @query(f"{O._PAIRS} SELECT reuse, origin, shared FROM pairs")
 def reuse_coarse(spark, sf):
-    return reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(views.reuse_records(spark, sf)))).select("reuse", "origin", "shared")
+    return reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(views.reuse_records(spark, sf)))).select("reuse", "origin", "shared")
 
 
 @query(f"{O._PAIRS} SELECT reuse, origin, shared FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id WHERE r.role = 'user' AND o.role = 'assistant'")
 def reuse_directional(spark, sf):
     r = views.reuse_records(spark, sf)
     role = r.select(F.col("canonical_id").alias("id"), "role")
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(r)))
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(r)))
     return pairs.join(role.where("role = 'user'").select(F.col("id").alias("reuse_id")), "reuse_id", "left_semi").join(role.where("role = 'assistant'").select(F.col("id").alias("origin_id")), "origin_id", "left_semi").select("reuse", "origin", "shared")
 
 
@@ -367,7 +367,7 @@ def benchmark_overlap(spark, sf):
 @query(f"{O._PAIRS} SELECT reuse_id AS target, count_if(coalesce(o.ts < r.ts, false)) AS n_prior, count_if(NOT coalesce(o.ts < r.ts, false)) AS n_later, CAST(sum(CASE WHEN o.ts < r.ts THEN shared ELSE 0 END) AS BIGINT) AS prior_shared FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id GROUP BY 1")
 def prior_later_split(spark, sf):
     r = views.reuse_records(spark, sf)
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(r)))
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(r)))
     ts = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
     both = pairs.join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id").withColumn("prior", F.coalesce(F.col("origin_ts") < F.col("reuse_ts"), F.lit(False)))
     return both.groupBy(F.col("reuse_id").alias("target")).agg(F.count_if("prior").alias("n_prior"), F.count_if(~F.col("prior")).alias("n_later"), F.sum(F.when(F.col("prior"), F.col("shared")).otherwise(0)).alias("prior_shared"))
@@ -379,15 +379,40 @@ def reuse_hits_strict(spark, sf):
     return h.select(*(F.col(c).cast("bigint").alias(c) if t == "int" else c for c, t in h.dtypes))
 
 
-@query()
+# A point goes to the first diagonal within 4 of its own, in the order in which they came up: a fold over a pair's points in order.
+_FOLD = "list_reduce(pts, lambda a, x: CASE WHEN len(list_filter(a.known, lambda k: abs(k - x.d) <= 4)) > 0 THEN {'known': a.known, 'homes': list_append(a.homes, list_filter(a.known, lambda k: abs(k - x.d) <= 4)[1]), 'd': x.d} ELSE {'known': list_append(a.known, x.d), 'homes': list_append(a.homes, x.d), 'd': x.d} END, {'known': CAST([] AS BIGINT[]), 'homes': CAST([] AS BIGINT[]), 'd': CAST(0 AS BIGINT)})"
+_DRIFT = f"""{O._PAIRS}, points AS (SELECT DISTINCT reuse, origin, CAST(r.pos AS BIGINT) AS rp, CAST(o.pos AS BIGINT) AS op FROM pairs JOIN places r ON r.passage_id = reuse JOIN places o ON o.passage_id = origin AND o.sh = r.sh),
+lists AS (SELECT reuse, origin, list({{'known': CAST([] AS BIGINT[]), 'homes': CAST([] AS BIGINT[]), 'd': op - rp}} ORDER BY rp, op) AS pts, list(rp ORDER BY rp, op) AS rps FROM points GROUP BY ALL),
+homed AS (SELECT reuse, origin, unnest(rps) AS rp, unnest(homes) AS home, generate_subscripts(rps, 1) AS i FROM (SELECT reuse, origin, rps, {_FOLD}.homes AS homes FROM lists)),
+stops AS (SELECT *, CASE WHEN rp - lag(rp) OVER (PARTITION BY reuse, origin, home ORDER BY i) <= 5 THEN 0 ELSE 1 END AS new FROM homed), runs_ AS (SELECT *, sum(new) OVER (PARTITION BY reuse, origin, home ORDER BY i) AS run FROM stops),
+spans AS (SELECT reuse, origin, CAST(max(n) AS INTEGER) AS span, CAST(count(DISTINCT home) AS INTEGER) AS n_spans, CAST(max(hi) - min(lo) AS INTEGER) AS dispersion FROM (SELECT reuse, origin, home, run, count(*) AS n, min(rp) AS lo, max(rp) AS hi FROM runs_ GROUP BY ALL) GROUP BY ALL)"""
+
+
+@query(f"{_DRIFT} SELECT reuse, origin, span, n_spans, dispersion FROM spans")
 def reuse_hits_udf(spark, sf):
-    p = reuse.passage_words(views.reuse_records(spark, sf))
+    p = reuse.hashed_passages(views.reuse_records(spark, sf))
     return reuse.drifting_spans(reuse.coarse_pairs(reuse.shingle_index(p)), reuse.positions(p))
 
 
+_FULL = f"""{_DRIFT}, sized AS (SELECT passage_id, len(list_distinct(s)) AS n_sh, len(s) AS n_raw, n_words FROM (SELECT passage_id, len(words) AS n_words, {O.shingles('words', 12)} AS s FROM passages)),
+both_ AS (SELECT p.*, s.span, s.n_spans, s.dispersion, r.source AS rs, r.role AS rr, r.ts AS rts, length(r.text) AS rsize, o.source AS os, o.role AS orole, o.ts AS ots, length(o.text) AS osize, a.n_sh AS rsh, a.n_raw AS rraw, a.n_words AS rwords, b.n_sh AS osh, CASE WHEN r.ts IS NULL OR o.ts IS NULL THEN NULL ELSE o.ts < r.ts END AS valid
+  FROM pairs p JOIN spans s USING (reuse, origin) JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id JOIN sized a ON a.passage_id = reuse JOIN sized b ON b.passage_id = origin),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY reuse ORDER BY coalesce(valid, false) DESC, span DESC, shared DESC, ots ASC NULLS LAST, origin_id, origin) AS nth, count_if(coalesce(valid, false)) OVER (PARTITION BY reuse) AS n_earlier, count(*) OVER (PARTITION BY reuse) AS n_origins, shared / greatest(rsh, 1) AS rcov, shared / greatest(osh, 1) AS ocov FROM both_)
+SELECT reuse AS reuse_passage_id, reuse_id AS reuse_record_id, rs AS reuse_source, rr AS reuse_actor, rts AS reuse_timestamp, origin_id AS candidate_origin_record_id, origin AS candidate_origin_passage_id, os AS origin_source, orole AS origin_actor, ots AS origin_timestamp, shared AS total_similarity, CASE WHEN span > 0 THEN span + 11 ELSE 0 END AS longest_contiguous_span_words,
+  n_spans AS number_of_matching_spans, valid AS chronology_valid, n_earlier AS multiple_earlier_candidate_count, n_origins AS candidate_origin_count, n_earlier = 0 AS reverse_match, CASE WHEN n_earlier = 0 THEN 'SIMILARITY_EDGE' ELSE 'DERIVATION_EDGE' END AS edge_type, round(rcov, 4) AS reuse_side_coverage, round(ocov, 4) AS origin_side_coverage,
+  round(dispersion / greatest(rwords, 1), 4) AS span_dispersion, round(rsize / greatest(osize, 1), 4) AS length_ratio, round(rraw / greatest(rsh, 1), 3) AS boilerplate_repetition_penalty, rcov >= 0.85 AND ocov >= 0.5 AS exact_copy_indicator, rs <> os AS cross_source, rr <> orole AS cross_actor,
+  CASE WHEN rcov >= 0.8 THEN 'exact' WHEN rcov >= 0.35 THEN 'near' ELSE 'partial' END AS overlap_class, CASE WHEN rcov >= 0.9 THEN 'TD0' WHEN rcov >= 0.7 THEN 'TD1' WHEN rcov >= 0.5 THEN 'TD2' WHEN rcov >= 0.3 THEN 'TD3' WHEN rcov >= 0.15 THEN 'TD4' ELSE 'TD5' END AS transformation_distance,
+  CAST(NULL AS VARCHAR) AS intellectual_origin, CAST(NULL AS VARCHAR) AS authorship, CAST(NULL AS VARCHAR) AS adoption_status, CAST(NULL AS VARCHAR) AS integration_strength, 'UNREVIEWED' AS semantic_status FROM ranked WHERE nth = 1"""
+
+
+@query(_FULL)
+def reuse_hits(spark, sf):
+    return reuse.full_hits(views.reuse_records(spark, sf))
+
+
 @query(f"{O._PAIRS} SELECT reuse_id, count(DISTINCT origin_id) AS n_origins, min(origin_id) AS earliest FROM pairs GROUP BY 1 HAVING count(DISTINCT origin_id) >= 2")
 def multi_origin(spark, sf):
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(views.reuse_records(spark, sf))))
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(views.reuse_records(spark, sf))))
     return pairs.groupBy("reuse_id").agg(F.count_distinct("origin_id").alias("n_origins"), F.min("origin_id").alias("earliest")).where("n_origins >= 2")
 
 
@@ -877,7 +902,7 @@ def phrase_hits(spark, sf):
 def temporal_directions(spark, sf):
     r = views.reuse_records(spark, sf)
     ts = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.passage_words(r))).join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id")
+    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(r))).join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id")
     return pairs.groupBy(reuse.temporal_direction(F.col("origin_ts"), F.col("reuse_ts")).alias("direction")).agg(F.count("*").alias("n"))
 
 

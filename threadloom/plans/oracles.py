@@ -96,7 +96,7 @@ pairs AS (SELECT a.passage_id AS reuse, a.canonical_id AS reuse_id, b.passage_id
 _SPANS = f"""{_PAIRS}, points AS (SELECT reuse, origin, r.pos AS rp, o.pos - r.pos AS diag FROM pairs JOIN places r ON r.passage_id = reuse JOIN places o ON o.passage_id = origin AND o.sh = r.sh),
 runs AS (SELECT reuse, origin, diag, rp - row_number() OVER (PARTITION BY reuse, origin, diag ORDER BY rp) AS run FROM points),
 spans AS (SELECT reuse, origin, max(n) AS span FROM (SELECT reuse, origin, diag, run, count(*) AS n FROM runs GROUP BY ALL) GROUP BY ALL)"""
-HITS = f"""{_SPANS}, sized AS (SELECT passage_id, len(words) - 11 AS n_sh FROM passages),
+HITS = f"""{_SPANS}, sized AS (SELECT passage_id, len(list_distinct(s)) AS n_sh, len(s) AS n_raw, n_words FROM (SELECT passage_id, len(words) AS n_words, {shingles('words', 12)} AS s FROM passages)),
 both_ AS (SELECT p.*, s.span, r.source AS rs, r.role AS rr, r.ts AS rts, o.source AS os, o.role AS orole, o.ts AS ots, a.n_sh AS reuse_shingles, b.n_sh AS origin_shingles, CASE WHEN r.ts IS NULL OR o.ts IS NULL THEN NULL ELSE o.ts < r.ts END AS valid
   FROM pairs p JOIN spans s USING (reuse, origin) JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id JOIN sized a ON a.passage_id = reuse JOIN sized b ON b.passage_id = origin),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY reuse ORDER BY coalesce(valid, false) DESC, span DESC, shared DESC, ots ASC NULLS LAST, origin_id, origin) AS nth, bool_or(coalesce(valid, false)) OVER (PARTITION BY reuse) AS any_valid, count(*) OVER (PARTITION BY reuse) AS n_origins FROM both_),

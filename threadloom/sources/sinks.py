@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
+from threadloom.storage import stored
 
 
 class SinkError(RuntimeError):
@@ -151,11 +152,9 @@ def write_notes(notes: DataFrame, folder: str, owned: str = MARKER, force: bool
 def with_numbers(rows: DataFrame, prefix: str, order: list[str], digits: int = 6) -> DataFrame:
     """Counters such as rh_000001 in a total order, ranked in range partitions.
 
-    The partitions are cut off once (checkpointed where a folder is set, else cached), as their
-    counts and their rows must be of the same cut.
+    The partitions are written once, as their counts and their rows must be of the same cut.
     """
-    parts = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    parts = parts.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else parts.cache()
+    parts = stored(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "numbered")
     local = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
     before = parts.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return local.join(before, "_p").withColumn("number", F.concat(F.lit(prefix), F.lpad((F.col("_off") + F.col("_i")).cast("string"), digits, "0"))).drop("_p", "_i", "_off")
