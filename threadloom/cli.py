@@ -69,7 +69,8 @@ def main(argv: list[str] | None = None) -> int:
         elif args.verb.startswith("extract-"):
             rows, name = spark.read.parquet(args.messages), args.verb.removeprefix("extract-")
             for table in TABLES if name == "all" else (name,):
-                sinks.staged_write(getattr(engine, table)(rows), f"{args.target}/{table}" if name == "all" else args.target)
+                made, target = getattr(engine, table)(rows), f"{args.target}/{table}" if name == "all" else args.target
+                sinks.replace_own(made, target, "threadloom.extraction") if table == "canonical" else sinks.staged_write(made, target)
         else:
             return on_store(engine, spark.read.parquet(args.store), args)
     except (SourceError, sinks.SinkError, NotFound, ConfinementError, ValueError) as error:

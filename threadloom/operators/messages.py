@@ -151,3 +151,8 @@ def check_columns(rows: DataFrame, required: list[str]) -> None:
     missing, extra = sorted({*required} - {*rows.columns}), sorted({*rows.columns} - {*required})
     if missing or extra:
         raise ValueError(f"columns missing: {missing}, not asked for: {extra}")
+
+
+def by_month(messages: DataFrame) -> DataFrame:
+    """(month, conversation_id, source_file, n): the conversations of each month and their messages in it."""
+    return messages.where("ts IS NOT NULL").groupBy(F.substring("ts", 1, 7).alias("month"), "conversation_id", "source_file").agg(F.count("*").alias("n"))

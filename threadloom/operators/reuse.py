@@ -185,6 +185,53 @@ def first_seen_reuse(records: DataFrame, k: int = 10, least: int = 3) -> DataFra
     return counts.withColumn("nth", F.row_number().over(best)).where((F.col("nth") == 1) & (F.col("matched") >= least)).drop("nth")
 
 
+def near_duplicates_within(records: DataFrame, k: int = 10, least: int = 15) -> DataFrame:
+    """(canonical_id, origin_id, matched): records that repeat an earlier one of their own source."""
+    words = records.where(F.char_length("text") >= 100).select("canonical_id", "source", T.normalize_words(F.col("text")).alias("words"))
+    # The source is part of the key, so each source has first carriers of its own.
+    every = words.select("canonical_id", "source", F.explode(hashed(F.col("words"), k)).alias("h")).select("canonical_id", F.xxhash64("source", "h").alias("sh"))
+    best = Window.partitionBy("canonical_id").orderBy(F.desc("matched"), "origin_id")
+    return origin_counts(every).where("origin_id < canonical_id").withColumn("nth", F.row_number().over(best)).where((F.col("nth") == 1) & (F.col("matched") >= least)).drop("nth")
+
+
+def first_index(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
+    """Hits of the first kind of index: persons' texts against assistants', whole texts, by the number of shared shingles alone.
+
+    With the share of what was matched that stands in quotes, the direction in time, the
+    earliest candidate, and whether a text is too long for its coverage to be trusted.
+    """
+    long = F.char_length("text") > T.PASSAGE_CHARS
+    words = records.where(F.char_length("text") >= 100).select("*", T.normalize_words(F.col("text")).alias("words"), F.transform(T.quoted_spans(F.col("text")), T.normalize_words).alias("quotes"))
+    # Quotes' words stand in columns of their own, or each shingle would cut them anew.
+    sets = stored(words.select("canonical_id", "source", "role", "ts", long.alias("long"), F.array_distinct(hashed(F.col("words"), k)).alias("s"), F.array_distinct(F.flatten(F.transform("quotes", lambda w: hashed(w, k)))).alias("q")), "first-index")
+    side = lambda role, name: sets.where(F.col("role") == role).select(F.col("canonical_id").alias(name), F.explode("s").alias("sh"))
+    counts = side("user", "reuse_id").join(side("assistant", "origin_id"), "sh").groupBy("reuse_id", "origin_id").agg(F.count("*").alias("matched")).where(F.col("matched") >= least)
+    origin = sets.select(F.col("canonical_id").alias("origin_id"), F.col("source").alias("origin_source"), F.col("ts").alias("origin_ts"), F.col("long").alias("origin_long"))
+    dated = F.struct(F.col("origin_ts").alias("t"), F.col("origin_id").alias("i"))
+    best = counts.join(origin, "origin_id").groupBy("reuse_id").agg(
+        F.max_by(F.struct("origin_id", "matched", "origin_source", "origin_ts", "origin_long"), F.struct("matched", -F.col("origin_id"))).alias("o"), F.count("*").alias("n_origins"), F.min(F.when(F.col("origin_ts").isNotNull(), dated)).alias("earliest"),
+    )
+    joined = best.join(sets.withColumnRenamed("canonical_id", "reuse_id"), "reuse_id")
+    coverage = F.col("o.matched") / F.greatest(F.size("s"), F.lit(1))
+    quoted = F.size(F.array_intersect("s", "q")) / F.greatest("o.matched", F.lit(1))
+    return joined.select(
+        "reuse_id", "o.origin_id", "o.matched", F.round(coverage, 4).alias("coverage"), T.overlap_class(coverage).alias("overlap"), T.transformation_distance(coverage).alias("distance"), (quoted >= 0.7).alias("mostly_quoted"), temporal_direction(F.col("o.origin_ts"), F.col("ts")).alias("direction"),
+        (F.col("source") != F.col("o.origin_source")).alias("cross_source"), "n_origins", F.col("earliest.i").alias("earliest_id"), (F.col("long") | F.col("o.origin_long")).alias("long_document"),
+    )
+
+
+def source_pairs(hit_rows: DataFrame, most: int = 200) -> DataFrame:
+    """(reuse_source, origin_source, n, n_same): the ``most`` frequent pairs of different sources, and how many of their hits stay in one conversation."""
+    counted = hit_rows.where("reuse_source <> origin_source").groupBy("reuse_source", "origin_source").agg(F.count("*").alias("n"), F.count_if("same_conversation").alias("n_same"))
+    return counted.orderBy(F.desc("n"), "reuse_source", "origin_source").limit(most)
+
+
+def around_creation(matches: DataFrame) -> DataFrame:
+    """(page_id, before, after, undated): how many matches (page_id, created, ts) lie before or at a page's creation, after it, or have no time."""
+    before = F.col("ts") <= F.col("created")
+    return matches.groupBy("page_id").agg(F.count_if(before).alias("before"), F.count_if(~before).alias("after"), F.count_if(before.isNull()).alias("undated"))
+
+
 def small_index_overlap(records: DataFrame, items: DataFrame, k: int = 8, least: int = 3, sample: int = 400) -> DataFrame:
     """(canonical_id, item_id, matched): records against a small set of items, of which at most ``sample`` shingles each are indexed."""
     own = items.select("item_id", T.normalize_words(F.col("text")).alias("words")).select("item_id", F.array_sort(F.array_distinct(T.shingles(F.col("words"), k))).alias("s"))

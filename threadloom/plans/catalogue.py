@@ -76,6 +76,26 @@ def coverage_classes(spark, sf):
     return m.select("*", T.overlap_class(F.col("coverage")).alias("overlap"), T.transformation_distance(F.col("coverage")).alias("distance"))
 
 
+_TYPO = f"regexp_replace(regexp_replace(translate(text, {q(T.TYPOGRAPHY[0])}, {q(T.TYPOGRAPHY[1])}), '…', '...', 'g'), '[™®©]', '', 'g')"
+
+
+@query(rf"SELECT doc_id, md5(lower(regexp_replace(regexp_replace({_TYPO}, '\*\*|__|##+|[-*]\s', ' ', 'g'), '[ \t]+', ' ', 'g'))) AS normal_md5 FROM documents")
+def reuse_normalization(spark, sf):
+    return docs(spark, sf).select("doc_id", F.md5(T.normalize_for_reuse(F.col("text")).cast("binary")).alias("normal_md5"))
+
+
+@query(f"{O.MSG} SELECT canonical_id, {O.clean('lower(text)')} <> {O.clean('lower(coalesce(before, text))')} AS modified FROM (SELECT canonical_id, text, lag(text) OVER (PARTITION BY conversation_id ORDER BY turn) AS before FROM messages)")
+def modified_messages(spark, sf):
+    """Whether a message says something else than the one before."""
+    m = views.messages(spark, sf).withColumn("before", F.lag("text").over(messages.in_conversation().orderBy("turn")))
+    return m.select("canonical_id", T.is_modified(F.col("text"), F.coalesce("before", "text")).alias("modified"))
+
+
+@query(f"{O.MSG} SELECT substr(ts, 1, 7) AS month, conversation_id, source_file, count(*) AS n FROM messages WHERE ts IS NOT NULL GROUP BY 1, 2, 3")
+def conversations_by_month(spark, sf):
+    return messages.by_month(views.messages(spark, sf))
+
+
 def _shingles(k):
     def run(spark, sf):
         w = docs(spark, sf).select("doc_id", T.normalize_words(F.col("text")).alias("w"))
@@ -358,6 +378,43 @@ def near_duplicates(spark, sf):
     return reuse.first_seen_reuse(views.reuse_records(spark, sf), least=15).where("origin_id < canonical_id")
 
 
+@query(f"""WITH records AS ({views.REUSE_SQL}), every AS (SELECT canonical_id, source, unnest({O.shingles('w', 10)}) AS sh FROM (SELECT canonical_id, source, {O.words('text')} AS w FROM records WHERE length(text) >= 100)), f AS (SELECT source, sh, min(canonical_id) AS origin_id FROM every GROUP BY 1, 2),
+c AS (SELECT canonical_id, origin_id, count(*) AS matched FROM every JOIN f USING (source, sh) WHERE origin_id < canonical_id GROUP BY 1, 2), best AS (SELECT *, row_number() OVER (PARTITION BY canonical_id ORDER BY matched DESC, origin_id) AS nth FROM c) SELECT canonical_id, origin_id, matched FROM best WHERE nth = 1 AND matched >= 15""")
+def near_duplicates_within_source(spark, sf):
+    return reuse.near_duplicates_within(views.reuse_records(spark, sf))
+
+
+_Q_SETS = f"""WITH records AS ({views.REUSE_SQL}), w AS (SELECT *, {O.words('text')} AS w, list_transform(regexp_extract_all(text, '["“]([^"”]{{5,}})["”]', 1), lambda x: {O.words('x')}) AS qs FROM records WHERE length(text) >= 100),
+sets AS (SELECT canonical_id, source, role, ts, length(text) > 15000 AS long, list_distinct({O.shingles('w', 12)}) AS s, list_distinct(flatten(list_transform(qs, lambda v: {O.shingles('v', 12)}))) AS q FROM w),
+c AS (SELECT r.canonical_id AS reuse_id, o.canonical_id AS origin_id, count(*) AS matched FROM (SELECT canonical_id, unnest(s) AS sh FROM sets WHERE role = 'user') r JOIN (SELECT canonical_id, unnest(s) AS sh FROM sets WHERE role = 'assistant') o USING (sh) GROUP BY 1, 2 HAVING count(*) >= 5),
+b AS (SELECT c.*, o.source AS os, o.ts AS ots, o.long AS olong, row_number() OVER (PARTITION BY reuse_id ORDER BY matched DESC, origin_id) AS nth, count(*) OVER (PARTITION BY reuse_id) AS n_origins, first_value(CASE WHEN o.ts IS NOT NULL THEN origin_id END) OVER (PARTITION BY reuse_id ORDER BY o.ts NULLS LAST, origin_id) AS earliest_id FROM c JOIN sets o ON o.canonical_id = origin_id)
+SELECT reuse_id, origin_id, matched, round(cov, 4) AS coverage, CASE WHEN cov >= 0.8 THEN 'exact' WHEN cov >= 0.35 THEN 'near' ELSE 'partial' END AS overlap, CASE WHEN cov >= 0.9 THEN 'TD0' WHEN cov >= 0.7 THEN 'TD1' WHEN cov >= 0.5 THEN 'TD2' WHEN cov >= 0.3 THEN 'TD3' WHEN cov >= 0.15 THEN 'TD4' ELSE 'TD5' END AS distance,
+  len(list_intersect(s, q)) / greatest(matched, 1) >= 0.7 AS mostly_quoted, CASE WHEN ots IS NULL OR ts IS NULL THEN 'UNKNOWN' WHEN ots < ts THEN 'FORWARD' WHEN ots > ts THEN 'REVERSE' ELSE 'SAME_TIME' END AS direction, source <> os AS cross_source, n_origins, earliest_id, long OR olong AS long_document
+FROM (SELECT b.*, s.*, matched / greatest(len(s.s), 1) AS cov FROM b JOIN sets s ON s.canonical_id = reuse_id WHERE nth = 1)"""
+
+
+@query(_Q_SETS)
+def first_index_hits(spark, sf):
+    return reuse.first_index(views.reuse_records(spark, sf))
+
+
+@query(f"{O.HITS} SELECT r.source AS reuse_source, o.source AS origin_source, count(*) AS n, count_if(r.canonical_id % 8 = o.canonical_id % 8) AS n_same FROM hits h JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id WHERE r.source <> o.source GROUP BY 1, 2 ORDER BY n DESC, 1, 2 LIMIT 200")
+def cross_source_pairs(spark, sf):
+    """A document's conversation is its id's remainder by eight."""
+    r = views.reuse_records(spark, sf)
+    source = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("source").alias(f"{n}_source"))
+    h = reuse.hits(r).join(source("reuse"), "reuse_id").join(source("origin"), "origin_id")
+    return reuse.source_pairs(h.withColumn("same_conversation", F.col("reuse_id") % 8 == F.col("origin_id") % 8))
+
+
+@query(f"WITH records AS ({views.REUSE_SQL}), s AS (SELECT item_id, list_sort(list_distinct({O.shingles('w', 8)})) AS s FROM (SELECT item_id, {O.words('text')} AS w FROM benchmark)), ix AS (SELECT item_id, unnest(list_filter(s, lambda x, i: (i - 1) % greatest(1, CAST(ceil(len(s) / 400) AS INT)) = 0)) AS sh FROM s), probe AS (SELECT canonical_id, ts, unnest({O.shingles('w', 8)}) AS sh FROM (SELECT canonical_id, ts, {O.words('text')} AS w FROM records)), m AS (SELECT item_id, canonical_id, any_value(ts) AS ts FROM probe JOIN ix USING (sh) GROUP BY 1, 2 HAVING count(*) >= 3) SELECT item_id AS page_id, count_if(ts <= item_id * 5) AS before, count_if(ts > item_id * 5) AS after, count_if(ts IS NULL) AS undated FROM m GROUP BY 1")
+def page_adoption(spark, sf):
+    """Benchmark items as pages, created at five times their id."""
+    r = views.reuse_records(spark, sf)
+    m = reuse.small_index_overlap(r, views.read(spark, sf, "benchmark")).join(r.select("canonical_id", "ts"), "canonical_id")
+    return reuse.around_creation(m.select(F.col("item_id").alias("page_id"), (F.col("item_id") * 5).alias("created"), "ts"))
+
+
 @query(f"""WITH records AS ({views.REUSE_SQL}), s AS (SELECT item_id, list_sort(list_distinct({O.shingles('w', 8)})) AS s FROM (SELECT item_id, {O.words('text')} AS w FROM benchmark)), ix AS (SELECT item_id, unnest(list_filter(s, lambda x, i: (i - 1) % greatest(1, CAST(ceil(len(s) / 400) AS INT)) = 0)) AS sh FROM s),
 probe AS (SELECT canonical_id, unnest({O.shingles('w', 8)}) AS sh FROM (SELECT canonical_id, {O.words('text')} AS w FROM records)) SELECT canonical_id, item_id, count(*) AS matched FROM probe JOIN ix USING (sh) GROUP BY 1, 2 HAVING count(*) >= 3""")
 def benchmark_overlap(spark, sf):

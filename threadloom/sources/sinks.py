@@ -56,10 +56,29 @@ def json_lines(df: DataFrame, path: str, order: list[str]) -> None:
     df.orderBy(*order).select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
 
 
-def refuse_foreign(existing: DataFrame, owner: str) -> None:
-    """A store with rows of another owner isn't replaced."""
-    if not existing.where(~F.col("extraction_owner").eqNullSafe(F.lit(owner))).isEmpty():
-        raise SinkError("the store has rows of another owner")
+def replace_own(rows: DataFrame, path: str, owner: str) -> None:
+    """Replaces a store by rows that carry their owner; one with rows of another owner is refused."""
+    fs, target = _fs(rows.sparkSession, path)
+    if fs.exists(target):
+        kept = rows.sparkSession.read.parquet(path)
+        if "extraction_owner" not in kept.columns or not kept.where(~F.col("extraction_owner").eqNullSafe(F.lit(owner))).isEmpty():
+            raise SinkError("the store has rows of another owner")
+    staged_write(rows.withColumn("extraction_owner", F.lit(owner)), path)
+
+
+def release_parts(frozen: DataFrame) -> DataFrame:
+    """(source, n, content_hash) of a release: the sum of rows' hashes doesn't depend on their order and needs no list of them."""
+    return frozen.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*sorted(frozen.columns)).cast("decimal(38,0)")).cast("string").alias("content_hash"))
+
+
+def verify_release(spark: SparkSession, path: str, release: str) -> None:
+    """Raises SinkError unless the release is listed and its rows have the listed counts and hashes."""
+    listed = spark.read.parquet(f"{path}/releases").where(F.col("release_id") == release).select("source", "n", "content_hash")
+    if listed.isEmpty():
+        raise SinkError(f"no release {release}")
+    seen = release_parts(spark.read.parquet(f"{path}/data/{release}")).select("source", "n", "content_hash")
+    if not seen.exceptAll(listed).isEmpty() or not listed.exceptAll(seen).isEmpty():
+        raise SinkError(f"{release} isn't what was frozen")
 
 
 def freeze_release(rows: DataFrame, path: str, key: str, parent: str | None = None) -> str:
@@ -69,11 +88,11 @@ def freeze_release(rows: DataFrame, path: str, key: str, parent: str | None = No
     last = spark.read.parquet(f"{path}/releases").agg(F.max("release_id")).first()[0] if fs.exists(table) else None
     release = f"RELEASE_{int(last[-3:]) + 1 if last else 1:03d}"
     twice = lambda df: df.groupBy(key).count().where("count > 1")
+    if parent is not None:
+        verify_release(spark, path, parent)
     staged_write(rows, f"{path}/data/{release}", twice)
     frozen = spark.read.parquet(f"{path}/data/{release}")
-    # The sum of rows' hashes doesn't depend on their order and needs no list of them.
-    parts = frozen.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*sorted(frozen.columns)).cast("decimal(38,0)")).cast("string").alias("content_hash"))
-    parts.select(F.lit(release).alias("release_id"), F.lit(parent).cast("string").alias("parent"), "source", "n", "content_hash").write.mode("append").parquet(f"{path}/releases")
+    release_parts(frozen).select(F.lit(release).alias("release_id"), F.lit(parent).cast("string").alias("parent"), "source", "n", "content_hash").write.mode("append").parquet(f"{path}/releases")
     return release
 
 
