@@ -156,3 +156,24 @@ def check_columns(rows: DataFrame, required: list[str]) -> None:
 def by_month(messages: DataFrame) -> DataFrame:
     """(month, conversation_id, source_file, n): the conversations of each month and their messages in it."""
     return messages.where("ts IS NOT NULL").groupBy(F.substring("ts", 1, 7).alias("month"), "conversation_id", "source_file").agg(F.count("*").alias("n"))
+
+
+def unreachable(nodes: DataFrame) -> DataFrame:
+    """(conversation_id, node_id, rule) of nodes (conversation_id, node_id, parent) that no root leads to: below a parent that isn't there, or on or below a cycle.
+
+    Pointers to ancestors are doubled until no more of them pass a root: each round at least
+    the nodes of the next depth do, while there are any.
+    """
+    keys = ["conversation_id", "node_id"]
+    up = stored(nodes.select(*keys, F.col("parent").alias("up")), "up")
+    left = up.where("up IS NOT NULL").count()
+    while left:
+        above = up.select("conversation_id", F.col("node_id").alias("up"), F.col("up").alias("further"), F.lit(True).alias("there"))
+        moved = up.join(above, ["conversation_id", "up"], "left").select(*keys, F.when(F.col("there"), F.col("further")).otherwise(F.col("up")).alias("up"))
+        up, before = stored(moved, "up"), left
+        left = up.where("up IS NOT NULL").count()
+        if left == before:
+            break
+    ends = nodes.select("conversation_id", F.col("node_id").alias("up"), F.lit(True).alias("there"))
+    lost = up.where("up IS NOT NULL").join(ends, ["conversation_id", "up"], "left")
+    return lost.select(*keys, F.when(F.col("there"), "cycle").otherwise("missing_parent").alias("rule"))

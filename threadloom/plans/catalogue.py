@@ -287,6 +287,18 @@ def graph_link_check(spark, sf):
     return messages.graph_breaks(m.withColumn("parent_message_id", F.when(lost, F.concat(F.lit("gone-"), "parent_message_id")).otherwise(F.col("parent_message_id"))))
 
 
+_BENT = "CASE WHEN turn = 3 AND conv_id % 4 = 0 THEN 'gone' WHEN turn = 2 AND conv_id % 4 = 1 THEN concat('m-', CAST(conv_id AS STRING), '-4') ELSE parent_message_id END"
+
+
+@query(f"""{O.MSG.replace('WITH ', 'WITH RECURSIVE ', 1)}, n AS (SELECT conversation_id, message_id AS node_id, {_BENT} AS parent FROM messages), walk AS (SELECT conversation_id, node_id FROM n WHERE parent IS NULL UNION SELECT n.conversation_id, n.node_id FROM n JOIN walk w ON n.conversation_id = w.conversation_id AND n.parent = w.node_id),
+lost AS (SELECT conversation_id, node_id, 'missing_parent' AS rule FROM n WHERE parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM n p WHERE p.conversation_id = n.conversation_id AND p.node_id = n.parent) UNION SELECT n.conversation_id, n.node_id, rule FROM n JOIN lost l ON n.conversation_id = l.conversation_id AND n.parent = l.node_id)
+SELECT conversation_id, node_id, coalesce(rule, 'cycle') AS rule FROM n LEFT JOIN lost USING (conversation_id, node_id) WHERE (conversation_id, node_id) NOT IN (SELECT conversation_id, node_id FROM walk)""")
+def unreachable_nodes(spark, sf):
+    """Over messages of which some have a parent that isn't there or stands below them."""
+    m = views.messages(spark, sf)
+    return messages.unreachable(m.select("conversation_id", F.col("message_id").alias("node_id"), F.expr(_BENT).alias("parent")))
+
+
 # --- extraction ---------------------------------------------------------------------------------
 
 
