@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import raw, resident, slices, split_words
+from .common import bound_batches, raw, resident, slices, split_words
 
 MAX_FILE_MB = 64  # what may be broadcast: tokenizer files are a few MB and don't grow with the data
 FINAL = 0xE000  # a word's last symbol stands in this private range
@@ -97,7 +97,7 @@ class Vocabulary:
         """Whether the ranked merges of left's and right's symbols together leave just these two tokens."""
         known = self.compatible.get((left, right))
         if known is None:
-            if len(self.compatible) >= 500_000:
+            if len(self.compatible) >= 250_000:
                 self.compatible.clear()
             known = self.compatible[left, right] = self._fits(left, right)
         return known
@@ -361,13 +361,16 @@ class Encoder(ChunkEncoder):
         return " ".join(map(str, np.frombuffer(self.packed(text), self.width).tolist()))
 
 
-def spelled_out(blob: np.ndarray, offsets: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """Each text's ids' spellings, joined by the space that ends each spelling."""
-    starts = offsets[ids]
-    sizes = offsets[ids.astype(np.int64) + 1] - starts
+def spelled_out(blob: np.ndarray, offsets: np.ndarray, ids: np.ndarray, bounds: np.ndarray, step: int = 200_000) -> pa.Array:
+    """Each text's ids' spellings, joined by the space that ends each spelling; ``step`` ids at a time, to hold little in memory."""
+    sizes = np.diff(offsets).astype(np.int32)[ids]
     sizes[bounds[1:][bounds[1:] > bounds[:-1]] - 1] -= 1  # no space behind a text's last
-    places, ends = ragged(starts, sizes)
-    return strings(blob[places], np.concatenate([[0], ends])[bounds], pa.string())
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    out = np.empty(int(ends[-1]), np.uint8)
+    for at in range(0, len(ids), step):
+        to = min(at + step, len(ids))
+        out[ends[at] : ends[to]] = blob[ragged(offsets[ids[at:to]], sizes[at:to])[0]]
+    return strings(out, ends[bounds], pa.string())
 
 
 def decode_text(vocabulary: Vocabulary, decimal: str, step: int = 400_000) -> str:
@@ -395,13 +398,13 @@ def bpe_round_trip(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     ``outputs`` chooses among ids (array<int>), ids_text (decimal, joined by a
     space) and decoded (string); ``id_col`` and n_tokens are always there.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
     types = {"ids": ("array<int>", pa.list_(pa.int32())), "ids_text": ("string", pa.string()), "decoded": ("string", pa.string())}
     kind = dict(docs.dtypes)[id_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = resident(("bpe", shared.value), lambda: Encoder(shared.value))
-        for batch in slices(batches, "text", 4_000_000):
+        for batch in slices(batches, "text"):
             ids, bounds = encode.batch(batch.column(1))
             made = {"id": batch.column(0), "n_tokens": pa.array(np.diff(bounds), pa.int64())}
             if "ids" in outputs:

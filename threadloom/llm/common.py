@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadloom.storage import shared_dir
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -20,15 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests), a new local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="threadloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -46,7 +38,15 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made.stored_at = path
+    return made
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing reads any more."""
+    for df in tables:
+        drop_path(df.sparkSession, df.stored_at)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -83,6 +83,18 @@ def release_memory() -> None:
         trim(0)
 
 
+BATCHES, DEFAULT_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+BATCH_BYTES = 8_000_000
+
+
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``; its session sends Python workers batches of BATCH_BYTES, unless it was told otherwise: both sides hold several copies of a batch."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCHES, DEFAULT_BYTES) == DEFAULT_BYTES:
+        conf.set(BATCHES, str(BATCH_BYTES))
+    return df
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Cuts record batches so that each holds about ``most`` bytes of text at most (a longer single text stands alone)."""
     for batch in batches:

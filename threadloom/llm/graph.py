@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,11 +19,12 @@ def components(edges: DataFrame) -> DataFrame:
     found = None
     while not edges.isEmpty():
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hooks = materialize(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")), "hooks")
+        hooks = table = materialize(both.groupBy("u").agg(F.min("v").alias("p")).select("u", F.least("u", "p").alias("p")), "hooks")
         while True:
             above = hooks.select(F.col("u").alias("p"), F.col("p").alias("pp"))
             jumped = materialize(hooks.join(above, "p", "left").select("u", F.coalesce("pp", "p").alias("p"), (F.coalesce("pp", "p") != F.col("p")).alias("moved")), "jumps")
-            hooks = jumped.select("u", "p")
+            discard(table)
+            hooks, table = jumped.select("u", "p"), jumped
             if jumped.where("moved").isEmpty():
                 break
         if found is None:
@@ -32,5 +33,6 @@ def components(edges: DataFrame) -> DataFrame:
             found = materialize(found.join(hooks.select(F.col("u").alias("root"), F.col("p").alias("new")), "root", "left").select("v", F.coalesce("new", "root").alias("root")), "roots")
         one = edges.join(hooks.select("u", F.col("p").alias("pu")), "u").select("pu", "v")
         two = one.join(hooks.select(F.col("u").alias("v"), F.col("p").alias("pv")), "v").select(F.col("pu").alias("u"), F.col("pv").alias("v"))
-        edges = materialize(two.where("u <> v").distinct(), "links")
+        old, edges = edges, materialize(two.where("u <> v").distinct(), "links")
+        discard(old)
     return found if found is not None else edges.select("v", F.col("u").alias("root"))

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, mix64, slices, split_words, word_hashes
+from .common import bound_batches, discard, materialize, mix64, release_memory, slices, split_words, word_hashes
 from .graph import components
 
 WORDS = 16  # of 64 bits in the shortest sketch, to which all can be folded
@@ -224,6 +224,7 @@ def _groups(sig: np.ndarray, row: np.ndarray, hot: np.ndarray) -> tuple[np.ndarr
     """(group, row) of signatures that several rows carry; those with the same carriers are one group. A signature that slices have sent to the result by itself is its own group."""
     order = np.argsort(sig)
     sig, row, hot = sig[order], row[order], hot[order]
+    del order
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     sizes = np.diff(np.concatenate([starts, [len(sig)]]))
     direct = np.logical_or.reduceat(hot, starts)
@@ -238,8 +239,8 @@ def _groups(sig: np.ndarray, row: np.ndarray, hot: np.ndarray) -> tuple[np.ndarr
 
 def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
     """Two kinds of rows: (gid, row) of groups of rows that carry one signature, and (row, id, n, key, data) of each row."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = min(8 * partitions, 32_768)  # several to a partition, so that hashing deals them out evenly
+    # A bucket is a partition. A task holds its signatures in memory, so there are twice the usual number of them.
+    buckets = min(2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 32_768)
     result = ["gid", "row", "id", "n", "key", "data"]
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +298,12 @@ def _gathered(docs: DataFrame, n: int, threshold: float) -> DataFrame:
         sigs.clear(), rows.clear(), marks.clear()
         for i in range(0, len(found[0]), 100_000):
             yield _rows(result, gid=found[0][i : i + 100_000], row=found[1][i : i + 100_000])
+        del found
+        release_memory()
 
     sent = docs.mapInArrow(emit, ", ".join(f"{c} {t}" for c, (t, _) in ROW.items()))
     # Rows without a bucket go anywhere.
-    dealt = sent.repartition(partitions, F.coalesce(F.col("bucket").cast("bigint"), -1 - F.pmod(F.xxhash64("sigs", "row"), F.lit(4096))))
+    dealt = sent.repartitionById(buckets, F.coalesce(F.col("bucket"), F.pmod(F.xxhash64("sigs", "row"), F.lit(buckets)).cast("int")))
     return dealt.mapInArrow(meet, ", ".join(f"{c} {ROW[c][0]}" for c in result))
 
 
@@ -340,7 +343,9 @@ def _links(docs: DataFrame, named: DataFrame, pairs: DataFrame, n: int, threshol
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(linked, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
     keyed = both(likely, "u", "v", needed, "row", "key")
-    return materialize(both(keyed, "keyu", "keyv", sets, "key", "data").select("u", "v", "datau", "datav").mapInArrow(exact, "u bigint, v bigint"), "linked")
+    linked = materialize(both(keyed, "keyu", "keyv", sets, "key", "data").select("u", "v", "datau", "datav").mapInArrow(exact, "u bigint, v bigint"), "linked")
+    discard(likely, needed, sets)
+    return linked
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_col: str = "doc_id", text_col: str = "text", stars: int = 2) -> DataFrame:
@@ -349,7 +354,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
     ``stars``: how many rounds join only star candidates before all pairs of a
     group that lie in different components are verified.
     """
-    docs = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    docs = bound_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     gathered = materialize(_gathered(docs, n, threshold), "gathered")
     info = gathered.where("gid IS NULL").select("row", "id", "n", "key", "data")
     named = info.where("id IS NOT NULL AND key IS NOT NULL")
@@ -364,7 +369,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
     groups = gathered.where("gid IS NOT NULL").select("gid", "row").join(same.select(F.col("v").alias("row"), "u"), "row", "left")
     members = materialize(groups.select("gid", F.coalesce("u", "row").alias("row")).distinct(), "members")
     links = same.unionByName(stars_of(info.where("id IS NOT NULL").select("row", "id"), "id"))
-    checked, found = None, components(links)
+    checked, found, done = None, components(links), [members]
     for turn in range(stars + 1):
         placed = members.join(found.select(F.col("v").alias("row"), "root"), "row", "left").select("gid", "row", F.coalesce("root", "row").alias("c"))
         centre = F.struct(F.xxhash64(F.lit(turn), "row").alias("o"), "row", "c") if turn else F.struct("row", "c")
@@ -385,12 +390,14 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
         if checked is not None:
             pairs = pairs.join(checked, ["u", "v"], "left_anti")
         pairs = materialize(pairs, "pairs")
+        done.append(pairs)
         if not pairs.isEmpty():
             fresh = _links(docs, named, pairs, n, threshold)
             checked = pairs if checked is None else checked.unionByName(pairs)
             if not fresh.isEmpty():
                 links = links.unionByName(fresh)
                 found = components(links)
+    discard(*done)
     placed = info.select("row", "id", "n").join(found.select(F.col("v").alias("row"), "root"), "row", "left")
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
     return placed.join(least, "root", "left").select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "id").alias("component_id"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import bound_batches, materialize, slices
 
 ENDS = {"sentence": re.compile(r"(?<=[.!?])\s+|\n+"), "line": re.compile(r"\n+"), "paragraph": re.compile(r"\n\s*\n")}
 
@@ -55,7 +55,7 @@ def units(docs: DataFrame, unit: str = "sentence") -> DataFrame:
             for at in range(0, len(made), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*made[at : at + 50_000], strict=True), kinds, strict=True)], names=["id", "row", "idx", "start", "end", "words", "h", "g"])
 
-    return docs.select("id", "row", "text").mapInArrow(run, "id bigint, row bigint, idx bigint, start bigint, end bigint, words bigint, h bigint, g bigint")
+    return bound_batches(docs).select("id", "row", "text").mapInArrow(run, "id bigint, row bigint, idx bigint, start bigint, end bigint, words bigint, h bigint, g bigint")
 
 
 def repeated_spans(docs: DataFrame, unit: str = "sentence", least_words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

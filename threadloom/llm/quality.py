@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import slices, split_words
+from .common import bound_batches, slices, split_words
 
 PASSAGE = 64
 FEATURES = 14
@@ -127,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 6_000, train_pas
     Of rows that repeat an id and label, one is learned from; of a text of more than
     ``train_passages`` passages, so many at even distances: both bound what the driver gets.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).where("y IS NOT NULL AND id IS NOT NULL")
+    known = bound_batches(labels).select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("y")).where("y IS NOT NULL AND id IS NOT NULL")
     if learnable is not None:
         known = known.where(learnable)
     chosen = known.distinct().orderBy(F.xxhash64("id"), "id", "y").limit(train_rows)
@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = 6_000, train_pas
 def score(docs: DataFrame, model: Attention, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """``docs`` with a column ``score_col`` (0 to 1, higher: label 1 likelier), in place of one of that name."""
     docs = docs.drop(score_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(model)
     schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
     at = docs.columns.index(text_col)
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .bpe import ChunkEncoder, id_width, strings, tokenizer_json
-from .common import materialize, resident, shared_path, slices
+from .common import bound_batches, materialize, resident, shared_path, slices
 
 MAGIC = b"TLRA"
 SCALE = 20  # bits of the frequencies' sum
@@ -58,7 +58,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int = 1, id_col: str = "d
     """(id, n, ids in little-endian bytes) of each row with ``end_id`` after it, and the ids' width."""
     text = tokenizer_json(tokenizer)
     width = id_width(json.loads(text), end_id)
-    shared = docs.sparkSession.sparkContext.broadcast(text)
+    shared = bound_batches(docs).sparkSession.sparkContext.broadcast(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = resident(("library", shared.value), lambda: LibraryEncoder(shared.value))
