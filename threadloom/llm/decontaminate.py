@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, split_words
+from .common import bound_batches, slices, split_words
 
 MARKS = ".,;:!?\"'()[]{}<>|*#%&$-_–—…“”‘’«»¿¡"
 PASSAGE = 128
@@ -72,21 +72,30 @@ class Items:
         return cls([r[0] for r in rows], vocabulary, [np.array([place[w] for w in x], np.int64) for x in words])
 
 
+PIECE = 8_192  # doubles that one task adds up from all tasks' vectors
+
+
+def pieces(x: np.ndarray) -> pa.RecordBatch:
+    """A vector of doubles in numbered pieces."""
+    cut = [x[at : at + PIECE].tobytes() for at in range(0, len(x), PIECE)]
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(len(cut)), pa.int32()), pa.array(cut, pa.binary())], names=["i", "x"])
+
+
 def add_up(rows: DataFrame, size: int) -> np.ndarray:
-    """The sum of rows' vectors of doubles, in two steps: as many adders as the root of the tasks, then one."""
+    """The sum of vectors in pieces (i, x): each piece's sum is a task's work, however many tasks there were; the driver gets one vector, which the block of items bounds."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for x in batch.column(0):
-                total = np.zeros(size) if total is None else total
-                total += np.frombuffer(x.as_buffer())
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["x"])
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = np.frombuffer(x.as_buffer())
+                total[i] = total[i] + own if i in total else own.copy()
+        yield pa.RecordBatch.from_arrays([pa.array([*total], pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["i", "x"])
 
-    adders = max(2, math.isqrt(rows.rdd.getNumPartitions()))
-    found = rows.repartition(adders).mapInArrow(add, "x binary").repartition(1).mapInArrow(add, "x binary").first()
-    return np.frombuffer(found.x) if found else np.zeros(size)
+    found = np.zeros(size)
+    for i, x in rows.repartition(max(1, -(-size // PIECE)), "i").mapInArrow(add, "i int, x binary").collect():
+        found[i * PIECE : i * PIECE + len(x) // 8] = np.frombuffer(x)
+    return found
 
 
 def by_radix(x: np.ndarray, most: int) -> np.ndarray:
@@ -133,9 +142,9 @@ def corpus_sketch(docs: DataFrame, vocabulary: list[str], omega: np.ndarray) ->
             y[p[order][heads]] = np.add.reduceat(a[order, None] * probe[t[order]], heads, 0)
             cuts = changes(t)
             s[t[cuts]] += np.add.reduceat(a[:, None] * y[p], cuts, 0)
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([[float(n)], df, s.ravel()]).tobytes()], pa.binary())], names=["x"])
+        yield pieces(np.concatenate([[float(n)], df, s.ravel()]))
 
-    total = add_up(docs.select("text").mapInArrow(run, "x binary"), 1 + v + v * r)
+    total = add_up(docs.select("text").mapInArrow(run, "i int, x binary"), 1 + v + v * r)
     return int(total[0]), total[1 : 1 + v], total[1 + v :].reshape(v, r)
 
 
@@ -320,7 +329,7 @@ class Searcher:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", rank: int = 48, probes: int = 56, cosine: float = 0.65, share: float = 0.6, answer: float = 0.5, verbatim: float = 0.8, least_words: int = 8, block_items: int = 2_000) -> DataFrame:
     """(id, item, share, answer_share, cosine, first_word): documents with a passage of an item, and where it is (in words)."""
-    spark = docs.sparkSession
+    spark = bound_batches(docs).sparkSession
     kinds = dict(docs.dtypes)[id_col], dict(benchmark.dtypes)[item_col]
     schema = f"id {kinds[0]}, item {kinds[1]}, share double, answer_share double, cosine double, first_word bigint"
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
