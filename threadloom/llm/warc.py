@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_path, slices
+from .common import bound_batches, materialize, shared_path, slices
 
 VERSION = re.compile(rb"(?<![^\n])WARC/1\.[01]\r\n")
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -61,29 +61,44 @@ def record(page: object, url: str | None, payload: bytes, digest: str, size: int
     return b"\r\n".join(head) + b"\r\n\r\n" + block + b"\r\n"
 
 
-def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 100, file_records: int = 8_192, date: str = "1970-01-01T00:00:00Z") -> None:
-    """Writes ``pages`` as archives of at most ``file_records`` records each."""
+def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least: int = 100, file_records: int = 8_192, file_bytes: int = 134_217_728, date: str = "1970-01-01T00:00:00Z") -> None:
+    """Writes ``pages`` as archives of at most ``file_records`` records and of about ``file_bytes`` each.
+
+    Pages of more than twelve times the mean size lie in archives of their own, with fewer
+    records the larger the largest is. So no archive has more than twelve times ``file_bytes``,
+    or one page's, and each is read whole by one task.
+    """
     kind = dict(pages.dtypes)[id_col]
     pages = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).alias("payload"))
+    weight = F.octet_length("payload") + 3 * F.octet_length(F.coalesce("url", F.lit("")))
+    sizes = bound_batches(pages).agg(F.avg(weight).alias("mean"), F.max(weight).alias("most")).first()
+    mean, most = int(sizes.mean or 0) + 1_024, int(sizes.most or 0) + 1_024
+    pages = pages.withColumn("large", weight > 12 * mean)
     pages = pages.withColumn("digest", F.when((F.octet_length("payload") >= least) & F.col("id").isNotNull(), F.sha2("payload", 256)))
     slim = pages.where(F.col("digest").isNotNull()).select("id", "url", "digest", F.octet_length("payload").cast("bigint").alias("size"))
     groups = slim.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
     # Written, so that its size is known: a small table of revisits is broadcast by the planner, a large one is joined by shuffling.
     revisits = materialize(slim.join(groups, "digest").where("id <> first").select("id", "url", "digest", "size", F.col("first").alias("refers")), "revisits")
     # An id may have several payloads, so id and digest together say which rows are revisits; rows without digest never are.
-    responses = pages.join(revisits.select("id", "digest").distinct(), ["id", "digest"], "left_anti").select("id", "url", "payload", "digest", F.lit(None).cast("bigint").alias("size"), F.lit(None).cast(kind).alias("refers"))
-    again = revisits.select("id", "url", F.lit("").alias("payload"), "digest", "size", "refers")
+    responses = pages.join(revisits.select("id", "digest").distinct(), ["id", "digest"], "left_anti").select("id", "url", "payload", "digest", F.lit(None).cast("bigint").alias("size"), F.lit(None).cast(kind).alias("refers"), "large")
+    again = revisits.select("id", "url", F.lit("").alias("payload"), "digest", "size", "refers", F.octet_length(F.coalesce("url", F.lit(""))) * 3 > 12 * mean)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "payload", 4_000_000):
             made = []
-            for page, url, payload, digest, size, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for page, url, payload, digest, size, refers in zip(*(c.to_pylist() for c in batch.columns[:6]), strict=True):
                 data = payload.encode()
                 made.append(record(page, url, data, digest or hashlib.sha256(data).hexdigest(), len(data) if size is None else size, refers, date))
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["record"])
 
-    rows = responses.unionByName(again).mapInArrow(run, "record binary")
-    rows.select(F.col("record").cast("string")).write.option("lineSep", "\r\n").option("maxRecordsPerFile", file_records).text(path)
+    def write(rows: DataFrame, records: int) -> None:
+        made = rows.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
+        made.write.mode("append").option("lineSep", "\r\n").option("maxRecordsPerFile", max(1, min(file_records, records))).text(path)
+
+    rows = responses.union(again)
+    write(rows.where("NOT large"), file_bytes // mean)
+    if most > 12 * mean:
+        write(rows.where("large"), file_bytes // most)
 
 
 def _header(data: bytes, at: int, to: int) -> tuple[dict[str, str], int] | None:
