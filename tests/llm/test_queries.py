@@ -43,15 +43,24 @@ def test_op8(spark, encoded):
 
 
 def test_op7(spark, texts):
+    """Later occurrences of sentences that make up a whole line, or stand in a run of twenty words."""
     first, want = {}, set()
     for d in sorted(texts):
-        for start, end, words in units_of(texts[d], "sentence"):
-            if words in first:
-                want.add((d, start, end))
-            else:
-                first[words] = (d, start)
+        units = [*units_of(texts[d], "sentence")]
+        again = []
+        for start, _, words in units:
+            again.append(words in first)
+            first.setdefault(words, (d, start))
+        lines = [texts[d].count("\n", 0, start) for start, _, _ in units]
+        for i, (start, end, _) in enumerate(units):
+            lo = hi = i
+            while again[i] and lo and again[lo - 1]:
+                lo -= 1
+            while again[i] and hi + 1 < len(units) and again[hi + 1]:
+                hi += 1
+            whole = all(a for a, line in zip(again, lines, strict=True) if line == lines[i])
+            if again[i] and (whole or sum(len(u[2].split()) for u in units[lo : hi + 1]) >= 20):
+                want |= {(d, start), (d, end - 1)}
     covered = {(r.doc_id, p) for r in op7_repeats(spark, SF).collect() for p in range(r.start, r.end)}
-    ends = {(d, p) for d, start, end in want for p in (start, end - 1)}
-    assert ends <= covered
-    kept = {(d, start) for d, start in first.values()}
-    assert not kept & covered and want
+    starts = {(d, s) for d in texts for s, e, _ in units_of(texts[d], "sentence")} | {(d, e - 1) for d in texts for _, e, _ in units_of(texts[d], "sentence")}
+    assert want and covered & starts == want

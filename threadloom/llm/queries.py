@@ -55,7 +55,8 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeated_spans(table(spark, sf_dir, "documents"))
+    # Whole lines of any length; within lines, passages of twenty words or more.
+    found = repeated_spans(table(spark, sf_dir, "documents"), least_piece=20)
     return found.select("doc_id", "start", "end", "n_units", "n_words", F.col("kept_id").alias("kept_doc_id"), "kept_start")
 
 
