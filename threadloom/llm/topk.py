@@ -158,8 +158,9 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: float = 1024.0, id_col:
     packed = "longest double, ids binary, m binary"
     sorted_ = vectors.repartitionByRange(blocks, F.desc("l")).sortWithinPartitions(F.desc("l")).select("id", "x")
     data = materialize(sorted_.mapInArrow(pack, packed).withColumn("block", F.monotonically_increasing_id()), "blocks")
-    # One block of bounded size: the longest vectors.
-    head = data.orderBy(F.desc("longest"), "block").limit(1).first()
+    # One block of bounded size: the longest vectors. Its number is found without the others' vectors.
+    longest = data.select("longest", "block").orderBy(F.desc("longest"), "block").first()
+    head = data.where(F.col("block") == longest.block).first()
     queries = materialize(vectors.where(is_query(F.col("id"))).select("id", "x").repartition(blocks, F.xxhash64("id")).mapInArrow(pack, packed).withColumn("q", F.monotonically_increasing_id()), "queries")
     shared = spark.sparkContext.broadcast((rotation, np.frombuffer(head.ids, np.int64), np.frombuffer(head.m).reshape(-1, dims)))
 
