@@ -295,9 +295,13 @@ class Searcher:
         first = np.concatenate([[0], np.cumsum(blocks)])
         owner = np.repeat(np.arange(len(sizes)), sizes)
         block = first[:-1][owner] + (np.arange(len(t)) - bounds[:-1][owner]) // STEP
-        heads = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        sums = np.zeros((len(heads) + 1, self.latent.shape[1]), np.float64)
-        np.cumsum(np.add.reduceat(self.padded[t], heads, 0), 0, out=sums[1:])
+        # Other words add nothing, so only the items' are looked up.
+        known = np.flatnonzero(t >= 0)
+        heads = changes(block[known])
+        each = np.zeros((int(first[-1]), self.latent.shape[1]), np.float32)
+        each[block[known][heads]] = np.add.reduceat(self.latent[t[known]], heads, 0)
+        sums = np.zeros((len(each) + 1, each.shape[1]), np.float64)
+        np.cumsum(each, 0, out=sums[1:])
         whose = np.repeat(np.arange(len(sizes)), blocks)
         place = np.arange(len(whose)) - first[:-1][whose]
         best: dict[tuple[int, int], tuple[float, float, float, int]] = {}
