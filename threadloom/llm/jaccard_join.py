@@ -361,8 +361,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, threshold: float = 0.75, id_
 
     def stars_of(rows: DataFrame, by: str) -> DataFrame:
         """Links of all rows that are alike in a column with the first of them."""
-        several = rows.groupBy(by).agg(F.min("row").alias("u"), F.max("row").alias("last")).where("u < last").select(by, "u")
-        return materialize(rows.join(several, by).where("row <> u").select("u", F.col("row").alias("v")), "alike")
+        # Written, so that the join stands apart from the count and may be split where one value is carried by very many rows.
+        several = materialize(rows.groupBy(by).agg(F.min("row").alias("u"), F.max("row").alias("last")).where("u < last").select(by, "u"), "several")
+        alike = materialize(rows.join(several, by).where("row <> u").select("u", F.col("row").alias("v")), "alike")
+        discard(several)
+        return alike
 
     # Equal sets are one class, named by its first row; candidates are sought between classes only.
     same = stars_of(named.select("row", "key"), "key")
