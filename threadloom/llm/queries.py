@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
-from .common import table
+from .common import materialize, table
 from .decontaminate import contaminated
+from .importance import resample
 from .jaccard_join import jaccard_components
 from .license_scan import license_scan
 from .line_dedup import repeated_spans
+from .lz_fingerprint import neighbours
+from .merkle import leaf, manifest, siblings, tampered_check
 from .quality import held_out, score, train
 from .rans import token_file_round_trip
 from .secret_scan import BASE, KINDS, secret_scan, spans_text
@@ -72,7 +75,26 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op4_quality, op5_decontaminate, op6_bpe, op7_repeats, op8_rans, op9_jaccard, op10_warc)}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    plain = ("source", "lang", "n_chars", "text")
+    changed = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(7)) == 0, F.lit(False))
+    found = F.when(changed, leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars") + 1, F.col("text")))
+    rows = materialize(docs.select("doc_id", "lang", leaf(F.col("doc_id"), *map(F.col, plain)).alias("leaf"), found.alias("changed")), "digests")
+    made = manifest(rows, "lang", ["doc_id"])
+    checked = tampered_check(made.leaves.withColumn("found", F.coalesce("changed", "leaf")), "found", made.root)
+    return checked.select("doc_id", "leaf", "subroot", F.lit(made.root).cast("string").alias("root"), F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "documents"))
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license, op2_topk, op3_secrets, op4_quality, op5_decontaminate, op6_bpe, op7_repeats, op8_rans, op9_jaccard, op10_warc, op11_merkle, op12_fingerprint, op13_importance)}
 _INTS = "list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT))"
 _SOUND = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND vec_id IS NOT NULL"
 _TOPK = f"""WITH v AS (SELECT vec_id, {_INTS} AS x FROM embeddings WHERE {_SOUND}),
@@ -93,5 +115,45 @@ _WARC = """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), g AS
 SELECT p.page_id, strlen(p.h) AS payload_bytes, sha256(p.h) AS payload_digest, CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
 FROM p LEFT JOIN g USING (h)"""
 
-# The others can't be said in SQL (tokenizers, classifiers, latent vectors, looking behind in patterns); tests hold them against brute force.
-ORACLES: dict[str, str] = {"op2_topk": _TOPK, "op9_jaccard": _JACCARD, "op10_warc": _WARC}
+# crc32 over a list of bytes: its table from the rule, then a byte at a time.
+_CRC_TABLE = "t AS (SELECT list_transform(range(0, 256), lambda n: list_reduce(list_concat([n], range(0, 8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS tab)"
+_CRC = "xor(list_reduce(list_concat([4294967295::BIGINT], {}), lambda c, b: xor(c // 256, tab[1 + (xor(c, b) & 255)])), 4294967295)"
+_BYTES = "list_transform(range(0, strlen({0})), lambda i: CAST('0x' || substr(hex({0}), 2 * i + 1, 2) AS BIGINT))"
+_FRAMED = " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", "text"))
+
+# One recursion climbs the languages' trees, one the tree above; two more walk from the leaves up with their siblings' digests.
+_MERKLE = f"""WITH RECURSIVE {_CRC_TABLE},
+d AS (SELECT doc_id, lang, sha256({_FRAMED}) AS leaf, sha256({_FRAMED.replace('n_chars', '(n_chars + 1)')}) AS other,
+  coalesce({_CRC.format(_BYTES.format("CAST(doc_id AS VARCHAR)"))} % 7 = 0, false) AS hit FROM documents, t),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS m, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM d),
+tree(g, lvl, i, m, x) AS (SELECT g, 0, i, m, leaf FROM placed UNION ALL
+  SELECT g, lvl + 1, i // 2, (m + 1) // 2, sha256(string_agg(x, '' ORDER BY i)) FROM tree WHERE m > 1 GROUP BY g, lvl, i // 2, m),
+subroots AS (SELECT g, x, (SELECT count(DISTINCT g) FROM placed) AS m FROM tree WHERE m = 1),
+top(lvl, i, m, x) AS (SELECT 0, g, m, x FROM subroots UNION ALL
+  SELECT lvl + 1, i // 2, (m + 1) // 2, sha256(string_agg(x, '' ORDER BY i)) FROM top WHERE m > 1 GROUP BY lvl, i // 2, m),
+root AS (SELECT x AS root FROM top WHERE m = 1),
+up(leaf_g, leaf_i, lvl, i, m, proof, folded) AS (SELECT g, i, 0, i, m, '', CASE WHEN hit THEN other ELSE leaf END FROM placed UNION ALL
+  SELECT leaf_g, leaf_i, u.lvl + 1, u.i // 2, (u.m + 1) // 2, proof || coalesce(s.x, ''), sha256(CASE WHEN u.i % 2 = 1 THEN s.x || folded ELSE folded || coalesce(s.x, '') END)
+  FROM up u LEFT JOIN tree s ON s.g = u.leaf_g AND s.lvl = u.lvl AND s.i = xor(u.i, 1) WHERE u.m > 1),
+upper(leaf_g, leaf_i, lvl, i, m, proof, folded) AS (SELECT leaf_g, leaf_i, 0, leaf_g, subroots.m, proof, folded FROM up JOIN subroots ON g = leaf_g WHERE up.m = 1 UNION ALL
+  SELECT leaf_g, leaf_i, u.lvl + 1, u.i // 2, (u.m + 1) // 2, proof || coalesce(s.x, ''), sha256(CASE WHEN u.i % 2 = 1 THEN s.x || folded ELSE folded || coalesce(s.x, '') END)
+  FROM upper u LEFT JOIN top s ON s.lvl = u.lvl AND s.i = xor(u.i, 1) WHERE u.m > 1)
+SELECT doc_id, leaf, subroots.x AS subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM placed p JOIN upper u ON u.leaf_g = p.g AND u.leaf_i = p.i AND u.m = 1 JOIN subroots ON subroots.g = p.g, root"""
+
+_WORDS = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+_FEATURES = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+_IMPORTANCE = f"""WITH {_CRC_TABLE},
+w AS (SELECT row_number() OVER () AS r, true AS corpus, doc_id, {_WORDS} AS w FROM documents UNION ALL SELECT row_number() OVER (), false, NULL, {_WORDS} FROM benchmark),
+f AS (SELECT r, corpus, unnest({_FEATURES}) AS f FROM w),
+kinds AS (SELECT f, {_CRC.format(_BYTES.format("f"))} % 10000 AS b FROM (SELECT DISTINCT f FROM f), t),
+n AS (SELECT b, count(*) FILTER (corpus) AS s, count(*) FILTER (NOT corpus) AS t FROM f JOIN kinds USING (f) GROUP BY b),
+g AS (SELECT b, CAST(floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE))) AS BIGINT) AS gain FROM n),
+x AS (SELECT r, count(*) AS n_features, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight FROM f JOIN kinds USING (f) JOIN g USING (b) WHERE corpus GROUP BY r),
+scored AS (SELECT w.r, doc_id, len(w) AS words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS noise FROM w LEFT JOIN x USING (r) WHERE corpus),
+ranked AS (SELECT *, row_number() OVER (ORDER BY weight + noise DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM scored WHERE words >= 20)
+SELECT s.doc_id, s.n_features, s.weight, s.weight + s.noise AS score, CASE WHEN place <= n * 25 // 100 THEN place END AS rank FROM scored s LEFT JOIN ranked USING (r)"""
+
+# The others can't be said in SQL (tokenizers, classifiers, latent vectors, phrase parses, looking behind in patterns); tests hold them against brute force.
+ORACLES: dict[str, str] = {"op2_topk": _TOPK, "op9_jaccard": _JACCARD, "op10_warc": _WARC, "op11_merkle": _MERKLE, "op13_importance": _IMPORTANCE}
