@@ -55,13 +55,34 @@ def test_empty_table(spark):
     assert got(spark, []) == []
 
 
-def test_vectors_whose_scores_may_not_fit_take_no_part(spark):
-    rows = [(i, [float(i), 1.0, -2.0]) for i in range(30)]
-    large = [(30, [1e10, 0.0, 0.0]), (31, [1e308, 0.0, 0.0]), (40, [0.0, -1e300, 1.0])]
-    assert got(spark, rows + large, k=3, every=10) == brute(rows, 3, 10)
+def test_finite_vectors_take_part_however_long(spark):
+    rows = [(i, [float(i), 1.0, -2.0]) for i in range(30)] + [(30, [1e10, 0.0, 0.0])]
+    endless = [(31, [1e308, 0.0, 0.0]), (40, [0.0, -1e300, 1.0])]  # infinite as floats
+    assert got(spark, rows + endless, k=3, every=10) == [(q, r, v, min(s, 2**63 - 1)) for q, r, v, s in brute(rows, 3, 10)]
 
 
 def test_blocks_of_many_lengths(spark):
     rnd = np.random.default_rng(5)
     rows = [(i, [float(c) for c in rnd.normal(size=4) * 10.0 ** (i % 5 - 2)]) for i in range(400)]
     assert got(spark, rows, every=7, block_rows=16, lead=2) == brute(rows, 10, 7)
+
+
+def test_long_vectors_take_part_and_scores_beyond_64_bits_are_the_nearest(spark):
+    def nearest(rows):
+        return [(q, r, v, max(-(2**63), min(2**63 - 1, s))) for q, r, v, s in rows]
+
+    rows = [(0, [0.5, 0.25]), (100, [4e6, 0.1]), (2, [1.0, 1.0]), (3, [-4e6, 7.0]), (4, [3e9, -1e9]), (200, [2.5e9, 1.5e9]), (5, [1e15, -1e15]), (300, [1.0, 1.0]), (7, [1e5, 3.0])]
+    want = brute(rows, 10, 100)
+    assert any(abs(r[3]) >= 2**53 and abs(r[3]) < 2**63 for r in want) and any(abs(r[3]) > 2**63 for r in want)
+    assert got(spark, rows) == nearest(want)
+    rows += [(6, [3e38, 3e38]), (400, [3e38, -3e38])]
+    clipped = {}
+    for q, _, v, s in nearest(brute(rows, len(rows), 100)):
+        clipped.setdefault(q, []).append((-s, v))
+    assert got(spark, rows, k=4) == sorted((q, r + 1, v, -s) for q, found in clipped.items() for r, (s, v) in enumerate(sorted(found)[:4]))
+
+
+def test_one_vector_of_many_components(spark):
+    rnd = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in rnd.normal(size=int(rnd.integers(0, 9)))]) for i in range(300)] + [(1000, [float(c) for c in rnd.normal(size=5000)]), (1001, [float(c) for c in rnd.normal(size=3000)])]
+    assert got(spark, rows, block_rows=50) == brute(rows, 10, 100)

@@ -11,7 +11,8 @@ and so do the joins.
 Defined results: null fields count as ``-``, which no value gives; rows without group
 are a group of their own, the first; rows whose key repeats or is missing are leaves
 each, the latter first, in the order of their digests; no rows give no rows and no
-root; columns that are not asked for, whatever their names, take no part.
+root; extra columns stay as they are, but for those named idx, subroot or proof, which
+the result's replace.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def descend(nodes: DataFrame, levels: list[DataFrame], fanout: int, every: int =
 
 @dataclass
 class Manifest:
-    """``leaves``: the given rows with idx in their group, subroot and proof up to the root; ``groups``: each group's subroot and size, in order; ``root``: None without rows."""
+    """``leaves``: the given rows with idx in their group, subroot and proof up to the root; ``groups``: each group's place, size and subroot; ``root``: None without rows."""
 
     leaves: DataFrame
     groups: DataFrame
@@ -95,12 +96,13 @@ def manifest(rows: DataFrame, group: str, order: list[str], digest: str = "leaf"
     """The tree over ``rows``, which hold each row's ``digest``; ties in ``order`` go by the digest."""
     if fanout < 2:
         raise ValueError("a node needs two children or more")
-    placed = numbered(rows, [*(F.col(c).asc_nulls_first() for c in order), F.col(digest).asc()], group)
-    placed = materialize(placed, "leaves")
-    sizes = materialize(placed.groupBy(group).agg(F.count("*").alias("m")), "groups")
-    named = materialize(numbered(sizes, [F.col(group).asc_nulls_first()], name="g"), "groups")
-    own = named.select(F.col(group).alias("_group"), "g", "m")
-    nodes = placed.join(own, placed[group].eqNullSafe(own["_group"])).drop("_group").withColumn("digest", F.col(digest))
+    by = [F.col(f"o{i}").asc_nulls_first() for i in range(len(order))]
+    plain = rows.select(F.struct(*rows.columns).alias("row"), F.col(group).alias("grp"), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), F.col(digest).alias("digest"))
+    placed = materialize(numbered(plain, [*by, F.col("digest").asc()], "grp"), "leaves")
+    sizes = materialize(placed.groupBy("grp").agg(F.count("*").alias("m")), "groups")
+    named = materialize(numbered(sizes, [F.col("grp").asc_nulls_first()], name="g"), "groups")
+    own = named.select(F.col("grp").alias("same"), "g", "m")
+    nodes = placed.join(own, placed["grp"].eqNullSafe(own["same"])).select("row", "g", "m", "idx", "digest")
     levels = climb(nodes, fanout)
     ends = [df.where("m = 1").select("g", "digest") for df in [nodes, *levels]]
     subroots = ends[0]
@@ -110,10 +112,11 @@ def manifest(rows: DataFrame, group: str, order: list[str], digest: str = "leaf"
     tops = subroots.select(F.lit(0).alias("g"), F.col("g").alias("idx"), F.col("subroot").alias("digest"), F.lit(named.count()).cast("bigint").alias("m"))
     above = climb(tops, fanout)
     last = (above[-1] if above else tops).select("digest").first()
-    upper = materialize(descend(tops, above, fanout).select(F.col("idx").alias("g"), F.col("digest").alias("subroot"), F.col("proof").alias("_upper")), "upper")
+    upper = materialize(descend(tops, above, fanout).select(F.col("idx").alias("g"), F.col("digest").alias("subroot"), F.col("proof").alias("upper")), "upper")
     full = descend(nodes, levels, fanout).join(upper, "g")
-    leaves = full.withColumn("proof", F.concat("proof", "_upper")).select(*rows.columns, "idx", "subroot", "proof")
-    groups = named.join(upper, "g").select(group, "g", F.col("m").alias("n_leaves"), "subroot")
+    names = [c for c in rows.columns if c not in ("idx", "subroot", "proof")]
+    leaves = full.select(*(F.col("row").getField(c).alias(c) for c in names), "idx", "subroot", F.concat("proof", "upper").alias("proof"))
+    groups = named.join(upper, "g").select(F.col("grp").alias(group), F.col("g").alias("place"), F.col("m").alias("n_leaves"), "subroot")
     return Manifest(leaves, groups, last[0] if last else None)
 
 
