@@ -67,8 +67,8 @@ def test_chronology_is_three_valued(spark):
 def test_coarse_pairs_need_five_shingles_of_another_record(spark):
     w = [f"w{i}" for i in range(400)]
     texts = [(1, " ".join(w[:40])), (2, " ".join(w[24:80])), (3, " ".join(w[25:39] + w[100:140])), (4, " ".join(w[200:230] * 3))]
-    index = reuse.shingle_index(reuse.passage_words(spark.createDataFrame(texts, "canonical_id bigint, text string")))
-    assert {(r.reuse_id, r.origin_id, r.shared) for r in reuse.coarse_pairs(index).collect()} == {(1, 2, 5), (2, 1, 5)}
+    passages = reuse.hashed_passages(spark.createDataFrame(texts, "canonical_id bigint, text string"))
+    assert {(r.reuse_id, r.origin_id, r.shared) for r in reuse.coarse_pairs(passages).collect()} == {(1, 2, 5), (2, 1, 5)}
 
 
 def test_components_of_paths_and_stars(spark):

@@ -1,8 +1,9 @@
 """Text reuse: shingle joins, contiguous spans, origins, chains.
 
 Records have canonical_id, text, source, role and ts (null: undated). Joins carry the
-64-bit hash of a shingle, not its words; shingles are distinct within a record before
-they are joined, and pairs are formed once and mirrored.
+64-bit hash of a shingle, not its words. Pairs are sought between classes of passages of
+equal words, once for all shingles that stand in the same classes, and a frequent
+shingle's classes are dealt to blocks that meet two by two in tasks of their own.
 """
 
 from __future__ import annotations
@@ -31,43 +32,95 @@ def hashed(words, k: int):
     return F.transform(T.shingles(words, k), lambda x: F.xxhash64(x))
 
 
+def sequence_class(s):
+    """What passages of the same shingles in the same order share: 128 bits."""
+    return F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b"))
+
+
 def hashed_passages(records: DataFrame, k: int = K) -> DataFrame:
-    """(passage_id, canonical_id, n_words, s): each passage's shingle hashes in order, written once for all that is asked of them."""
+    """(passage_id, canonical_id, n_words, s, cls): each passage's shingle hashes in order and its class, written once for all that is asked of them."""
     made = passage_words(records).select("passage_id", "canonical_id", F.size("words").alias("n_words"), hashed(F.col("words"), k).alias("s"))
-    return stored(made, "passages")
+    return stored(made.withColumn("cls", sequence_class(F.col("s"))), "passages")
 
 
-def shingle_index(passages: DataFrame, k: int = K, max_df: int | None = None) -> DataFrame:
-    """(sh, passage_id, canonical_id): each passage's distinct shingles by hash. ``max_df`` drops shingles of more passages (off: it changes results)."""
-    made = passages.select("passage_id", "canonical_id", F.explode(F.array_distinct("s" if "s" in passages.columns else hashed(F.col("words"), k))).alias("sh"))
-    if max_df is not None:
-        made = made.join(made.groupBy("sh").count().where(F.col("count") <= max_df).select("sh"), "sh", "left_semi")
-    return made
+BLOCK = 1024  # classes of a shingle, or passages of a class, that meet in one task
+
 
+def class_shingles(passages: DataFrame, least: int) -> DataFrame:
+    """(cls, s, n_sh): the classes whose passages have ``least`` distinct shingles or more."""
+    n_sh = F.size(F.array_distinct("s"))
+    return stored(passages.select("cls", "s", n_sh.alias("n_sh")).where(F.col("n_sh") >= least).dropDuplicates(["cls"]), "classes")
 
-def coarse_pairs(index: DataFrame, least: int = 5) -> DataFrame:
-    """(reuse, origin, shared): ordered pairs of passages of different records with so many common distinct shingles."""
-    a, b = (index.select("sh", F.col("passage_id").alias(p), F.col("canonical_id").alias(c)) for p, c in (("reuse", "reuse_id"), ("origin", "origin_id")))
-    # A passage's record is looked up by few columns: the pair's names alone are shuffled, and the records' ids are the least of their equal values.
-    pairs = a.join(b, "sh").where("reuse < origin AND reuse_id <> origin_id").groupBy("reuse", "origin").agg(F.count("*").alias("shared"), F.first("reuse_id").alias("reuse_id"), F.first("origin_id").alias("origin_id")).where(F.col("shared") >= least)
-    sides = F.array(F.struct("reuse", "reuse_id", "origin", "origin_id", "shared"), F.struct(F.col("origin").alias("reuse"), F.col("origin_id").alias("reuse_id"), F.col("reuse").alias("origin"), F.col("reuse_id").alias("origin_id"), "shared"))
-    return pairs.select(F.inline(sides))
 
+def class_pairs(passages: DataFrame, classes: DataFrame, least: int = 5, max_df: int | None = None, block: int = BLOCK) -> DataFrame:
+    """(a, b, shared), a <= b: classes with ``least`` common distinct shingles or more; a class with itself if it has several passages.
 
-def positions(passages: DataFrame, k: int = K) -> DataFrame:
-    return passages.select("passage_id", F.posexplode("s" if "s" in passages.columns else hashed(F.col("words"), k)).alias("pos", "sh"))
+    Shingles that stand in the same classes (told by the classes' number and two sums of
+    their hashes) count together, so text of many words that passages share costs a row a
+    pair, not one a word. A shingle of many classes deals them to blocks; each two
+    blocks, and each with itself, meet under a key of their own. ``max_df`` drops shingles
+    of more classes (off: it changes results).
+    """
+    posts = classes.select("cls", F.explode(F.array_distinct("s")).alias("sh"))
+    lists = posts.groupBy("sh").agg(F.count("*").alias("df"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "cls")).alias("y")).where("df > 1")
+    if max_df is not None:
+        lists = lists.where(F.col("df") <= max_df)
+    alike = lists.groupBy("df", "x", "y").agg(F.min("sh").alias("sh"), F.count("*").alias("weight"))
+    blocks = F.ceil(F.col("df") / block).cast("int")
+    dealt = stored(posts.join(alike.select("sh", "weight", "df"), "sh").select("sh", "cls", "weight", blocks.alias("n"), F.pmod(F.xxhash64("cls", "sh"), blocks).cast("int").alias("own")), "postings")
+    low = dealt.select("sh", "weight", F.col("cls").alias("a"), F.col("own").alias("i"), F.explode(F.sequence("own", F.col("n") - 1)).alias("j"))
+    high = dealt.select("sh", F.col("cls").alias("b"), F.explode(F.sequence(F.lit(0), "own")).alias("i"), F.col("own").alias("j"))
+    met = low.join(high, ["sh", "i", "j"]).where("i < j OR a < b")
+    counted = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("weight").alias("shared")).where(F.col("shared") >= least)
+    several = passages.groupBy("cls").agg(F.count("*").alias("m")).where("m > 1")
+    own = classes.select("cls", "n_sh").join(several, "cls").select(F.col("cls").alias("a"), F.col("cls").alias("b"), F.col("n_sh").cast("bigint").alias("shared"))
+    return counted.unionByName(own)
+
+
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Pairs of classes in either order, a class with itself once; columns but a and b stay."""
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+    turned = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), *rest)
+    return pairs.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b", *rest))).otherwise(F.array(F.struct("a", "b", *rest), turned))))
+
+
+def expanded(pairs: DataFrame, passages: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(reuse, origin, reuse_id, origin_id, ...): the passages of different records behind ordered pairs of classes (a, b, ...), a class's in blocks."""
+    rest = [c for c in pairs.columns if c not in ("a", "b")]
+    wide = stored(passages.groupBy("cls").agg(F.count("*").alias("m")).where(F.col("m") > block).select("cls", F.ceil(F.col("m") / block).cast("int").alias("n")), "wide")
+    place = F.pmod(F.xxhash64("passage_id"), F.coalesce("n", F.lit(1))).cast("int")
+    members = stored(passages.select("cls", "passage_id", "canonical_id").join(wide, "cls", "left").groupBy("cls", place.alias("at")).agg(F.collect_list(F.struct("passage_id", "canonical_id")).alias("who")), "members")
+    units = pairs
+    for side, at in (("a", "i"), ("b", "j")):
+        units = units.join(wide.select(F.col("cls").alias(side), F.col("n").alias(f"n{at}")), side, "left")
+    units = units.select("a", "b", *rest, F.explode(F.sequence(F.lit(0), F.coalesce("ni", F.lit(1)) - 1)).alias("i"), "nj").select("a", "b", "i", *rest, F.explode(F.sequence(F.lit(0), F.coalesce("nj", F.lit(1)) - 1)).alias("j"))
+    side = lambda key, at, name: members.select(F.col("cls").alias(key), F.col("at").alias(at), F.col("who").alias(name))
+    met = units.join(side("a", "i", "left"), ["a", "i"]).join(side("b", "j", "right"), ["b", "j"])
+    each = met.select(*rest, "right", F.explode("left").alias("l")).select(*rest, "l", F.explode("right").alias("r")).where("l.canonical_id <> r.canonical_id")
+    return each.select(F.col("l.passage_id").alias("reuse"), F.col("r.passage_id").alias("origin"), F.col("l.canonical_id").alias("reuse_id"), F.col("r.canonical_id").alias("origin_id"), *rest)
+
+
+def coarse_pairs(passages: DataFrame, least: int = 5, block: int = BLOCK) -> DataFrame:
+    """(reuse, origin, reuse_id, origin_id, shared): ordered pairs of passages of different records with so many common distinct shingles."""
+    pairs = class_pairs(passages, class_shingles(passages, least), least, block=block)
+    return expanded(both_ways(pairs), passages, block)
+
+
+def positions(classes: DataFrame) -> DataFrame:
+    return classes.select("cls", F.posexplode("s").alias("pos", "sh"))
+
+
+def points(pairs: DataFrame, places: DataFrame) -> DataFrame:
+    """(a, b, rp, op): places at which two classes have the same shingle."""
+    r, o = places.select(F.col("cls").alias("a"), F.col("pos").alias("rp"), "sh"), places.select(F.col("cls").alias("b"), F.col("pos").alias("op"), "sh")
+    return pairs.select("a", "b").join(r, "a").join(o, ["b", "sh"]).select("a", "b", "rp", "op")
 
 
 def strict_spans(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """Longest run of common shingles on one exact diagonal, by gaps and islands: (reuse, origin, span). A diagonal is the same from either side, so each pair is looked at once."""
-    r, o = places.select(F.col("passage_id").alias("reuse"), F.col("pos").alias("rp"), "sh"), places.select(F.col("passage_id").alias("origin"), F.col("pos").alias("op"), "sh")
-    points = pairs.where("reuse < origin").select("reuse", "origin").join(r, "reuse").join(o, ["origin", "sh"])
-    diagonal = points.select("reuse", "origin", "rp", (F.col("op") - F.col("rp")).alias("diag"))
-    run = F.col("rp") - F.row_number().over(Window.partitionBy("reuse", "origin", "diag").orderBy("rp"))
-    once = diagonal.withColumn("run", run).groupBy("reuse", "origin", "diag", "run").agg(F.count("*").alias("n")).groupBy("reuse", "origin").agg(F.max("n").alias("span"))
-    # Exploded, not united: a union would compute it twice.
-    sides = F.array(F.struct("reuse", "origin", "span"), F.struct(F.col("origin").alias("reuse"), F.col("reuse").alias("origin"), "span"))
-    return once.select(F.inline(sides))
+    """(a, b, span): longest run of common shingles on one exact diagonal, by gaps and islands. It is the same from either side, so each pair is looked at once."""
+    diagonal = points(pairs, places).select("a", "b", "rp", (F.col("op") - F.col("rp")).alias("diag"))
+    run = F.col("rp") - F.row_number().over(Window.partitionBy("a", "b", "diag").orderBy("rp"))
+    return diagonal.withColumn("run", run).groupBy("a", "b", "diag", "run").agg(F.count("*").alias("n")).groupBy("a", "b").agg(F.max("n").alias("span"))
 
 
 def drifting_span(reuse: list[int], origin: list[int], tolerance: int = 4) -> tuple[int, int, int]:
@@ -92,16 +145,29 @@ def drifting_span(reuse: list[int], origin: list[int], tolerance: int = 4) -> tu
 
 
 def drifting_spans(pairs: DataFrame, places: DataFrame) -> DataFrame:
-    """(reuse, origin, span, n_spans, dispersion) by an Arrow-batched function over each pair's points."""
-    r, o = places.select(F.col("passage_id").alias("reuse"), F.col("pos").alias("rp"), "sh"), places.select(F.col("passage_id").alias("origin"), F.col("pos").alias("op"), "sh")
-    points = pairs.select("reuse", "origin").join(r, "reuse").join(o, ["origin", "sh"]).groupBy("reuse", "origin").agg(F.collect_list("rp").alias("rps"), F.collect_list("op").alias("ops"))
+    """(a, b, span, n_spans, dispersion) of ordered pairs, by an Arrow-batched function over each pair's points."""
+    lists = points(pairs, places).groupBy("a", "b").agg(F.collect_list("rp").alias("rps"), F.collect_list("op").alias("ops"))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
             found = [drifting_span([*map(int, a)], [*map(int, b)]) for a, b in zip(p["rps"], p["ops"], strict=True)]
-            yield pd.DataFrame({"reuse": p["reuse"], "origin": p["origin"], "span": [f[0] for f in found], "n_spans": [f[1] for f in found], "dispersion": [f[2] for f in found]})
+            yield pd.DataFrame({"a1": p["a1"], "a2": p["a2"], "b1": p["b1"], "b2": p["b2"], "span": [f[0] for f in found], "n_spans": [f[1] for f in found], "dispersion": [f[2] for f in found]})
+
+    flat = lists.select(F.col("a.a").alias("a1"), F.col("a.b").alias("a2"), F.col("b.a").alias("b1"), F.col("b.b").alias("b2"), "rps", "ops")
+    made = flat.mapInPandas(run, "a1 bigint, a2 bigint, b1 bigint, b2 bigint, span int, n_spans int, dispersion int")
+    name = lambda n: F.struct(F.col(f"{n}1").alias("a"), F.col(f"{n}2").alias("b")).alias(n)
+    return made.select(name("a"), name("b"), "span", "n_spans", "dispersion")
+
 
-    return points.mapInPandas(run, "reuse string, origin string, span int, n_spans int, dispersion int")
+def spanned_pairs(passages: DataFrame, least: int = 5, drifting: bool = False) -> DataFrame:
+    """Coarse pairs with the spans of their classes: (..., span), and with ``drifting`` n_spans and dispersion."""
+    classes = class_shingles(passages, least)
+    pairs = stored(class_pairs(passages, classes, least), "pairs")
+    places = positions(classes)
+    if drifting:
+        ordered = both_ways(pairs)
+        return expanded(ordered.join(drifting_spans(ordered, places), ["a", "b"]), passages)
+    return expanded(both_ways(pairs.join(strict_spans(pairs, places), ["a", "b"])), passages)
 
 
 def chronology_valid(origin_ts, reuse_ts):
@@ -112,13 +178,11 @@ def chronology_valid(origin_ts, reuse_ts):
 def candidates(records: DataFrame, k: int = K, least: int = 5, drifting: bool = False) -> DataFrame:
     """One row a passage and possible origin: shared shingles, span, coverage of both sides, chronology. ``drifting``: spans on diagonals that may drift, and their number and dispersion."""
     passages = hashed_passages(records, k)
-    pairs = stored(coarse_pairs(shingle_index(passages, k), least), "pairs")
-    places = positions(passages, k)
-    spans = drifting_spans(pairs, places) if drifting else strict_spans(pairs, places)
+    pairs = spanned_pairs(passages, least, drifting)
     info = records.select(F.col("canonical_id").alias("id"), "source", "role", "ts", F.char_length("text").alias("size"))
     sized = passages.select("passage_id", F.size(F.array_distinct("s")).alias("n_sh"), F.size("s").alias("n_raw"), "n_words")
     side = lambda df, key, name: df.select(*(F.col(c).alias(name if c == key else f"{name.removesuffix('_id')}_{c}") for c in df.columns))
-    both = pairs.join(spans, ["reuse", "origin"]).join(side(info, "id", "reuse_id"), "reuse_id").join(side(info, "id", "origin_id"), "origin_id").join(side(sized, "passage_id", "reuse"), "reuse").join(side(sized, "passage_id", "origin"), "origin")
+    both = pairs.join(side(info, "id", "reuse_id"), "reuse_id").join(side(info, "id", "origin_id"), "origin_id").join(side(sized, "passage_id", "reuse"), "reuse").join(side(sized, "passage_id", "origin"), "origin")
     return both.withColumns(
         {
             "valid": chronology_valid(F.col("origin_ts"), F.col("reuse_ts")), "reuse_coverage": F.col("shared") / F.greatest("reuse_n_sh", F.lit(1)), "origin_coverage": F.col("shared") / F.greatest("origin_n_sh", F.lit(1)),

@@ -354,14 +354,14 @@ def relay_events(spark, sf):
 
 @query(f"{O._PAIRS} SELECT reuse, origin, shared FROM pairs")
 def reuse_coarse(spark, sf):
-    return reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(views.reuse_records(spark, sf)))).select("reuse", "origin", "shared")
+    return reuse.coarse_pairs(reuse.hashed_passages(views.reuse_records(spark, sf))).select("reuse", "origin", "shared")
 
 
 @query(f"{O._PAIRS} SELECT reuse, origin, shared FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id WHERE r.role = 'user' AND o.role = 'assistant'")
 def reuse_directional(spark, sf):
     r = views.reuse_records(spark, sf)
     role = r.select(F.col("canonical_id").alias("id"), "role")
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(r)))
+    pairs = reuse.coarse_pairs(reuse.hashed_passages(r))
     return pairs.join(role.where("role = 'user'").select(F.col("id").alias("reuse_id")), "reuse_id", "left_semi").join(role.where("role = 'assistant'").select(F.col("id").alias("origin_id")), "origin_id", "left_semi").select("reuse", "origin", "shared")
 
 
@@ -419,7 +419,7 @@ def cross_source_pairs(spark, sf):
     return reuse.source_pairs(h.withColumn("same_conversation", F.col("reuse_id") % 8 == F.col("origin_id") % 8))
 
 
-@query(f"WITH records AS ({views.REUSE_SQL}), s AS (SELECT item_id, list_sort(list_distinct({O.shingles('w', 8)})) AS s FROM (SELECT item_id, {O.words('text')} AS w FROM benchmark)), ix AS (SELECT item_id, unnest(list_filter(s, lambda x, i: (i - 1) % greatest(1, CAST(ceil(len(s) / 400) AS INT)) = 0)) AS sh FROM s), probe AS (SELECT canonical_id, ts, unnest({O.shingles('w', 8)}) AS sh FROM (SELECT canonical_id, ts, {O.words('text')} AS w FROM records)), m AS (SELECT item_id, canonical_id, any_value(ts) AS ts FROM probe JOIN ix USING (sh) GROUP BY 1, 2 HAVING count(*) >= 3) SELECT item_id AS page_id, count_if(ts <= item_id * 5) AS before, count_if(ts > item_id * 5) AS after, count_if(ts IS NULL) AS undated FROM m GROUP BY 1")
+@query(f"WITH records AS ({views.REUSE_SQL}), s AS (SELECT item_id, list_sort(list_distinct({O.shingles('w', 8)})) AS s FROM (SELECT item_id, {O.words('text')} AS w FROM benchmark)), ix AS (SELECT item_id, unnest(list_filter(s, lambda x, i: (i - 1) % greatest(1, CAST(ceil(len(s) / 400) AS INT)) = 0)) AS sh FROM s), probe AS (SELECT canonical_id, ts, unnest({O.shingles('w', 8)}) AS sh FROM (SELECT canonical_id, ts, {O.words('text')} AS w FROM records)), m AS (SELECT item_id, canonical_id, any_value(ts) AS ts FROM probe JOIN ix USING (sh) GROUP BY 1, 2 HAVING count(*) >= 3) SELECT item_id AS page_id, count(*) FILTER (ts <= item_id * 5) AS before, count(*) FILTER (ts > item_id * 5) AS after, count(*) FILTER (ts IS NULL) AS undated FROM m GROUP BY 1")
 def page_adoption(spark, sf):
     """Benchmark items as pages, created at five times their id."""
     r = views.reuse_records(spark, sf)
@@ -436,7 +436,7 @@ def benchmark_overlap(spark, sf):
 @query(f"{O._PAIRS} SELECT reuse_id AS target, count_if(coalesce(o.ts < r.ts, false)) AS n_prior, count_if(NOT coalesce(o.ts < r.ts, false)) AS n_later, CAST(sum(CASE WHEN o.ts < r.ts THEN shared ELSE 0 END) AS BIGINT) AS prior_shared FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id GROUP BY 1")
 def prior_later_split(spark, sf):
     r = views.reuse_records(spark, sf)
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(r)))
+    pairs = reuse.coarse_pairs(reuse.hashed_passages(r))
     ts = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
     both = pairs.join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id").withColumn("prior", F.coalesce(F.col("origin_ts") < F.col("reuse_ts"), F.lit(False)))
     return both.groupBy(F.col("reuse_id").alias("target")).agg(F.count_if("prior").alias("n_prior"), F.count_if(~F.col("prior")).alias("n_later"), F.sum(F.when(F.col("prior"), F.col("shared")).otherwise(0)).alias("prior_shared"))
@@ -460,7 +460,7 @@ spans AS (SELECT reuse, origin, CAST(max(n) AS INTEGER) AS span, CAST(count(DIST
 @query(f"{_DRIFT} SELECT reuse, origin, span, n_spans, dispersion FROM spans")
 def reuse_hits_udf(spark, sf):
     p = reuse.hashed_passages(views.reuse_records(spark, sf))
-    return reuse.drifting_spans(reuse.coarse_pairs(reuse.shingle_index(p)), reuse.positions(p))
+    return reuse.spanned_pairs(p, drifting=True).select("reuse", "origin", "span", "n_spans", "dispersion")
 
 
 _FULL = f"""{_DRIFT}, sized AS (SELECT passage_id, len(list_distinct(s)) AS n_sh, len(s) AS n_raw, n_words FROM (SELECT passage_id, len(words) AS n_words, {O.shingles('words', 12)} AS s FROM passages)),
@@ -481,7 +481,7 @@ def reuse_hits(spark, sf):
 
 @query(f"{O._PAIRS} SELECT reuse_id, count(DISTINCT origin_id) AS n_origins, min(origin_id) AS earliest FROM pairs GROUP BY 1 HAVING count(DISTINCT origin_id) >= 2")
 def multi_origin(spark, sf):
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(views.reuse_records(spark, sf))))
+    pairs = reuse.coarse_pairs(reuse.hashed_passages(views.reuse_records(spark, sf)))
     return pairs.groupBy("reuse_id").agg(F.count_distinct("origin_id").alias("n_origins"), F.min("origin_id").alias("earliest")).where("n_origins >= 2")
 
 
@@ -971,7 +971,7 @@ def phrase_hits(spark, sf):
 def temporal_directions(spark, sf):
     r = views.reuse_records(spark, sf)
     ts = lambda n: r.select(F.col("canonical_id").alias(f"{n}_id"), F.col("ts").alias(f"{n}_ts"))
-    pairs = reuse.coarse_pairs(reuse.shingle_index(reuse.hashed_passages(r))).join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id")
+    pairs = reuse.coarse_pairs(reuse.hashed_passages(r)).join(ts("reuse"), "reuse_id").join(ts("origin"), "origin_id")
     return pairs.groupBy(reuse.temporal_direction(F.col("origin_ts"), F.col("reuse_ts")).alias("direction")).agg(F.count("*").alias("n"))
 
 
