@@ -68,18 +68,18 @@ def test_blocks_of_many_lengths(spark):
 
 
 def test_long_vectors_take_part_and_scores_beyond_64_bits_are_the_nearest(spark):
-    def nearest(rows):
-        return [(q, r, v, max(-(2**63), min(2**63 - 1, s))) for q, r, v, s in rows]
+    def nearest(rows, k):
+        found = {}
+        for q, _, v, s in brute(rows, len(rows), 100):
+            found.setdefault(q, []).append((-max(-(2**63), min(2**63 - 1, s)), v))
+        return sorted((q, r + 1, v, -s) for q, scored in found.items() for r, (s, v) in enumerate(sorted(scored)[:k]))
 
     rows = [(0, [0.5, 0.25]), (100, [4e6, 0.1]), (2, [1.0, 1.0]), (3, [-4e6, 7.0]), (4, [3e9, -1e9]), (200, [2.5e9, 1.5e9]), (5, [1e15, -1e15]), (300, [1.0, 1.0]), (7, [1e5, 3.0])]
     want = brute(rows, 10, 100)
     assert any(abs(r[3]) >= 2**53 and abs(r[3]) < 2**63 for r in want) and any(abs(r[3]) > 2**63 for r in want)
-    assert got(spark, rows) == nearest(want)
+    assert got(spark, rows) == nearest(rows, 10)
     rows += [(6, [3e38, 3e38]), (400, [3e38, -3e38])]
-    clipped = {}
-    for q, _, v, s in nearest(brute(rows, len(rows), 100)):
-        clipped.setdefault(q, []).append((-s, v))
-    assert got(spark, rows, k=4) == sorted((q, r + 1, v, -s) for q, found in clipped.items() for r, (s, v) in enumerate(sorted(found)[:4]))
+    assert got(spark, rows, k=4) == nearest(rows, 4)
 
 
 def test_one_vector_of_many_components(spark):
