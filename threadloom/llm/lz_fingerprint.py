@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import bound_batches, materialize, slices, word_hashes
+from .common import bound_batches, slices, word_hashes
 
 SIZE = 128
 
@@ -100,8 +100,9 @@ def likeness(a: str, b: str, size: int = SIZE) -> float:
 
 
 def lz_fingerprints(docs: DataFrame, texts: dict[str, str], size: int = SIZE) -> DataFrame:
-    """``docs`` with a fingerprint column (value) for each text column (key); texts of one row that begin alike are parsed once so far."""
+    """``docs`` with a fingerprint column (value; in place of one of that name) for each text column (key); texts of one row that begin alike are parsed once so far."""
     names = [*texts]
+    docs = docs.drop(*texts.values())
     schema = StructType([*docs.schema.fields, *(StructField(c, StringType()) for c in texts.values())])
     places = [docs.columns.index(c) for c in names]
 
@@ -137,47 +138,39 @@ def beside(pairs: list[tuple[str, str]], size: int = SIZE) -> list[dict]:
 def neighbours(docs: DataFrame, key: str = "doc_id", text_col: str = "text", size: int = SIZE) -> DataFrame:
     """(key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next): each text beside its edited form and the next text in descending order of keys.
 
-    Texts are cut into sorted ranges, the only shuffle of texts, and each task walks along
-    its range. What follows a range's last row only the next range knows: the texts at
-    the ranges' ends, two a range, are written beside and joined.
+    Texts are cut into sorted ranges, and each task walks along its range. What follows a
+    range's last row only the next range knows: the rows at the ranges' ends, two a range,
+    come from the same shuffle and are joined.
     """
     kind = docs.schema[key].dataType
     rows = bound_batches(docs).select(F.col(key).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = [F.col("key").desc_nulls_last(), F.xxhash64("text").asc()]
-    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
-    fields = {"key": kind.simpleString(), "part": "int", **RESULT, "first": "string", "last": "string"}
+    # A number of ranges of its own, so that both readers of the shuffle see the same ones.
+    n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.rdd.getNumPartitions())
+    ranges = rows.repartitionByRange(n, *order).withColumn("part", F.spark_partition_id())
+    fields = {"key": kind.simpleString(), **RESULT}
     schema = ", ".join(f"{c} {t}" for c, t in fields.items())
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        as_arrow = None
         held = None  # the last row so far, whose next text isn't known
         waiting = None  # the record before it, which lacks near_next
-        first = None  # the range's first text, until a record takes it along
-
-        def batch_of(records: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([{**dict.fromkeys(fields), **r} for r in records], schema=as_arrow)
-
+        as_arrow = None
         for batch in slices(batches, "text"):
-            if as_arrow is None:
-                as_arrow = pa.schema([("key", batch.schema.field("key").type), ("part", pa.int32()), *((c, {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}[t]) for c, t in RESULT.items()), ("first", pa.string()), ("last", pa.string())])
-            seen = [*zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)]
-            if held is None:
-                first = seen[0][1]
-            else:
+            as_arrow = as_arrow or pa.schema([batch.schema.field("key"), *((c, {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}[t]) for c, t in RESULT.items())])
+            seen = [*zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+            if held is not None:
                 seen.insert(0, held)
             out = []
-            for (k, _, part), found in zip(seen, beside([(a[1], b[1]) for a, b in zip(seen, seen[1:], strict=False)], size), strict=False):
+            for (k, _), found in zip(seen, beside([(a[1], b[1]) for a, b in zip(seen, seen[1:], strict=False)], size), strict=False):
                 if waiting is not None:
                     out.append({**waiting, "near_next": likeness(waiting["fingerprint"], found["fingerprint"], size)})
-                waiting = {"key": k, "part": part, **found, "first": first}
-                first = None
+                waiting = {"key": k, **found}
             held = seen[-1]
             if out:
-                yield batch_of(out)
-        if held is not None:
-            if waiting is not None:
-                yield batch_of([{**waiting, "near_next": likeness(waiting["fingerprint"], fingerprints(phrase_sets([held[1]]), size)[0], size)}])
-            yield batch_of([{"key": held[0], "part": held[2], "first": first, "last": held[1]}])
+                yield pa.RecordBatch.from_pylist(out, schema=as_arrow)
+        if waiting is not None:
+            last = fingerprints(phrase_sets([held[1]]), size)[0]
+            yield pa.RecordBatch.from_pylist([{**waiting, "near_next": likeness(waiting["fingerprint"], last, size)}], schema=as_arrow)
 
     def join_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "last"):
@@ -187,13 +180,12 @@ def neighbours(docs: DataFrame, key: str = "doc_id", text_col: str = "text", siz
                 record["near_next"] = likeness(record["fingerprint"], other, size)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[c] for r in found]) for c in RESULT)], names=["key", *RESULT])
 
-    walked = materialize(ranges.mapInArrow(walk, schema), "walked")
-    firsts = walked.where("first IS NOT NULL").select("part", "first")
-    lasts = walked.where("last IS NOT NULL").select("key", "part", "last")
-    around = Window.orderBy("part")  # a row a range
-    parts = lasts.select("part").select("part", F.lead("part").over(around).alias("next"), F.min("part").over(Window.partitionBy()).alias("least"))
+    walked = ranges.sortWithinPartitions(*order).select("key", "text").mapInArrow(walk, schema)
+    # The order's largest is the first: null keys are the least, and equal keys go by the hash turned round.
+    place = F.struct("key", F.bitwise_not(F.xxhash64("text")))
+    ends = ranges.groupBy("part").agg(F.max_by("text", place).alias("first"), F.min_by(F.struct("key", "text"), place).alias("last"))
+    parts = ends.select("part", F.lead("part").over(Window.orderBy("part")).alias("next"), F.min("part").over(Window.partitionBy()).alias("least"))  # a row a range
     follows = parts.select("part", F.coalesce("next", "least").alias("next"))
-    ends = lasts.join(follows, "part").join(firsts.select(F.col("part").alias("next"), F.col("first").alias("other")), "next").select("key", "last", "other")
-    own = ", ".join(f"{c} {t}" for c, t in {"key": fields["key"], **RESULT}.items())
-    both = walked.where("last IS NULL").select("key", *RESULT).unionByName(ends.mapInArrow(join_ends, own))
-    return both.withColumnRenamed("key", key)
+    firsts = ends.select(F.col("part").alias("next"), F.col("first").alias("other"))
+    met = ends.join(follows, "part").join(firsts, "next").select("last.key", F.col("last.text").alias("last"), "other")
+    return walked.unionByName(met.mapInArrow(join_ends, schema)).withColumnRenamed("key", key)
