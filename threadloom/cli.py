@@ -14,6 +14,7 @@ from threadloom.engine import ConversationEngine
 from threadloom.operators import store as S
 from threadloom.operators.store import NotFound
 from threadloom.sources import sinks
+from threadloom.sources.commits import CommitError, CommitLog
 from threadloom.sources.exports import SourceError
 
 TABLES = ("thoughts", "entities", "relationships", "timelines", "canonical")
@@ -73,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
                 sinks.replace_own(made, target, "threadloom.extraction") if table == "canonical" else sinks.staged_write(made, target)
         else:
             return on_store(engine, spark.read.parquet(args.store), args)
-    except (SourceError, sinks.SinkError, NotFound, ConfinementError, ValueError) as error:
+    except (SourceError, sinks.SinkError, CommitError, NotFound, ConfinementError, ValueError) as error:
         print(error, file=sys.stderr)
         return 1
     return 0
@@ -100,20 +101,12 @@ def on_store(engine: ConversationEngine, records: DataFrame, args: argparse.Name
             notes = notes.where(F.col("source_path").endswith(path.partition("://")[2] or path))
             if notes.isEmpty():
                 raise SourceError(f"no note {args.note} in {args.folder}")
-        from threadloom.sources.exports import json_lines
-
-        fresh = engine.intake(notes, json_lines(engine.spark, args.queue, QUEUE, "tolerant"), records)
-        # The queue is read for this, so it is appended to only when that is done.
-        rows = fresh.collect() if args.verb == "intake" else None
-        if rows is not None:
-            fresh = engine.spark.createDataFrame(rows, fresh.schema)
-        n = fresh.count()
-        sinks.append_rows(fresh, args.queue)
-        print(json.dumps({"operation": args.verb, "taken_in": n}))
+        queue = CommitLog(engine.spark, args.queue, QUEUE)
+        # Revisions count on from what is committed; a lost race works them out again.
+        version = queue.append(lambda known: engine.intake(notes, known, records))
+        print(json.dumps({"operation": args.verb, "taken_in": queue.read_version(version).count()}))
     else:
-        from threadloom.sources.exports import json_lines
-
-        queue = json_lines(engine.spark, args.queue, QUEUE, "tolerant")
+        queue = CommitLog(engine.spark, args.queue, QUEUE).read()
         if args.verb == "review":
             queue = queue.where(F.col("candidate_id") == args.candidate_id)
             if queue.isEmpty():

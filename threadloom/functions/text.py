@@ -53,6 +53,16 @@ def scan_words(text: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^a-z0-9 ]+", " "), " +"), lambda w: w != "")
 
 
+def ascii_json(json: Column) -> Column:
+    """JSON with what isn't printable ASCII as escapes of four lower-case hexadecimal digits, two for one beyond the first plane."""
+    units = lambda c: F.lower(F.hex(F.encode(c, "UTF-16BE")))
+    escape = lambda h: F.concat(F.lit("\\u"), F.substring(h, 1, 4), F.when(F.length(h) > 4, F.concat(F.lit("\\u"), F.substring(h, 5, 4))).otherwise(""))
+    # An escape is one token, so that a backslash of its own isn't taken for the beginning of another.
+    tokens = F.regexp_extract_all(json, F.lit(r"(?s)\\u[0-9A-Fa-f]{4}|\\.|."), F.lit(0))
+    plain = F.transform(tokens, lambda t: F.when(F.startswith(t, F.lit("\\u")) & (F.length(t) == 6), F.lower(t)).when((F.octet_length(t) > F.length(t)) | (t == "\x7f"), escape(units(t))).otherwise(t))
+    return F.when(F.rlike(json, F.lit(r"[^\x00-\x7E]|\\u")), F.array_join(plain, "")).otherwise(json)
+
+
 def shingle_key(shingle: Column) -> Column:
     """A shingle's CRC-32, for indexes that hold keys of 32 bits."""
     return F.crc32(shingle.cast("binary"))

@@ -12,7 +12,7 @@ from threadloom.functions import text as T
 from threadloom.operators import evaluation, extraction, messages, resolver, reuse, store
 from threadloom.plans import oracles as O
 from threadloom.plans.oracles import q, rx
-from threadloom.sources import views
+from threadloom.sources import releases, views
 
 FLAGSHIP = "reuse_hits_strict"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -943,9 +943,49 @@ def batches(spark, sf):
     return evaluation.batches(docs(spark, sf), "doc_id")
 
 
-@query("SELECT source, sha256(array_to_string(list_sort(list(sha256(text))), '')) AS release_hash, count(*) AS n FROM documents GROUP BY 1")
+# Digests of 64 at a time, until one is left.
+_HASH_TREE = """tree(g, lvl, i, m, x) AS (SELECT g, 0, i, m, x FROM leaves UNION ALL
+  SELECT g, lvl + 1, i // 64, (m + 63) // 64, sha256(string_agg(x, '' ORDER BY i)) FROM tree WHERE m > 1 GROUP BY g, lvl, i // 64, m)"""
+
+
+@query(
+    f"""WITH RECURSIVE leaves AS (SELECT source AS g, row_number() OVER (PARTITION BY source ORDER BY sha256(text)) - 1 AS i, count(*) OVER (PARTITION BY source) AS m, sha256(text) AS x FROM documents),
+{_HASH_TREE} SELECT g AS source, x AS release_hash, n FROM tree JOIN (SELECT source AS s, count(*) AS n FROM documents GROUP BY 1) ON s IS NOT DISTINCT FROM g WHERE m = 1"""
+)
 def content_hashes(spark, sf):
-    return docs(spark, sf).groupBy("source").agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.sha2("text", 256))), ""), 256).alias("release_hash"), F.count("*").alias("n"))
+    """A root for each source's set of texts."""
+    rows = docs(spark, sf).select("source", F.sha2("text", 256).alias("digest"))
+    return releases.content_roots(rows, "source", "digest", fanout=64).select("source", F.col("root").alias("release_hash"), "n")
+
+
+_FIELDS = ["knowledge_id", "revision", "canonical_status", "title", "summary", "content", "evidence_ids"]
+_ESCAPE = r"""CASE WHEN unicode(c) < 127 THEN c WHEN unicode(c) < 65536 THEN printf('\u%04x', unicode(c)) ELSE printf('\u%04x\u%04x', 55296 + (unicode(c) - 65536) // 1024, 56320 + (unicode(c) - 65536) % 1024) END"""
+_CANONICAL = "'{' || " + " || ',' || ".join(f"'\"{c}\":' || CAST(to_json({c}) AS VARCHAR)" for c in sorted(_FIELDS)) + " || '}'"
+_HASHED = f"""rows AS (SELECT knowledge_id, revision, {_CANONICAL} AS j FROM (SELECT *, list_sort([CAST(doc_id AS VARCHAR), 'é-' || doc_id]) AS evidence_ids FROM store)),
+hashed AS (SELECT knowledge_id, revision, sha256(array_to_string(list_transform(regexp_extract_all(j, '(?s).'), lambda c: {_ESCAPE}), '')) AS record_hash FROM rows)"""
+
+
+def _records(spark, sf):
+    """The store with two proofs a record, one of them not ASCII."""
+    proofs = F.array(F.col("doc_id").cast("string"), F.concat(F.lit("é-"), F.col("doc_id").cast("string")))
+    return _store(spark, sf).withColumn("evidence_ids", F.array_sort(proofs)).select(*_FIELDS)
+
+
+@query(f"{O.STORE}, {_HASHED} SELECT knowledge_id, revision, record_hash FROM hashed")
+def record_hashes(spark, sf):
+    rows = _records(spark, sf)
+    return rows.select("knowledge_id", "revision", releases.record_hash(rows).alias("record_hash"))
+
+
+@query(
+    f"""{O.STORE}, {_HASHED}, placed AS (SELECT knowledge_id || '@' || revision AS key, record_hash, (row_number() OVER (ORDER BY knowledge_id || '@' || revision) - 1) // 16 AS idx FROM hashed)
+SELECT idx, min(key) AS first_key, max(key) AS last_key, count(*) AS n, sha256(string_agg(record_hash, '' ORDER BY key)) AS digest FROM placed GROUP BY idx"""
+)
+def release_chunks(spark, sf):
+    """The store's chunks of 16 records; the key isn't hashed."""
+    rows = _records(spark, sf)
+    keyed = rows.select("*", F.concat("knowledge_id", F.lit("@"), F.col("revision").cast("string")).alias("key"))
+    return releases.chunks_of(keyed, "key", 16, columns=_FIELDS)
 
 
 # --- further operators --------------------------------------------------------------------------

@@ -1,15 +1,15 @@
-"""Sinks: staged writes that are checked before they replace anything, JSON lines, releases."""
+"""Sinks: staged writes that are checked before they replace anything, JSON lines, notes."""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
-from threadloom.storage import stored
+from threadloom.operators.ordering import numbered
 
 
 class SinkError(RuntimeError):
@@ -66,42 +66,6 @@ def replace_own(rows: DataFrame, path: str, owner: str) -> None:
     staged_write(rows.withColumn("extraction_owner", F.lit(owner)), path)
 
 
-def release_parts(frozen: DataFrame) -> DataFrame:
-    """(source, n, content_hash) of a release: the sum of rows' hashes doesn't depend on their order and needs no list of them."""
-    return frozen.groupBy("source").agg(F.count("*").alias("n"), F.sum(F.xxhash64(*sorted(frozen.columns)).cast("decimal(38,0)")).cast("string").alias("content_hash"))
-
-
-def verify_release(spark: SparkSession, path: str, release: str) -> None:
-    """Raises SinkError unless the release is listed and its rows have the listed counts and hashes."""
-    listed = spark.read.parquet(f"{path}/releases").where(F.col("release_id") == release).select("source", "n", "content_hash")
-    if listed.isEmpty():
-        raise SinkError(f"no release {release}")
-    seen = release_parts(spark.read.parquet(f"{path}/data/{release}")).select("source", "n", "content_hash")
-    if not seen.exceptAll(listed).isEmpty() or not listed.exceptAll(seen).isEmpty():
-        raise SinkError(f"{release} isn't what was frozen")
-
-
-def freeze_release(rows: DataFrame, path: str, key: str, parent: str | None = None) -> str:
-    """Writes an immutable, numbered release with its count, content hash by source and parent; keys must be unique."""
-    spark = rows.sparkSession
-    fs, table = _fs(spark, f"{path}/releases")
-    last = spark.read.parquet(f"{path}/releases").agg(F.max("release_id")).first()[0] if fs.exists(table) else None
-    release = f"RELEASE_{int(last[-3:]) + 1 if last else 1:03d}"
-    twice = lambda df: df.groupBy(key).count().where("count > 1")
-    if parent is not None:
-        verify_release(spark, path, parent)
-    staged_write(rows, f"{path}/data/{release}", twice)
-    frozen = spark.read.parquet(f"{path}/data/{release}")
-    release_parts(frozen).select(F.lit(release).alias("release_id"), F.lit(parent).cast("string").alias("parent"), "source", "n", "content_hash").write.mode("append").parquet(f"{path}/releases")
-    return release
-
-
-def append_rows(rows: DataFrame, path: str) -> None:
-    """Appends rows to a table of JSON lines, all of them or none; each call's files are its own, so writers need no lock. Rows without text for a key are refused."""
-    columns = sorted(rows.columns)
-    rows.select(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(path)
-
-
 MARKER = "extraction_generated: true"
 
 
@@ -169,11 +133,6 @@ def write_notes(notes: DataFrame, folder: str, owned: str = MARKER, force: bool
 
 
 def with_numbers(rows: DataFrame, prefix: str, order: list[str], digits: int = 6) -> DataFrame:
-    """Counters such as rh_000001 in a total order, ranked in range partitions.
-
-    The partitions are written once, as their counts and their rows must be of the same cut.
-    """
-    parts = stored(rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "numbered")
-    local = parts.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    before = parts.groupBy("_p").count().select("_p", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return local.join(before, "_p").withColumn("number", F.concat(F.lit(prefix), F.lpad((F.col("_off") + F.col("_i")).cast("string"), digits, "0"))).drop("_p", "_i", "_off")
+    """Counters such as rh_000001 in a total order."""
+    made = numbered(rows, [F.col(c).asc() for c in order], name="_i")
+    return made.withColumn("number", F.concat(F.lit(prefix), F.lpad((F.col("_i") + 1).cast("string"), digits, "0"))).drop("_i")
