@@ -136,24 +136,6 @@ def test_block_trees(spark):
     assert [r[0] for r in spark.createDataFrame([("checkbox", "true"), ("phone_number", "call +1 (555) 123-4567"), ("multi_select", "a;b"), ("title", "t")], "k string, v string").select(exports.property_text(F.col("k"), F.col("v"))).collect()] == ["yes", "call [REDACTED]", "a, b", "t"]
 
 
-def test_paged_service():
-    pages, waits = {None: {"results": [1, 2], "has_more": True, "next_cursor": "x"}, "x": {"results": [3], "has_more": False}}, []
-    busy = iter([True, True, False, False])
-
-    def fetch(cursor):
-        if next(busy):
-            raise exports.Busy(1.5 if not waits else 0)
-        return pages[cursor]
-
-    assert [*exports.paged(fetch, wait=waits.append)] == [1, 2, 3] and waits == [1.5, 2.0]
-
-    def always(cursor):
-        raise exports.Busy()
-
-    with pytest.raises(exports.SourceError):
-        [*exports.paged(always, wait=lambda _: None)]
-
-
 def test_a_write_that_fails_leaves_what_was_there(spark, tmp_path):
     path = str(tmp_path / "t")
     sinks.staged_write(spark.range(3), path)

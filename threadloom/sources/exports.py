@@ -5,9 +5,6 @@ Schemas are explicit. A strict reader fails on the first bad record, a lenient o
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -165,34 +162,6 @@ def tree_markdown(tree: DataFrame) -> DataFrame:
     return tree.groupBy("page_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))), lambda x: x["line"]), "\n").alias("markdown"))
 
 
-def paged(fetch: Callable[[str | None], dict], page_size: int = 100, attempts: int = 5, wait: Callable[[float], None] = time.sleep) -> Iterator[dict]:
-    """Results of a paged service, page by page: ``fetch(cursor)`` gives results, has_more and next_cursor, or raises Busy with the seconds to wait."""
-    cursor = None
-    while True:
-        for attempt in range(attempts):
-            try:
-                page = fetch(cursor)
-                break
-            except Busy as busy:
-                if attempt == attempts - 1:
-                    raise SourceError("the service stays busy") from busy
-                wait(busy.seconds or 2.0**attempt)
-        if len(page["results"]) > page_size:
-            raise SourceError(f"a page of more than {page_size} results")
-        yield from page["results"]
-        cursor = page.get("next_cursor")
-        if not page.get("has_more"):
-            return
-
-
-class Busy(RuntimeError):
-    """The service asks to wait."""
-
-    def __init__(self, seconds: float = 0.0):
-        super().__init__(f"busy for {seconds} s")
-        self.seconds = seconds
-
-
 def wiki_pages(spark: SparkSession, path: str, most_depth: int = 4) -> DataFrame:
     """Pages with their blocks' markdown, blocks below ``most_depth`` left out."""
     pages = spark.read.schema(BLOCKS).json(path)
