@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from threadloom.functions import text as T
-from threadloom.storage import stored
+from threadloom.operators.ordering import numbered
+from threadloom.storage import spread, stored
 
 K = 12
 
 
 def passage_words(records: DataFrame) -> DataFrame:
     """(canonical_id, passage_id, idx, words, ...): texts of 100 characters or more, long ones in windows."""
-    words = records.where(F.char_length("text") >= 100).withColumn("all_words", T.normalize_words(F.col("text")))
+    words = spread(records).where(F.char_length("text") >= 100).withColumn("all_words", T.normalize_words(F.col("text")))
     cut = words.select(*[c for c in records.columns if c != "text"], F.explode(T.passages(F.col("text"), F.col("all_words"))).alias("p"))
     return cut.select("*", F.concat_ws("#p", F.col("canonical_id").cast("string"), F.col("p.idx").cast("string")).alias("passage_id"), F.col("p.idx").alias("idx"), F.col("p.words").alias("words")).drop("p")
 
@@ -163,7 +164,9 @@ def spanned_pairs(passages: DataFrame, least: int = 5, drifting: bool = False) -
     """Coarse pairs with the spans of their classes: (..., span), and with ``drifting`` n_spans and dispersion."""
     classes = class_shingles(passages, least)
     pairs = stored(class_pairs(passages, classes, least), "pairs")
-    places = positions(classes)
+    # Most classes share nothing; only the others' shingles are laid out.
+    sharing = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    places = positions(classes.join(sharing, "cls", "left_semi"))
     if drifting:
         ordered = both_ways(pairs)
         return expanded(ordered.join(drifting_spans(ordered, places), ["a", "b"]), passages)
@@ -200,28 +203,68 @@ def best_origins(both: DataFrame) -> DataFrame:
     return ranked.where("nth = 1").withColumn("reverse_match", F.col("n_earlier") == 0)
 
 
+def edge():
+    return F.when(F.col("reverse_match"), "SIMILARITY").otherwise("DERIVATION")
+
+
+def judged(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
+    """Hits with both sides' times, roles and sources, as chains need them."""
+    made = best_origins(candidates(records, k, least))
+    names = {"passage_id": "reuse", "origin_passage": "origin", "reuse_shingles": "reuse_n_sh", "origin_shingles": "origin_n_sh"}
+    return made.withColumnsRenamed({v: n for n, v in names.items()}).withColumns(
+        {"edge": edge(), "cross_source": F.col("reuse_source") != F.col("origin_source"), "cross_actor": F.col("reuse_role") != F.col("origin_role")}
+    ).withColumn("exact_copy", (F.col("shared") * 100 >= F.col("reuse_shingles") * 85) & (F.col("shared") * 2 >= F.col("origin_shingles")))
+
+
+HIT = ["passage_id", "reuse_id", "origin_id", "origin_passage", "shared", "span", "span_words", "reuse_shingles", "origin_shingles", "n_origins", "valid", "reverse_match", "edge", "cross_source", "cross_actor", "exact_copy"]
+
+
 def hits(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
     """One row a passage that shares text, with its best origin; spans on exact diagonals."""
-    return best_origins(candidates(records, k, least)).select(
-        F.col("reuse").alias("passage_id"), "reuse_id", "origin_id", F.col("origin").alias("origin_passage"), "shared", "span", "span_words", F.col("reuse_n_sh").alias("reuse_shingles"), F.col("origin_n_sh").alias("origin_shingles"), "n_origins", "valid",
-        "reverse_match", F.when(F.col("reverse_match"), "SIMILARITY").otherwise("DERIVATION").alias("edge"), (F.col("reuse_source") != F.col("origin_source")).alias("cross_source"), (F.col("reuse_role") != F.col("origin_role")).alias("cross_actor"),
-        ((F.col("shared") * 100 >= F.col("reuse_n_sh") * 85) & (F.col("shared") * 2 >= F.col("origin_n_sh"))).alias("exact_copy"),
-    )
+    return judged(records, k, least).select(*HIT)
+
 
+def passage_order(passage: str) -> list:
+    """Passages in the order of their records, then of their places."""
+    return [F.col("reuse_id").asc(), F.element_at(F.split(F.col(passage), "#p"), -1).cast("int").asc()]
 
-def full_hits(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
-    """Hits with all fields of the index: spans that may drift, their number and dispersion, coverage of both sides and its classes, lengths' ratio, repetition, counts, and fields that only a reviewer fills."""
+
+def full_hits(records: DataFrame, release: tuple[str, str] | None = None, k: int = K, least: int = 5) -> DataFrame:
+    """Hits with all fields of the index: numbers in the passages' order, the release that was read and its hash, both conversations (null where ``records`` have none), spans that may drift, their number and dispersion, coverage of both sides and its classes, lengths' ratio, repetition, counts, the chain, and fields that only a reviewer fills."""
     open_ = {c: F.lit(None).cast("string") for c in ("intellectual_origin", "authorship", "adoption_status", "integration_strength")}
-    made = best_origins(candidates(records, k, least, drifting=True))
+    rated = best_origins(candidates(records, k, least, drifting=True)).withColumn("edge", edge())
+    made = stored(numbered(rated, passage_order("reuse"), name="at"), "hits")
+    linked = chain_edges(made.withColumnRenamed("reuse", "passage_id")).select(F.col("passage_id").alias("reuse"), "chain_id")
+    talks = records.select("canonical_id", (F.col("conversation_id") if "conversation_id" in records.columns else F.lit(None).cast("string")).alias("talk"))
+    for side in ("reuse", "origin"):
+        made = made.join(talks.select(F.col("canonical_id").alias(f"{side}_id"), F.col("talk").alias(f"{side}_talk")), f"{side}_id")
+    made = made.join(linked, "reuse", "left")
     fields = {
-        "reuse_passage_id": "reuse", "reuse_record_id": "reuse_id", "reuse_source": "reuse_source", "reuse_actor": "reuse_role", "reuse_timestamp": "reuse_ts", "candidate_origin_record_id": "origin_id", "candidate_origin_passage_id": "origin", "origin_source": "origin_source", "origin_actor": "origin_role",
-        "origin_timestamp": "origin_ts", "total_similarity": "shared", "longest_contiguous_span_words": "span_words", "number_of_matching_spans": "n_spans", "chronology_valid": "valid", "multiple_earlier_candidate_count": "n_earlier", "candidate_origin_count": "n_origins", "reverse_match": "reverse_match",
+        "reuse_passage_id": "reuse", "reuse_record_id": "reuse_id", "reuse_conversation_id": "reuse_talk", "reuse_source": "reuse_source", "reuse_actor": "reuse_role",
+        "reuse_timestamp": "reuse_ts", "candidate_origin_record_id": "origin_id", "candidate_origin_passage_id": "origin", "origin_conversation_id": "origin_talk",
+        "origin_source": "origin_source", "origin_actor": "origin_role", "origin_timestamp": "origin_ts", "total_similarity": "shared",
+        "longest_contiguous_span_words": "span_words", "number_of_matching_spans": "n_spans", "chronology_valid": "valid",
+        "multiple_earlier_candidate_count": "n_earlier", "candidate_origin_count": "n_origins", "reverse_match": "reverse_match", "chain_id": "chain_id",
     }
+    release_id, sha = release or (None, None)
     return made.select(
-        *(F.col(c).alias(name) for name, c in fields.items()), F.when(F.col("reverse_match"), "SIMILARITY_EDGE").otherwise("DERIVATION_EDGE").alias("edge_type"), F.round("reuse_coverage", 4).alias("reuse_side_coverage"), F.round("origin_coverage", 4).alias("origin_side_coverage"),
-        F.round(F.col("dispersion") / F.greatest("reuse_n_words", F.lit(1)), 4).alias("span_dispersion"), F.round(F.col("reuse_size") / F.greatest("origin_size", F.lit(1)), 4).alias("length_ratio"), F.round(F.col("reuse_n_raw") / F.greatest("reuse_n_sh", F.lit(1)), 3).alias("boilerplate_repetition_penalty"),
-        ((F.col("reuse_coverage") >= 0.85) & (F.col("origin_coverage") >= 0.5)).alias("exact_copy_indicator"), (F.col("reuse_source") != F.col("origin_source")).alias("cross_source"), (F.col("reuse_role") != F.col("origin_role")).alias("cross_actor"),
-        T.overlap_class(F.col("reuse_coverage")).alias("overlap_class"), T.transformation_distance(F.col("reuse_coverage")).alias("transformation_distance"), *(c.alias(name) for name, c in open_.items()), F.lit("UNREVIEWED").alias("semantic_status"),
+        F.concat(F.lit("rh3_"), F.lpad((F.col("at") + 1).cast("string"), 6, "0")).alias("reuse_hit_id"),
+        F.lit(release_id).cast("string").alias("corpus_release"),
+        F.lit(sha).cast("string").alias("corpus_sha256"),
+        *(F.col(c).alias(name) for name, c in fields.items()),
+        F.when(F.col("reverse_match"), "SIMILARITY_EDGE").otherwise("DERIVATION_EDGE").alias("edge_type"),
+        F.round("reuse_coverage", 4).alias("reuse_side_coverage"),
+        F.round("origin_coverage", 4).alias("origin_side_coverage"),
+        F.round(F.col("dispersion") / F.greatest("reuse_n_words", F.lit(1)), 4).alias("span_dispersion"),
+        F.round(F.col("reuse_size") / F.greatest("origin_size", F.lit(1)), 4).alias("length_ratio"),
+        F.round(F.col("reuse_n_raw") / F.greatest("reuse_n_sh", F.lit(1)), 3).alias("boilerplate_repetition_penalty"),
+        ((F.col("reuse_coverage") >= 0.85) & (F.col("origin_coverage") >= 0.5)).alias("exact_copy_indicator"),
+        (F.col("reuse_source") != F.col("origin_source")).alias("cross_source"),
+        (F.col("reuse_role") != F.col("origin_role")).alias("cross_actor"),
+        T.overlap_class(F.col("reuse_coverage")).alias("overlap_class"),
+        T.transformation_distance(F.col("reuse_coverage")).alias("transformation_distance"),
+        *(c.alias(name) for name, c in open_.items()),
+        F.lit("UNREVIEWED").alias("semantic_status"),
     )
 
 
@@ -242,7 +285,7 @@ def origin_counts(every: DataFrame) -> DataFrame:
 
 def first_seen_reuse(records: DataFrame, k: int = 10, least: int = 3) -> DataFrame:
     """Each record's origin among first carriers of its shingles; repeats in the record count each."""
-    words = records.select("canonical_id", T.normalize_words(F.col("text")).alias("words"))
+    words = spread(records).select("canonical_id", T.normalize_words(F.col("text")).alias("words"))
     every = words.select("canonical_id", F.explode(hashed(F.col("words"), k)).alias("sh"))
     counts = origin_counts(every)
     best = Window.partitionBy("canonical_id").orderBy(F.desc("matched"), "origin_id")
@@ -251,7 +294,7 @@ def first_seen_reuse(records: DataFrame, k: int = 10, least: int = 3) -> DataFra
 
 def near_duplicates_within(records: DataFrame, k: int = 10, least: int = 15) -> DataFrame:
     """(canonical_id, origin_id, matched): records that repeat an earlier one of their own source."""
-    words = records.where(F.char_length("text") >= 100).select("canonical_id", "source", T.normalize_words(F.col("text")).alias("words"))
+    words = spread(records).where(F.char_length("text") >= 100).select("canonical_id", "source", T.normalize_words(F.col("text")).alias("words"))
     # The source is part of the key, so each source has first carriers of its own.
     every = words.select("canonical_id", "source", F.explode(hashed(F.col("words"), k)).alias("h")).select("canonical_id", F.xxhash64("source", "h").alias("sh"))
     best = Window.partitionBy("canonical_id").orderBy(F.desc("matched"), "origin_id")
@@ -265,7 +308,7 @@ def first_index(records: DataFrame, k: int = K, least: int = 5) -> DataFrame:
     earliest candidate, and whether a text is too long for its coverage to be trusted.
     """
     long = F.char_length("text") > T.PASSAGE_CHARS
-    words = records.where(F.char_length("text") >= 100).select("*", T.normalize_words(F.col("text")).alias("words"), F.transform(T.quoted_spans(F.col("text")), T.normalize_words).alias("quotes"))
+    words = spread(records).where(F.char_length("text") >= 100).select("*", T.normalize_words(F.col("text")).alias("words"), F.transform(T.quoted_spans(F.col("text")), T.normalize_words).alias("quotes"))
     # Quotes' words stand in columns of their own, or each shingle would cut them anew.
     sets = stored(words.select("canonical_id", "source", "role", "ts", long.alias("long"), F.array_distinct(hashed(F.col("words"), k)).alias("s"), F.array_distinct(F.flatten(F.transform("quotes", lambda w: hashed(w, k)))).alias("q")), "first-index")
     side = lambda role, name: sets.where(F.col("role") == role).select(F.col("canonical_id").alias(name), F.explode("s").alias("sh"))
@@ -301,7 +344,7 @@ def small_index_overlap(records: DataFrame, items: DataFrame, k: int = 8, least:
     own = items.select("item_id", T.normalize_words(F.col("text")).alias("words")).select("item_id", F.array_sort(F.array_distinct(T.shingles(F.col("words"), k))).alias("s"))
     step = F.greatest(F.lit(1), F.ceil(F.size("s") / sample)).cast("int")
     index = own.select("item_id", F.explode(F.filter("s", lambda x, i: i % step == 0)).alias("shingle")).select("item_id", F.xxhash64("shingle").alias("sh"))
-    probe = records.select("canonical_id", T.normalize_words(F.col("text")).alias("words")).select("canonical_id", F.explode(hashed(F.col("words"), k)).alias("sh"))
+    probe = spread(records).select("canonical_id", T.normalize_words(F.col("text")).alias("words")).select("canonical_id", F.explode(hashed(F.col("words"), k)).alias("sh"))
     return probe.join(index, "sh").groupBy("canonical_id", "item_id").agg(F.count("*").alias("matched")).where(F.col("matched") >= least)
 
 
@@ -324,12 +367,30 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def chains(hit_rows: DataFrame) -> DataFrame:
-    """Components of derivation edges with two edges or more: members, edges, weakest span."""
-    edges = derivation_edges(hit_rows)
-    roots = components(edges)
-    weighted = hit_rows.where("edge = 'DERIVATION'").select(F.col("origin_id").alias("v"), "reuse_id", "span").join(roots, "v")
-    return weighted.groupBy("root").agg(F.count("*").alias("n_edges"), F.min("span").alias("weakest_span"), F.array_sort(F.array_distinct(F.concat(F.collect_list("v"), F.collect_list("reuse_id")))).alias("members")).where("n_edges >= 2").select(F.col("root").alias("chain_root"), "n_edges", "weakest_span", F.size("members").alias("n_members"))
+def chain_edges(hit_rows: DataFrame) -> DataFrame:
+    """(chain_id, root, step, ...): derivation edges of components with two edges or more, in order of their origins' times (undated first), then of passages.
+
+    Chains are numbered by their smallest record. A chain's edges are numbered in ranges,
+    so one that holds a third of all hits is in no task as a whole.
+    """
+    derived = hit_rows.where("edge = 'DERIVATION'")
+    linked = stored(derived.join(components(derivation_edges(derived)).withColumnRenamed("v", "reuse_id"), "reuse_id"), "linked")
+    several = linked.groupBy("root").agg(F.count("*").alias("n")).where("n >= 2").select("root")
+    named = stored(numbered(several, [F.col("root").asc()], name="c"), "chains").select("root", F.concat(F.lit("chain_"), F.lpad((F.col("c") + 1).cast("string"), 5, "0")).alias("chain_id"))
+    return stored(numbered(linked.join(named, "root"), [F.col("origin_ts").asc_nulls_first(), *passage_order("passage_id")], "root", "step"), "chain-edges")
+
+
+def chains(edges: DataFrame) -> DataFrame:
+    """(chain_id, chain_root, n_edges, weakest_span, n_members) of ordered edges."""
+    members = edges.select("chain_id", F.explode(F.array("origin_id", "reuse_id")).alias("member")).groupBy("chain_id").agg(F.count_distinct("member").alias("n_members"))
+    return edges.groupBy("chain_id", F.col("root").alias("chain_root")).agg(F.count("*").alias("n_edges"), F.min("span").alias("weakest_span")).join(members, "chain_id")
+
+
+def actor_sequence(edges: DataFrame) -> DataFrame:
+    """(chain_id, place, actor): who the first edge's text is from, then who takes it over, edge by edge; a row a place."""
+    first = F.when(F.col("step") == 0, F.array(F.struct(F.col("step").alias("place"), F.col("origin_role").alias("actor")))).otherwise(F.array().cast("array<struct<place:bigint,actor:string>>"))
+    later = F.array(F.struct((F.col("step") + 1).alias("place"), F.col("reuse_role").alias("actor")))
+    return edges.select("chain_id", F.inline(F.concat(first.cast("array<struct<place:bigint,actor:string>>"), later.cast("array<struct<place:bigint,actor:string>>"))))
 
 
 def forward_chains(hit_rows: DataFrame, hops: int = 10, least_nodes: int = 3) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -463,20 +464,28 @@ def reuse_hits_udf(spark, sf):
     return reuse.spanned_pairs(p, drifting=True).select("reuse", "origin", "span", "n_spans", "dispersion")
 
 
-_FULL = f"""{_DRIFT}, sized AS (SELECT passage_id, len(list_distinct(s)) AS n_sh, len(s) AS n_raw, n_words FROM (SELECT passage_id, len(words) AS n_words, {O.shingles('words', 12)} AS s FROM passages)),
+_FULL = f"""{_DRIFT.replace('WITH ', 'WITH RECURSIVE ', 1)}, sized AS (SELECT passage_id, len(list_distinct(s)) AS n_sh, len(s) AS n_raw, n_words FROM (SELECT passage_id, len(words) AS n_words, {O.shingles('words', 12)} AS s FROM passages)),
 both_ AS (SELECT p.*, s.span, s.n_spans, s.dispersion, r.source AS rs, r.role AS rr, r.ts AS rts, length(r.text) AS rsize, o.source AS os, o.role AS orole, o.ts AS ots, length(o.text) AS osize, a.n_sh AS rsh, a.n_raw AS rraw, a.n_words AS rwords, b.n_sh AS osh, CASE WHEN r.ts IS NULL OR o.ts IS NULL THEN NULL ELSE o.ts < r.ts END AS valid
   FROM pairs p JOIN spans s USING (reuse, origin) JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id JOIN sized a ON a.passage_id = reuse JOIN sized b ON b.passage_id = origin),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY reuse ORDER BY coalesce(valid, false) DESC, span DESC, shared DESC, ots ASC NULLS LAST, origin_id, origin) AS nth, count_if(coalesce(valid, false)) OVER (PARTITION BY reuse) AS n_earlier, count(*) OVER (PARTITION BY reuse) AS n_origins, shared / greatest(rsh, 1) AS rcov, shared / greatest(osh, 1) AS ocov FROM both_)
-SELECT reuse AS reuse_passage_id, reuse_id AS reuse_record_id, rs AS reuse_source, rr AS reuse_actor, rts AS reuse_timestamp, origin_id AS candidate_origin_record_id, origin AS candidate_origin_passage_id, os AS origin_source, orole AS origin_actor, ots AS origin_timestamp, shared AS total_similarity, CASE WHEN span > 0 THEN span + 11 ELSE 0 END AS longest_contiguous_span_words,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY reuse ORDER BY coalesce(valid, false) DESC, span DESC, shared DESC, ots ASC NULLS LAST, origin_id, origin) AS nth, count_if(coalesce(valid, false)) OVER (PARTITION BY reuse) AS n_earlier, count(*) OVER (PARTITION BY reuse) AS n_origins, shared / greatest(rsh, 1) AS rcov, shared / greatest(osh, 1) AS ocov FROM both_),
+best AS (SELECT *, row_number() OVER (ORDER BY reuse_id, CAST(split_part(reuse, '#p', 2) AS INT)) AS place FROM ranked WHERE nth = 1),
+derived AS (SELECT origin_id AS u, reuse_id AS v FROM best WHERE n_earlier > 0), sym AS (SELECT u, v FROM derived UNION SELECT v, u FROM derived),
+walk(v, r) AS (SELECT u, u FROM sym UNION SELECT s.v, w.r FROM walk w JOIN sym s ON s.u = w.v), roots AS (SELECT v, min(r) AS root FROM walk GROUP BY v),
+named AS (SELECT root, 'chain_' || lpad(CAST(row_number() OVER (ORDER BY root) AS VARCHAR), 5, '0') AS chain_id FROM derived JOIN roots USING (v) GROUP BY root HAVING count(*) >= 2)
+SELECT 'rh3_' || lpad(CAST(place AS VARCHAR), 6, '0') AS reuse_hit_id, 'RELEASE_001' AS corpus_release, sha256('RELEASE_001') AS corpus_sha256, 'conv-' || reuse_id % 8 AS reuse_conversation_id, 'conv-' || origin_id % 8 AS origin_conversation_id,
+  CASE WHEN n_earlier > 0 THEN chain_id END AS chain_id, reuse AS reuse_passage_id, reuse_id AS reuse_record_id, rs AS reuse_source, rr AS reuse_actor, rts AS reuse_timestamp, origin_id AS candidate_origin_record_id, origin AS candidate_origin_passage_id, os AS origin_source, orole AS origin_actor, ots AS origin_timestamp, shared AS total_similarity, CASE WHEN span > 0 THEN span + 11 ELSE 0 END AS longest_contiguous_span_words,
   n_spans AS number_of_matching_spans, valid AS chronology_valid, n_earlier AS multiple_earlier_candidate_count, n_origins AS candidate_origin_count, n_earlier = 0 AS reverse_match, CASE WHEN n_earlier = 0 THEN 'SIMILARITY_EDGE' ELSE 'DERIVATION_EDGE' END AS edge_type, round(rcov, 4) AS reuse_side_coverage, round(ocov, 4) AS origin_side_coverage,
   round(dispersion / greatest(rwords, 1), 4) AS span_dispersion, round(rsize / greatest(osize, 1), 4) AS length_ratio, round(rraw / greatest(rsh, 1), 3) AS boilerplate_repetition_penalty, rcov >= 0.85 AND ocov >= 0.5 AS exact_copy_indicator, rs <> os AS cross_source, rr <> orole AS cross_actor,
   CASE WHEN rcov >= 0.8 THEN 'exact' WHEN rcov >= 0.35 THEN 'near' ELSE 'partial' END AS overlap_class, CASE WHEN rcov >= 0.9 THEN 'TD0' WHEN rcov >= 0.7 THEN 'TD1' WHEN rcov >= 0.5 THEN 'TD2' WHEN rcov >= 0.3 THEN 'TD3' WHEN rcov >= 0.15 THEN 'TD4' ELSE 'TD5' END AS transformation_distance,
-  CAST(NULL AS VARCHAR) AS intellectual_origin, CAST(NULL AS VARCHAR) AS authorship, CAST(NULL AS VARCHAR) AS adoption_status, CAST(NULL AS VARCHAR) AS integration_strength, 'UNREVIEWED' AS semantic_status FROM ranked WHERE nth = 1"""
+  CAST(NULL AS VARCHAR) AS intellectual_origin, CAST(NULL AS VARCHAR) AS authorship, CAST(NULL AS VARCHAR) AS adoption_status, CAST(NULL AS VARCHAR) AS integration_strength, 'UNREVIEWED' AS semantic_status FROM best LEFT JOIN roots ON v = reuse_id LEFT JOIN named USING (root)"""
 
 
 @query(_FULL)
 def reuse_hits(spark, sf):
-    return reuse.full_hits(views.reuse_records(spark, sf))
+    """A document's conversation is its id's remainder by eight; the release's hash stands for one that was frozen."""
+    talk = F.concat(F.lit("conv-"), (F.col("canonical_id") % 8).cast("string"))
+    release = ("RELEASE_001", hashlib.sha256(b"RELEASE_001").hexdigest())
+    return reuse.full_hits(views.reuse_records(spark, sf).withColumn("conversation_id", talk), release)
 
 
 @query(f"{O._PAIRS} SELECT reuse_id, count(DISTINCT origin_id) AS n_origins, min(origin_id) AS earliest FROM pairs GROUP BY 1 HAVING count(DISTINCT origin_id) >= 2")
@@ -508,10 +517,33 @@ def reuse_components(spark, sf):
     return reuse.components(reuse.derivation_edges(reuse.hits(views.reuse_records(spark, sf))))
 
 
-@query(f"""{O._ROOTS}, linked AS (SELECT origin_id, reuse_id, span, root FROM hits JOIN roots ON v = origin_id WHERE edge = 'DERIVATION'), ends AS (SELECT root, origin_id AS x FROM linked UNION SELECT root, reuse_id FROM linked)
-SELECT l.root AS chain_root, l.n_edges, l.weakest_span, e.n AS n_members FROM (SELECT root, count(*) AS n_edges, min(span) AS weakest_span FROM linked GROUP BY root HAVING count(*) >= 2) l JOIN (SELECT root, count(*) AS n FROM ends GROUP BY root) e USING (root)""")
+# Edges of chains in order; a chain's number is that of its root among roots.
+_CHAINS = f"""{O._ROOTS}, linked AS (SELECT h.*, root, o.ts AS origin_ts, o.role AS origin_role, r.role AS reuse_role FROM hits h JOIN roots ON v = reuse_id
+  JOIN records o ON o.canonical_id = origin_id JOIN records r ON r.canonical_id = reuse_id WHERE edge = 'DERIVATION'),
+named AS (SELECT root, 'chain_' || lpad(CAST(row_number() OVER (ORDER BY root) AS VARCHAR), 5, '0') AS chain_id FROM linked GROUP BY root HAVING count(*) >= 2),
+chain AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY origin_ts NULLS FIRST, reuse_id, CAST(split_part(passage_id, '#p', 2) AS INT)) - 1 AS step FROM linked JOIN named USING (root))"""
+
+
+def _chain_edges(spark, sf):
+    return reuse.chain_edges(reuse.judged(views.reuse_records(spark, sf)))
+
+
+@query(
+    f"""{_CHAINS}, ends AS (SELECT chain_id, origin_id AS x FROM chain UNION SELECT chain_id, reuse_id FROM chain)
+SELECT chain_id, root AS chain_root, count(*) AS n_edges, min(span) AS weakest_span, (SELECT count(*) FROM ends e WHERE e.chain_id = c.chain_id) AS n_members FROM chain c GROUP BY 1, 2"""
+)
 def reuse_chains(spark, sf):
-    return reuse.chains(reuse.hits(views.reuse_records(spark, sf))).select("chain_root", "n_edges", "weakest_span", F.col("n_members").cast("bigint").alias("n_members"))
+    return reuse.chains(_chain_edges(spark, sf))
+
+
+@query(f"{_CHAINS} SELECT chain_id, step, passage_id, reuse_id, origin_id, origin_ts, span FROM chain")
+def chain_edges(spark, sf):
+    return _chain_edges(spark, sf).select("chain_id", "step", "passage_id", "reuse_id", "origin_id", "origin_ts", "span")
+
+
+@query(f"{_CHAINS} SELECT chain_id, 0 AS place, origin_role AS actor FROM chain WHERE step = 0 UNION ALL SELECT chain_id, step + 1, reuse_role FROM chain")
+def chain_actors(spark, sf):
+    return reuse.actor_sequence(_chain_edges(spark, sf))
 
 
 @query(f"""{O._EDGES}, nx AS (SELECT u AS node, min(v) AS succ FROM edges GROUP BY u), wk(start, node, n, path) AS (SELECT node, node, 1, [node] FROM nx WHERE node NOT IN (SELECT succ FROM nx) UNION ALL SELECT start, succ, n + 1, list_append(path, succ) FROM wk JOIN nx USING (node) WHERE n <= 10 AND NOT list_contains(path, succ))

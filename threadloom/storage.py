@@ -25,3 +25,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt out to all cores where it is small and lies in fewer files than there are cores; for work that costs far more than moving its rows. Large inputs are as they were."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > 128_000_000 * cores or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
