@@ -138,10 +138,10 @@ def source_record_id(*parts: Column | str) -> Column:
     return F.concat(F.lit("srcmsg_"), F.substring(F.sha2(seed(*parts), 256), 1, 32))
 
 
-def numbered_id(prefix: str, of: Column) -> Column:
+def numbered_id(prefix: str, of: Column, digits: int = 7) -> Column:
     """A letter and seven digits: the hash's first 48 bits modulo ten million."""
-    number = F.conv(F.substring(F.sha2(of, 256), 1, 12), 16, 10).cast("bigint") % 10_000_000
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), 7, "0"))
+    number = F.conv(F.substring(F.sha2(of, 256), 1, 12), 16, 10).cast("bigint") % 10**digits
+    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0"))
 
 
 def hashed_id(prefix: str, of: Column, digits: int = 12, upper: bool = False) -> Column:

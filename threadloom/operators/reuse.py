@@ -11,8 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from threadloom.functions import text as T
 from threadloom.operators.ordering import numbered
@@ -406,14 +408,84 @@ def forward_chains(hit_rows: DataFrame, hops: int = 10, least_nodes: int = 3) ->
 
 
 def longest_blocks(pairs: DataFrame, least: int = 5, share_pct: int = 15) -> DataFrame:
-    """(id, a_start, b_start, size): longest common token block of ``a`` and ``b`` (arrays), earliest in a, then in b; of enough tokens and share of a."""
-    a = pairs.select("id", F.size("a").alias("n"), F.posexplode("a").alias("i", "t"))
-    b = pairs.select("id", F.posexplode("b").alias("j", "t"))
+    """(id, a_start, b_start, size): longest common token block of ``a`` and ``b`` (arrays), earliest in a, then in b; of enough tokens and share of a.
+
+    Blocks shorter than ``least`` count for nothing, so runs of so many tokens are joined, not
+    tokens: a frequent word makes no pairs.
+    """
+    # Dealt out before, so that words are made once, not for each of their runs.
+    dealt = pairs.select("id", "a", "b").repartition("id")
+    grams = dealt.select("id", F.size("a").alias("n"), hashed(F.col("a"), least).alias("ga"), hashed(F.col("b"), least).alias("gb"))
+    a, b = grams.select("id", "n", F.posexplode("ga").alias("i", "t")), grams.select("id", F.posexplode("gb").alias("j", "t"))
     points = a.join(b, ["id", "t"]).select("id", "n", "i", "j", (F.col("j") - F.col("i")).alias("d"))
     run = F.col("i") - F.row_number().over(Window.partitionBy("id", "d").orderBy("i"))
-    blocks = points.withColumn("run", run).groupBy("id", "n", "d", "run").agg(F.min("i").alias("a_start"), F.min("j").alias("b_start"), F.count("*").alias("size"))
-    best = Window.partitionBy("id").orderBy(F.desc("size"), "a_start", "b_start")
-    return blocks.withColumn("nth", F.row_number().over(best)).where((F.col("nth") == 1) & (F.col("size") >= least) & (F.col("size") * 100 >= F.col("n") * share_pct)).select("id", "a_start", "b_start", "size")
+    blocks = points.withColumn("run", run).groupBy("id", "n", "d", "run").agg(F.min("i").alias("a_start"), F.min("j").alias("b_start"), (F.count("*") + least - 1).alias("size"))
+    place = F.struct((-F.col("size")).alias("s"), "a_start", "b_start")
+    best = blocks.groupBy("id", "n").agg(F.min(place).alias("p")).select("id", "n", "p.a_start", "p.b_start", (-F.col("p.s")).alias("size"))
+    return best.where(F.col("size") * 100 >= F.col("n") * share_pct).select("id", "a_start", "b_start", "size")
+
+
+TOKEN = "[A-Za-z0-9']+"
+
+
+def alignment_spans(cases: DataFrame) -> DataFrame:
+    """(id, spans) of ``cases`` (id, text, origin_text, source): the text before the longest block that it has in common with its origin, the block, and the text after it, with places and whose they are; no row where there is no such block or it is the whole text."""
+    words = lambda c: F.regexp_extract_all(c, F.lit(TOKEN), F.lit(0))
+    low = lambda c: F.transform(words(c), lambda w: F.lower(w))
+    cases = cases.repartition("id")
+    blocks = longest_blocks(cases.select("id", low(F.col("text")).alias("a"), low(F.col("origin_text")).alias("b")))
+    joined = cases.join(blocks, "id").withColumns({"w": words(F.col("text")), "gaps": F.split("text", TOKEN, -1)})
+    until = lambda gaps, tokens: F.char_length(F.concat(F.array_join(F.slice("gaps", F.lit(1), gaps), ""), F.array_join(F.slice("w", F.lit(1), tokens), ""))).cast("int")
+    last = (F.col("a_start") + F.col("size")).cast("int")
+    placed = joined.withColumns({"start": until(F.col("a_start") + 1, F.col("a_start")), "end": until(last, last), "len": F.char_length("text")})
+    part = lambda a, b, who, cls, source, tier: F.struct(a.alias("start"), b.alias("end"), F.lit(who).alias("author"), F.lit(cls).alias("cls"), source.cast("string").alias("source"), F.lit(tier).alias("tier"))
+    own = lambda a, b: part(a, b, "principal", "D0", F.lit(None), "DAE-3")
+    parts = F.array(own(F.lit(0), F.col("start")), part(F.col("start"), F.col("end"), "assistant", "P0", F.col("source"), "P0-CERTAIN"), own(F.col("end"), F.col("len")))
+    return placed.select("id", F.filter(parts, lambda p: p["start"] < p["end"]).alias("spans")).where(F.size("spans") > 1)
+
+
+PHRASES = 50_000  # phrases of a few words that tasks hold at once
+
+
+def short_phrase_hits(records: DataFrame, phrases: DataFrame, most: int = PHRASES) -> DataFrame:
+    """(phrase_id, canonical_id, role, ts): records whose text contains each phrase (phrase_id, phrase), by one automaton over all phrases; more than ``most`` go in several passes."""
+    kind = {f.name: f.dataType.simpleString() for f in records.schema.fields}
+    schema = f"phrase_id {phrases.schema['phrase_id'].dataType.simpleString()}, canonical_id {kind['canonical_id']}, role string, ts {kind['ts']}"
+    low = phrases.where("phrase IS NOT NULL").select("phrase_id", F.lower("phrase").alias("phrase"))
+    passes = max(1, -(-low.count() // most))
+    texts = records.where("text IS NOT NULL").select("canonical_id", "role", "ts", F.lower("text").alias("text"))
+
+    def found_by(held: list[tuple]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            import ahocorasick
+
+            automaton, always = ahocorasick.Automaton(), [i for i, p in held if not p]
+            by_phrase: dict[str, list] = {}
+            for i, p in held:
+                if p:
+                    by_phrase.setdefault(p, []).append(i)
+            for p, ids in by_phrase.items():
+                automaton.add_word(p, ids)
+            automaton.make_automaton()
+            for batch in batches:
+                rows, ids = [], []
+                for at, text in enumerate(batch.column(3).to_pylist()):
+                    own = {i for _, some in automaton.iter(text) for i in some} if by_phrase else set()
+                    own.update(always)
+                    rows += [at] * len(own)
+                    ids += own
+                picked = batch.take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(ids, batch_type), *picked.columns[:3]], names=["phrase_id", "canonical_id", "role", "ts"])
+
+        batch_type = to_arrow_type(phrases.schema["phrase_id"].dataType)
+        return texts.mapInArrow(run, schema)
+
+    made = None
+    for at in range(passes):
+        held = [(r.phrase_id, r.phrase) for r in low.where(F.pmod(F.xxhash64("phrase_id"), F.lit(passes)) == at).collect()]  # about ``most``
+        some = found_by(held)
+        made = some if made is None else made.unionByName(some)
+    return made
 
 
 def phrase_hits(records: DataFrame, phrases: DataFrame, k: int = 3) -> DataFrame:
@@ -421,17 +493,16 @@ def phrase_hits(records: DataFrame, phrases: DataFrame, k: int = 3) -> DataFrame
 
     A phrase's words but for the first and last stand in a text as they are, so phrases of
     ``k`` + 2 words or more are joined on the hash of their second to k + 1st word, and then
-    looked for; shorter ones are compared with every record.
+    looked for; shorter ones may stand within words, and go by an automaton.
     """
     words = lambda c: F.split(F.lower(c), r"[ \t\n\x0B\f\r]+")
     ready = phrases.select("phrase_id", "phrase", words(F.trim("phrase", F.lit(" \t\n\x0b\f\r"))).alias("w"))
     keyed = ready.where(F.size("w") >= k + 2).select("phrase_id", "phrase", F.xxhash64(F.array_join(F.slice("w", 2, k), " ")).alias("sh"))
-    cut = records.withColumn("w", words(F.col("text")))
+    cut = spread(records).withColumn("w", words(F.col("text")))
     grams = cut.select("canonical_id", F.explode(F.array_distinct(F.transform(T.shingles(F.col("w"), k), lambda x: F.xxhash64(x)))).alias("sh"))
     maybe = grams.join(keyed, "sh").select("canonical_id", "phrase_id", "phrase")
-    holds = F.contains(F.lower("text"), F.lower("phrase"))
-    found = records.join(maybe, "canonical_id").where(holds).select("phrase_id", "canonical_id", "role", "ts")
-    found = found.unionByName(records.join(ready.where(F.size("w") < k + 2).select("phrase_id", "phrase"), holds).select("phrase_id", "canonical_id", "role", "ts"))
+    found = records.join(maybe, "canonical_id").where(F.contains(F.lower("text"), F.lower("phrase"))).select("phrase_id", "canonical_id", "role", "ts")
+    found = found.unionByName(short_phrase_hits(records, ready.where(F.size("w") < k + 2)))
     order = Window.partitionBy("phrase_id").orderBy(F.when(F.col("role") == "assistant", 0).otherwise(1), F.asc_nulls_last("ts"), "canonical_id")
     return found.select("phrase_id", "canonical_id", "role", F.row_number().over(order).alias("nth"))
 

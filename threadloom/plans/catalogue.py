@@ -1023,9 +1023,31 @@ def release_chunks(spark, sf):
 # --- further operators --------------------------------------------------------------------------
 
 
-@query(f"""WITH p AS (SELECT conv_id * 1000 + turn AS id, {O.words('text')} AS a, list_concat(['x', 'y'], list_slice({O.words('text')}, 4, len({O.words('text')}))) AS b FROM conversations), ta AS (SELECT id, len(a) AS n, unnest(a) AS t, generate_subscripts(a, 1) - 1 AS i FROM p), tb AS (SELECT id, unnest(b) AS t, generate_subscripts(b, 1) - 1 AS j FROM p),
-pts AS (SELECT id, n, i, j, j - i AS d, i - row_number() OVER (PARTITION BY id, j - i ORDER BY i) AS run FROM ta JOIN tb USING (id, t)), bl AS (SELECT id, n, d, run, min(i) AS a_start, min(j) AS b_start, count(*) AS size FROM pts GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY size DESC, a_start, b_start) AS nth FROM bl)
-SELECT id, a_start, b_start, size FROM r WHERE nth = 1 AND size >= 5 AND size * 100 >= n * 15""")
+_BLOCKS = """ta AS (SELECT id, len(a) AS n, unnest(a) AS t, generate_subscripts(a, 1) - 1 AS i FROM p), tb AS (SELECT id, unnest(b) AS t, generate_subscripts(b, 1) - 1 AS j FROM p),
+pts AS (SELECT id, n, i, j, j - i AS d, i - row_number() OVER (PARTITION BY id, j - i ORDER BY i) AS run FROM ta JOIN tb USING (id, t)),
+bl AS (SELECT id, n, d, run, min(i) AS a_start, min(j) AS b_start, count(*) AS size FROM pts GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY size DESC, a_start, b_start) AS nth FROM bl),
+blocks AS (SELECT id, a_start, b_start, size FROM r WHERE nth = 1 AND size >= 5 AND size * 100 >= n * 15)"""
+_ALIGNED = """words AS (SELECT id, text, regexp_extract_all(text, '[A-Za-z0-9'']+') AS w, string_split_regex(text, '[A-Za-z0-9'']+') AS gaps FROM m),
+placed AS (SELECT id, length(text) AS n, length(array_to_string(gaps[:a_start + 1], '') || array_to_string(w[:a_start], '')) AS a, length(array_to_string(gaps[:a_start + size], '') || array_to_string(w[:a_start + size], '')) AS b FROM words JOIN blocks USING (id)),
+parts AS (SELECT id, n, a, b, list_filter([CASE WHEN a > 0 THEN 'D0:0:' || a END, 'P0:' || a || ':' || b, CASE WHEN b < n THEN 'D0:' || b || ':' || n END], lambda x: x IS NOT NULL) AS s FROM placed)"""
+
+
+@query(
+    f"""{O.MSG}, b AS (SELECT canonical_id AS id, text, lag(text) OVER (PARTITION BY conversation_id ORDER BY turn) AS origin FROM messages), m AS (SELECT * FROM b WHERE origin IS NOT NULL),
+p AS (SELECT id, regexp_extract_all(lower(text), '[a-z0-9'']+') AS a, regexp_extract_all(lower(origin), '[a-z0-9'']+') AS b FROM m), {_BLOCKS}, {_ALIGNED} SELECT id, array_to_string(s, ',') AS spans FROM parts WHERE len(s) > 1"""
+)
+def alignment_spans(spark, sf):
+    """Each message against the one before."""
+    m = views.messages(spark, sf).withColumn("origin_text", F.lag("text").over(messages.in_conversation().orderBy("turn"))).where("origin_text IS NOT NULL")
+    found = reuse.alignment_spans(m.select(F.col("canonical_id").alias("id"), "text", "origin_text", F.lit("before").alias("source")))
+    return found.select("id", F.array_join(F.transform("spans", lambda x: F.concat_ws(":", x["cls"], x["start"].cast("string"), x["end"].cast("string"))), ",").alias("spans"))
+
+
+@query(
+    f"""WITH p AS (SELECT conv_id * 1000 + turn AS id, {O.words('text')} AS a, list_concat(['x', 'y'], list_slice({O.words('text')}, 4, len({O.words('text')}))) AS b FROM conversations),
+{_BLOCKS} SELECT id, a_start, b_start, size FROM blocks"""
+)
 def longest_blocks(spark, sf):
     w = views.read(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), T.normalize_words(F.col("text")).alias("w"))
     pairs = w.select("id", F.col("w").alias("a"), F.concat(F.array(F.lit("x"), F.lit("y")), F.slice("w", F.lit(4), F.greatest(F.size("w"), F.lit(0)))).alias("b"))
@@ -1039,6 +1061,26 @@ def phrase_hits(spark, sf):
     return reuse.phrase_hits(views.reuse_records(spark, sf), phrases).withColumn("nth", F.col("nth").cast("bigint"))
 
 
+_SHORT = "SELECT item_id AS phrase_id, substr(text, 3, 1 + item_id % 9) AS phrase FROM benchmark"
+
+
+@query(f"WITH ph AS ({_SHORT}) SELECT phrase_id, canonical_id FROM ({views.REUSE_SQL}) r JOIN ph ON contains(lower(text), lower(phrase))")
+def short_phrase_hits(spark, sf):
+    """Pieces of the items of one to nine characters, wherever they stand."""
+    phrases = spark.sql(_SHORT.replace("FROM benchmark", "FROM {b}"), b=views.read(spark, sf, "benchmark"))
+    return reuse.short_phrase_hits(views.reuse_records(spark, sf), phrases).select("phrase_id", "canonical_id")
+
+
+@query(
+    f"""{O.THOUGHTS}, placed AS (SELECT *, row_number() OVER (ORDER BY source_file, conversation_id, coalesce(ts, ''), canonical_id) - 1 AS i FROM thoughts),
+held AS (SELECT *, row_number() OVER (PARTITION BY display_id ORDER BY i) AS nth FROM placed)
+SELECT thought_id, CASE WHEN nth = 1 THEN display_id ELSE {O.numbered('T', "'thought' || chr(31) || canonical_id || chr(31) || detail || chr(31) || i")} END AS display_id FROM held"""
+)
+def display_ids(spark, sf):
+    """Unique ids; the oracle looks once for another one, which is enough for so few."""
+    return extraction.display_ids(views.messages(spark, sf)).select("thought_id", "display_id")
+
+
 @query(f"{O._PAIRS} SELECT CASE WHEN o.ts IS NULL OR r.ts IS NULL THEN 'UNKNOWN' WHEN o.ts < r.ts THEN 'FORWARD' WHEN o.ts > r.ts THEN 'REVERSE' ELSE 'SAME_TIME' END AS direction, count(*) AS n FROM pairs JOIN records r ON r.canonical_id = reuse_id JOIN records o ON o.canonical_id = origin_id GROUP BY 1")
 def temporal_directions(spark, sf):
     r = views.reuse_records(spark, sf)
