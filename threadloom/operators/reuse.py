@@ -416,7 +416,8 @@ def longest_blocks(pairs: DataFrame, least: int = 5, share_pct: int = 15) -> Dat
     # Dealt out before, so that words are made once, not for each of their runs.
     dealt = pairs.select("id", "a", "b").repartition("id")
     grams = dealt.select("id", F.size("a").alias("n"), hashed(F.col("a"), least).alias("ga"), hashed(F.col("b"), least).alias("gb"))
-    a, b = grams.select("id", "n", F.posexplode("ga").alias("i", "t")), grams.select("id", F.posexplode("gb").alias("j", "t"))
+    # The outer form, as the plain one's check for empty arrays would go below and make the words again.
+    a, b = grams.select("id", "n", F.posexplode_outer("ga").alias("i", "t")), grams.select("id", F.posexplode_outer("gb").alias("j", "t"))
     points = a.join(b, ["id", "t"]).select("id", "n", "i", "j", (F.col("j") - F.col("i")).alias("d"))
     run = F.col("i") - F.row_number().over(Window.partitionBy("id", "d").orderBy("i"))
     blocks = points.withColumn("run", run).groupBy("id", "n", "d", "run").agg(F.min("i").alias("a_start"), F.min("j").alias("b_start"), (F.count("*") + least - 1).alias("size"))
