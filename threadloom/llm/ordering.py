@@ -1,34 +1,15 @@
-"""Numbers of rows in a total order, and exact selection, without a task that sees all rows."""
+"""Exact selection of the k-th key without sorting; numbers in a total order come from the engine's own operator."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from threadloom.operators.ordering import numbered
 
-SIGN = 1 << 63
-
-
-def numbered(df: DataFrame, order: list[Column], within: str | None = None, name: str = "idx") -> DataFrame:
-    """``df`` with each row's number (from 0) in ``order``, in each group of the column ``within`` (null is a group) or overall.
+__all__ = ["at_most", "numbered", "radix_select"]
 
-    Rows are cut into ranges and written; the ranges' counts, one row a range and group,
-    say where each begins. A group larger than a range lies in many, so none is held
-    whole by a task. Rows equal in ``order`` get numbers in any order.
-    """
-    groups = [within] if within else []
-    # Equal rows may be many: a number of their own cuts them too.
-    keys = [*(F.col(g).asc_nulls_first() for g in groups), *order, F.col("_tie").asc()]
-    cut = materialize(df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "cut")
-    counts = cut.groupBy("_part", *groups).agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = materialize(counts.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "starts")
-    local = cut.withColumn(name, F.row_number().over(Window.partitionBy("_part", *groups).orderBy(*order, "_tie")) - 1)
-    same = local["_part"] == starts["_part"]
-    for g in groups:
-        same &= local[g].eqNullSafe(starts[g])
-    return local.join(starts, same).select(*(local[c] for c in df.columns), (local[name] + starts["_before"]).alias(name))
+SIGN = 1 << 63
 
 
 def radix_select(keys: DataFrame, columns: list[str], k: int, bits: int = 12) -> tuple[int, ...] | None:
