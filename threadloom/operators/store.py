@@ -31,12 +31,17 @@ def tokens(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)))
 
 
+def searchable() -> Column:
+    """The text that a search looks through, in lower case."""
+    return F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), F.coalesce("content", F.lit(""))))
+
+
 def search(store: DataFrame, query: str, include_history: bool = False, limit: int = 10) -> DataFrame:
     """Distinct query words found, plus a bonus if the whole phrase occurs; best first, then newer revision, then id."""
     if not query.strip() or not 1 <= limit <= 100:
         raise ValueError("a query needs text, and a limit from 1 to 100")
     phrase = query.strip().lower()
-    text = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), F.coalesce("content", F.lit(""))))
+    text = searchable()
     own = tokens(F.lit(phrase))
     score = F.size(F.array_intersect(own, tokens(text))) + F.when(F.contains(text, F.lit(phrase)), F.greatest(F.lit(2), F.size(own))).otherwise(0)
     rows = store if include_history else current(store)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 
 from threadloom.functions import predicates as P
 from threadloom.functions import text as T
-from threadloom.operators import evaluation, extraction, messages, resolver, reuse, store
+from threadloom.operators import evaluation, extraction, messages, resolver, reuse, search_index, store
 from threadloom.plans import oracles as O
 from threadloom.plans.oracles import q, rx
 from threadloom.sources import releases, views
+from threadloom.storage import shared_dir
 
 FLAGSHIP = "reuse_hits_strict"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -746,6 +748,14 @@ def store_search(spark, sf):
     return store.search(_store(spark, sf), "the and thonti", include_history=True, limit=25).select("knowledge_id", "revision", F.col("score").cast("bigint").alias("score"))
 
 
+@query(f"{O.STORE} SELECT knowledge_id, revision, score FROM (SELECT knowledge_id, revision, len(list_intersect(['the', 'and', 'thonti'], {_TOKENS})) + CASE WHEN contains({_SEARCH}, 'the and thonti') THEN 3 ELSE 0 END AS score FROM store) WHERE score > 0 ORDER BY score DESC, revision DESC, knowledge_id LIMIT 25")
+def store_search_index(spark, sf):
+    """The same rows by way of a written index."""
+    path = f"{shared_dir(spark)}/search-{uuid.uuid4().hex}"
+    search_index.build(_store(spark, sf), path, buckets=8)
+    return search_index.search(spark, path, "the and thonti", include_history=True, limit=25).select("knowledge_id", "revision", F.col("score").cast("bigint").alias("score"))
+
+
 @query(f"{O.STORE}, bad AS (SELECT knowledge_id, CAST(revision / 2 AS INT) AS revision, canonical_status FROM store) SELECT 'duplicate_revision' AS rule, knowledge_id FROM (SELECT knowledge_id, revision // 2 AS r FROM store GROUP BY 1, 2 HAVING count(*) > 1)")
 def store_integrity(spark, sf):
     return store.violations(_store(spark, sf).withColumn("revision", F.floor(F.col("revision") / 2).cast("int")))
