@@ -190,3 +190,42 @@ def test_configuration_and_confinement():
     for path in ("../y", "/root/xy/a", "a/../..", "", "hdfs:///root/x/a"):
         with pytest.raises(ConfinementError):
             confined(path, "/root/x")
+
+
+def test_front_matter_values_have_types(spark):
+    values = ["true", "FALSE", "7", "-12", "007", "--5", "1.5", "", "text", '"', "12345678901234567890", "it's"]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    kind = lambda negative: [tuple(r) for r in df.select(F.schema_of_variant(exports.typed_value(F.col("v"), negative)), exports.typed_value(F.col("v"), negative).try_cast("string")).collect()]
+    want = [("BOOLEAN", "true"), ("BOOLEAN", "false"), ("BIGINT", "7"), ("BIGINT", "-12"), ("BIGINT", "7"), *(("STRING", v) for v in values[5:])]
+    assert kind(True) == want and kind(False)[3] == ("STRING", "-12")
+    text = "---\na: 'x'\nb: \"y'\nc: '\nd: '3'\n---\nbody"
+    got = spark.createDataFrame([(text,)], "t string").select(exports.front_matter(F.col("t")).alias("f")).select("f", exports.typed_fields(F.col("f"))["d"].cast("int").alias("d")).first()
+    assert got.f == {"a": "x", "b": "\"y'", "c": "'", "d": "3"} and got.d == 3
+
+
+def test_proposals_and_diagnostics_by_command_line(spark, tmp_path, capsys, monkeypatch):
+    root = tmp_path / "root"
+    said = lambda: {x["check"]: x["status"] for x in map(json.loads, capsys.readouterr().out.splitlines())}
+    assert cli.main(["diagnose", str(root)]) == 1 and said() == {"store": "fail", "queue": "ok", "reviews": "ok", "notes": "fail"}
+    spark.createDataFrame(RECORD, STORE).write.parquet(str(root / "store"))
+    monkeypatch.setenv("THREADLOOM_NOTES", str(root / "candidates"))
+    assert cli.main(["propose", str(root / "store"), str(root / "candidates")]) == 0
+    assert json.loads(capsys.readouterr().out)["written"] == len(RECORD)
+    assert cli.main(["intake-all", str(root / "store"), str(root / "candidates"), str(root / "queue")]) == 0
+    capsys.readouterr()
+    assert cli.main(["diagnose", str(root)]) == 0 and said() == {"store": "ok", "queue": "ok", "reviews": "ok", "notes": "ok"}
+    spark.range(1).write.parquet(str(root / "queue/data/commit=lost"))
+    assert cli.main(["diagnose", str(root)]) == 0 and said()["queue"] == "warn"
+
+
+def test_merges_of_other_columns_and_shingle_keys(spark):
+    import zlib
+
+    from threadloom.functions import text as T
+    from threadloom.operators import messages
+
+    a, b = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(2,)], "k int")
+    assert messages.merge_delta(a, b, "k").count() == 2 and messages.merge_delta(a, a, "k", strict=True).count() == 1
+    with pytest.raises(ValueError, match="missing: .'v'."):
+        messages.merge_delta(a, b, "k", strict=True)
+    assert a.select(T.shingle_key(F.lit("a é b"))).first()[0] == zlib.crc32("a é b".encode())

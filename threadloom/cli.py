@@ -9,7 +9,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadloom.config import ConfinementError, confined
+from threadloom.config import Config, ConfinementError, confined
 from threadloom.engine import ConversationEngine
 from threadloom.operators import store as S
 from threadloom.operators.store import NotFound
@@ -36,6 +36,10 @@ def parser() -> argparse.ArgumentParser:
     search.add_argument("store"), search.add_argument("query"), search.add_argument("--history", action="store_true"), search.add_argument("--limit", type=int, default=10)
     doctor = verbs.add_parser("doctor", help="breaches of the store's contract")
     doctor.add_argument("store")
+    diagnose = verbs.add_parser("diagnose", help="whether an engine's folders are ready; the environment may move them")
+    diagnose.add_argument("root")
+    propose = verbs.add_parser("propose", help="a candidate note of each extracted record")
+    propose.add_argument("store"), propose.add_argument("folder")
     publish = verbs.add_parser("publish", help="one record's managed note")
     publish.add_argument("store"), publish.add_argument("folder"), publish.add_argument("knowledge_id")
     every = verbs.add_parser("publish-all", help="managed notes of all publishable records")
@@ -72,6 +76,10 @@ def main(argv: list[str] | None = None) -> int:
             for table in TABLES if name == "all" else (name,):
                 made, target = getattr(engine, table)(rows), f"{args.target}/{table}" if name == "all" else args.target
                 sinks.replace_own(made, target, "threadloom.extraction") if table == "canonical" else sinks.staged_write(made, target)
+        elif args.verb == "diagnose":
+            found = engine.diagnose(Config.load(args.root))
+            show(found)
+            return int(not found.where("status = 'fail'").isEmpty())
         else:
             return on_store(engine, spark.read.parquet(args.store), args)
     except (SourceError, sinks.SinkError, CommitError, NotFound, ConfinementError, ValueError) as error:
@@ -87,6 +95,8 @@ def on_store(engine: ConversationEngine, records: DataFrame, args: argparse.Name
         show(engine.search(records, args.query, args.history, args.limit))
     elif args.verb == "doctor":
         return int(show(engine.doctor(records)) > 0)
+    elif args.verb == "propose":
+        print(json.dumps({"operation": args.verb, "written": engine.candidate_notes(records, args.folder)}))
     elif args.verb in ("publish", "publish-all"):
         if args.verb == "publish":
             found = engine.get(records, args.knowledge_id)

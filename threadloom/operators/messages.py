@@ -60,8 +60,10 @@ def duplicates(rows: DataFrame, key: str, within: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count_distinct(within).alias("n"), F.min(within).alias("first")).where("n > 1")
 
 
-def merge_delta(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """What is there, and new rows with other keys; columns that one side lacks are null."""
+def merge_delta(existing: DataFrame, new: DataFrame, key: str, strict: bool = False) -> DataFrame:
+    """What is there, and new rows with other keys; columns that one side lacks are null, or with ``strict`` an error."""
+    if strict:
+        check_columns(new, existing.columns)
     return existing.unionByName(new.join(existing.select(key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
@@ -92,6 +94,15 @@ def graph_breaks(messages: DataFrame) -> DataFrame:
     return messages.where("parent_message_id IS NOT NULL").join(ids, ["conversation_id", "parent_message_id"], "left_anti").select("canonical_id", "conversation_id", "parent_message_id")
 
 
+def children_context(messages: DataFrame, limit: int = 2, chars: int = 400) -> DataFrame:
+    """(canonical_id, nth, child, role, text): each message's first ``limit`` children that say something, by turn, and how they begin."""
+    said = messages.where("parent_message_id IS NOT NULL AND text <> ''")
+    first = Window.partitionBy("conversation_id", "parent_message_id").orderBy("turn", "message_id")
+    kept = said.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= limit)
+    below = kept.select("conversation_id", F.col("parent_message_id").alias("message_id"), "nth", F.col("canonical_id").alias("child"), F.coalesce("role", F.lit("unknown")).alias("role"), F.substring("text", 1, chars).alias("text"))
+    return messages.select("conversation_id", "message_id", "canonical_id").join(below, ["conversation_id", "message_id"]).select("canonical_id", "nth", "child", "role", "text")
+
+
 def ancestors(messages: DataFrame, hops: int = 3) -> DataFrame:
     """(canonical_id, hop, ancestor): each message's parents, up to ``hops`` above."""
     up = messages.select("conversation_id", F.col("message_id").alias("at"), "canonical_id", F.col("parent_message_id").alias("next"))

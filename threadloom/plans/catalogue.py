@@ -980,6 +980,19 @@ def stratified_sample(spark, sf):
     return evaluation.stratified_sample(docs(spark, sf), "lang", "doc_id", 20, "seed-1").select("doc_id", "lang", F.col("nth").cast("bigint").alias("nth"))
 
 
+@query(
+    """WITH both_ AS (SELECT doc_id, 'lang ' || coalesce(lang, '-') AS stratum FROM documents UNION ALL SELECT doc_id, 'source ' || coalesce(source, '-') FROM documents),
+chosen AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY sha256('seed-2' || CAST(doc_id AS VARCHAR)), doc_id) AS nth FROM both_)
+SELECT doc_id, min(stratum) AS stratum, arg_min(nth, stratum) AS nth FROM chosen WHERE nth <= 20 GROUP BY doc_id"""
+)
+def sample_once(spark, sf):
+    """Twenty documents of each language and of each source, a document once."""
+    d = docs(spark, sf)
+    named = lambda c: d.select("doc_id", F.concat(F.lit(f"{c} "), F.coalesce(c, F.lit("-"))).alias("stratum"))
+    chosen = evaluation.stratified_sample(named("lang").unionByName(named("source")), "stratum", "doc_id", 20, "seed-2")
+    return evaluation.once_across(chosen, "stratum", "doc_id").select("doc_id", "stratum", F.col("nth").cast("bigint").alias("nth"))
+
+
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 15 AS batch FROM documents")
 def batches(spark, sf):
     return evaluation.batches(docs(spark, sf), "doc_id")
@@ -1104,6 +1117,14 @@ def parent_chain(spark, sf):
     return messages.ancestors(views.messages(spark, sf))
 
 
+@query(
+    f"""{O.MSG}, c AS (SELECT *, row_number() OVER (PARTITION BY conversation_id, parent_message_id ORDER BY turn, message_id) AS nth FROM messages WHERE parent_message_id IS NOT NULL AND text <> '')
+SELECT p.canonical_id, CAST(c.nth AS INTEGER) AS nth, c.canonical_id AS child, c.role, substr(c.text, 1, 400) AS text FROM messages p JOIN c ON c.conversation_id = p.conversation_id AND c.parent_message_id = p.message_id WHERE c.nth <= 2"""
+)
+def child_context(spark, sf):
+    return messages.children_context(views.messages(spark, sf))
+
+
 _OLD_EXPORT = "SELECT CASE WHEN conv_id % 4 = 0 THEN concat('old-', conversation_id) ELSE conversation_id END AS conversation_id, CASE WHEN turn >= 5 THEN concat(message_id, '-old') ELSE message_id END AS message_id, text FROM {m} m"
 _NEW_EXPORT = "SELECT conversation_id, message_id, CASE WHEN turn % 3 = 0 THEN concat(text, '!') ELSE text END AS text FROM {m} m"
 

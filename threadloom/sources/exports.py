@@ -116,15 +116,27 @@ def notes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def front_matter(text: Column) -> Column:
-    """map<string, string> of ``key: value`` lines between the first two rules, without quotes around values; of a key that is written twice the last value holds."""
+    """map<string, string> of ``key: value`` lines between the first two rules, without a pair of quotes around values; of a key that is written twice the last value holds."""
     block = F.regexp_extract(text, r"(?s)\A---\s*\n(.*?)\n---\s*\n", 1)
     pairs = F.filter(F.split(block, "\n"), lambda x: x.contains(":") & (F.trim(F.substring_index(x, ":", 1)) != ""))
-    entry = lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.regexp_replace(F.trim(F.regexp_replace(x, r"\A[^:]*:", "")), r"\A[\"']|[\"']\z", "").alias("value"))
+    entry = lambda x: F.struct(F.trim(F.substring_index(x, ":", 1)).alias("key"), F.regexp_replace(F.trim(F.regexp_replace(x, r"\A[^:]*:", "")), r"(?s)\A([\"'])(.*)\1\z", "$2").alias("value"))
     every = F.transform(pairs, entry)
     later = lambda e, i: F.exists(F.slice(e, i + 2, F.size(e)), lambda y: y["key"] == F.get(e, i)["key"])
     return F.map_from_entries(F.flatten(F.transform(F.array(every), lambda e: F.filter(e, lambda x, i: ~later(e, i)))))
 
 
+def typed_value(value: Column, negative: bool = True) -> Column:
+    """A front matter value as a variant: true and false in any case, whole numbers (``negative``: with a minus too), else text."""
+    number = F.rlike(value, F.lit(r"\A-?[0-9]{1,18}\z" if negative else r"\A[0-9]{1,18}\z"))
+    text = F.to_variant_object(F.array(value))
+    return T.cases([(F.lower(value).isin("true", "false"), F.parse_json(F.lower(value))), (number, F.parse_json(value.try_cast("bigint").cast("string")))], F.variant_get(text, "$[0]", "variant"))
+
+
+def typed_fields(fields: Column, negative: bool = True) -> Column:
+    """Front matter with typed values: map<string, variant>."""
+    return F.transform_values(fields, lambda _, v: typed_value(v, negative))
+
+
 def block_text(kind: Column, text: Column) -> Column:
     """A wiki block as markdown."""
     prefix = {"heading_1": "# ", "heading_2": "## ", "heading_3": "### ", "bulleted_list_item": "- ", "numbered_list_item": "1. ", "to_do": "- [ ] ", "quote": "> "}
