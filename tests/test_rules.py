@@ -42,6 +42,18 @@ def test_predicates(spark, name, yes, no):
     assert [r[0] for r in spark.createDataFrame([(yes,), (no,)], "t string").select(P.holds(name, F.col("t"))).collect()] == [True, False]
 
 
+def test_predicates_read_borders_lines_and_space_as_re2_does(spark):
+    import duckdb
+
+    texts = ["Doías de y", "yes\u00e1", "do", "do_it", "Subject\u2028subject: x", "x\rfrom: me", "no\u000b", "ok\r", "a\nsubject: y", "Do.", "made\u00edcan you", "1. a\u0085b\nc\nd"]
+    names = [*P.PATTERNS]
+    got = spark.createDataFrame([*enumerate(texts)], "i int, text string").select("i", *(P.holds(n, F.col("text")).alias(n) for n in names)).orderBy("i").collect()
+    for i, text in enumerate(texts):
+        want = {n: duckdb.execute("SELECT regexp_matches(?, ?)", [text, P.PATTERNS[n]]).fetchone()[0] for n in names}
+        assert {n: got[i][n] for n in names} == want, text
+    assert got[0]["directive"]
+
+
 def test_text_functions(spark):
     one = lambda c, *v: spark.range(1).select(c(*(F.lit(x) for x in v))).first()[0]
     assert one(T.summary, "  One  two. Three") == "One two." and one(T.summary, "") == "" and len(one(T.summary, "x" * 500)) == 160
