@@ -45,3 +45,11 @@ def test_reads_the_words_lists_alone(spark, indexed):
 def test_an_empty_store(spark, tmp_path):
     search_index.build(spark.createDataFrame([], SCHEMA), str(tmp_path / "i"))
     assert search_index.search(spark, str(tmp_path / "i"), "cat").collect() == []
+
+
+def test_places_are_not_shuffled(spark):
+    df = spark.createDataFrame([(1, "CURRENT", "a b a", "", "b"), (2, "RETIRED", None, "", "a")], "doc bigint, canonical_status string, title string, summary string, content string")
+    got = search_index.postings_of(df)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == plan.count("Exchange hashpartitioning(doc#") == 1 and plan.index("Exchange") > plan.index("Generate")
+    assert {(r.doc, r.current, r.word): r.places for r in got.collect()} == {(1, True, "a"): [0, 2], (1, True, "b"): [1, 3], (2, False, "a"): [0]}

@@ -23,6 +23,16 @@ def _bucket(word: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int").alias("bucket")
 
 
+SLICES = 16  # parts in which a bucket's postings are sorted and written
+
+
+def postings_of(rows: DataFrame) -> DataFrame:
+    """(doc, current, word, places): where each word stands in each row. Texts are dealt by rows, in which all of a word's places lie, so that no place is shuffled."""
+    texts = rows.select("doc", (F.col("canonical_status") == "CURRENT").alias("current"), searchable().alias("text")).repartition("doc")
+    each = texts.select("doc", "current", F.posexplode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("place", "word"))
+    return each.groupBy("doc", "current", "word").agg(F.array_sort(F.collect_list("place")).alias("places"))
+
+
 def build(store: DataFrame, path: str, buckets: int = 64) -> None:
     """Writes rows (with their number doc), postings (doc, current, word, places) and words (how many records have each) below ``path``."""
     spark = store.sparkSession
@@ -30,10 +40,10 @@ def build(store: DataFrame, path: str, buckets: int = 64) -> None:
     numbered.select("*", F.pmod("doc", F.lit(buckets)).cast("int").alias("part")).write.partitionBy("part").parquet(f"{path}/rows")
     fields = StructType([*numbered.schema, StructField("part", IntegerType())])
     rows = spark.read.schema(fields).parquet(f"{path}/rows")
-    each = rows.select("doc", (F.col("canonical_status") == "CURRENT").alias("current"), F.posexplode(F.regexp_extract_all(searchable(), F.lit(WORD), F.lit(0))).alias("place", "word"))
-    postings = each.groupBy("doc", "current", "word").agg(F.array_sort(F.collect_list("place")).alias("places")).select("*", _bucket(F.col("word"), buckets))
-    # By ranges, so that a word that most records have lies in many files.
-    postings.repartitionByRange("bucket", "word", "doc").sortWithinPartitions("bucket", "word", "doc").write.partitionBy("bucket").parquet(f"{path}/postings")
+    postings = postings_of(rows).select("*", _bucket(F.col("word"), buckets))
+    # By slices of rows, so that a word that most records have lies in many files; ranges would make all postings twice to find their borders.
+    sliced = postings.repartition("bucket", F.pmod(F.xxhash64("doc"), F.lit(SLICES)))
+    sliced.sortWithinPartitions("bucket", "word", "doc").write.partitionBy("bucket").parquet(f"{path}/postings")
     counts = spark.read.schema(POSTINGS).parquet(f"{path}/postings").groupBy("bucket", "word").agg(F.count("*").alias("n"))
     counts.repartitionByRange("bucket", "word").sortWithinPartitions("bucket", "word").write.partitionBy("bucket").parquet(f"{path}/words")
     # Last: an index without it isn't whole.
