@@ -198,3 +198,15 @@ def test_an_empty_release(spark, tmp_path):
     assert releases.freeze_release(rows, str(tmp_path), "id") == "RELEASE_001"
     releases.verify_release(spark, str(tmp_path), "RELEASE_001")
     assert releases.listed(spark, str(tmp_path), "RELEASE_001")["root"] is None
+
+
+def test_chunks_hash_each_row_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def looked_at(i):
+        seen.add(1)
+        return f"v{i}"
+
+    made = releases.chunks_of(spark.range(200).select(F.col("id").alias("k"), looked_at("id").alias("v")), "k", 64)
+    assert sorted((r.idx, r.first_key, r.last_key, r.n) for r in made.collect()) == [(0, 0, 63, 64), (1, 64, 127, 64), (2, 128, 191, 64), (3, 192, 199, 8)] and seen.value == 200

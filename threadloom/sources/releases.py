@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 from threadloom.functions import text as T
 from threadloom.operators.ordering import chunk_digest, numbered, tree_root
 from threadloom.sources.sinks import SinkError, _fs, staged_write
+from threadloom.storage import stored
 
 CHUNK = 1024
 
@@ -52,7 +53,9 @@ def content_roots(rows: DataFrame, group: str, digest: str, fanout: int = CHUNK)
 
 def chunks_of(rows: DataFrame, key: str, chunk: int = CHUNK, columns: list[str] | None = None) -> DataFrame:
     """(idx, first_key, last_key, n, digest) of each chunk of rows (of their given columns) in the order of ``key``."""
-    placed = numbered(rows.select(F.col(key).alias("key"), record_hash(rows, columns).alias("digest")), [F.col("key").asc(), F.col("digest").asc()], name="place")
+    # Written, as ranges are found by a pass of their own, which would hash all rows again.
+    hashed = stored(rows.select(F.col(key).alias("key"), record_hash(rows, columns).alias("digest")), "hashed")
+    placed = numbered(hashed, [F.col("key").asc(), F.col("digest").asc()], name="place")
     return placed.groupBy(F.floor(F.col("place") / chunk).alias("idx")).agg(F.min("key").alias("first_key"), F.max("key").alias("last_key"), F.count("*").alias("n"), chunk_digest("place", "digest").alias("digest"))
 
 
