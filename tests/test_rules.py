@@ -138,3 +138,16 @@ def test_evaluation_with_empty_denominators(spark):
     got = {r["class"]: (r.precision, r.recall) for r in evaluation.precision_recall(rows, "t", "p").collect()}
     assert got["b"] == (0.0, None) and got["c"] == (None, 0.0) and got["a"] == (0.5, 0.5)
     assert {r["class"]: r.recall for r in evaluation.precision_recall(rows, "t", "p", zero=0.0).collect()}["b"] == 0.0
+
+
+def test_cases_hash_words_once_and_follow_scan_order(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(40))
+    rows = [("f2", "c1", "a1", 0, "assistant", "2024-01-01", text), ("f1", "c2", "a2", 0, "assistant", None, text), ("f3", "c3", "u1", 0, "user", "2024-01-03", text + " " + text), ("f3", "c3", "a3", 1, "assistant", "2024-01-04", text)]
+    labels, keep = [], resolver.stored
+    monkeypatch.setattr(resolver, "stored", lambda df, label: labels.append(label) or keep(df, label))
+    made = resolver.build_cases(spark.createDataFrame(rows, "source_file string, conversation_id string, canonical_id string, turn int, role string, ts string, text string"))
+    got = {r.canonical_id: (r.matched, r.total, r.origin_id, r.n_origins, r.prior) for r in made.collect()}
+    # The first file's message has all shingles first, and repeats count.
+    assert got["u1"] == (58, 69, "a2", 1, False) and got["a3"] == (None, 29, None, 0, None) and len(got) == 4
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert labels == ["case-shingles", "case-places"] and "hashpartitioning(sh" in plan and "xxhash64" not in plan
